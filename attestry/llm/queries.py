@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, ngram_jaccard, pii, secrets, spotsigs, toxicity, url_filter
+from . import ann, bpe, mixing, ngram_jaccard, pii, secrets, spotsigs, suffix_dedup, toxicity, url_filter
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -38,6 +38,10 @@ def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_url_filter": op3_url_filter,
     "op4_spotsigs": op4_spotsigs,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
