@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import overlap, set_text
@@ -34,7 +35,7 @@ def boundary_calls(evidence: DataFrame, records: DataFrame, policy: RefinePolicy
     ``evidence``: parent, tool, start, end; ``records``: parent, length.
     """
     calls = evidence.where(F.col("tool").isin(*policy.tools) & F.col("start").isNotNull() & F.col("end").isNotNull())
-    return calls.join(records.select("parent", "length"), "parent").where("start >= 1 and start <= end and end <= length").select("parent", "length", "tool", "start", "end").distinct()
+    return calls.select("parent", "tool", "start", "end").join(records.select("parent", "length"), "parent").where("start >= 1 and start <= end and end <= length").select("parent", "length", "tool", "start", "end").distinct()
 
 
 def group_calls(calls: DataFrame, policy: RefinePolicy) -> DataFrame:
@@ -51,8 +52,6 @@ def group_calls(calls: DataFrame, policy: RefinePolicy) -> DataFrame:
     both = both.unionByName(left.select("parent", "length", "tool", "start", "end", "locus", F.lit(1).alias("own")))
     order = both.groupBy("parent", "own", "locus").agg(F.min("start").alias("__s"), F.min(F.when(F.col("tool") != policy.advisory, F.col("start"))).alias("__f"))
     order = order.withColumn("__at", F.coalesce("__f", "__s"))
-    from pyspark.sql import Window as W
-
     order = order.withColumn("number", F.row_number().over(W.partitionBy("parent").orderBy("__at", "own", "locus")))
     return both.join(order.select("parent", "own", "locus", "number"), ["parent", "own", "locus"]).select("parent", "length", "tool", "start", "end", F.col("number").cast("long").alias("locus"))
 
@@ -73,7 +72,7 @@ def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy())
     )
     has = {t: F.col(f"n_{t}") > 0 for t in p.tools}
 
-    def advised(of) -> F.Column:
+    def advised(of: Column) -> Column:
         return F.exists("advised", lambda a: overlap(of.start, of.end, a.start, a.end) / (a.end - a.start + 1) >= p.advisory_overlap)
 
     chosen = (
@@ -103,7 +102,7 @@ def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy())
     return loci.select("parent", "length", "locus", "calls", "tools", "selected_tool", F.col("selected.start").alias("selected_start"), F.col("selected.end").alias("selected_end"), status.alias("status"), set_text(support, "").alias("supporting_tools"), "clashing")
 
 
-def consensus_parents(evidence: DataFrame, rules: dict[str, F.Column]) -> DataFrame:
+def consensus_parents(evidence: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """RFN-6: parents for which every source has a row that meets its rule."""
     hits = evidence.groupBy("parent").agg(*[F.bool_or(F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()])
     for name in rules:
