@@ -10,6 +10,8 @@ Classes are found without listing all pairs of a group: in every list of sets th
 share a fragment, one pivot is compared first; sets that are left outside the list's
 main class are compared with more members of it; and what is still apart is at last
 compared with everything in the list that isn't in its class yet, so no link is lost.
+N-grams that no other open set holds bound every overlap of their set from above, so
+sets with many n-grams of their own leave the lists before they are paired.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ FRAGMENTS = 8
 CLASS = 1.4
 #: Equal fragments that every link has at least.
 SAME = 3
+#: Open sets with at most this many n-grams in all are broadcast.
+BROADCAST_TOKENS = 4_000_000
 #: Rounds of comparing strays with members of the main class, and members in each.
 ROUNDS, MEMBERS = 2, 4
 
@@ -173,21 +177,33 @@ def link_sets(sets: DataFrame, num: int, den: int) -> DataFrame:
     links = cut(_links(pairs, again, num, den))
     comp = connected_components(links)
     left, left_n = _open_lists(lists, comp)
+    if left_n:
+        lists = _able(left, again, num, den)
+        again = cut(again.join(lists.select("cls").distinct(), "cls", "left_semi"))
+        if (again.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_TOKENS:
+            again = F.broadcast(again)
+        left, left_n = _open_lists(lists, comp)
     for turn in range(ROUNDS):
         if not left_n:
             break
-        stray = left.where("comp <> main").select("sig", "cls")
-        pick = [F.min(F.struct(F.xxhash64("cls", F.lit(turn * MEMBERS + j)), F.col("cls").alias("c")))["c"].alias(f"m{j}") for j in range(MEMBERS)]
+        stray = left.where("comp <> main").select("sig", "cls", "n", "u")
+        pick = [F.min(F.struct(F.xxhash64("cls", F.lit(turn * MEMBERS + j)), F.struct("cls", "n", "u").alias("c")))["c"].alias(f"m{j}") for j in range(MEMBERS)]
         picked = left.where("comp = main").groupBy("sig").agg(*pick)
-        tried = stray.join(picked, "sig").select("cls", F.explode(F.array(*[f"m{j}" for j in range(MEMBERS)])).alias("m"))
-        more = _links(tried.select(F.least("cls", "m").alias("a"), F.greatest("cls", "m").alias("b")).distinct(), again, num, den)
+        tried = stray.join(picked, "sig").select("cls", "n", "u", F.explode(F.array(*[f"m{j}" for j in range(MEMBERS)])).alias("m"))
+        tried = tried.where(_possible(F.col("n"), F.col("u"), F.col("m.n"), F.col("m.u"), num, den))
+        more = _links(tried.select(F.least("cls", "m.cls").alias("a"), F.greatest("cls", "m.cls").alias("b")).distinct(), again, num, den)
         links = cut(links.unionByName(more).distinct())
         comp = connected_components(links)
         left, left_n = _open_lists(lists, comp)
     if left_n:
-        one = left.where("comp <> main").select("sig", F.col("cls").alias("x"), F.col("comp").alias("cx"))
-        other = left.select("sig", F.col("cls").alias("y"), F.col("comp").alias("cy"), F.col("comp").eqNullSafe(F.col("main")).alias("in_main"))
-        rest = one.join(other, "sig").where("cx <> cy and (in_main or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        one = left.where("comp <> main").select("sig", F.col("cls").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("u").alias("ux"))
+        other = left.select("sig", F.col("cls").alias("y"), F.col("comp").alias("cy"), F.col("comp").eqNullSafe(F.col("main")).alias("in_main"), F.col("n").alias("ny"), F.col("u").alias("uy"))
+        all_sigs = lists.groupBy("cls").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
+        one = one.join(all_sigs.select(F.col("cls").alias("x"), F.col("sigs").alias("sx")), "x")
+        other = other.join(all_sigs.select(F.col("cls").alias("y"), F.col("sigs").alias("sy")), "y")
+        able = _possible(F.col("nx"), F.col("ux"), F.col("ny"), F.col("uy"), num, den)
+        meet = F.array_min(F.array_intersect("sx", "sy")) == F.col("sig")  # a pair is made in the first list that it shares
+        rest = one.join(other, "sig").where(F.expr("cx <> cy and (in_main or x < y)") & able & meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         links = cut(links.unionByName(_links(rest, again, num, den)).distinct())
         comp = connected_components(links)
     # smallest doc_id of each class, then of each component
@@ -199,9 +215,29 @@ def link_sets(sets: DataFrame, num: int, den: int) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _possible(na: Column, ua: Column, nb: Column, ub: Column, num: int, den: int) -> Column:
+    """Whether two sets of sizes n, of whose n-grams u are their own, can reach the threshold.
+
+    It needs an overlap of num * (na + nb) / (num + den), and own n-grams aren't in it.
+    """
+    need = num * (na + nb)
+    return ((num + den) * (na - ua) >= need) & ((num + den) * (nb - ub) >= need)
+
+
+def _able(left: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(sig, cls, n, u) of the open lists, without sets that have too many n-grams of their own for any partner."""
+    open_sets = sets.join(left.select("cls").distinct(), "cls", "left_semi")
+    token = open_sets.select("cls", F.explode(F.flatten("fragments")).alias("t"))
+    own = token.groupBy("t").agg(F.min("cls").alias("cls"), F.max("cls").alias("last")).where("cls = last").groupBy("cls").agg(F.count("*").alias("u"))
+    sized = open_sets.select("cls", "n").join(own, "cls", "left").withColumn("u", F.coalesce("u", F.lit(0)).cast("long"))
+    least = F.ceil(num * F.col("n") / den)
+    sized = sized.where((num + den) * (F.col("n") - F.col("u")) >= num * (F.col("n") + least))
+    return cut(left.select("sig", "cls").join(sized, "cls"))
+
+
 def _open_lists(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, int]:
     """(sig, cls, comp, main) of the lists that hold more than one component, and their number of rows."""
-    now = lists.select("sig", "cls").join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left")
+    now = lists.join(comp.select(F.col("node").alias("cls"), F.col("component").alias("comp")), "cls", "left")
     now = now.withColumn("comp", F.coalesce("comp", "cls"))
     sizes = now.groupBy("sig", "comp").agg(F.count("*").alias("n"))
     main = sizes.groupBy("sig").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("k")).where("k > 1").select("sig", "main")
