@@ -35,7 +35,7 @@ TOGETHER = 2000
 #: Documents whose anchors place the splitters (at most; they only balance the ranges).
 SAMPLE = 2000
 #: Bytes that are hashed at once.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 
 _U = np.uint64
 _MULT = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
@@ -149,8 +149,8 @@ def _rows_of(texts: list[bytes], uids: np.ndarray) -> dict[str, np.ndarray]:
 def _anchor_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for s in range(0, whole.num_rows, 2000):
-                batch = whole.slice(s, 2000)
+            for s in range(0, whole.num_rows, 500):
+                batch = whole.slice(s, 500)
                 rows = _rows_of([x.encode() if x else b"" for x in batch.column("text").to_pylist()], batch.column("uid").to_numpy())
                 if len(rows["g"]):
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in rows.values()], names=list(rows))
@@ -277,7 +277,7 @@ def _bucket(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     n = np.cumsum(x["ctx"].map(len).to_numpy() - LENGTH + 1)
     s = 0
     while s < len(x):
-        stop = int(np.searchsorted(n, (n[s - 1] if s else 0) + 150_000, "right"))
+        stop = int(np.searchsorted(n, (n[s - 1] if s else 0) + 60_000, "right"))
         stop = max(stop, s + 1)
         while stop < len(x) and x["g"].iat[stop] == x["g"].iat[stop - 1]:
             stop += 1
