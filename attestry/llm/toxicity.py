@@ -13,7 +13,7 @@ one table of subsequence weights of fixed size, which is what the tasks get.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows of each class that training reads at most, chosen by the hash of their id.
-SAMPLE = 3000
+SAMPLE = 2000
 LANDMARKS = 192
 #: Weight of a subsequence: DECAY to the power of its span; spans over SPAN are left out.
 DECAY, SPAN = 0.6, 6
@@ -99,14 +99,14 @@ def kernel(x: list[str], y: list[str]) -> np.ndarray:
     known, place = np.unique(key, return_inverse=True)
     table = np.zeros((len(known) + 1, len(y)))  # a row for each subsequence of y's words, and one of zeros
     table[place, row] = value
-    for s in range(0, len(x), 500):
-        key, value, row = profiles(x[s : s + 500])
+    for s in range(0, len(x), 200):
+        key, value, row = profiles(x[s : s + 200])
         at = np.minimum(np.searchsorted(known, key), len(known) - 1)
         at = np.where(known[at] == key, at, len(known))
         hit = at < len(known)
-        first = np.searchsorted(row[hit], np.arange(len(x[s : s + 500]) + 1))
+        first = np.searchsorted(row[hit], np.arange(len(x[s : s + 200]) + 1))
         sums = np.cumsum(np.vstack([np.zeros((1, len(y))), value[hit, None] * table[at[hit]]]), axis=0)
-        out[s : s + 500] = sums[first[1:]] - sums[first[:-1]]
+        out[s : s + 200] = sums[first[1:]] - sums[first[:-1]]
     return out
 
 
@@ -121,10 +121,10 @@ class Model:
 
     def words(self, words: list[str]) -> np.ndarray:
         out = np.empty(len(words))
-        for s in range(0, len(words), 4000):
-            part = words[s : s + 4000]
+        for s in range(0, len(words), 500):
+            part = words[s : s + 500]
             key, value, row = profiles(part)
-            out[s : s + 4000] = np.bincount(row, weights=value * self.table[key], minlength=len(part)) + self.bias
+            out[s : s + 500] = np.bincount(row, weights=value * self.table[key], minlength=len(part)) + self.bias
         return out
 
     def chance(self, margin: float) -> float:
@@ -147,16 +147,15 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, roun
     return w[:-1], float(w[-1])
 
 
-def fit(bags: list[list[str]], labels: list[int], landmarks: int = LANDMARKS, rounds: int = 2) -> Model:
+def fit(bags: Iterable[list[str]], labels: list[int], landmarks: int = LANDMARKS, rounds: int = 2) -> Model:
     """Train on texts as sets of words.  Without both labels, every text gets the share of toxic ones."""
-    y = np.array(labels)
+    y = np.array(labels, dtype=np.int64)
     rate = (y.sum() + 0.5) / (len(y) + 1)
     if not (y == 1).any() or not (y == 0).any():
         return Model(np.zeros(_ALPHABET**3), 0.0, 0.0, float(np.log(rate / (1 - rate))))
-    bags = [sorted({p for w in b for p in parts(w)}) for b in bags]
-    vocab = sorted({w for b in bags for w in b})
-    place = {w: i for i, w in enumerate(vocab)}
-    member = [np.array([place[w] for w in b], dtype=np.int64) for b in bags]
+    place: dict[str, int] = {}
+    member = [np.array(sorted({place.setdefault(p, len(place)) for w in b for p in parts(w)}), dtype=np.int64) for b in bags]
+    vocab = list(place)
     hot, cold = np.zeros(len(vocab)), np.zeros(len(vocab))
     for m, label in zip(member, y, strict=True):
         (hot if label else cold)[m] += 1
@@ -229,14 +228,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
         some = marked.where(F.col("y") == label).orderBy(order, "id").limit(sample)
         chosen = some if chosen is None else chosen.unionByName(some)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").mapInPandas(_bags, "id string, y int, words array<string>").collect()
-    rows.sort(key=lambda r: (r.id, r.y))
-    return fit([r.words for r in rows], [r.y for r in rows], **options)
+    found = texts.join(F.broadcast(chosen), "id").mapInPandas(_bags, "id string, y int, words string").orderBy("id", "words")
+    bags, y = [], []
+    for row in found.toLocalIterator():  # at most two samples of rows, one part at a time
+        bags.append(row.words)
+        y.append(row.y)
+    return fit((b.split() for b in bags), y, **options)
 
 
 def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        yield pd.DataFrame({"id": batch["id"].astype(str), "y": batch["y"], "words": [sorted(units(t)) for t in batch["text"]]})
+        yield pd.DataFrame({"id": batch["id"].astype(str), "y": batch["y"], "words": [" ".join(sorted(units(t))) for t in batch["text"]]})
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
