@@ -99,3 +99,32 @@ def accession_audit(df: DataFrame, id_col: str, text: str) -> DataFrame:
     coordinates = value.rlike(r"\(\d+\.\d+\)$")
     good = F.regexp_replace(value, r"\s*\(\d+\.\d+\)$", "").rlike(r"^[A-Za-z0-9_.]+$")
     return entry.groupBy(id_col).agg(F.count("*").alias("entries"), F.count_if(label).alias("labelled"), F.count_if(coordinates).alias("with_coordinates"), F.count_if(~good).alias("malformed"))
+
+
+def dedup_near(df: DataFrame, id_col: str, seq: str, by: str, k: int = 12, threshold: float = 0.9, bins: int = 32, rows: int = 4) -> DataFrame:
+    """REF-2: (id, representative) of near-identical sequences, each class clustered on its own.
+
+    A sequence is its set of k-mers (windows of ``k`` characters; shorter ones whole).
+    Sets that share a band of bin minima meet the smallest id of the band only, as a
+    clusterer meets its centroid, so a large group makes one pair a member and band;
+    pairs are kept at k-mer containment both ways of at least ``threshold``.  This
+    stands in for alignment identity.  Null sequences and those of equal text follow
+    the smallest id of their text.
+    """
+    from .hits import smallest_labels
+
+    text = df.where(F.col(seq).isNotNull()).groupBy(by, seq).agg(F.min(id_col).alias("rep"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length(seq) - k + 1, F.lit(1)))
+    # slices of a character array cost k each, where substrings of the text would be sought from its start
+    kmers = F.transform(F.array(F.split(seq, "")), lambda c: F.transform(starts, lambda i: F.xxhash64(F.slice(c, i, k))))[0]
+    sets = text.select("rep", by, F.array_distinct(kmers).alias("kmers"))
+    low = sets.select("rep", by, F.explode("kmers").alias("h")).groupBy("rep", by, F.pmod("h", F.lit(bins)).cast("int").alias("bin")).agg(F.min("h").alias("m"))
+    band = low.groupBy("rep", by, F.floor(F.col("bin") / rows).alias("band")).agg(F.xxhash64(F.array_sort(F.collect_list("m"))).alias("sig"))
+    heads = band.groupBy(by, "band", "sig").agg(F.min("rep").alias("a"), F.count("*").alias("n")).where("n > 1")
+    pairs = band.join(heads, [by, "band", "sig"]).where("a <> rep").select("a", F.col("rep").alias("b")).distinct()
+    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("kmers").alias("x")), "a").join(sets.select(F.col("rep").alias("b"), F.col("kmers").alias("y")), "b")
+    links = both.where(F.size(F.array_intersect("x", "y")) >= threshold * F.greatest(F.size("x"), F.size("y"))).select("a", "b")
+    label = smallest_labels(links, text.select(F.col("rep").alias("node")))
+    named = text.join(label.select(F.col("node").alias("rep"), "component"), "rep").select(by, seq, F.col("component").alias("representative"))
+    keyed = df.select(id_col, by, F.sha2(F.concat_ws("\t", by, seq), 256).alias("__h"))
+    return keyed.join(named.select(F.sha2(F.concat_ws("\t", by, seq), 256).alias("__h"), "representative"), "__h", "left").select(id_col, by, F.coalesce("representative", F.col(id_col)).alias("representative"))

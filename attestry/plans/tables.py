@@ -232,3 +232,9 @@ def ref_metadata(spark: SparkSession, d: str) -> DataFrame:
     lin = F.concat(F.lit("f__"), "p_brand", F.when(F.col("p_size") % 3 == 0, ";g__NA").otherwise(F.concat(F.lit(";g__"), "p_type")))
     x = p.select(F.col("p_partkey").alias("part"), F.when(F.col("p_size") % 2 == 0, "NA").otherwise(F.col("p_name")).alias("a"), lin.alias("lin"))
     return reference.normalize_metadata(x, ["a", "part"], "lin", {"family": "f__", "genus": "g__"}).select("part", "key", "family", "genus")
+
+
+@query()
+def ref_dedup_near(spark: SparkSession, d: str) -> DataFrame:
+    """REF-2 (approximate, so without SQL; tested against planted copies)."""
+    return reference.dedup_near(fr.table(spark, d, "documents"), "doc_id", "text", "lang")

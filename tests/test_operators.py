@@ -205,3 +205,12 @@ def test_stream_releases_once(spark, tmp_path):
     q.stop()
     got = spark.table("released").collect()
     assert len(got) == 1 and got[0].key == "a"
+
+
+def test_near_representatives(spark):
+    rng = random.Random(7)
+    make = lambda: "".join(rng.choice("ACGT") for _ in range(400))
+    a, b = make(), make()
+    rows = [(1, a, "x"), (2, a[:200] + "T" + a[201:], "x"), (3, b, "x"), (4, a, "y"), (5, a, "x"), (6, None, "x"), (7, "ACG", "x"), (8, b[4:], "x")]
+    out = reference.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
+    assert {r.id: r.representative for r in out.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1, 6: 6, 7: 7, 8: 3}
