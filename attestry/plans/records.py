@@ -219,6 +219,35 @@ def scan_catalog(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_catalog(spark, path, ["region", "nation"]).select("region", "nation")
 
 
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS qseqid, count(*) AS n, max(l_extendedprice) AS best FROM lineitem GROUP BY 1")
+def scan_hits(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-4: order lines written as hit tables and read by their fixed schema."""
+    path = _folder(spark, "hits")
+    x = fr.table(spark, d, "lineitem")
+    named = {"qseqid": F.col("l_orderkey"), "sseqid": F.col("l_partkey"), "bitscore": F.col("l_extendedprice"), "qcovhsp": F.col("l_quantity")}
+    x.select(*[named.get(f.name, F.lit(0)).alias(f.name) for f in readers.HITS]).write.option("sep", "\t").option("header", True).csv(path)
+    return readers.read_hits(spark, [path]).groupBy("qseqid").agg(F.count("*").alias("n"), F.max("bitscore").alias("best"))
+
+
+@query("SELECT CAST(l_partkey AS VARCHAR) AS protein, l_returnflag AS seq_type, count(*) AS n FROM lineitem WHERE l_linestatus = 'O' AND l_tax > 0.01 GROUP BY 1, 2")
+def scan_feature_tables(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-6: compressed feature tables whose first header has a mark."""
+    path = _folder(spark, "features")
+    x = fr.table(spark, d, "lineitem")
+    rows = x.select(F.when(F.col("l_linestatus") == "O", "CDS").otherwise("gene").alias("# feature"), F.when(F.col("l_tax") > 0.01, F.col("l_partkey").cast("string")).otherwise("-").alias("product_accession"), F.col("l_returnflag").alias("seq_type"), F.lit("1").alias("chromosome"))
+    rows.write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
+    return readers.read_features(spark, path).groupBy("protein", "seq_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'c' || c_custkey AS prefix, CASE WHEN c_nationkey % 2 = 0 THEN 'dna' ELSE 'rna' END AS type FROM customer")
+def scan_samples(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-7: a sample sheet, checked."""
+    path = _folder(spark, "samples")
+    c = fr.table(spark, d, "customer")
+    c.select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("prefix"), F.when(F.col("c_nationkey") % 2 == 0, "DNA").otherwise("rna").alias("type"), F.col("c_name").alias("fasta")).write.option("header", True).csv(path)
+    return readers.read_samples(spark, path).select("prefix", "type")
+
+
 @query("SELECT 'orders' AS output, count(*) AS n FROM orders UNION ALL SELECT 'part', count(*) FROM part")
 def sink_manifest(spark: SparkSession, d: str) -> DataFrame:
     """SNK-5, SNK-6."""
