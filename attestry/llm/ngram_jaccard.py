@@ -2,9 +2,9 @@
 
 The global order of n-grams (their 64-bit hashes) is cut into fragments, and with it
 every document's sorted set.  Two sets over the threshold differ in at most D
-n-grams, so of D + 3 fragments at least three are the same in both: equal fragments
-propose pairs, and no count of frequent n-grams is needed to find all of them.  For
-proposed pairs the overlaps of the fragments are counted separately and summed.
+n-grams, so of D + r fragments at least r are the same in both, and r is more than
+the fragments that are empty by chance: equal fragments propose pairs, and no count
+of frequent n-grams is needed to find all of them.  For proposed pairs the overlaps of the fragments are counted separately and summed.
 
 Classes are found without listing all pairs of a group: in every list of sets that
 share a fragment, one pivot is compared first; sets that are left outside the list's
@@ -17,22 +17,21 @@ sets with many n-grams of their own leave the lists before they are paired.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, lower_ascii, small_side
+from .common import connected_components, cut, lower_ascii, partitions, small_side
 from .secrets import let
 
 #: Ranges of the n-gram order in which the overlaps of a pair are counted.
 FRAGMENTS = 8
 #: Sizes in one class differ by at most this factor; each class has its own number of fragments.
-CLASS = 1.4
-#: Equal fragments that every link has at least.
-SAME = 3
+CLASS = 1.25
 #: Open sets with at most this many n-grams in all are broadcast.
 BROADCAST_TOKENS = 4_000_000
 #: Rounds of comparing strays with members of the main class, and members in each.
@@ -56,18 +55,25 @@ def shingles(text: Column, n: int) -> Column:
     return F.sort_array(F.array_distinct(let(words, hashed)))
 
 
-def _classes(num: int, den: int, top: int = 1 << 30) -> tuple[np.ndarray, np.ndarray]:
-    """Lower bounds of the size classes, and the fragments of each.
+def _classes(num: int, den: int, top: int = 1 << 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower bounds of the size classes, the fragments of each, and how many of them are equal in every link.
 
     A pair belongs to the class of its smaller set, of at most s n-grams; the larger
     has at most s * den / num, and they differ in at most (den - num) / (den + num) of both sizes.
     """
-    bounds, counts = [1], []
+    bounds, counts, same = [1], [], []
     while bounds[-1] < top:
-        bounds.append(max(bounds[-1] + 1, int(bounds[-1] * CLASS)))
+        low = bounds[-1]
+        bounds.append(max(low + 1, int(low * CLASS)))
         s = bounds[-1] - 1
-        counts.append((s + s * den // num) * (den - num) // (den + num) + SAME)
-    return np.array(bounds[:-1], dtype=np.int64), np.array(counts, dtype=np.int64)
+        differ = (s + s * den // num) * (den - num) // (den + num)
+        r = 3
+        for _ in range(20):  # four deviations above the number of empty fragments of the smallest set
+            empty = (differ + r) * exp(-low / (differ + r))
+            r = min(3 + ceil(empty + 4 * sqrt(empty)), 3 + 2 * differ)
+        counts.append(differ + r)
+        same.append(r)
+    return np.array(bounds[:-1], dtype=np.int64), np.array(counts, dtype=np.int64), np.array(same, dtype=np.int64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -76,7 +82,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _signatures(flat: np.ndarray, sizes: np.ndarray, bounds: np.ndarray, counts: np.ndarray, num: int, den: int) -> list[np.ndarray]:
+def _signatures(flat: np.ndarray, sizes: np.ndarray, bounds: np.ndarray, counts: np.ndarray, same: np.ndarray, num: int, den: int) -> list[np.ndarray]:
     """Signatures of the equal-fragment test for many sets at once (``flat``: their n-grams, one set after the other)."""
     found: list[list[np.ndarray]] = [[] for _ in sizes]
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -106,29 +112,26 @@ def _signatures(flat: np.ndarray, sizes: np.ndarray, bounds: np.ndarray, counts:
         cuts = np.searchsorted(owner, np.arange(len(some) + 1))
         for i, doc in enumerate(some):
             mine = sig[cuts[i] : cuts[i + 1]]
-            if n[i] - len(mine) >= SAME:  # a link may rest on empty fragments alone; then it has this many of them
-                empty = np.setdiff1d(np.arange(n[i]), frag[cuts[i] : cuts[i + 1]])
-                sets = np.array(list(combinations(empty.tolist(), SAME)), dtype=np.uint64)
-                extra = _mix(np.full(len(sets), (int(k[i]) << 32) + 0xFFFFFFFF, dtype=np.uint64))
-                for c in range(SAME):
-                    extra = _mix(extra + sets[:, c])
-                mine = np.concatenate([mine, extra])
+            if n[i] - len(mine) >= same[k[i]]:  # only such sets can be linked by empty fragments alone: one list for them
+                mine = np.append(mine, _mix(np.array([(int(k[i]) << 32) + 0xFFFFFFFF], dtype=np.uint64)))
             found[doc].append(mine)
     return [np.concatenate(x).view(np.int64) if x else np.empty(0, np.int64) for x in found]
 
 
 def _signed(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(doc_id, key, cls, n_tokens, sigs): ``cls`` names the set, equal for equal sets."""
-    bounds, counts = _classes(num, den)
+    bounds, counts, same = _classes(num, den)
     rows = sets.select("doc_id", "key", F.xxhash64("tokens").alias("cls"), F.size("tokens").cast("long").alias("n_tokens"), "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # equal sets of a task are signed once
         for whole in batches:
             for s in range(0, whole.num_rows, 1000):
                 batch = whole.slice(s, 1000)
                 sizes = batch.column("n_tokens").to_numpy()
                 flat = batch.column("tokens").flatten().to_numpy(zero_copy_only=False)
-                sigs = _signatures(flat, sizes, bounds, counts, num, den)
+                new = np.array([c not in seen and not seen.add(c) for c in batch.column("cls").to_pylist()], dtype=bool)
+                sigs = _signatures(flat[np.repeat(new, sizes)], np.where(new, sizes, 0), bounds, counts, same, num, den)
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sigs])]).astype(np.int32))
                 col = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sigs) if sigs else np.empty(0, np.int64)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "key", "cls", "n_tokens")), col], names=["doc_id", "key", "cls", "n_tokens", "sigs"])
@@ -161,11 +164,16 @@ def link_sets(sets: DataFrame, num: int, den: int) -> DataFrame:
     if "key" not in sets.columns:
         sets = sets.withColumn("key", F.xxhash64("tokens"))
     sets = sets.select("doc_id", "key", F.coalesce("tokens", F.array().cast("array<long>")).alias("tokens"))
-    rows = cut(_signed(sets, num, den))
+    rows = _signed(sets, num, den)
+    if 100 * num >= 85 * den:
+        signed = rows = cut(rows)
+    else:  # signatures are then as many as the n-grams; making them twice beats keeping them
+        signed, rows = rows, cut(sets.select("doc_id", "key", F.xxhash64("tokens").alias("cls"), F.size("tokens").cast("long").alias("n_tokens")))
     # lists: fragments that at least two different sets share
-    sig = rows.select(F.explode("sigs").alias("sig"), "cls")
-    shared = sig.groupBy("sig").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("sig", "lo")
-    lists = cut(sig.join(shared, "sig").groupBy("sig", "cls").agg(F.first("lo").alias("pivot")))
+    sig = signed.select(F.explode("sigs").alias("sig"), "cls").repartition(partitions(sets.sparkSession), "sig")
+    whole = W.partitionBy("sig")
+    shared = sig.select("sig", "cls", F.min("cls").over(whole).alias("pivot"), F.max("cls").over(whole).alias("last")).where("pivot < last")
+    lists = cut(shared.select("sig", "cls", "pivot").distinct())
     members = lists.groupBy("cls").agg(F.min("pivot").alias("pivot"))
     keys = rows.join(members, "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key")).select("key").distinct()
     wanted = cut(keys)
