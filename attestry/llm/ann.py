@@ -23,7 +23,7 @@ from .common import small_side
 #: Projections and cell width (for vectors of unit length), tables, and probes in each table.
 K, WIDTH, TABLES, PROBES = 8, 2.0, 5, 500
 #: Buckets that share their first codes are scored together; beyond this many rows in several parts.
-CHUNK_CODES, CHUNK_ROWS = 2, 4096
+CHUNK_CODES, CHUNK_ROWS = 2, 16_384
 SEED = 7
 
 
@@ -164,8 +164,8 @@ def search(
         x = x.sort_values("point")
         c, ids, found = np.vstack(x["v"]), x["point"].to_numpy(), []
         names, place = np.unique(x["code"].to_numpy(), return_inverse=True)
-        for s in range(0, len(y), 512):
-            part = y.iloc[s : s + 512]
+        for s in range(0, len(y), 256):
+            part = y.iloc[s : s + 256]
             visit = np.zeros((len(part), len(names)), dtype=bool)
             for i, codes in enumerate(part["codes"]):
                 at = np.searchsorted(names, codes)
