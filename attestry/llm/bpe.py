@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 #: Pieces up to this many bytes are merged in rows of one array.
 ROW_BYTES = 64
 #: Distinct pieces a worker remembers; when full, it forgets all and goes on.
-MEMORY = 300_000
+MEMORY = 100_000
 #: A rank file larger than this isn't broadcast.
 MAX_RANK_FILE = 64 << 20
 _BIG = np.int64(1) << 40
@@ -287,6 +287,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 col = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), col], names=[*names, out_col])
+        codec.seen.clear()  # workers live on, with other tasks' memory beside this
 
     return docs.mapInArrow(run, schema)
 

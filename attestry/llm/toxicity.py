@@ -28,7 +28,7 @@ LANDMARKS = 192
 DECAY, SPAN = 0.6, 6
 #: Words longer than this are judged in overlapping parts.
 LONGEST = 28
-MEMORY = 400_000
+MEMORY = 100_000
 
 _LETTERS = {c: i + 1 for i, c in enumerate("^$abcdefghijklmnopqrstuvwxyz0123456789")}
 _ALPHABET = 64
