@@ -77,7 +77,7 @@ def nested_tiers(df: DataFrame, id_col: str, group: str, sizes: list[int], seed:
     small table of rounds, and only a round's own rows are ranked.
     """
     h = F.sha2(F.concat_ws("\t", F.lit(seed), F.col(id_col).cast("string")), 256)
-    k = df.withColumn("k", F.row_number().over(W.partitionBy(group).orderBy(h, id_col)))
+    k = df.withColumn("k", F.row_number().over(W.partitionBy(group).orderBy(h, id_col))).where(F.col("k") <= max(sizes))  # later rows of a group reach no tier
     rounds = k.groupBy("k").agg(F.count("*").alias("n"))
     before = rounds.withColumn("before", F.sum("n").over(W.orderBy("k").rowsBetween(W.unboundedPreceding, -1))).where(F.coalesce("before", F.lit(0)) < max(sizes))
     ranked = k.join(before, "k").withColumn("position", (F.coalesce("before", F.lit(0)) + F.row_number().over(W.partitionBy("k").orderBy(group, id_col))).cast("long"))
