@@ -214,3 +214,18 @@ def test_near_representatives(spark):
     rows = [(1, a, "x"), (2, a[:200] + "T" + a[201:], "x"), (3, b, "x"), (4, a, "y"), (5, a, "x"), (6, None, "x"), (7, "ACG", "x"), (8, b[4:], "x")]
     out = reference.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
     assert {r.id: r.representative for r in out.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1, 6: 6, 7: 7, 8: 3}
+
+
+def test_near_representatives_by_identity_and_coverage(spark):
+    rng = random.Random(11)
+    make = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    swap = {"A": "C", "C": "G", "G": "T", "T": "A"}
+    edit = lambda s, every: "".join(swap[c] if i % every == every // 2 else c for i, c in enumerate(s))
+    a, b, c, frame = make(1000), make(1000), make(1000), make(300)
+    rows = [(1, a, "x"), (2, edit(a, 50), "x"), (3, edit(a, 4), "x"), (4, b, "x"), (5, b[:850], "x"), (6, c, "x"), (7, c[:600], "x")]
+    # a template: all share wording, some are copies of each other, the smallest is a copy of none
+    own = [make(700) for _ in range(8)]
+    rows += [(10, frame + make(700), "x")] + [(11 + i, frame + (own[i // 2] if i % 2 == 0 else edit(own[i // 2], 70)), "x") for i in range(16)]
+    out = reference.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
+    want = {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 10: 10} | {11 + i: 11 + i // 2 * 2 for i in range(16)}
+    assert {r.id: r.representative for r in out.collect()} == want
