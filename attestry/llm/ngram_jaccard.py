@@ -161,6 +161,11 @@ def link_sets(sets: DataFrame, num: int, den: int) -> DataFrame:
     the start.  Empty and null sets link with nothing.  ``key`` is a cheap hash of
     what the tokens are made from, so that a second look needs only some rows.
     """
+    return _linked(sets, num, den).select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def _linked(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(doc_id, key, n_tokens, component, component_id): ``component`` names the group also where no row has an id; null for empty sets."""
     if "key" not in sets.columns:
         sets = sets.withColumn("key", F.xxhash64("tokens"))
     sets = sets.select("doc_id", "key", F.coalesce("tokens", F.array().cast("array<long>")).alias("tokens"))
@@ -218,9 +223,8 @@ def link_sets(sets: DataFrame, num: int, den: int) -> DataFrame:
     least = rows.groupBy("cls").agg(F.min("doc_id").alias("doc"), F.max("n_tokens").alias("n"))
     least = least.join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     low = least.groupBy("component").agg(F.min("doc").alias("component_id"))
-    names = least.where("n > 0").join(low, "component").select("cls", "component_id")
-    out = rows.select("doc_id", "n_tokens", "cls").join(names, "cls", "left")
-    return out.select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    names = least.where("n > 0").join(low, "component").select("cls", "component", "component_id")
+    return rows.select("doc_id", "key", "n_tokens", "cls").join(names, "cls", "left").drop("cls")
 
 
 def _possible(na: Column, ua: Column, nb: Column, ub: Column, num: int, den: int) -> Column:
@@ -253,24 +257,35 @@ def _open_lists(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, int]:
     return out, out.count()
 
 
+def _sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), shingles(text, n).alias("tokens"))
+
+
 def components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs``; see :func:`link_sets`."""
-    text = F.col(text_col)
-    sets = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), shingles(text, n).alias("tokens"))
-    return link_sets(sets, *ratio).withColumnRenamed("n_tokens", "n_shingles")
+    return link_sets(_sets(docs, n, id_col, text_col), *ratio).withColumnRenamed("n_tokens", "n_shingles")
 
 
 def keep_one(docs: DataFrame, n: int = 5, ratio: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those that a document with a smaller id is linked to, directly or not.
+    """``docs`` with one row of each group of rows that are linked, directly or not.
 
-    Columns are unchanged.  Rows that repeat an id are copies too, so one of them
-    stays; rows without an id go only if their group has one with an id.
+    Columns are unchanged.  The row with the smallest id stays (those without one come
+    last), among equal ids the one whose text has the smallest hash; rows that share
+    id and text are copies too, so one of them stays.  Rows are told apart by id and
+    text, never by id alone: a row without an id, or with the id of another row, goes
+    only if its own text is linked.  Texts without words are linked with nothing.
     """
-    found = cut(components(docs, n, ratio, id_col, text_col).select("doc_id", "component_id"))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    out = docs.join(small_side(cut(gone)), F.col(id_col) == F.col("__gone"), "left_anti")
-    nameless = found.where("doc_id is null and component_id is not null").limit(1).count()
-    if nameless:
-        out = out.where(F.col(id_col).isNotNull())
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return out.dropDuplicates([id_col]) if repeated else out
+    found = cut(_linked(_sets(docs, n, id_col, text_col), *ratio).where("component is not null").select("doc_id", "key", "component"))
+    best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("best"), F.count("*").alias("n")).where("n > 1")
+    rest = found.join(best, "component").select("doc_id", "key", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))).alias("stays"))
+    rest = cut(rest.groupBy("doc_id", "key").agg(F.first("stays").alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"))
+    named = rest.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "stays")
+    gone, repeated = named.where("not stays").drop("stays"), named.where("stays").drop("stays")
+    same = (F.xxhash64(text_col) == F.col("__key")) & F.col(id_col).eqNullSafe(F.col("__id"))
+    out = docs.join(small_side(gone), same, "left_anti")
+    if repeated.limit(1).count():
+        repeated = small_side(repeated)
+        once = out.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
+        out = out.join(repeated, same, "left_anti").unionByName(once)
+    return out

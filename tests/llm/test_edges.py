@@ -93,3 +93,12 @@ def test_stage_edges(spark, docs, labels, tmp_path, stage):
 def test_keep_one_of_repeated_ids(docs):
     kept = [r.doc_id for r in ngram_jaccard.keep_one(docs).collect()]
     assert kept.count(5) == 1 and {1, 2, 3, 4} <= set(kept)
+
+
+def test_keep_one_tells_rows_apart_by_text(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("c")), (None, text("c")), (1, text("a")), (2, text("d")), (2, text("e")), (3, text("e")), (4, text("f")), (4, text("f")), (5, ""), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in ngram_jaccard.keep_one(df).collect()), key=str)
+    want = [(None, text("b")), (None, text("c")), (1, text("a")), (2, text("d")), (2, text("e")), (4, text("f")), (5, ""), (5, "")]
+    assert got == sorted(want, key=str)
