@@ -4,7 +4,10 @@ Each table cuts K random projections (Gaussian, so 2-stable) into cells of width
 A query visits, beside its own bucket, the buckets of perturbed codes in the order
 of their estimated success (sum of squared distances to the cell borders crossed,
 whose expected order is a fixed template), and every candidate there is scored with
-its original vector.  Candidates of all tables are merged by best score.
+its original vector.  Candidates of all tables are merged by best score.  Where
+lengths differ, points get one more coordinate that lifts them all to the same length,
+and queries a zero there, so that nearness in the tables is the inner product.
+Queries whose probes find too few are scored against all points.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import small_side
+from .common import cut, small_side
 
 #: Projections and cell width (for vectors of unit length), tables, and probes in each table.
 K, WIDTH, TABLES, PROBES = 8, 2.0, 5, 500
+#: Queries that are scored against all points together.
+EXACT_QUERIES = 4096
 #: Buckets that share their first codes are scored together; beyond this many rows in several parts.
 CHUNK_CODES, CHUNK_ROWS = 2, 16_384
 SEED = 7
@@ -60,11 +65,16 @@ class Tables:
         self.k, self.width, self.chunk = k, width, chunk
         self.a = rng.normal(size=(tables, dim, k))
         self.b = rng.uniform(0, width, size=(tables, k))
+        self.up = rng.normal(size=(tables, k))
         self.sets = template(k, probes)
 
-    def cells(self, t: int, x: np.ndarray) -> np.ndarray:
-        """Places of vectors, in units of cells, after scaling to unit length (order by inner product is kept by exact reranking)."""
-        return (x / np.linalg.norm(x, axis=1, keepdims=True) @ self.a[t] + self.b[t]) / self.width
+    def cells(self, t: int, x: np.ndarray, longest: float | None = None) -> np.ndarray:
+        """Places in units of cells: of queries scaled to unit length, of points scaled by the ``longest`` and lifted to unit length."""
+        if longest is None:
+            return (x / np.linalg.norm(x, axis=1, keepdims=True) @ self.a[t] + self.b[t]) / self.width
+        u = x / longest
+        lift = np.sqrt(np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", u, u)))
+        return (u @ self.a[t] + lift[:, None] * self.up[t] + self.b[t]) / self.width
 
     def codes(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One number for the first codes and one for all; cells of unit vectors are few, so 64 a projection are enough."""
@@ -110,8 +120,8 @@ def search(
     Vectors that are null, zero, or hold null or non-finite components take no part;
     vectors are only compared with others of their length.  Equal vectors are one
     point with its ``top + 1`` smallest ids, which is all that a result can show, so
-    copies cost nothing.  Ties go to the smaller id.  Queries with fewer other rows
-    than ``top`` get those found; repeated ids are one row.  Empty in, empty out.
+    copies cost nothing.  Ties go to the smaller id.  Queries whose probes find fewer
+    than ``top`` others, or all if there are fewer, are scored against all points; repeated ids are one row.  Empty in, empty out.
     """
     rows = vectors.where(usable(F.col(vector_col))).select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), queries.alias("q")).where("id is not null")
     rows = rows.dropDuplicates(["id"])
@@ -121,6 +131,10 @@ def search(
     asked = rows.where("q").select(F.col("id").alias("query_id"), "v").join(points.select("v", "point"), "v").select("query_id", "point").persist()
     ask = points.join(asked.select("point").distinct(), "point", "left_semi").select("point", "v")
     settings = (k, width, tables, probes, chunk_codes, seed)
+    # of each length of vectors (one small row): the longest norm, points, and ids
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    known = {r.dim: r for r in points.groupBy(F.size("v").alias("dim")).agg(F.max(norm).alias("longest"), F.count("*").alias("n"), F.sum(F.size("ids")).alias("ids")).collect()}
+    longest = {dim: r.longest for dim, r in known.items()}
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: dict[int, Tables] = {}
@@ -129,7 +143,7 @@ def search(
                 made.setdefault(dim, Tables(dim, *settings))
                 x = np.vstack(batch["v"])
                 for t in range(tables):
-                    chunk, code = made[dim].codes(np.floor(made[dim].cells(t, x)))
+                    chunk, code = made[dim].codes(np.floor(made[dim].cells(t, x, longest[dim])))
                     yield pd.DataFrame({"dim": dim, "t": t, "chunk": chunk, "code": code, "point": batch["point"].to_numpy(), "v": list(x)})
 
     def probed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,14 +197,34 @@ def search(
                 found.append(pd.DataFrame({"query": query, "point": ids[at], "score": row[at]}))
         return pd.concat(found)
 
-    near = left.groupBy(*key, "part").cogroup(right.groupBy(*key, "part")).applyInPandas(scored, "query long, point long, score double")
-    near = near.groupBy("query", "point").agg(F.max("score").alias("score"))
-    order = W.partitionBy("query").orderBy(F.desc("score"), "point")
-    near = near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= top + 2).drop("n")
-    each = near.join(points.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
-    order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    each = each.withColumn("n", F.row_number().over(order)).where(F.col("n") <= top + 1)
-    lists = each.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("near"))
-    out = asked.join(lists, asked.point == lists["query"]).select("query_id", F.filter("near", lambda x: x.vec_id != F.col("query_id")).alias("near"))
-    out = out.select("query_id", F.posexplode(F.slice("near", 1, top)).alias("i", "x"))
+    def best(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+        near = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(scored, "query long, point long, score double")
+        near = near.groupBy("query", "point").agg(F.max("score").alias("score"))
+        order = W.partitionBy("query").orderBy(F.desc("score"), "point")
+        return near.withColumn("n", F.row_number().over(order)).where(F.col("n") <= top + 2).drop("n")
+
+    def listed(near: DataFrame) -> DataFrame:
+        each = near.join(points.select("point", "ids"), "point").select("query", "score", F.explode("ids").alias("vec_id"))
+        order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+        each = each.withColumn("n", F.row_number().over(order)).where(F.col("n") <= top + 1)
+        lists = each.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("near"))
+        out = asked.join(lists, asked.point == lists["query"], "left")
+        return out.select("query_id", "point", F.filter("near", lambda x: x.vec_id != F.col("query_id")).alias("near"))
+
+    near = cut(best(left, right, [*key, "part"]))
+    if known:
+        of = lambda values: F.element_at(F.create_map(*[F.lit(x) for dim, n in values.items() for x in (dim, n)]), F.col("dim"))
+        every = points.select(F.size("v").alias("dim"), "point", "v")
+        others = every.select("point", F.least(F.lit(top), of({dim: r.ids - 1 for dim, r in known.items()})).alias("others"))
+        found = listed(near).select("point", F.coalesce(F.size("near"), F.lit(0)).alias("found")).join(others, "point")
+        short = cut(found.where("greatest(found, 0) < others").select("point").distinct())
+        n_short = short.count()
+        if n_short:
+            groups, parts = -(-n_short // EXACT_QUERIES), {dim: -(-r.n // chunk_rows) for dim, r in known.items()}
+            left = every.withColumn("part", F.expr("xxhash64(point)")).withColumn("part", F.pmod("part", of(parts)).cast("int"))
+            left = left.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn("code", F.lit(0).cast("long"))
+            right = every.join(short, "point", "left_semi").select(*[F.col(c).alias(f"q_{c}") for c in every.columns]).toDF(*every.columns).withColumn("group", F.pmod(F.xxhash64("point", F.lit(1)), F.lit(groups)).cast("int"))
+            right = right.withColumn("part", F.explode(F.sequence(F.lit(0), (of(parts) - 1).cast("int")))).withColumn("codes", F.array(F.lit(0).cast("long")))
+            near = near.join(short, near["query"] == short.point, "left_anti").unionByName(best(left, right, ["dim", "group", "part"]))
+    out = listed(near).select("query_id", F.posexplode(F.slice("near", 1, top)).alias("i", "x"))
     return out.select("query_id", (F.col("i") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

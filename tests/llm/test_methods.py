@@ -186,3 +186,31 @@ def test_connected_components(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.component for r in common.connected_components(df).collect()}
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_ann_finds_all_where_probes_find_few(spark):
+    rng = np.random.default_rng(3)
+    few = rng.normal(size=(12, 32))
+    centres = np.eye(32)[:4]
+    spread = np.vstack([*(c + 0.01 * rng.normal(size=(8, 32)) for c in centres), -centres])
+    for x in (few, spread):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+        got = {}
+        for r in ann.search(df, F.lit(True), probes=3, tables=1).collect():
+            got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+        assert set(got) == set(range(len(x)))
+        for q in got:
+            assert len(got[q]) == min(20, len(x) - 1)
+
+
+def test_ann_long_vectors_at_wide_angles(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1::10] *= 20
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(df, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hit = sum(len(got[q] & set(np.argsort(-np.where(np.arange(3000) == q, -np.inf, x @ x[q]))[:20].tolist())) for q in got)
+    assert len(got) == 60 and hit / (60 * 20) >= 0.9
