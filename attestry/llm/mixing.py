@@ -2,7 +2,8 @@
 
 DataFrame functions only.  Tokens are summed by cell (source, language, topic); each
 round rakes the cells' weights to one marginal after the other until all marginals
-meet their targets; documents are then sampled by calibrated probabilities.
+meet their targets, where no cell can be kept more than whole; documents are then
+sampled by the cells' probabilities.
 """
 
 from __future__ import annotations
@@ -13,8 +14,10 @@ from pyspark.sql import functions as F
 from .common import cut
 
 MARGINS = ("source", "lang", "topic")
-#: Share of all tokens that the mixture keeps, rounds at most, and the deviation that ends them.
-KEEP, ROUNDS, TOLERANCE = 0.6, 12, 1e-3
+#: Share of all tokens that the mixture keeps if its targets allow, and the deviation that ends the rounds.
+KEEP, TOLERANCE = 0.6, 1e-3
+#: Rounds that no longer lower the deviation by this factor are stalled; the kept share then falls by the second.
+STALLED, LOWER = 0.98, 0.8
 SEED = 17
 
 
@@ -42,48 +45,62 @@ def flattened(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return seen.crossJoin(F.broadcast(total)).select(margin, (F.pow("t", F.lit(power)) / F.col("all")).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (margins, tokens) with ``weight``: the mixture's tokens in the cell, which sum to 1.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, tolerance: float = TOLERANCE) -> tuple[DataFrame, float, bool]:
+    """``cells`` (margins, tokens, share) with ``g``, the largest deviation from the targets, and whether ``keep`` bounds any cell.
 
-    Each step multiplies a marginal's cells by target over present sum.  Values that a
-    target table lacks get no weight; where targets contradict each other (their
-    values share no cell) the last round stands.
+    A cell's part of the mixture is share * min(g, 1 / keep): at the bound it is kept
+    whole.  Each step multiplies the g of a marginal's value so that its cells below
+    the bound make up for those at it.  Values that a target table lacks get no weight.
     """
-    w = cut(cells.withColumn("weight", F.col("tokens")))
-    for _ in range(rounds):
+    bound = F.lit(1 / keep)
+    whole, part = F.col("g") >= bound, F.least("g", bound) * F.col("share")
+    w, before = cells.withColumn("g", F.lit(1.0)), None
+    while True:
         for margin, target in targets.items():
-            now = w.groupBy(margin).agg(F.sum("weight").alias("now"))
-            factor = now.join(target, margin).select(margin, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(0.0).alias("f"))
-            w = w.join(factor, margin, "left").withColumn("weight", F.col("weight") * F.coalesce("f", F.lit(0.0))).drop("f")
+            now = w.groupBy(margin).agg(F.sum(F.when(whole, part).otherwise(0.0)).alias("fixed"), F.sum(F.when(whole, 0.0).otherwise(part)).alias("free"))
+            want, sure, free = F.col("target"), F.col("fixed"), F.col("free")
+            f = F.when((want > sure) & (free > 0), (want - sure) / free).when(want < sure + free, want / (sure + free)).otherwise(1.0)
+            w = w.join(now.join(target, margin).select(margin, f.alias("f")), margin, "left").withColumn("g", F.col("g") * F.coalesce("f", F.lit(0.0))).drop("f")
         w = cut(w)
-        worst = None
+        off = None
         for margin, target in targets.items():
-            off = w.groupBy(margin).agg(F.sum("weight").alias("now")).join(target, margin).select(F.abs(F.col("now") - F.col("target")).alias("off"))
-            worst = off if worst is None else worst.unionAll(off)
-        if (worst.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
-            break
-    return w
+            each = w.groupBy(margin).agg(F.sum(part).alias("now")).join(target, margin).select(F.abs(F.col("now") - F.col("target")).alias("off"))
+            off = each if off is None else off.unionAll(each)
+        worst = off.agg(F.max("off")).first()[0] or 0.0
+        if worst <= tolerance or (before is not None and worst > STALLED * before):
+            return w, worst, w.where(whole).limit(1).count() > 0
+        before = worst
 
 
-def calibrated(weighted: DataFrame, keep: float) -> DataFrame:
-    """``weighted`` with ``p``: min(1, c * weight / tokens), c such that the expected tokens are ``keep`` of all.
+def calibrated(cells: DataFrame, targets: dict[str, DataFrame], keep: float, tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (margins, tokens) with ``weight``, the cell's part of the mixture, and ``p``, the share of it that is kept.
 
-    c is found by bisection over the cells' sums, in one aggregate a step of 8 trials.
+    Expected tokens are ``keep`` of all if the targets can be met so.  If not, less is
+    kept: at most what the scarcest value allows, and less again while cells that are
+    kept whole stand in the way of a target.  Targets that contradict each other
+    (their values share no cell) aren't met by any share; the last round stands.
     """
-    ratio = F.col("weight") / F.col("tokens")
-    total = weighted.agg(F.sum("tokens"), F.max(ratio), F.min(F.when(F.col("weight") > 0, ratio)), F.sum(F.when(F.col("weight") > 0, F.col("tokens"))), F.sum("weight")).first()
-    if not total[0] or not total[1]:
-        return weighted.withColumn("p", F.lit(1.0))
-    want = min(keep * total[0], total[3])
-    high = 1.0 / total[2]  # every cell is kept whole
-    low = min(want / total[4], high) / 2  # too few
-    for _ in range(6):
-        trials = [low * (high / low) ** (i / 9) for i in range(1, 9)]
-        sums = weighted.agg(*[F.sum(F.least(F.lit(1.0), F.lit(c) * ratio) * F.col("tokens")) for c in trials]).first()
-        under = [c for c, s in zip(trials, sums, strict=True) if s < want]
-        over = [c for c, s in zip(trials, sums, strict=True) if s >= want]
-        low, high = max(under, default=low), min(over, default=high)
-    return weighted.withColumn("p", F.least(F.lit(1.0), F.lit(high) * ratio))
+    total = cells.agg(F.sum("tokens")).first()[0]
+    if not total:
+        return cells.withColumns({"weight": F.lit(0.0), "p": F.lit(1.0)})
+    cells = cut(cells.withColumn("share", F.col("tokens") / F.lit(float(total))))
+    here, room = {}, None
+    for margin, target in targets.items():
+        seen = cells.groupBy(margin).agg(F.sum("share").alias("now")).join(target, margin)
+        all_of = F.broadcast(seen.agg(F.sum("target").alias("all")))
+        seen = cut(seen.crossJoin(all_of).select(margin, "now", F.when(F.col("all") > 0, F.col("target") / F.col("all")).otherwise(0.0).alias("target")))
+        here[margin] = seen.select(margin, "target")
+        each = seen.where("target > 0").select((F.col("now") / F.col("target")).alias("room"))
+        room = each if room is None else room.unionAll(each)
+    scarce = room.agg(F.min("room")).first()[0]
+    keep = keep if scarce is None else min(keep, scarce)
+    while True:
+        w, worst, bounded = rake(cells, here, keep, tolerance)
+        if worst <= tolerance or not bounded:
+            break
+        keep *= LOWER
+    p = F.least(F.lit(1.0), F.lit(keep) * F.col("g"))
+    return w.withColumns({"weight": F.col("share") * F.least("g", F.lit(1 / keep)), "p": p}).drop("share", "g")
 
 
 def mix(
@@ -101,7 +118,8 @@ def mix(
     """The rows of ``docs`` that the mixture samples, columns unchanged (``with_weights``: all rows, narrow).
 
     ``targets`` maps source, lang and topic to tables (value, target) of shares that
-    sum to 1; by default the observed shares to ``power``.  A row stays if the hash of
+    sum to 1; by default the observed shares to ``power``.  ``keep`` of all tokens are
+    kept, or as many as the targets allow (see :func:`calibrated`).  A row stays if the hash of
     its id and the seed, as a number in [0, 1), is below its cell's probability, so a
     repeated id has one fate.  Null sources, languages and texts are cells of their
     own (as ''); an empty table gives an empty result.
@@ -115,7 +133,7 @@ def mix(
     cells = cut(narrow.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")))
     targets = targets or {m: flattened(cells, m, power) for m in MARGINS}
     n_cells = cells.count()
-    weights = calibrated(rake(cells, targets), keep).select(*[F.col(m).alias(f"__{m}") for m in MARGINS], "weight", "p")
+    weights = calibrated(cells, targets, keep).select(*[F.col(m).alias(f"__{m}") for m in MARGINS], "weight", "p")
     weights = F.broadcast(weights) if n_cells <= 100_000 else weights
     u = (F.xxhash64(F.col(id_col).cast("string"), F.lit(seed)) / F.lit(2.0**64)) + 0.5
     on = [c.alias(f"__k_{k}") for k, c in key.items()]

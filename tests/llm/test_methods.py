@@ -214,3 +214,17 @@ def test_ann_long_vectors_at_wide_angles(spark):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     hit = sum(len(got[q] & set(np.argsort(-np.where(np.arange(3000) == q, -np.inf, x @ x[q]))[:20].tolist())) for q in got)
     assert len(got) == 60 and hit / (60 * 20) >= 0.9
+
+
+def test_mixing_meets_skewed_margins(spark):
+    rng = random.Random(12)
+    pick = lambda values: rng.choices(values, [90, 9, 1])[0]
+    texts = {"prose": "word " * 100, "short": "a few words", "table": "a | b"}
+    rows = [(i, texts[pick(["prose", "short", "table"])], pick(["en", "de", "fr"]), pick(["s0", "s1", "s2"]), 1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = mixing.mix(df, with_weights=True).persist()
+    total = out.agg(F.sum(F.col("p") * F.col("tokens"))).first()[0]
+    for margin in mixing.MARGINS:
+        got = {r[0]: (r[1] / total, r[2] ** 0.7) for r in out.groupBy(margin).agg(F.sum(F.col("p") * F.col("tokens")), F.sum("tokens")).collect()}
+        for share, target in got.values():
+            assert abs(share - target / sum(t for _, t in got.values())) < 0.003
