@@ -47,7 +47,7 @@ def written(signs: frozenset[int]) -> str:
 
 
 def likeness(a: frozenset[int], b: frozenset[int]) -> float:
-    """Jaccard likeness, pruned by size; two empty sets are alike."""
+    """Jaccard likeness; two empty sets are alike."""
     if not a and not b:
         return 1.0
     both = len(a & b)
