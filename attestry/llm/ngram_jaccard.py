@@ -1,17 +1,22 @@
 """N-gram Jaccard join by vertical partitioning.
 
 The global order of n-grams (their 64-bit hashes) is cut into fragments, and with it
-every document's sorted set.  Two sets over the threshold differ in at most D
-n-grams, so of D + r fragments at least r are the same in both, and r is more than
-the fragments that are empty by chance: equal fragments propose pairs, and no count
-of frequent n-grams is needed to find all of them.  For proposed pairs the overlaps of the fragments are counted separately and summed.
-
-Classes are found without listing all pairs of a group: in every list of sets that
-share a fragment, one pivot is compared first; sets that are left outside the list's
-main class are compared with more members of it; and what is still apart is at last
-compared with everything in the list that isn't in its class yet, so no link is lost.
-N-grams that no other open set holds bound every overlap of their set from above, so
-sets with many n-grams of their own leave the lists before they are paired.
+every document's sorted set.  Overlaps are counted fragment by fragment: a fragment's
+segments of the compared sets meet in a group of their own, each group gives partial
+counts, and these are shuffled by pair and summed.
+
+Which pairs are counted follows from the fragments too.  Two sets over the threshold
+differ in at most D n-grams, so of D + r finer fragments at least r are the same in
+both, and r is more than the fragments that are empty by chance: sets that share a
+whole segment stand in one list.
+
+Classes are found without listing all pairs of a group: in every list one pivot is
+compared first; sets that are left outside the list's main class are compared with
+more members of it; and what is still apart is at last compared with everything in
+the list that isn't in its class yet, so no link is lost.  N-grams that no other open
+set holds bound every overlap of their set from above, so sets with many n-grams of
+their own leave the lists before they are paired.  Texts are never shuffled: of a
+set that has to be compared, one text is shingled again where it lies.
 """
 
 from __future__ import annotations
@@ -30,10 +35,8 @@ from .secrets import let
 
 #: Ranges of the n-gram order in which the overlaps of a pair are counted.
 FRAGMENTS = 8
-#: Sizes in one class differ by at most this factor; each class has its own number of fragments.
-CLASS = 1.25
-#: Open sets with at most this many n-grams in all are broadcast.
-BROADCAST_TOKENS = 4_000_000
+#: A set with more partners than this, and than its share of all pairs, meets them in several groups.
+PARTNERS = 2000
 #: Rounds of comparing strays with members of the main class, and members in each.
 ROUNDS, MEMBERS = 2, 4
 
@@ -58,13 +61,13 @@ def shingles(text: Column, n: int) -> Column:
 def _classes(num: int, den: int, top: int = 1 << 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower bounds of the size classes, the fragments of each, and how many of them are equal in every link.
 
-    A pair belongs to the class of its smaller set, of at most s n-grams; the larger
+    Sizes in one class differ by at most (den / num) ** 2.  A pair belongs to the class of its smaller set, of at most s n-grams; the larger
     has at most s * den / num, and they differ in at most (den - num) / (den + num) of both sizes.
     """
     bounds, counts, same = [1], [], []
     while bounds[-1] < top:
         low = bounds[-1]
-        bounds.append(max(low + 1, int(low * CLASS)))
+        bounds.append(max(low + 1, low * den * den // (num * num)))
         s = bounds[-1] - 1
         differ = (s + s * den // num) * (den - num) // (den + num)
         r = 3
@@ -139,18 +142,93 @@ def _signed(sets: DataFrame, num: int, den: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {sets.schema['doc_id'].dataType.simpleString()}, key long, cls long, n_tokens long, sigs array<long>")
 
 
-def _fragment(token: Column, n: int) -> Column:
-    return F.shiftright(F.shiftrightunsigned(token, 33) * n, 31)
+def _segments(rows: DataFrame) -> DataFrame:
+    """(a, salt, member, cls, n, f, tokens): the sets of ``rows`` cut into FRAGMENTS ranges of the n-gram order; empty segments are left out."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int, int]] = set()  # repeated rows of a task are cut once
+        for whole in batches:
+            for s in range(0, whole.num_rows, 500):
+                batch = whole.slice(s, 500)
+                names = zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "cls")), strict=True)
+                batch = batch.filter(pa.array([x not in seen and not seen.add(x) for x in names]))
+                if not batch.num_rows:
+                    continue
+                flat = batch.column("tokens").flatten().to_numpy(zero_copy_only=False)
+                sizes = batch.column("n").to_numpy()
+                part = ((flat.astype(np.uint64) >> _LEFT) * np.uint64(FRAGMENTS) >> _RIGHT).astype(np.int64)
+                place = np.repeat(np.arange(len(sizes)), sizes) * FRAGMENTS + part
+                order = np.argsort(place, kind="stable")
+                first = np.flatnonzero(np.r_[True, np.diff(place[order]) > 0])
+                row, f = np.divmod(place[order][first], FRAGMENTS)
+                segments = pa.ListArray.from_arrays(pa.array(np.r_[first, len(flat)].astype(np.int32)), pa.array(flat[order]))
+                kept = batch.select(["a", "salt", "member", "cls", "n"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(f.astype(np.int32)), segments], names=["a", "salt", "member", "cls", "n", "f", "tokens"])
+
+    return rows.select("a", "salt", "member", "cls", "n", "tokens").mapInArrow(run, "a long, salt int, member int, cls long, n long, f int, tokens array<long>")
+
+
+def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, na, nb, overlap) of each member's segment with its group's first, which is held; sorted rows pass by one at a time."""
+    group, last, mine, size = None, None, np.empty(0, np.int64), 0
+    for batch in batches:
+        keys = zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "f", "member", "cls", "n")), strict=True)
+        tokens, out = batch.column("tokens"), []
+        for i, (a, salt, f, member, cls, n) in enumerate(keys):
+            now = (a, salt, f)
+            if now != group:
+                group, last, mine = now, None, np.empty(0, np.int64)
+            if (member, cls) == last:
+                continue
+            last = (member, cls)
+            x = tokens[i].values.to_numpy()
+            if not member:
+                mine, size = np.sort(x), n
+            elif len(mine):
+                at = np.minimum(np.searchsorted(mine, x), len(mine) - 1)
+                if both := int((mine[at] == x).sum()):
+                    out.append((a, cls, size, n, both))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 5)], names=["a", "b", "na", "nb", "overlap"])
+
+
+def _links(pairs: DataFrame, tokens_of, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that reach the threshold: overlaps are counted in each fragment apart, and summed by pair.
+
+    ``tokens_of`` adds ``n`` and ``tokens`` to rows that name a set (cls).  A set's
+    partners are dealt to several groups where they are many; those sets are fewer
+    than four for each shuffle partition, so their list is broadcast.
+    """
+    pairs = cut(pairs)
+    parts = partitions(pairs.sparkSession)
+    limit = max(PARTNERS, pairs.count() // (4 * parts))
+    per_set = pairs.groupBy("a").agg(F.count("*").alias("k"))
+    hot = F.broadcast(cut(per_set.where(F.col("k") > limit).select("a", F.ceil(F.col("k") / limit).cast("int").alias("salts"))))
+    salts = F.coalesce("salts", F.lit(1))
+    member = pairs.join(hot, "a", "left").select("a", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"), F.lit(1).alias("member"), F.col("b").alias("cls"))
+    first = per_set.join(hot, "a", "left").select("a", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("member"), F.col("a").alias("cls"))
+    segments = _segments(tokens_of(member.unionByName(first)))
+    key = ["a", "salt", "f"]
+    counted = segments.repartition(parts, *key).sortWithinPartitions(*key, "member", "cls").mapInArrow(_partial, "a long, b long, na long, nb long, overlap long")
+    summed = counted.groupBy("a", "b").agg(F.sum("overlap").alias("i"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    return summed.where(den * F.col("i") >= num * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
+
+
+def _lists(signed: DataFrame) -> DataFrame:
+    """(sig, cls, pivot): segments that at least two different sets share."""
+    sig = signed.select(F.explode("sigs").alias("sig"), "cls").repartition(partitions(signed.sparkSession), "sig")
+    whole = W.partitionBy("sig")
+    shared = sig.select("sig", "cls", F.min("cls").over(whole).alias("pivot"), F.max("cls").over(whole).alias("last")).where("pivot < last")
+    return cut(shared.select("sig", "cls", "pivot").distinct())
 
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold: overlaps are counted by fragment and summed."""
-    a = sets.select(F.col("cls").alias("a"), F.col("fragments").alias("fa"), F.col("n").alias("na"))
-    b = sets.select(F.col("cls").alias("b"), F.col("fragments").alias("fb"), F.col("n").alias("nb"))
-    both = pairs.join(a, "a").join(b, "b").where(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-    partial = F.zip_with("fa", "fb", lambda x, y: F.size(F.array_intersect(x, y)).cast("long"))
-    both = both.withColumn("i", F.aggregate(partial, F.lit(0).cast("long"), lambda s, x: s + x))
-    return both.where(den * F.col("i") >= num * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
+
+def _named(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the sets (doc_id, key, cls, n_tokens), kept, and the same with their signatures."""
+    rows = _signed(sets, num, den)
+    if 100 * num >= 85 * den:
+        rows = cut(rows)
+        return rows.drop("sigs"), rows
+    # signatures are then half as many as the n-grams; making them twice beats keeping them
+    return cut(sets.select("doc_id", "key", F.xxhash64("tokens").alias("cls"), F.size("tokens").cast("long").alias("n_tokens"))), rows
 
 
 def link_sets(sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -169,33 +247,29 @@ def _linked(sets: DataFrame, num: int, den: int) -> DataFrame:
     if "key" not in sets.columns:
         sets = sets.withColumn("key", F.xxhash64("tokens"))
     sets = sets.select("doc_id", "key", F.coalesce("tokens", F.array().cast("array<long>")).alias("tokens"))
-    rows = _signed(sets, num, den)
-    if 100 * num >= 85 * den:
-        signed = rows = cut(rows)
-    else:  # signatures are then as many as the n-grams; making them twice beats keeping them
-        signed, rows = rows, cut(sets.select("doc_id", "key", F.xxhash64("tokens").alias("cls"), F.size("tokens").cast("long").alias("n_tokens")))
-    # lists: fragments that at least two different sets share
-    sig = signed.select(F.explode("sigs").alias("sig"), "cls").repartition(partitions(sets.sparkSession), "sig")
-    whole = W.partitionBy("sig")
-    shared = sig.select("sig", "cls", F.min("cls").over(whole).alias("pivot"), F.max("cls").over(whole).alias("last")).where("pivot < last")
-    lists = cut(shared.select("sig", "cls", "pivot").distinct())
-    members = lists.groupBy("cls").agg(F.min("pivot").alias("pivot"))
-    keys = rows.join(members, "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key")).select("key").distinct()
-    wanted = cut(keys)
-    again = sets.join(small_side(wanted), "key", "left_semi").withColumn("cls", F.xxhash64("tokens"))
-    again = again.select("cls", F.size("tokens").cast("long").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.filter("tokens", lambda t: _fragment(t, FRAGMENTS) == f)).alias("fragments"))
-    again = cut(again.dropDuplicates(["cls"]))
-
-    pairs = members.where("cls <> pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b"))
-    links = cut(_links(pairs, again, num, den))
+    rows, signed = _named(sets, num, den)
+    lists = _lists(signed)
+    # one row for each different set: the row that stands for it, its smallest id and its rows
+    classes = cut(rows.groupBy("cls").agg(F.min(F.struct("key", "doc_id")).alias("rep"), F.min("doc_id").alias("doc"), F.max("n_tokens").alias("n"), F.count("*").alias("n_rows")))
+
+    def from_texts(which: DataFrame) -> DataFrame:
+        named = cut(which.join(classes.select("cls", "rep"), "cls").select(*which.columns, F.col("rep.key").alias("__key"), F.col("rep.doc_id").alias("__id")))
+        found = sets.join(small_side(named), (F.col("key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+        return found.select(*which.columns, F.size("tokens").cast("long").alias("n"), "tokens")
+
+    pivots = lists.groupBy("cls").agg(F.min("pivot").alias("pivot")).where("cls <> pivot")
+    links = cut(_links(pivots.select(F.col("pivot").alias("a"), F.col("cls").alias("b")), from_texts, num, den))
     comp = connected_components(links)
     left, left_n = _open_lists(lists, comp)
     if left_n:
+        again = cut(from_texts(left.select("cls").distinct()).dropDuplicates(["cls"]))
         lists = _able(left, again, num, den)
         again = cut(again.join(lists.select("cls").distinct(), "cls", "left_semi"))
-        if (again.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_TOKENS:
-            again = F.broadcast(again)
         left, left_n = _open_lists(lists, comp)
+
+    def from_again(which: DataFrame) -> DataFrame:
+        return which.join(again, "cls")
+
     for turn in range(ROUNDS):
         if not left_n:
             break
@@ -204,7 +278,7 @@ def _linked(sets: DataFrame, num: int, den: int) -> DataFrame:
         picked = left.where("comp = main").groupBy("sig").agg(*pick)
         tried = stray.join(picked, "sig").select("cls", "n", "u", F.explode(F.array(*[f"m{j}" for j in range(MEMBERS)])).alias("m"))
         tried = tried.where(_possible(F.col("n"), F.col("u"), F.col("m.n"), F.col("m.u"), num, den))
-        more = _links(tried.select(F.least("cls", "m.cls").alias("a"), F.greatest("cls", "m.cls").alias("b")).distinct(), again, num, den)
+        more = _links(tried.select(F.col("m.cls").alias("a"), F.col("cls").alias("b")).distinct(), from_again, num, den)
         links = cut(links.unionByName(more).distinct())
         comp = connected_components(links)
         left, left_n = _open_lists(lists, comp)
@@ -217,14 +291,16 @@ def _linked(sets: DataFrame, num: int, den: int) -> DataFrame:
         able = _possible(F.col("nx"), F.col("ux"), F.col("ny"), F.col("uy"), num, den)
         meet = F.array_min(F.array_intersect("sx", "sy")) == F.col("sig")  # a pair is made in the first list that it shares
         rest = one.join(other, "sig").where(F.expr("cx <> cy and (in_main or x < y)") & able & meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        links = cut(links.unionByName(_links(rest, again, num, den)).distinct())
+        links = cut(links.unionByName(_links(rest, from_again, num, den)).distinct())
         comp = connected_components(links)
-    # smallest doc_id of each class, then of each component
-    least = rows.groupBy("cls").agg(F.min("doc_id").alias("doc"), F.max("n_tokens").alias("n"))
-    least = least.join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    low = least.groupBy("component").agg(F.min("doc").alias("component_id"))
-    names = least.where("n > 0").join(low, "component").select("cls", "component", "component_id")
-    return rows.select("doc_id", "key", "n_tokens", "cls").join(names, "cls", "left").drop("cls")
+    # smallest doc_id of each component; classes with very many rows get their names by broadcast
+    named = classes.join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    low = named.groupBy("component").agg(F.min("doc").alias("component_id"))
+    names = cut(named.where("n > 0").join(low, "component").select("cls", "component", "component_id", "n_rows"))
+    limit = max(PARTNERS, rows.count() // (4 * partitions(sets.sparkSession)))  # fewer than four such classes for each shuffle partition
+    hot = F.broadcast(names.where(F.col("n_rows") > limit).drop("n_rows"))
+    rest = rows.join(hot, "cls", "left_anti").join(names.where(F.col("n_rows") <= limit).drop("n_rows"), "cls", "left")
+    return rows.join(hot, "cls").unionByName(rest).drop("cls")
 
 
 def _possible(na: Column, ua: Column, nb: Column, ub: Column, num: int, den: int) -> Column:
@@ -239,7 +315,7 @@ def _possible(na: Column, ua: Column, nb: Column, ub: Column, num: int, den: int
 def _able(left: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(sig, cls, n, u) of the open lists, without sets that have too many n-grams of their own for any partner."""
     open_sets = sets.join(left.select("cls").distinct(), "cls", "left_semi")
-    token = open_sets.select("cls", F.explode(F.flatten("fragments")).alias("t"))
+    token = open_sets.select("cls", F.explode("tokens").alias("t"))
     own = token.groupBy("t").agg(F.min("cls").alias("cls"), F.max("cls").alias("last")).where("cls = last").groupBy("cls").agg(F.count("*").alias("u"))
     sized = open_sets.select("cls", "n").join(own, "cls", "left").withColumn("u", F.coalesce("u", F.lit(0)).cast("long"))
     least = F.ceil(num * F.col("n") / den)
