@@ -13,10 +13,12 @@ whole segment stand in one list.
 Classes are found without listing all pairs of a group: in every list one pivot is
 compared first; sets that are left outside the list's main class are compared with
 more members of it; and what is still apart is at last compared with everything in
-the list that isn't in its class yet, so no link is lost.  N-grams that no other open
-set holds bound every overlap of their set from above, so sets with many n-grams of
-their own leave the lists before they are paired.  Texts are never shuffled: of a
-set that has to be compared, one text is shingled again where it lies.
+the list that isn't in its class yet, so no link is lost.  For what is open after the
+pivots, the n-grams are ordered anew, rare ones first, and the lists are those of the
+n-grams in each set's prefix, which any link must share; the places of the first
+common n-gram bound the overlap, so most pairs of distant members are never counted.
+Texts are never shuffled: of a set that has to be compared, one text is shingled again
+where it lies.
 """
 
 from __future__ import annotations
@@ -35,8 +37,10 @@ from .secrets import let
 
 #: Ranges of the n-gram order in which the overlaps of a pair are counted.
 FRAGMENTS = 8
-#: A set with more partners than this, and than its share of all pairs, meets them in several groups.
+#: A block with more members than this, and than its share of all, meets them in several groups.
 PARTNERS = 2000
+#: Sets of a list that are compared with all others are held in blocks of about this many.
+BLOCK = 64
 #: Rounds of comparing strays with members of the main class, and members in each.
 ROUNDS, MEMBERS = 2, 4
 
@@ -85,9 +89,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _signatures(flat: np.ndarray, sizes: np.ndarray, bounds: np.ndarray, counts: np.ndarray, same: np.ndarray, num: int, den: int) -> list[np.ndarray]:
-    """Signatures of the equal-fragment test for many sets at once (``flat``: their n-grams, one set after the other)."""
+def _signatures(flat: np.ndarray, sizes: np.ndarray, bounds: np.ndarray, counts: np.ndarray, same: np.ndarray, num: int, den: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Signatures of the equal-fragment test for many sets at once (``flat``: their n-grams, one set after the other).
+
+    The second result is how many of them each set shares with any partner at least:
+    the fragments that are equal in every link, without those that are empty in it.
+    """
     found: list[list[np.ndarray]] = [[] for _ in sizes]
+    least = np.full(len(sizes), 1 << 30, dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     top = np.searchsorted(bounds, sizes, "right") - 1
     low = np.searchsorted(bounds, -(-sizes * num // den), "right") - 1
@@ -115,16 +124,17 @@ def _signatures(flat: np.ndarray, sizes: np.ndarray, bounds: np.ndarray, counts:
         cuts = np.searchsorted(owner, np.arange(len(some) + 1))
         for i, doc in enumerate(some):
             mine = sig[cuts[i] : cuts[i + 1]]
+            least[doc] = min(least[doc], same[k[i]] - (n[i] - len(mine)))
             if n[i] - len(mine) >= same[k[i]]:  # only such sets can be linked by empty fragments alone: one list for them
                 mine = np.append(mine, _mix(np.array([(int(k[i]) << 32) + 0xFFFFFFFF], dtype=np.uint64)))
             found[doc].append(mine)
-    return [np.concatenate(x).view(np.int64) if x else np.empty(0, np.int64) for x in found]
+    return [np.concatenate(x).view(np.int64) if x else np.empty(0, np.int64) for x in found], np.maximum(least, 1)
 
 
 def _signed(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(doc_id, key, cls, n_tokens, sigs): ``cls`` names the set, equal for equal sets."""
+    """(doc_id, key, cls, n_tokens, least, sigs): ``cls`` names the set, equal for equal sets."""
     bounds, counts, same = _classes(num, den)
-    rows = sets.select("doc_id", "key", F.xxhash64("tokens").alias("cls"), F.size("tokens").cast("long").alias("n_tokens"), "tokens")
+    rows = _sized(sets).select("doc_id", "key", "cls", "n_tokens", "tokens")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # equal sets of a task are signed once
@@ -134,24 +144,25 @@ def _signed(sets: DataFrame, num: int, den: int) -> DataFrame:
                 sizes = batch.column("n_tokens").to_numpy()
                 flat = batch.column("tokens").flatten().to_numpy(zero_copy_only=False)
                 new = np.array([c not in seen and not seen.add(c) for c in batch.column("cls").to_pylist()], dtype=bool)
-                sigs = _signatures(flat[np.repeat(new, sizes)], np.where(new, sizes, 0), bounds, counts, same, num, den)
+                sigs, least = _signatures(flat[np.repeat(new, sizes)], np.where(new, sizes, 0), bounds, counts, same, num, den)
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in sigs])]).astype(np.int32))
                 col = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sigs) if sigs else np.empty(0, np.int64)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "key", "cls", "n_tokens")), col], names=["doc_id", "key", "cls", "n_tokens", "sigs"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "key", "cls", "n_tokens")), pa.array(least), col], names=["doc_id", "key", "cls", "n_tokens", "least", "sigs"])
 
-    return rows.mapInArrow(run, f"doc_id {sets.schema['doc_id'].dataType.simpleString()}, key long, cls long, n_tokens long, sigs array<long>")
+    return rows.mapInArrow(run, f"doc_id {sets.schema['doc_id'].dataType.simpleString()}, key long, cls long, n_tokens long, least long, sigs array<long>")
 
 
 def _segments(rows: DataFrame) -> DataFrame:
-    """(a, salt, member, cls, n, f, tokens): the sets of ``rows`` cut into FRAGMENTS ranges of the n-gram order; empty segments are left out."""
+    """``rows`` (block, salt, partners, cls, n, tokens) with the sets cut into FRAGMENTS ranges ``f`` of the n-gram order; empty segments are left out."""
+    names = ["block", "salt", "partners", "cls", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int, int]] = set()  # repeated rows of a task are cut once
+        seen: set[tuple[int, int, int, bool]] = set()  # repeated rows of a task are cut once
         for whole in batches:
             for s in range(0, whole.num_rows, 500):
                 batch = whole.slice(s, 500)
-                names = zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "cls")), strict=True)
-                batch = batch.filter(pa.array([x not in seen and not seen.add(x) for x in names]))
+                keys = zip(*(batch.column(c).to_pylist() for c in ("block", "salt", "cls")), batch.column("partners").is_null().to_pylist(), strict=True)
+                batch = batch.filter(pa.array([x not in seen and not seen.add(x) for x in keys]))
                 if not batch.num_rows:
                     continue
                 flat = batch.column("tokens").flatten().to_numpy(zero_copy_only=False)
@@ -162,63 +173,70 @@ def _segments(rows: DataFrame) -> DataFrame:
                 first = np.flatnonzero(np.r_[True, np.diff(place[order]) > 0])
                 row, f = np.divmod(place[order][first], FRAGMENTS)
                 segments = pa.ListArray.from_arrays(pa.array(np.r_[first, len(flat)].astype(np.int32)), pa.array(flat[order]))
-                kept = batch.select(["a", "salt", "member", "cls", "n"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(f.astype(np.int32)), segments], names=["a", "salt", "member", "cls", "n", "f", "tokens"])
+                kept = batch.select(names).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(f.astype(np.int32)), segments], names=[*names, "f", "tokens"])
 
-    return rows.select("a", "salt", "member", "cls", "n", "tokens").mapInArrow(run, "a long, salt int, member int, cls long, n long, f int, tokens array<long>")
+    return rows.select(*names, "tokens").mapInArrow(run, "block long, salt int, partners array<long>, cls long, n long, f int, tokens array<long>")
 
 
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, na, nb, overlap) of each member's segment with its group's first, which is held; sorted rows pass by one at a time."""
-    group, last, mine, size = None, None, np.empty(0, np.int64), 0
+    """(a, b, na, nb, overlap) of the segments of each group: its block (rows without partners) comes first and is held, members pass by one at a time."""
+    group, last, held = None, None, {}
     for batch in batches:
-        keys = zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "f", "member", "cls", "n")), strict=True)
+        keys = zip(*(batch.column(c).to_pylist() for c in ("block", "salt", "f", "partners", "cls", "n")), strict=True)
         tokens, out = batch.column("tokens"), []
-        for i, (a, salt, f, member, cls, n) in enumerate(keys):
-            now = (a, salt, f)
-            if now != group:
-                group, last, mine = now, None, np.empty(0, np.int64)
-            if (member, cls) == last:
-                continue
-            last = (member, cls)
+        for i, (block, salt, f, partners, cls, n) in enumerate(keys):
+            if (block, salt, f) != group:
+                group, last, held = (block, salt, f), None, {}
             x = tokens[i].values.to_numpy()
-            if not member:
-                mine, size = np.sort(x), n
-            elif len(mine):
-                at = np.minimum(np.searchsorted(mine, x), len(mine) - 1)
-                if both := int((mine[at] == x).sum()):
-                    out.append((a, cls, size, n, both))
+            if partners is None:
+                held[cls] = (np.sort(x), n)
+            elif cls != last:
+                last = cls
+                for a in partners:
+                    if (y := held.get(a)) is not None:
+                        at = np.minimum(np.searchsorted(y[0], x), len(y[0]) - 1)
+                        if both := int((y[0][at] == x).sum()):
+                            out.append((a, cls, y[1], n, both))
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [()] * 5)], names=["a", "b", "na", "nb", "overlap"])
 
 
 def _links(pairs: DataFrame, tokens_of, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold: overlaps are counted in each fragment apart, and summed by pair.
+    """The pairs (block, a, b) that reach the threshold: overlaps are counted in each fragment apart, and summed by pair.
 
-    ``tokens_of`` adds ``n`` and ``tokens`` to rows that name a set (cls).  A set's
-    partners are dealt to several groups where they are many; those sets are fewer
-    than four for each shuffle partition, so their list is broadcast.
+    A block holds some sets a (a few, about BLOCK at most) that are compared with each
+    of its members b, so a member travels once for all of them.  ``tokens_of`` adds
+    ``n`` and ``tokens`` to rows that name a set (cls).  Blocks with many members are
+    dealt to several groups; they are fewer than four for each shuffle partition, so
+    their list is broadcast.
     """
-    pairs = cut(pairs)
     parts = partitions(pairs.sparkSession)
-    limit = max(PARTNERS, pairs.count() // (4 * parts))
-    per_set = pairs.groupBy("a").agg(F.count("*").alias("k"))
-    hot = F.broadcast(cut(per_set.where(F.col("k") > limit).select("a", F.ceil(F.col("k") / limit).cast("int").alias("salts"))))
+    members = cut(pairs.groupBy("block", "b").agg(F.collect_set("a").alias("partners")))
+    limit = max(PARTNERS, members.count() // (4 * parts))
+    hot = F.broadcast(cut(members.groupBy("block").agg(F.count("*").alias("k")).where(F.col("k") > limit).select("block", F.ceil(F.col("k") / limit).cast("int").alias("salts"))))
     salts = F.coalesce("salts", F.lit(1))
-    member = pairs.join(hot, "a", "left").select("a", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"), F.lit(1).alias("member"), F.col("b").alias("cls"))
-    first = per_set.join(hot, "a", "left").select("a", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("member"), F.col("a").alias("cls"))
+    member = members.join(hot, "block", "left").select("block", F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"), "partners", F.col("b").alias("cls"))
+    first = members.select("block", F.explode("partners").alias("cls")).distinct().join(hot, "block", "left")
+    first = first.select("block", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(None).cast("array<long>").alias("partners"), "cls")
     segments = _segments(tokens_of(member.unionByName(first)))
-    key = ["a", "salt", "f"]
-    counted = segments.repartition(parts, *key).sortWithinPartitions(*key, "member", "cls").mapInArrow(_partial, "a long, b long, na long, nb long, overlap long")
+    key = ["block", "salt", "f"]
+    ordered = segments.repartition(parts, *key).sortWithinPartitions(*key, F.col("partners").isNotNull(), "cls")
+    counted = ordered.mapInArrow(_partial, "a long, b long, na long, nb long, overlap long")
     summed = counted.groupBy("a", "b").agg(F.sum("overlap").alias("i"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     return summed.where(den * F.col("i") >= num * (F.col("na") + F.col("nb") - F.col("i"))).select("a", "b")
 
 
 def _lists(signed: DataFrame) -> DataFrame:
-    """(sig, cls, pivot): segments that at least two different sets share."""
-    sig = signed.select(F.explode("sigs").alias("sig"), "cls").repartition(partitions(signed.sparkSession), "sig")
+    """(sig, cls, pivot): segments that at least two different sets share.
+
+    A set that shares fewer of its segments than any link of it would has no link and is left out.
+    """
+    sig = signed.select(F.explode("sigs").alias("sig"), "cls", "least").repartition(partitions(signed.sparkSession), "sig")
     whole = W.partitionBy("sig")
-    shared = sig.select("sig", "cls", F.min("cls").over(whole).alias("pivot"), F.max("cls").over(whole).alias("last")).where("pivot < last")
-    return cut(shared.select("sig", "cls", "pivot").distinct())
+    ends = (F.min("cls").over(whole).alias("pivot"), F.max("cls").over(whole).alias("last"))
+    shared = cut(sig.select("sig", "cls", "least", *ends).where("pivot < last").select("sig", "cls", "least").distinct())
+    enough = shared.groupBy("cls").agg(F.count("*").alias("k"), F.max("least").alias("least")).where("k >= least").select("cls")
+    return cut(shared.join(enough, "cls", "left_semi").select("sig", "cls", *ends).where("pivot < last").drop("last"))
 
 
 def _named(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
@@ -226,45 +244,47 @@ def _named(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     rows = _signed(sets, num, den)
     if 100 * num >= 85 * den:
         rows = cut(rows)
-        return rows.drop("sigs"), rows
+        return rows.drop("least", "sigs"), rows
     # signatures are then half as many as the n-grams; making them twice beats keeping them
-    return cut(sets.select("doc_id", "key", F.xxhash64("tokens").alias("cls"), F.size("tokens").cast("long").alias("n_tokens"))), rows
+    return cut(_sized(sets).select("doc_id", "key", "cls", "n_tokens")), rows
 
 
-def link_sets(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(doc_id, n_tokens, component_id) of each row of ``sets`` (doc_id, tokens: sorted array<long>; key optional).
+def _sized(sets: DataFrame) -> DataFrame:
+    return sets.select("doc_id", "key", F.xxhash64("tokens").alias("cls"), F.size("tokens").cast("long").alias("n_tokens"), "tokens")
+
+
+def link_sets(rows: DataFrame, tokens: Column, num: int, den: int) -> DataFrame:
+    """(doc_id, n_tokens, component_id) of each of ``rows`` (doc_id, key, and what ``tokens``, a sorted array<long>, is made from).
 
     Rows link where num * union <= den * intersection; ``component_id`` is the
     smallest doc_id reachable (nulls aside).  Rows with equal sets are one class from
     the start.  Empty and null sets link with nothing.  ``key`` is a cheap hash of
-    what the tokens are made from, so that a second look needs only some rows.
+    what the tokens are made from, so that only rows that are looked at again are
+    turned into tokens again.
     """
-    return _linked(sets, num, den).select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return _linked(rows, tokens, num, den).select("doc_id", "n_tokens", F.when(F.col("n_tokens") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _linked(sets: DataFrame, num: int, den: int) -> DataFrame:
+def _linked(source: DataFrame, tokens: Column, num: int, den: int) -> DataFrame:
     """(doc_id, key, n_tokens, component, component_id): ``component`` names the group also where no row has an id; null for empty sets."""
-    if "key" not in sets.columns:
-        sets = sets.withColumn("key", F.xxhash64("tokens"))
-    sets = sets.select("doc_id", "key", F.coalesce("tokens", F.array().cast("array<long>")).alias("tokens"))
-    rows, signed = _named(sets, num, den)
+    tokens = F.coalesce(tokens, F.array().cast("array<long>")).alias("tokens")
+    rows, signed = _named(source.select("doc_id", "key", tokens), num, den)
     lists = _lists(signed)
     # one row for each different set: the row that stands for it, its smallest id and its rows
     classes = cut(rows.groupBy("cls").agg(F.min(F.struct("key", "doc_id")).alias("rep"), F.min("doc_id").alias("doc"), F.max("n_tokens").alias("n"), F.count("*").alias("n_rows")))
 
     def from_texts(which: DataFrame) -> DataFrame:
         named = cut(which.join(classes.select("cls", "rep"), "cls").select(*which.columns, F.col("rep.key").alias("__key"), F.col("rep.doc_id").alias("__id")))
-        found = sets.join(small_side(named), (F.col("key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")))
-        return found.select(*which.columns, F.size("tokens").cast("long").alias("n"), "tokens")
+        found = source.join(small_side(named), (F.col("key") == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id")))
+        return found.select(*which.columns, tokens).withColumn("n", F.size("tokens").cast("long"))
 
-    pivots = lists.groupBy("cls").agg(F.min("pivot").alias("pivot")).where("cls <> pivot")
-    links = cut(_links(pivots.select(F.col("pivot").alias("a"), F.col("cls").alias("b")), from_texts, num, den))
+    pivots = lists.where("cls <> pivot").groupBy("cls", "pivot").agg(F.count("*").alias("k")).groupBy("cls").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
+    links = cut(_links(pivots.select(F.col("pivot").alias("block"), F.col("pivot").alias("a"), F.col("cls").alias("b")), from_texts, num, den))
     comp = connected_components(links)
     left, left_n = _open_lists(lists, comp)
     if left_n:
         again = cut(from_texts(left.select("cls").distinct()).dropDuplicates(["cls"]))
-        lists = _able(left, again, num, den)
-        again = cut(again.join(lists.select("cls").distinct(), "cls", "left_semi"))
+        lists = _prefixes(again, num, den)
         left, left_n = _open_lists(lists, comp)
 
     def from_again(which: DataFrame) -> DataFrame:
@@ -273,54 +293,60 @@ def _linked(sets: DataFrame, num: int, den: int) -> DataFrame:
     for turn in range(ROUNDS):
         if not left_n:
             break
-        stray = left.where("comp <> main").select("sig", "cls", "n", "u")
-        pick = [F.min(F.struct(F.xxhash64("cls", F.lit(turn * MEMBERS + j)), F.struct("cls", "n", "u").alias("c")))["c"].alias(f"m{j}") for j in range(MEMBERS)]
+        stray = left.where("comp <> main").select("sig", "cls", "n", "at")
+        pick = [F.min(F.struct(F.xxhash64("cls", F.lit(turn * MEMBERS + j)), F.struct("cls", "n", "at").alias("c")))["c"].alias(f"m{j}") for j in range(MEMBERS)]
         picked = left.where("comp = main").groupBy("sig").agg(*pick)
-        tried = stray.join(picked, "sig").select("cls", "n", "u", F.explode(F.array(*[f"m{j}" for j in range(MEMBERS)])).alias("m"))
-        tried = tried.where(_possible(F.col("n"), F.col("u"), F.col("m.n"), F.col("m.u"), num, den))
-        more = _links(tried.select(F.col("m.cls").alias("a"), F.col("cls").alias("b")).distinct(), from_again, num, den)
+        tried = stray.join(picked, "sig").select("cls", "n", "at", F.explode(F.array(*[f"m{j}" for j in range(MEMBERS)])).alias("m"))
+        tried = tried.where(_possible(F.col("n"), F.col("at"), F.col("m.n"), F.col("m.at"), num, den))
+        more = _links(tried.select(F.col("m.cls").alias("block"), F.col("m.cls").alias("a"), F.col("cls").alias("b")).distinct(), from_again, num, den)
         links = cut(links.unionByName(more).distinct())
         comp = connected_components(links)
         left, left_n = _open_lists(lists, comp)
     if left_n:
-        one = left.where("comp <> main").select("sig", F.col("cls").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("u").alias("ux"))
-        other = left.select("sig", F.col("cls").alias("y"), F.col("comp").alias("cy"), F.col("comp").eqNullSafe(F.col("main")).alias("in_main"), F.col("n").alias("ny"), F.col("u").alias("uy"))
-        all_sigs = lists.groupBy("cls").agg(F.sort_array(F.collect_set("sig")).alias("sigs"))
-        one = one.join(all_sigs.select(F.col("cls").alias("x"), F.col("sigs").alias("sx")), "x")
-        other = other.join(all_sigs.select(F.col("cls").alias("y"), F.col("sigs").alias("sy")), "y")
-        able = _possible(F.col("nx"), F.col("ux"), F.col("ny"), F.col("uy"), num, den)
-        meet = F.array_min(F.array_intersect("sx", "sy")) == F.col("sig")  # a pair is made in the first list that it shares
-        rest = one.join(other, "sig").where(F.expr("cx <> cy and (in_main or x < y)") & able & meet).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        one = left.where("comp <> main").select("sig", F.col("cls").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("prefix").alias("px"))
+        other = left.select("sig", F.col("cls").alias("y"), F.col("comp").alias("cy"), F.col("comp").eqNullSafe(F.col("main")).alias("in_main"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("prefix").alias("py"))
+        able = _possible(F.col("nx"), F.col("ax"), F.col("ny"), F.col("ay"), num, den)
+        meet = F.array_intersect("px", "py")[0] == F.col("sig")  # a pair is made in the first list that it shares
+        blocks = one.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        one = one.join(blocks, "sig").withColumn("block", F.xxhash64("sig", F.pmod(F.xxhash64("x"), F.col("blocks"))))
+        rest = one.join(other, "sig").where(F.expr("cx <> cy and (in_main or x < y)") & able & meet).select("block", F.col("x").alias("a"), F.col("y").alias("b"))
         links = cut(links.unionByName(_links(rest, from_again, num, den)).distinct())
         comp = connected_components(links)
     # smallest doc_id of each component; classes with very many rows get their names by broadcast
     named = classes.join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     low = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     names = cut(named.where("n > 0").join(low, "component").select("cls", "component", "component_id", "n_rows"))
-    limit = max(PARTNERS, rows.count() // (4 * partitions(sets.sparkSession)))  # fewer than four such classes for each shuffle partition
+    limit = max(PARTNERS, rows.count() // (4 * partitions(source.sparkSession)))  # fewer than four such classes for each shuffle partition
     hot = F.broadcast(names.where(F.col("n_rows") > limit).drop("n_rows"))
     rest = rows.join(hot, "cls", "left_anti").join(names.where(F.col("n_rows") <= limit).drop("n_rows"), "cls", "left")
     return rows.join(hot, "cls").unionByName(rest).drop("cls")
 
 
-def _possible(na: Column, ua: Column, nb: Column, ub: Column, num: int, den: int) -> Column:
-    """Whether two sets of sizes n, of whose n-grams u are their own, can reach the threshold.
+def _possible(na: Column, at_a: Column, nb: Column, at_b: Column, num: int, den: int) -> Column:
+    """Whether two sets of sizes n, whose first common n-gram stands at these places of the order, can reach the threshold.
 
-    It needs an overlap of num * (na + nb) / (num + den), and own n-grams aren't in it.
+    It needs an overlap of num * (na + nb) / (num + den), and at most what follows is in it.
     """
-    need = num * (na + nb)
-    return ((num + den) * (na - ua) >= need) & ((num + den) * (nb - ub) >= need)
+    return (num + den) * F.least(na - at_a, nb - at_b) >= num * (na + nb)
 
 
-def _able(left: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(sig, cls, n, u) of the open lists, without sets that have too many n-grams of their own for any partner."""
-    open_sets = sets.join(left.select("cls").distinct(), "cls", "left_semi")
-    token = open_sets.select("cls", F.explode("tokens").alias("t"))
-    own = token.groupBy("t").agg(F.min("cls").alias("cls"), F.max("cls").alias("last")).where("cls = last").groupBy("cls").agg(F.count("*").alias("u"))
-    sized = open_sets.select("cls", "n").join(own, "cls", "left").withColumn("u", F.coalesce("u", F.lit(0)).cast("long"))
-    least = F.ceil(num * F.col("n") / den)
-    sized = sized.where((num + den) * (F.col("n") - F.col("u")) >= num * (F.col("n") + least))
-    return cut(left.select("sig", "cls").join(sized, "cls"))
+def _prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(sig, cls, n, at, prefix) of the lists of n-grams that stand in the prefix of at least two of ``sets``.
+
+    N-grams are ordered by how many of the sets hold them, rare ones first.  A set of n
+    links only if its first n - num * n / den + 1 n-grams hold the first common one;
+    those that no other set holds take part in the count but make no list.  Sets with
+    more of these than that are out before any order is made of the rest.
+    """
+    token = sets.select("cls", "n", F.explode("tokens").alias("sig"))
+    many = token.groupBy("sig").agg(F.count("*").alias("df")).where("df > 1")
+    token = token.join(many, "sig")
+    length = F.floor((den - num) * F.col("n") / den) + 1
+    ordered = token.groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("all"))
+    own = F.col("n") - F.size("all")
+    ordered = ordered.where(own < length).select("cls", "n", own.alias("own"), F.slice(F.col("all.sig"), F.lit(1), (length - own).cast("int")).alias("prefix"))
+    each = ordered.select("cls", "n", "own", "prefix", F.posexplode("prefix").alias("i", "sig"))
+    return cut(each.select("sig", "cls", "n", (F.col("own") + F.col("i")).alias("at"), "prefix"))
 
 
 def _open_lists(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, int]:
@@ -333,14 +359,14 @@ def _open_lists(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, int]:
     return out, out.count()
 
 
-def _sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), shingles(text, n).alias("tokens"))
+def _sets(docs: DataFrame, n: int, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text")), shingles(F.col("text"), n)
 
 
 def components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs``; see :func:`link_sets`."""
-    return link_sets(_sets(docs, n, id_col, text_col), *ratio).withColumnRenamed("n_tokens", "n_shingles")
+    return link_sets(*_sets(docs, n, id_col, text_col), *ratio).withColumnRenamed("n_tokens", "n_shingles")
 
 
 def keep_one(docs: DataFrame, n: int = 5, ratio: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,7 +378,7 @@ def keep_one(docs: DataFrame, n: int = 5, ratio: tuple[int, int] = (80, 100), id
     text, never by id alone: a row without an id, or with the id of another row, goes
     only if its own text is linked.  Texts without words are linked with nothing.
     """
-    found = cut(_linked(_sets(docs, n, id_col, text_col), *ratio).where("component is not null").select("doc_id", "key", "component"))
+    found = cut(_linked(*_sets(docs, n, id_col, text_col), *ratio).where("component is not null").select("doc_id", "key", "component"))
     best = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")).alias("best"), F.count("*").alias("n")).where("n > 1")
     rest = found.join(best, "component").select("doc_id", "key", (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))).alias("stays"))
     rest = cut(rest.groupBy("doc_id", "key").agg(F.first("stays").alias("stays"), F.count("*").alias("n")).where("not stays or n > 1"))

@@ -54,14 +54,14 @@ def likeness(a: frozenset[int], b: frozenset[int]) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "signatures") -> DataFrame:
-    """``docs`` with ``out_col``: array<long> of signatures, sorted; null and wordless texts have none."""
+@F.pandas_udf("array<long>")
+def _signed(texts: pd.Series) -> pd.Series:
+    return pd.Series([sorted(signatures(t)) if t else [] for t in texts])
 
-    @F.pandas_udf("array<long>")
-    def signed(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(signatures(t)) if t else [] for t in texts])
 
-    return docs.withColumn(out_col, signed(F.col(text_col).cast("string")))
+def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "signatures") -> DataFrame:
+    """``docs`` with ``out_col``: array<long> of signatures, sorted; null and wordless texts have none."""
+    return docs.withColumn(out_col, _signed(F.col(text_col).cast("string")))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,8 +73,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     """
     from .ngram_jaccard import link_sets
 
-    sets = fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", F.col("signatures").alias("tokens"))
-    return link_sets(sets, *_ratio(threshold)).withColumnRenamed("n_tokens", "n_signatures")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
+    return link_sets(rows, _signed(F.col("text")), *_ratio(threshold)).withColumnRenamed("n_tokens", "n_signatures")
 
 
 def _ratio(threshold: float) -> tuple[int, int]:
