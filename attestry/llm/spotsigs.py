@@ -11,7 +11,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, partitions
@@ -54,9 +54,12 @@ def likeness(a: frozenset[int], b: frozenset[int]) -> float:
     return both / (len(a) + len(b) - both)
 
 
-@F.pandas_udf("array<long>")
-def _signed(texts: pd.Series) -> pd.Series:
-    return pd.Series([sorted(signatures(t)) if t else [] for t in texts])
+def _signed(text: Column) -> Column:
+    @F.pandas_udf("array<long>")
+    def signed(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(signatures(t)) if t else [] for t in texts])
+
+    return signed(text)
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "signatures") -> DataFrame:
