@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .common import cut, small_side
 
 #: Projections and cell width (for vectors of unit length), tables, and probes in each table.
-K, WIDTH, TABLES, PROBES = 8, 2.0, 5, 500
+K, WIDTH, TABLES, PROBES = 16, 4.0, 2, 2400
 #: Queries that are scored against all points together.
 EXACT_QUERIES = 4096
 #: Buckets that share their first codes are scored together; beyond this many rows in several parts.
@@ -77,14 +77,15 @@ class Tables:
         return (u @ self.a[t] + lift[:, None] * self.up[t] + self.b[t]) / self.width
 
     def codes(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One number for the first codes and one for all; cells of unit vectors are few, so 64 a projection are enough."""
-        h = np.clip(h.astype(np.int64) + 32, 0, 63)
-        both = np.zeros((2, *h.shape[:-1]), dtype=np.int64)
+        """One number for the first codes and one for all, mixed so that any number of projections fits 64 bits."""
+        h = np.clip(h.astype(np.int64) + 32, 0, 63).astype(np.uint64)
+        chunk, code = np.zeros(h.shape[:-1], dtype=np.uint64), np.zeros(h.shape[:-1], dtype=np.uint64)
         for i in range(self.k):
-            both[1] = both[1] * 64 + h[..., i]
+            code = (code + h[..., i] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            code ^= code >> np.uint64(29)
             if i < self.chunk:
-                both[0] = both[0] * 64 + h[..., i]
-        return both[0], both[1]
+                chunk = chunk * np.uint64(64) + h[..., i]
+        return chunk.view(np.int64), code.view(np.int64)
 
     def probes(self, t: int, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Chunk and bucket of each probe of each vector."""
@@ -151,8 +152,8 @@ def search(
         for whole in batches:
             for dim, some in whole.groupby(whole["v"].map(len)):
                 made.setdefault(dim, Tables(dim, *settings))
-                for s in range(0, len(some), 256):
-                    batch = some.iloc[s : s + 256]
+                for s in range(0, len(some), 64):
+                    batch = some.iloc[s : s + 64]
                     x = np.vstack(batch["v"])
                     for t in range(tables):
                         chunk, code = made[dim].probes(t, x)
@@ -176,25 +177,19 @@ def search(
         if not len(x) or not len(y):
             return pd.DataFrame({"query": [], "point": [], "score": []})
         x = x.sort_values("point")
-        c, ids, found = np.vstack(x["v"]), x["point"].to_numpy(), []
-        names, place = np.unique(x["code"].to_numpy(), return_inverse=True)
-        for s in range(0, len(y), 256):
-            part = y.iloc[s : s + 256]
-            visit = np.zeros((len(part), len(names)), dtype=bool)
-            for i, codes in enumerate(part["codes"]):
-                at = np.searchsorted(names, codes)
-                ok = at < len(names)
-                ok[ok] = names[at[ok]] == np.asarray(codes)[ok]
-                visit[i, at[ok]] = True
-            sims = np.vstack(part["v"]) @ c.T
-            sims[~visit[:, place]] = -np.inf
-            n = min(top + 2, len(ids))
-            for i, query in enumerate(part["point"]):
-                row = sims[i]
-                least = np.partition(row, len(row) - n)[len(row) - n]
-                at = np.flatnonzero((row >= least) & (row > -np.inf))  # all that tie with the last, smaller ids first
-                at = at[np.argsort(-row[at], kind="stable")][: top + 2]
-                found.append(pd.DataFrame({"query": query, "point": ids[at], "score": row[at]}))
+        c, ids, own, found = np.vstack(x["v"]), x["point"].to_numpy(), x["code"].to_numpy(), []
+        for query, codes, v in zip(y["point"], y["codes"], y["v"], strict=True):
+            seen = np.flatnonzero(np.isin(own, codes))  # only what the probes visit is scored
+            if not len(seen):
+                continue
+            row = c[seen] @ v
+            n = min(top + 2, len(row))
+            least = np.partition(row, len(row) - n)[len(row) - n]
+            at = np.flatnonzero(row >= least)  # all that tie with the last, smaller ids first
+            at = at[np.argsort(-row[at], kind="stable")][: top + 2]
+            found.append(pd.DataFrame({"query": query, "point": ids[seen[at]], "score": row[at]}))
+        if not found:
+            return pd.DataFrame({"query": [], "point": [], "score": []})
         return pd.concat(found)
 
     def best(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; one of our own only where none is set (tests)."""
+    """The shared folder that ``spark.checkpoint.dir`` names; one of our own only on a single machine, where none is set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/attestry")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="attestry-")
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -37,6 +44,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: list[str], least: int = 10_000) -> DataFrame:
+    """``rows`` joined with the one row that ``per_key`` has for each key.
+
+    Keys with more than their share of the rows get theirs by broadcast, so none lands
+    in one task; they are fewer than four for each shuffle partition.
+    """
+    limit = max(least, rows.count() // (4 * partitions(rows.sparkSession)))
+    hot = F.broadcast(cut(rows.groupBy(*key).agg(F.count("*").alias("__n")).where(F.col("__n") > limit).drop("__n")))
+    few = F.broadcast(per_key.join(hot, key, "left_semi"))
+    return rows.join(few, key).unionByName(rows.join(hot, key, "left_anti").join(per_key, key))
+
+
 def lower_ascii(col):
     """Lower-case A-Z only, whatever the locale."""
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

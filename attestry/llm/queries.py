@@ -23,42 +23,52 @@ URL_RULES = [
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data and of words that disclose them, for every whole text of ``documents``; see :func:`pii.digests`."""
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of each document's set of 3-word shingles and the smallest id linked with it at 90 %; see :func:`ngram_jaccard.components`."""
     return ngram_jaccard.components(table(spark, sf_dir, "documents"))
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every url of ``pages``; null urls have an empty host and path; see :func:`url_filter.judge`."""
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
 
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness; see :func:`spotsigs.digests`."""
     return spotsigs.digests(table(spark, sf_dir, "documents"))
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document without strings of 100 bytes that start earlier; see :func:`suffix_dedup.digests`."""
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and their round trip; see :func:`bpe.digests`."""
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS, PATTERN)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance that each document is toxic, learned outside the held-out fifth; see :func:`toxicity.judge`."""
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability and fate of every document in the mixture that meets the targets; see :func:`mixing.mix`."""
     return mixing.mix(table(spark, sf_dir, "documents"), with_weights=True)
 
 
 def op9_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest others of every 20th vector by inner product; see :func:`ann.search`."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document, told apart by who holds them; see :func:`secrets.digests`."""
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
@@ -109,28 +119,28 @@ def _duck_spans(pattern: str, group: int, kind: str, rank: int, test: str) -> st
 
 
 SQL["op10_secrets"] = f"""
-WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner, coalesce(source, '') || '/' || coalesce(lang, '') AS repo FROM documents),
 found AS (
-  SELECT row, doc_id, owner,
+  SELECT row, doc_id, owner, repo,
     list_sort(list_concat(coalesce({_duck_spans(_ASSIGN, 1, "assign", 0, "length(s.value) >= 12")}, []),
                 coalesce({_duck_spans(secrets.ACCESS, 0, "access", 1, "true")}, []),
                 coalesce({_duck_spans(secrets.HEX, 0, "hex", 2, "true")}, []))) AS base,
     coalesce({_duck_spans(secrets.LOOSE, 0, "live", 3, "regexp_matches(s.value, '[0-9]') AND regexp_matches(s.value, '[A-Z]') AND regexp_matches(s.value, '[a-z]')")}, []) AS mixed
   FROM docs
 ),
-free AS (SELECT row, doc_id, owner, base, list_filter(mixed, lambda x: len(list_filter(base, lambda b: b.start < x."end" AND x.start < b."end")) = 0) AS loose FROM found),
-each AS (SELECT row, owner, unnest(list_concat(base, loose)) AS s FROM free),
-owned AS (SELECT s.value AS value, count(DISTINCT owner) AS n_owners FROM each GROUP BY 1),
-marked AS (SELECT row, s, n_owners <= {secrets.MAX_OWNERS} AS live FROM each JOIN owned ON s.value = owned.value),
+free AS (SELECT row, doc_id, owner, repo, base, list_filter(mixed, lambda x: len(list_filter(base, lambda b: b.start < x."end" AND x.start < b."end")) = 0) AS loose FROM found),
+each AS (SELECT row, owner, repo, unnest(list_concat(base, loose)) AS s FROM free),
+owned AS (SELECT s.value AS value, count(DISTINCT owner) AS n_owners, count(DISTINCT repo) AS n_repos FROM each GROUP BY 1),
+marked AS (SELECT row, s, n_repos, n_owners <= {secrets.MAX_OWNERS} AND n_repos <= {secrets.MAX_REPOS} AS live FROM each JOIN owned ON s.value = owned.value),
 spans AS (
   SELECT row,
     string_agg(s.kind || ':' || s.start || ':' || s."end", ',' ORDER BY s.start, s.rank, s."end") FILTER (s.rank < 3) AS base,
     string_agg(s.kind || ':' || s.start || ':' || s."end", ',' ORDER BY s.start, s.rank, s."end") FILTER (s.rank < 3 OR live) AS spans,
     count(*) FILTER (s.kind = 'assign') AS n_assign, count(*) FILTER (s.kind = 'access') AS n_access, count(*) FILTER (s.kind = 'hex') AS n_hex,
-    count(*) FILTER (s.rank < 3 AND live) AS n_live
+    count(*) FILTER (s.rank < 3 AND live) AS n_live, max(n_repos) FILTER (s.rank < 3) AS max_repos
   FROM marked GROUP BY row
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(max_repos, 0) AS max_repos
 FROM docs LEFT JOIN spans USING (row)
 """

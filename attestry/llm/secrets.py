@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, join_per_key
 
 # The patterns of the base kinds, in the order of their kinds.
 KINDS = ("assign", "access", "hex")
@@ -24,8 +24,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"  # a shorter run has no longer one inside, so noth
 HEX = r"[0-9a-f]{16,}"
 #: Unlabelled candidates: long runs that mix both cases and digits.
 LOOSE = r"[A-Za-z0-9_-]{20,}"
-#: A value held by more owners than this is an example that people copy, not one owner's secret.
-MAX_OWNERS = 2
+#: A value held by more owners, or in more repositories, than this is an example that people copy, not one owner's secret.
+MAX_OWNERS, MAX_REPOS = 2, 3
 
 _BLOCK = 64
 _SPAN = "array<struct<start:long,end:long,value:string>>"
@@ -97,13 +97,14 @@ def ownership(found: DataFrame, owner_col: str = "owner", repo_col: str = "repo"
     return by_owner.groupBy("h").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repos"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_cols: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """One row for each row of ``docs``: its id as ``doc_id``, ``base`` and ``live`` spans.
 
     ``base`` are the spans of the patterns, each with ``live`` (true where at most
-    ``max_owners`` owners hold the value anywhere in the corpus) and ``n_owners``;
-    ``loose`` are further spans that only ownership makes likely: mixed runs held by
-    few owners.  Null owners and repositories count as one unnamed owner; repeated
+    ``max_owners`` owners in at most ``max_repos`` repositories hold the value anywhere
+    in the corpus), ``n_owners`` and ``n_repos``; ``loose`` are further spans that only
+    ownership makes likely: mixed runs held by few owners in few repositories.  A value
+    that one owner copies into many repositories counts as an example too.  Null owners and repositories count as one unnamed owner; repeated
     rows give repeated results; an empty table gives an empty one.
     """
     repo = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repo_cols])
@@ -117,8 +118,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     found = cut(candidates(rows).drop("text"))
     has = F.size("base") + F.size("loose") > 0
     each = found.where(has).select("row", F.explode(F.concat("base", "loose")).alias("s"))
-    owned = each.withColumn("h", F.sha2("s.value", 256)).join(ownership(found.where(has)), "h")
-    mark = F.struct("s.start", "s.rank", "s.end", "s.kind", (F.col("n_owners") <= max_owners).alias("live"), "n_owners", "n_repos")
+    owned = join_per_key(each.withColumn("h", F.sha2("s.value", 256)), ownership(found.where(has)), ["h"])
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
+    mark = F.struct("s.start", "s.rank", "s.end", "s.kind", live.alias("live"), "n_owners", "n_repos")
     marked = owned.groupBy("row").agg(F.array_sort(F.collect_list(mark)).alias("all"))
     with_any = found.where(has).select("row", "doc_id").join(marked, "row").drop("row")
     none = found.where(~has).select("doc_id", F.array().cast(marked.schema["all"].dataType).alias("all"))
@@ -127,7 +129,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 
 
 def digests(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: counts of the base kinds, their hash, all spans, and how many base values look live."""
+    """One row per document: counts of the base kinds, their hash, all spans, how many base values look live, and the most repositories that hold one.
+
+    Null and empty texts have no spans (``max_repos`` 0); repeated rows give repeated
+    results, null ids keep their rows, and an empty table gives an empty one.
+    """
     found = scan(docs, **options)
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
     count = lambda k: F.size(F.filter("base", lambda s: s.kind == k)).cast("long").alias(f"n_{k}")
@@ -137,4 +143,5 @@ def digests(docs: DataFrame, **options) -> DataFrame:
         F.sha2(text(F.col("base")), 256).alias("base_sha256"),
         text(F.array_sort(F.concat("base", "loose"))).alias("spans"),
         F.size(F.filter("base", lambda s: s.live)).cast("long").alias("n_live"),
+        F.coalesce(F.array_max(F.transform("base", lambda s: s.n_repos)), F.lit(0)).cast("long").alias("max_repos"),
     )

@@ -228,3 +228,28 @@ def test_mixing_meets_skewed_margins(spark):
         got = {r[0]: (r[1] / total, r[2] ** 0.7) for r in out.groupBy(margin).agg(F.sum(F.col("p") * F.col("tokens")), F.sum("tokens")).collect()}
         for share, target in got.values():
             assert abs(share - target / sum(t for _, t in got.values())) < 0.003
+
+
+@pytest.mark.parametrize("unequal", [False, True])
+def test_ann_visits_fewer_than_all(unequal):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if unequal:
+        x *= rng.uniform(0.5, 1.5, size=(len(x), 1))
+    long = np.linalg.norm(x, axis=1).max()
+    tables = ann.Tables(64, ann.K, ann.WIDTH, ann.TABLES, ann.PROBES, ann.CHUNK_CODES, ann.SEED)
+    asked = np.arange(0, len(x), 400)
+    visited, products = np.zeros((len(asked), len(x)), dtype=bool), 0
+    for t in range(ann.TABLES):
+        code = tables.codes(np.floor(tables.cells(t, x, long)))[1]
+        _, probes = tables.probes(t, x[asked])
+        for i in range(len(asked)):
+            here = np.isin(code, probes[i])
+            visited[i] |= here
+            products += here.sum()
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    assert np.mean([visited[i][best[i]].mean() for i in range(len(asked))]) >= 0.9
+    assert products < len(asked) * len(x) and visited.mean() < 0.8
