@@ -1,14 +1,21 @@
 """PII: information-theoretic sanitisation.
 
 Personal data are found by pattern.  The corpus then says which words give them
-away: for a protected value e and a word t near it, PMI(e; t) / IC(e) is the share
-of e's information that t discloses, from document frequencies over all documents.
-Words over the upper threshold are removed, words between the two generalised.
+away: for a protected entity e and a word t of the same document, PMI(e; t) / IC(e) is
+the share of e's information that t discloses, from document frequencies over all
+documents and whole texts.  An entity is a single value, or a kind of value ("some
+phone number").  Words over the upper threshold are removed, words between the two
+generalised, in the documents that hold the entity.
+
+A frequency of few documents says little, so a word is judged only if that many of
+the entity's contexts would hold it by chance with less than ALPHA over all words
+judged (Chernoff's bound on a Poisson count, corrected for the number of pairs).
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -17,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS
+from .common import cut
 
 # The base kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -28,13 +35,13 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\W\d_]{3,}")
 
-#: Code points on either side of a protected value in which a word counts as near it.
-WINDOW = 60
-#: A word is judged for a value only after this many different contexts held both.
-MIN_CONTEXTS = 3
+#: Code points on either side of a value that tell its contexts apart: copies of one document are one context.
+AROUND = 60
+#: Chance, over all pairs judged, that any word passes for a disclosing one though it isn't.
+ALPHA = 0.05
 #: Disclosed share from which a word is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.6, 0.9
-#: With more words or pairs than these, joins take the place of broadcast look-ups.
+#: With more words, values or pairs than these, joins take the place of broadcast look-ups.
 MAX_TERMS, MAX_RISKS = 200_000, 200_000
 
 
@@ -74,87 +81,145 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def near_words(text: str, base: list[tuple[int, int, int]]) -> list[tuple[str, int, int, str, int]]:
-    """(entity, start, end, word, hash of the context) of the words near each base span and inside none."""
-    out = []
+def entities(text: str, base: list[tuple[int, int, int]]) -> dict[str, int]:
+    """The protected entities of a text, kinds and values, each with a hash of what stands around its first place."""
+    out: dict[str, int] = {}
     for a, kind, b in base:
-        lo, hi = max(0, a - WINDOW), min(len(text), b + WINDOW)
-        while 0 < lo < a and text[lo - 1].isalpha() and text[lo].isalpha():  # no half words
-            lo += 1
-        while b < hi < len(text) and text[hi].isalpha() and text[hi - 1].isalpha():
-            hi -= 1
-        entity = f"{KINDS[kind]}:{text[a:b].lower()}"
-        context = int.from_bytes(hashlib.blake2b((text[lo:a] + "\0" + text[b:hi]).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
-        for m in WORD.finditer(text, lo, hi):
-            if not any(x < m.end() and m.start() < y for x, _, y in base):
-                out.append((entity, m.start(), m.end(), m.group().lower(), context))
+        around = f"{text[max(0, a - AROUND):a]}\0{text[b:b + AROUND]}"
+        context = int.from_bytes(hashlib.blake2b(around.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+        for e in (KINDS[kind], f"{KINDS[kind]}:{text[a:b].lower()}"):
+            out.setdefault(e, context)
     return out
 
 
-def contexts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(entity, word, context, n_docs): how many documents hold a protected value, a word near it and that context."""
+def free_words(text: str, base: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """The words of a whole text that overlap no base span."""
+    at = 0
+    top = 0
+    spans = [(x, top := max(top, y)) for x, _, y in base]  # ends so far, so that both sides ascend
+    for m in WORD.finditer(text):
+        while at < len(spans) and spans[at][1] <= m.start():
+            at += 1
+        if at == len(spans) or m.end() <= spans[at][0]:
+            yield m
+
+
+def _texts(docs: DataFrame, text_col: str) -> DataFrame:
+    return docs.select(F.col(text_col).cast("string").alias("text"))
+
+
+def values(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(entity, n_e, k_e): documents and distinct contexts of each protected value and kind."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             count: Counter = Counter()
             for text in batch["text"]:
                 if text and (base := base_spans(text)):
-                    near = near_words(text, base)
-                    count.update({(e, w, c) for e, _, _, w, c in near})
-                    count.update({(f"{KINDS[k]}:{text[a:b].lower()}", "", 0) for a, k, b in base})
-            yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["entity", "word", "context", "n_docs"])
+                    count.update(entities(text, base).items())
+            yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["entity", "context", "n"])
 
-    found = docs.select(F.col(text_col).cast("string").alias("text")).mapInPandas(run, "entity string, word string, context long, n_docs long")
-    return found.groupBy("entity", "word", "context").agg(F.sum("n_docs").alias("n_docs"))
+    found = _texts(docs, text_col).mapInPandas(run, "entity string, context long, n long")
+    each = found.groupBy("entity", "context").agg(F.sum("n").alias("n"))
+    return each.groupBy("entity").agg(F.sum("n").alias("n_e"), F.count("*").alias("k_e"))
 
 
-def document_frequency(docs: DataFrame, words: DataFrame, n_words: int, text_col: str = "text", limit: int = MAX_TERMS) -> DataFrame:
-    """(word, n_t) over all documents of the words asked for."""
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    if n_words > limit:
-        each = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]{3,}"), F.lit(0)))).alias("word"))
-        return each.groupBy("word").agg(F.count("*").alias("n_t")).join(words, "word", "left_semi")
-    shared = docs.sparkSession.sparkContext.broadcast([r.word for r in words.collect()])  # n_words <= limit
+def pairs(docs: DataFrame, wanted: DataFrame, n_wanted: int, text_col: str = "text") -> DataFrame:
+    """(entity, word, n_et, k_et): documents and distinct contexts that hold both, for the entities ``wanted``.
+
+    Kinds are few and taken always; ``wanted`` values are looked up in a broadcast set
+    if they are at most MAX_RISKS, else the pairs of all values are made and joined.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast({r.entity for r in wanted.collect()}) if n_wanted <= MAX_RISKS else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted, count = frozenset(shared.value), Counter()
+        for batch in batches:
+            count: Counter = Counter()
+            for text in batch["text"]:
+                if text and (base := base_spans(text)):
+                    held = {e: c for e, c in entities(text, base).items() if shared is None or e in shared.value}
+                    words = {m.group().lower() for m in free_words(text, base)} if held else ()
+                    count.update((e, w, c) for e, c in held.items() for w in words)
+                if len(count) > 200_000:
+                    yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["entity", "word", "context", "n"])
+                    count.clear()
+            yield pd.DataFrame([(*k, n) for k, n in count.items()], columns=["entity", "word", "context", "n"])
+
+    found = _texts(docs, text_col).mapInPandas(run, "entity string, word string, context long, n long")
+    if shared is None:
+        found = found.join(wanted.select("entity"), "entity", "left_semi")
+    each = found.groupBy("entity", "word", "context").agg(F.sum("n").alias("n"))
+    return each.groupBy("entity", "word").agg(F.sum("n").alias("n_et"), F.count("*").alias("k_et"))
+
+
+def document_frequency(docs: DataFrame, words: DataFrame, n_words: int, text_col: str = "text", limit: int | None = None) -> DataFrame:
+    """(word, n_t) over all documents of the words asked for; one rule for words, whichever way they are looked up."""
+    few = n_words <= (MAX_TERMS if limit is None else limit)
+    shared = docs.sparkSession.sparkContext.broadcast([r.word for r in words.collect()]) if few else None  # n_words <= MAX_TERMS
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        wanted, count = frozenset(shared.value) if shared else None, Counter()
         for batch in batches:
             for text in batch["text"]:
                 if text:
-                    count.update(wanted.intersection(WORD.findall(text.lower())))
+                    here = {w.lower() for w in WORD.findall(text)}
+                    count.update(here if wanted is None else wanted.intersection(here))
+                if len(count) > 200_000:
+                    yield pd.DataFrame(list(count.items()), columns=["word", "n_t"])
+                    count.clear()
         yield pd.DataFrame(list(count.items()), columns=["word", "n_t"])
 
-    return texts.mapInPandas(run, "word string, n_t long").groupBy("word").agg(F.sum("n_t").alias("n_t"))
+    found = _texts(docs, text_col).mapInPandas(run, "word string, n_t long").groupBy("word").agg(F.sum("n_t").alias("n_t"))
+    return found if few else found.join(words, "word", "left_semi")
+
 
+def disclosure(docs: DataFrame, text_col: str = "text", alpha: float = ALPHA, generalise: float = GENERALISE) -> DataFrame:
+    """(entity, word, share): the words that disclose at least ``generalise`` of a protected entity's information.
 
-def disclosure(docs: DataFrame, text_col: str = "text", min_contexts: int = MIN_CONTEXTS, generalise: float = GENERALISE) -> DataFrame:
-    """(entity, word, share): the words that disclose at least ``generalise`` of a protected value's information."""
-    near = contexts(docs, text_col).persist()
+    With n documents, a word in n_t of them and an entity in k_e contexts, chance puts
+    the word into k_e * n_t / n of these; k_et are observed.  One context can't tell a
+    word's rarity from its tie to the entity, so two are needed at least.
+    """
     n = docs.count()
-    pair = near.where("word <> ''").groupBy("entity", "word").agg(F.count("*").alias("n_contexts"), F.sum("n_docs").alias("n_et")).where(F.col("n_contexts") >= min_contexts)
-    pair = pair.persist()
+    entity = cut(values(docs, text_col).where("k_e > 1"))
+    n_wanted = entity.count()
+    nothing = docs.sparkSession.createDataFrame([], "entity string, word string, share double")
+    if not n_wanted:
+        return nothing
+    every = cut(pairs(docs, entity, n_wanted, text_col))
+    m = every.count()
+    pair = every.where("k_et > 1").join(entity, "entity")
+    # no word is in fewer documents than those counted here, so this bound leaves few words to be counted in all
+    chance = lambda n_t: _log_chance(F.col("k_et"), F.col("k_e") * n_t / F.lit(float(max(n, 1))))
+    bound = F.lit(math.log(alpha / max(m, 1)))
+    pair = cut(pair.where(chance(F.col("n_et")) <= bound))
     words = pair.select("word").distinct()
     n_words = words.count()
     if not n_words:
-        return docs.sparkSession.createDataFrame([], "entity string, word string, share double")
-    entity = near.where("word = ''").select("entity", F.col("n_docs").alias("n_e"))
+        return nothing
     df = document_frequency(docs, words, n_words, text_col)
     ic = F.log2(F.lit(float(n)) / F.col("n_e"))
     pmi = F.log2(F.least("n_et", "n_e", "n_t") * F.lit(float(n)) / (F.col("n_e") * F.col("n_t")))
     share = F.when(ic > 0, pmi / ic).otherwise(F.lit(0.0))
-    return pair.join(entity, "entity").join(df, "word").select("entity", "word", share.alias("share")).where(F.col("share") >= generalise)
+    judged = pair.join(df, "word").where(chance(F.greatest("n_t", "n_et")) <= bound)
+    return judged.select("entity", "word", share.alias("share")).where(F.col("share") >= generalise)
+
+
+def _log_chance(k, mean):
+    """Upper bound of log P(a Poisson count with this mean is k or more)."""
+    return F.when(k > mean, k - mean + k * F.log(mean / k)).otherwise(F.lit(0.0))
 
 
 def find(docs: DataFrame, text_col: str = "text", risks: DataFrame | None = None, remove: float = REMOVE) -> DataFrame:
     """``docs`` with ``spans``: array<struct<start, rank, end, kind>>, sorted.
 
-    Base kinds come first (ranks 0 to 3); words near a protected value that disclose
-    it are ``term`` (rank 4, to be removed) or ``general`` (rank 5, to be generalised).
+    Base kinds come first (ranks 0 to 3); words that disclose an entity of their own
+    document are ``term`` (rank 4, to be removed) or ``general`` (rank 5, to be generalised).
     A null text counts as empty and has no spans; rows stay one to one; a column that
     is already named ``spans`` is replaced.
     """
     risks = disclosure(docs, text_col) if risks is None else risks
-    risks = risks.persist()
+    risks = cut(risks)
     n = risks.count()
     spans_of = _spans(None, remove)
     docs = docs.drop("spans")
@@ -167,17 +232,21 @@ def find(docs: DataFrame, text_col: str = "text", risks: DataFrame | None = None
 def _spans(shared, remove: float):
     @F.pandas_udf("array<struct<start:long,rank:int,end:long,kind:string>>")
     def spans(texts: pd.Series) -> pd.Series:
-        known = {(e, w): s for e, w, s in shared.value} if shared else {}
+        known: dict[str, list[tuple[str, float]]] = {}
+        for e, w, s in shared.value if shared else ():
+            known.setdefault(e, []).append((w, s))
         out = []
         for text in texts:
             base = base_spans(text or "")
             found = [(a, k, b, KINDS[k]) for a, k, b in base]
             if base and known:
-                worst: dict[tuple[int, int], float] = {}
-                for e, a, b, w, _ in near_words(text, base):
-                    if (s := known.get((e, w))) is not None:
-                        worst[a, b] = max(s, worst.get((a, b), 0))
-                found += [(a, 4, b, "term") if s >= remove else (a, 5, b, "general") for (a, b), s in worst.items()]
+                mine: dict[str, float] = {}
+                for e in entities(text, base):
+                    for w, s in known.get(e, ()):
+                        mine[w] = max(s, mine.get(w, 0))
+                for m in free_words(text, base) if mine else ():
+                    if (s := mine.get(m.group().lower())) is not None:
+                        found.append((m.start(), 4, m.end(), "term") if s >= remove else (m.start(), 5, m.end(), "general"))
             out.append([dict(zip(("start", "rank", "end", "kind"), x, strict=True)) for x in sorted(found)])
         return pd.Series(out)
 
@@ -189,7 +258,12 @@ def _find_by_join(docs: DataFrame, text_col: str, risks: DataFrame, remove: floa
 
     @F.pandas_udf("array<struct<entity:string,start:long,end:long,word:string>>")
     def near(texts: pd.Series) -> pd.Series:
-        return pd.Series([[dict(zip(("entity", "start", "end", "word"), x[:4], strict=True)) for x in near_words(t or "", base_spans(t or ""))] for t in texts])
+        out = []
+        for t in texts:
+            base = base_spans(t or "")
+            held = entities(t, base) if base else {}
+            out.append([{"entity": e, "start": m.start(), "end": m.end(), "word": m.group().lower()} for m in (free_words(t, base) if base else ()) for e in held])
+        return pd.Series(out)
 
     rows = docs.withColumn("__row", F.monotonically_increasing_id())
     text = F.col(text_col).cast("string")
@@ -231,7 +305,11 @@ def sanitise(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
 
 
 def digests(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: counts of the base kinds, their hash, and all spans as text."""
+    """One row per document: counts of the base kinds, their hash, and all spans as text.
+
+    Null and empty texts have no spans (the hash of an empty string); repeated rows give
+    repeated results, null ids keep their rows, and an empty table gives an empty one.
+    """
     found = find(docs.select("doc_id", "text"), **options).drop("text")
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
     base = F.filter("spans", lambda s: s["rank"] < len(KINDS))

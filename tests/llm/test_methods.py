@@ -127,19 +127,79 @@ def test_ann_recall(spark):
     assert hit / (150 * 20) >= 0.9
 
 
-def test_pii_terms_that_disclose(spark):
+def pii_corpus():
     rng = random.Random(9)
-    texts = [" ".join([*words(rng, 30), f"Quixote{'' if i < 5 else 'x'} writes from quix@example.org", *words(rng, 20)]) for i in range(6)]
-    texts += [" ".join(["writes from", *words(rng, 30)]) for _ in range(60)]
+    filler = [" ".join(words(rng, 30)) for _ in range(12)]
+    texts = [f"{filler[i]} {'Quixote' if i < 8 else 'Sancho'} {words(rng, 40)} writes from quix@example.org. {filler[-i]} knight" for i in range(10)]
+    texts += [" ".join(["writes from", *words(rng, 30)]) for _ in range(300)]
+    texts += [f"{' '.join(words(rng, 9))} call +49 30 1234567{i} today" for i in range(30)] + ["today", ""]
+    return texts
+
+
+def test_pii_disclosure_by_brute_force(spark, monkeypatch):
+    texts = pii_corpus()
+    n, docs = len(texts), []
+    for t in texts:
+        base = pii.base_spans(t)
+        held = pii.entities(t, base)
+        free = {m.group().lower() for m in re.finditer(r"[^\W\d_]{3,}", t) if not any(a < m.end() and m.start() < b for a, _, b in base)}
+        docs.append((held, free, {w.lower() for w in re.findall(r"[^\W\d_]{3,}", t)}))
+    contexts = {e: {h[e] for h, _, _ in docs if e in h} for h, _, _ in docs for e in h}
+    kept = {e for e, c in contexts.items() if len(c) > 1}
+    m = len({(e, w) for h, f, _ in docs for e in h if e in kept for w in f})
+    want = {}
+    for e in kept:
+        n_e = sum(e in h for h, _, _ in docs)
+        for w in {w for h, f, _ in docs if e in h for w in f}:
+            both = [h[e] for h, f, _ in docs if e in h and w in f]
+            n_t = sum(w in every for _, _, every in docs)
+            k, mean = len(set(both)), len(contexts[e]) * n_t / n
+            if k > 1 and k > mean and k - mean + k * np.log(mean / k) <= np.log(pii.ALPHA / m):
+                share = np.log2(len(both) * n / (n_e * n_t)) / np.log2(n / n_e)
+                if share >= pii.GENERALISE:
+                    want[e, w] = share
+    assert ("email:quix@example.org", "quixote") in want and ("phone", "call") in want and ("phone", "today") in want
+    assert not [w for _, w in want if w in ("writes", "from")]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for limit in (pii.MAX_TERMS, 0):
+        monkeypatch.setattr(pii, "MAX_TERMS", limit)
+        monkeypatch.setattr(pii, "MAX_RISKS", limit)
+        got = {(r.entity, r.word): r.share for r in pii.disclosure(df).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_pii_terms_are_taken_out(spark, monkeypatch):
+    texts = pii_corpus()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for limit in (pii.MAX_RISKS, -1):
-        old, pii.MAX_RISKS = pii.MAX_RISKS, limit
-        try:
-            out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
-        finally:
-            pii.MAX_RISKS = old
-        assert "Quixote " not in out[0] and "quix@" not in out[0] and "[EMAIL]" in out[0] and "writes" in out[0]
-        assert all(out[i] == texts[i] for i in range(6, 66))
+    outs = []
+    for limit in (pii.MAX_RISKS, 0):
+        monkeypatch.setattr(pii, "MAX_RISKS", limit)
+        outs.append({r.doc_id: r.text for r in pii.sanitise(df).collect()})
+    out = outs[0]
+    assert outs[0] == outs[1]
+    assert "Quixote" not in out[0] and "quix@" not in out[0] and "[EMAIL]" in out[0] and "writes" in out[0]
+    assert "call" not in out[315] and "[PHONE]" in out[315]
+    assert all(out[i] == texts[i] for i in [*range(10, 310), 340, 341])
+
+
+def luhn_ok(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_pii_base_spans_are_the_contract():
+    patterns = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+    rng = random.Random(11)
+    pieces = ["a.b@c.de", "@", "1.2.3.4", "256.1.1.1", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 123-4567", "+1", " ", ".", "-", "x", "7", "é", "00.1.2.3.4.5"]
+    for _ in range(3000):
+        t = "".join(rng.choice(pieces) for _ in range(rng.randrange(9)))
+        want = []
+        for kind, p in enumerate(patterns):
+            for m in re.finditer(p, t):
+                digits = re.sub("[^0-9]", "", m.group())
+                fine = [True, kind != 1 or all(int(x) <= 255 for x in m.group().split(".")), 14 <= len(digits) <= 19 and luhn_ok(digits), 10 <= len(digits) <= 15][kind]
+                if fine:
+                    want.append((m.start(), kind, m.end()))
+        assert pii.base_spans(t) == sorted(want), t
 
 
 def test_secrets_ownership(spark):
