@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut, lower_ascii, partitions, small_side
+from .common import connected_components, cut, lower_ascii, partitions, small_side, stored
 from .secrets import let
 
 #: Ranges of the n-gram order in which the overlaps of a pair are counted.
@@ -139,8 +139,8 @@ def _signed(sets: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # equal sets of a task are signed once
         for whole in batches:
-            for s in range(0, whole.num_rows, 1000):
-                batch = whole.slice(s, 1000)
+            for s in range(0, whole.num_rows, 250):
+                batch = whole.slice(s, 250)
                 sizes = batch.column("n_tokens").to_numpy()
                 flat = batch.column("tokens").flatten().to_numpy(zero_copy_only=False)
                 new = np.array([c not in seen and not seen.add(c) for c in batch.column("cls").to_pylist()], dtype=bool)
@@ -159,8 +159,8 @@ def _segments(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int, int, bool]] = set()  # repeated rows of a task are cut once
         for whole in batches:
-            for s in range(0, whole.num_rows, 500):
-                batch = whole.slice(s, 500)
+            for s in range(0, whole.num_rows, 250):
+                batch = whole.slice(s, 250)
                 keys = zip(*(batch.column(c).to_pylist() for c in ("block", "salt", "cls")), batch.column("partners").is_null().to_pylist(), strict=True)
                 batch = batch.filter(pa.array([x not in seen and not seen.add(x) for x in keys]))
                 if not batch.num_rows:
@@ -234,16 +234,16 @@ def _lists(signed: DataFrame) -> DataFrame:
     sig = signed.select(F.explode("sigs").alias("sig"), "cls", "least").repartition(partitions(signed.sparkSession), "sig")
     whole = W.partitionBy("sig")
     ends = (F.min("cls").over(whole).alias("pivot"), F.max("cls").over(whole).alias("last"))
-    shared = cut(sig.select("sig", "cls", "least", *ends).where("pivot < last").select("sig", "cls", "least").distinct())
+    shared = stored(sig.select("sig", "cls", "least", *ends).where("pivot < last").select("sig", "cls", "least").distinct())
     enough = shared.groupBy("cls").agg(F.count("*").alias("k"), F.max("least").alias("least")).where("k >= least").select("cls")
-    return cut(shared.join(enough, "cls", "left_semi").select("sig", "cls", *ends).where("pivot < last").drop("last"))
+    return stored(shared.join(small_side(cut(enough)), "cls", "left_semi").select("sig", "cls", *ends).where("pivot < last").drop("last"))
 
 
 def _named(sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Rows of the sets (doc_id, key, cls, n_tokens), kept, and the same with their signatures."""
     rows = _signed(sets, num, den)
     if 100 * num >= 85 * den:
-        rows = cut(rows)
+        rows = stored(rows)
         return rows.drop("least", "sigs"), rows
     # signatures are then half as many as the n-grams; making them twice beats keeping them
     return cut(_sized(sets).select("doc_id", "key", "cls", "n_tokens")), rows
@@ -281,10 +281,15 @@ def _linked(source: DataFrame, tokens: Column, num: int, den: int) -> DataFrame:
     pivots = lists.where("cls <> pivot").groupBy("cls", "pivot").agg(F.count("*").alias("k")).groupBy("cls").agg(F.max_by("pivot", F.struct("k", "pivot")).alias("pivot"))
     links = cut(_links(pivots.select(F.col("pivot").alias("block"), F.col("pivot").alias("a"), F.col("cls").alias("b")), from_texts, num, den))
     comp = connected_components(links)
-    left, left_n = _open_lists(lists, comp)
+    # sets of lists that hold more than one component
+    now = lists.select("sig", "cls").join(comp.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    apart = now.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    open_sets = cut(lists.join(apart.select("sig"), "sig", "left_semi").select("cls").distinct())
+    left_n = open_sets.count()
     if left_n:
-        again = cut(from_texts(left.select("cls").distinct()).dropDuplicates(["cls"]))
-        lists = _prefixes(again, num, den)
+        again = stored(from_texts(open_sets).dropDuplicates(["cls"]))
+        prefixes = _prefixes(again, num, den)
+        lists = stored(prefixes.select(F.posexplode("prefix").alias("i", "sig"), "cls", "n", "own").select("sig", "cls", "n", (F.col("own") + F.col("i")).alias("at")))
         left, left_n = _open_lists(lists, comp)
 
     def from_again(which: DataFrame) -> DataFrame:
@@ -303,10 +308,12 @@ def _linked(source: DataFrame, tokens: Column, num: int, den: int) -> DataFrame:
         comp = connected_components(links)
         left, left_n = _open_lists(lists, comp)
     if left_n:
-        one = left.where("comp <> main").select("sig", F.col("cls").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("prefix").alias("px"))
-        other = left.select("sig", F.col("cls").alias("y"), F.col("comp").alias("cy"), F.col("comp").eqNullSafe(F.col("main")).alias("in_main"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("prefix").alias("py"))
+        one = left.where("comp <> main").select("sig", F.col("cls").alias("x"), F.col("comp").alias("cx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
+        other = left.select("sig", F.col("cls").alias("y"), F.col("comp").alias("cy"), F.col("comp").eqNullSafe(F.col("main")).alias("in_main"), F.col("n").alias("ny"), F.col("at").alias("ay"))
         able = _possible(F.col("nx"), F.col("ax"), F.col("ny"), F.col("ay"), num, den)
         meet = F.array_intersect("px", "py")[0] == F.col("sig")  # a pair is made in the first list that it shares
+        one = one.join(prefixes.select(F.col("cls").alias("x"), F.col("prefix").alias("px")), "x")
+        other = other.join(prefixes.select(F.col("cls").alias("y"), F.col("prefix").alias("py")), "y")
         blocks = one.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         one = one.join(blocks, "sig").withColumn("block", F.xxhash64("sig", F.pmod(F.xxhash64("x"), F.col("blocks"))))
         rest = one.join(other, "sig").where(F.expr("cx <> cy and (in_main or x < y)") & able & meet).select("block", F.col("x").alias("a"), F.col("y").alias("b"))
@@ -331,7 +338,7 @@ def _possible(na: Column, at_a: Column, nb: Column, at_b: Column, num: int, den:
 
 
 def _prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(sig, cls, n, at, prefix) of the lists of n-grams that stand in the prefix of at least two of ``sets``.
+    """(cls, n, own, prefix) of ``sets``: the n-grams of the prefix that other sets hold too, and how many are before them.
 
     N-grams are ordered by how many of the sets hold them, rare ones first.  A set of n
     links only if its first n - num * n / den + 1 n-grams hold the first common one;
@@ -344,9 +351,7 @@ def _prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
     length = F.floor((den - num) * F.col("n") / den) + 1
     ordered = token.groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("all"))
     own = F.col("n") - F.size("all")
-    ordered = ordered.where(own < length).select("cls", "n", own.alias("own"), F.slice(F.col("all.sig"), F.lit(1), (length - own).cast("int")).alias("prefix"))
-    each = ordered.select("cls", "n", "own", "prefix", F.posexplode("prefix").alias("i", "sig"))
-    return cut(each.select("sig", "cls", "n", (F.col("own") + F.col("i")).alias("at"), "prefix"))
+    return stored(ordered.where(own < length).select("cls", "n", own.alias("own"), F.slice(F.col("all.sig"), F.lit(1), (length - own).cast("int")).alias("prefix")))
 
 
 def _open_lists(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, int]:
