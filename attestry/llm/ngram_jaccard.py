@@ -40,9 +40,9 @@ FRAGMENTS = 8
 #: A block with more members than this, and than its share of all, meets them in several groups.
 PARTNERS = 2000
 #: Sets of a list that are compared with all others are held in blocks of about this many.
-BLOCK = 64
+BLOCK = 256
 #: Rounds of comparing strays with members of the main class, and members in each.
-ROUNDS, MEMBERS = 2, 4
+ROUNDS, MEMBERS = 2, 8
 
 _LEFT, _RIGHT = np.uint64(33), np.uint64(31)
 

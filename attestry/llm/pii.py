@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, join_per_key
 
 # The base kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -189,10 +189,11 @@ def disclosure(docs: DataFrame, text_col: str = "text", alpha: float = ALPHA, ge
     every = cut(pairs(docs, entity, n_wanted, text_col))
     m = every.count()
     pair = every.where("k_et > 1").join(entity, "entity")
-    # no word is in fewer documents than those counted here, so this bound leaves few words to be counted in all
+    # no word is in fewer documents than it shares with any kind or value, so this bound leaves few words to be counted in all
+    low = every.groupBy("word").agg(F.max("n_et").alias("low"))
     chance = lambda n_t: _log_chance(F.col("k_et"), F.col("k_e") * n_t / F.lit(float(max(n, 1))))
     bound = F.lit(math.log(alpha / max(m, 1)))
-    pair = cut(pair.where(chance(F.col("n_et")) <= bound))
+    pair = cut(join_per_key(cut(pair.where(chance(F.col("n_et")) <= bound)), low, ["word"]).where(chance(F.col("low")) <= bound).drop("low"))
     words = pair.select("word").distinct()
     n_words = words.count()
     if not n_words:
