@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import overlap, set_text
+from .contracts import enforce
 from .intervals import overlap_groups, overlap_join
 
 
@@ -29,13 +30,20 @@ class RefinePolicy:
         return self.marker, self.quality, self.hallmark, self.advisory
 
 
-def boundary_calls(evidence: DataFrame, records: DataFrame, policy: RefinePolicy) -> DataFrame:
+def boundary_calls(evidence: DataFrame, records: DataFrame, policy: RefinePolicy, strict: bool = True) -> DataFrame:
     """RFN-1: localized viral calls of the known tools, inside their parent, without duplicates.
 
-    ``evidence``: parent, tool, start, end; ``records``: parent, length.
+    ``evidence``: parent, tool, start, end; ``records``: parent, length.  Repeated calls,
+    and calls outside their parent or of unknown parents, raise; they are left out
+    only if ``strict`` is off.
     """
     calls = evidence.where(F.col("tool").isin(*policy.tools) & F.col("start").isNotNull() & F.col("end").isNotNull())
-    return calls.select("parent", "tool", "start", "end").join(records.select("parent", "length"), "parent").where("start >= 1 and start <= end and end <= length").select("parent", "length", "tool", "start", "end").distinct()
+    calls = calls.select("parent", "tool", "start", "end").join(records.select("parent", "length"), "parent", "left")
+    inside = F.coalesce(F.expr("start >= 1 and start <= end and end <= length"), F.lit(False))
+    if strict:
+        enforce(calls.where(~inside), "calls outside their parent")
+        enforce(calls.groupBy("parent", "tool", "start", "end").count().where("count > 1"), "repeated calls")
+    return calls.where(inside).select("parent", "length", "tool", "start", "end").distinct()
 
 
 def group_calls(calls: DataFrame, policy: RefinePolicy) -> DataFrame:
@@ -56,11 +64,11 @@ def group_calls(calls: DataFrame, policy: RefinePolicy) -> DataFrame:
     return both.join(order.select("parent", "own", "locus", "number"), ["parent", "own", "locus"]).select("parent", "length", "tool", "start", "end", F.col("number").cast("long").alias("locus"))
 
 
-def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy()) -> DataFrame:
+def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy(), strict: bool = True) -> DataFrame:
     """RFN-4, 5: one row for each locus: selected call (or null), status and supporting tools.
 
-    ``clashing`` tells that the deciding tool has several calls in the locus, which the
-    caller should treat as an error.
+    A deciding tool with several calls in one locus is ambiguous and raises; with
+    ``strict`` off, ``clashing`` marks such loci and the first call stands.
     """
     p = policy
     call = F.struct("start", "end")
@@ -84,6 +92,8 @@ def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy())
     loci = loci.withColumn("selected_tool", chosen)
     loci = loci.withColumn("selected", F.coalesce(*[F.when(F.col("selected_tool") == t, F.col(f"c_{t}")) for t in p.tools]))
     loci = loci.withColumn("clashing", F.coalesce(*[F.when(F.col("selected_tool") == t, F.col(f"n_{t}") > 1) for t in p.tools], F.lit(False)))
+    if strict:
+        enforce(loci.where("clashing").select("parent", "locus", "selected_tool"), "several calls of the deciding tool in one locus")
     only = lambda *t: F.col("tools") == F.array(*[F.lit(x) for x in sorted(t)])
     none = F.col("selected").isNull()
     status = (

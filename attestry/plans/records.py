@@ -12,16 +12,14 @@ from ..operators import contracts as dq
 from ..operators import normalize as nrm
 from ..sources import readers, writers
 from ..streaming import completeness
+from ..functions.shared import shared_folder
 from . import frames as fr
 from .registry import query
 
 
 def _folder(spark: SparkSession, name: str) -> str:
     """A fresh place in the shared folder for what a query writes and reads again."""
-    sc_ = spark.sparkContext
-    if sc_.getCheckpointDir() is None:
-        sc_.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/attestry")
-    return f"{sc_.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT l_orderkey, l_linenumber, l_returnflag || '__c' || lpad(CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS VARCHAR), 6, '0') AS sequence_id FROM lineitem")
@@ -39,13 +37,13 @@ def norm_windows(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "window", "start", F.sha2("text", 256).alias("sha"))
 
 
-@query("""SELECT l_orderkey AS parent, CAST(l_quantity AS BIGINT) + l_linenumber * 1000 AS "start", CAST(l_quantity AS BIGINT) + 5 + l_linenumber * 1000 AS "end" FROM lineitem WHERE l_tax > 0.05""")
+@query("""SELECT l_orderkey AS parent, CAST(l_quantity AS BIGINT) + l_linenumber * 1000 AS "start", CAST(l_quantity AS BIGINT) + 5 + l_linenumber * 1000 AS "end" FROM lineitem""")
 def norm_window_parents(spark: SparkSession, d: str) -> DataFrame:
     """NRM-3: half of the results name their window with ``_`` for ``|``."""
     x = fr.table(spark, d, "lineitem")
     wid = F.concat_ws("|", F.col("l_orderkey").cast("string"), F.concat(F.lit("w"), F.col("l_linenumber").cast("string"), F.lit("p"), F.col("l_partkey").cast("string"), F.lit("s"), F.col("l_suppkey").cast("string")))
     w = x.select(wid.alias("window_id"), F.col("l_orderkey").alias("parent"), (F.col("l_linenumber") * 1000).cast("long").alias("offset")).distinct()
-    r = x.where("l_tax > 0.05").select(F.when(F.col("l_partkey") % 2 == 0, wid).otherwise(F.translate(wid, "|", "_")).alias("name"), F.col("l_quantity").cast("long").alias("start"), (F.col("l_quantity").cast("long") + 5).alias("end"))
+    r = x.select(F.when(F.col("l_partkey") % 2 == 0, wid).otherwise(F.translate(wid, "|", "_")).alias("name"), F.col("l_quantity").cast("long").alias("start"), (F.col("l_quantity").cast("long") + 5).alias("end"))
     return nrm.window_to_parent(r, w, "name")[0].select("parent", "start", "end")
 
 
@@ -199,11 +197,11 @@ def scan_features(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_gff(spark, path).select("feature_id", "parent", "start", "end", "table")
 
 
-@query("SELECT l_orderkey AS a, l_partkey AS b FROM lineitem WHERE l_linenumber = 2")
+@query("SELECT l_orderkey AS a, l_partkey AS b FROM lineitem")
 def scan_repaired(spark: SparkSession, d: str) -> DataFrame:
     """SRC-9."""
     path = _folder(spark, "repaired")
-    x = fr.table(spark, d, "lineitem").where("l_linenumber = 2")
+    x = fr.table(spark, d, "lineitem")
     x.select(F.concat(F.col("l_orderkey").cast("string"), F.when(F.col("l_orderkey") % 2 == 0, "\t").otherwise("\\t"), F.col("l_partkey").cast("string")).alias("value")).write.option("compression", "gzip").text(path)
     return readers.read_repaired(spark, path, "a long, b long")
 

@@ -11,10 +11,10 @@ from . import frames as fr
 from .registry import query
 
 
-@query("SELECT reference_id, p_name AS name, p_brand AS brand FROM (SELECT DISTINCT l_partkey AS reference_id FROM lineitem WHERE l_quantity > 45) LEFT JOIN part ON p_partkey = reference_id")
+@query("SELECT reference_id, p_name AS name, p_brand AS brand FROM (SELECT DISTINCT l_partkey AS reference_id FROM lineitem) LEFT JOIN part ON p_partkey = reference_id")
 def hit_reference_subset(spark: SparkSession, d: str) -> DataFrame:
     """HIT-1."""
-    x = fr.table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("sseqid"))
+    x = fr.table(spark, d, "lineitem").select(F.col("l_partkey").alias("sseqid"))
     m = fr.table(spark, d, "part").select(F.col("p_partkey").alias("reference_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"))
     return h.reference_subset(x, m)
 
@@ -116,10 +116,10 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.withColumn("path", F.array_join("path", ";")).withColumn("support", F.round("support", 9))
 
 
-@query(f"WITH {fr.CATALOG}, " + VOTE_SQL.format(key="part", votes="SELECT l_partkey AS k, region, nation, CASE WHEN l_suppkey % 5 > 0 THEN supplier END AS supplier, l_extendedprice AS w FROM lineitem JOIN catalog ON l_suppkey = path_id WHERE l_discount >= 0.09"))
+@query(f"WITH {fr.CATALOG}, " + VOTE_SQL.format(key="part", votes="SELECT l_partkey AS k, region, nation, CASE WHEN l_suppkey % 5 > 0 THEN supplier END AS supplier, l_extendedprice AS w FROM lineitem JOIN catalog ON l_suppkey = path_id"))
 def locus_weighted_vote(spark: SparkSession, d: str) -> DataFrame:
     """LOC-3."""
-    x = fr.table(spark, d, "lineitem").where("l_discount >= 0.09").join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id"))
+    x = fr.table(spark, d, "lineitem").join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id"))
     x = x.select(F.col("l_partkey").alias("part"), "region", "nation", F.when(F.col("l_suppkey") % 5 > 0, F.col("supplier")).alias("supplier"), F.col("l_extendedprice").alias("w"))
     return _flat(lineage.hierarchical_vote(x, ["part"], fr.RANKS, "w"))
 

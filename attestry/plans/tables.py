@@ -67,8 +67,8 @@ def interval_overlap_join(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _selected(spark: SparkSession, d: str) -> DataFrame:
-    calls = refine.boundary_calls(fr.calls(spark, d), fr.records(spark, d), refine.RefinePolicy())
-    return refine.select_boundaries(refine.group_calls(calls, refine.RefinePolicy()))
+    calls = refine.boundary_calls(fr.calls(spark, d), fr.records(spark, d), refine.RefinePolicy(), strict=False)
+    return refine.select_boundaries(refine.group_calls(calls, refine.RefinePolicy()), strict=False)
 
 
 SELECT_SQL = f"""WITH {fr.CALLS}, ok AS (SELECT DISTINCT parent, length, tool, "start", "end" FROM calls WHERE "end" <= length),
@@ -168,11 +168,11 @@ def ref_dedup_exact(spark: SparkSession, d: str) -> DataFrame:
     return reference.dedup_exact(fr.table(spark, d, "documents"), "doc_id", "text")
 
 
-@query("""WITH o AS (SELECT l_partkey AS part, CASE l_returnflag WHEN 'A' THEN 'CHROMOSOME' WHEN 'N' THEN CASE WHEN l_linestatus = 'O' THEN 'PLASMID' ELSE 'CHROMOSOME' END WHEN 'R' THEN CASE WHEN l_quantity < 49 THEN 'CHROMOSOME' END END AS label FROM lineitem WHERE l_discount > 0.08)
+@query("""WITH o AS (SELECT l_partkey AS part, CASE l_returnflag WHEN 'A' THEN 'CHROMOSOME' WHEN 'N' THEN CASE WHEN l_linestatus = 'O' THEN 'PLASMID' ELSE 'CHROMOSOME' END WHEN 'R' THEN CASE WHEN l_quantity < 49 THEN 'CHROMOSOME' END END AS label FROM lineitem)
 SELECT part, CASE WHEN bool_or(label IS NULL) THEN 'UNSUPPORTED' WHEN count(DISTINCT label) = 1 THEN min(label) WHEN count(DISTINCT label) > 1 THEN 'SHARED' ELSE 'UNPLACED' END AS reference_class, coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels FROM o GROUP BY 1""")
 def ref_classify(spark: SparkSession, d: str) -> DataFrame:
     """REF-7."""
-    x = fr.table(spark, d, "lineitem").where("l_discount > 0.08").withColumnRenamed("l_partkey", "part")
+    x = fr.table(spark, d, "lineitem").withColumnRenamed("l_partkey", "part")
     label = F.when(F.col("l_returnflag") == "A", "CHROMOSOME").when(F.col("l_returnflag") == "N", F.when(F.col("l_linestatus") == "O", "PLASMID").otherwise("CHROMOSOME")).when(F.col("l_returnflag") == "R", F.when(F.col("l_quantity") < 49, "CHROMOSOME"))
     return reference.classify_by_occurrence(x, "part", label)
 

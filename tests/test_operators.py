@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from attestry.functions import scalars
@@ -229,3 +230,19 @@ def test_near_representatives_by_identity_and_coverage(spark):
     out = reference.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
     want = {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 10: 10} | {11 + i: 11 + i // 2 * 2 for i in range(16)}
     assert {r.id: r.representative for r in out.collect()} == want
+
+
+def test_bad_boundaries_raise(spark):
+    policy = refine.RefinePolicy()
+    records = spark.createDataFrame([("p", 100)], "parent string, length long")
+    calls = lambda *rows: spark.createDataFrame([("p", *r) for r in rows], "parent string, tool string, start long, end long")
+    for bad in ([("marker", 5, 101)], [("marker", 5, 50), ("marker", 5, 50)], [("quality", 0, 9)], [("quality", 9, 8)]):
+        with pytest.raises(ValueError):
+            refine.boundary_calls(calls(*bad), records, policy)
+        assert refine.boundary_calls(calls(*bad), records, policy, strict=False).count() <= 1
+    with pytest.raises(ValueError):
+        refine.boundary_calls(calls(("marker", 5, 50)), records.where("length < 0"), policy)
+    two = refine.group_calls(refine.boundary_calls(calls(("marker", 10, 50), ("marker", 40, 60)), records, policy), policy)
+    with pytest.raises(ValueError):
+        refine.select_boundaries(two, policy)
+    assert refine.select_boundaries(two, policy, strict=False).first().clashing
