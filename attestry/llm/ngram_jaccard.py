@@ -16,7 +16,9 @@ more members of it; and what is still apart is at last compared with everything
 the list that isn't in its class yet, so no link is lost.  For what is open after the
 pivots, the n-grams are ordered anew, rare ones first, and the lists are those of the
 n-grams in each set's prefix, which any link must share; the places of the first
-common n-gram bound the overlap, so most pairs of distant members are never counted.
+common n-gram bound the overlap, and a bitmap of each set (the parity of its n-grams
+in 1,024 bins) bounds the difference from below, so most pairs of members that are
+almost alike enough are never counted.
 Texts are never shuffled: of a set that has to be compared, one text is shingled again
 where it lies.
 """
@@ -24,7 +26,9 @@ where it lies.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil, exp, sqrt
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,8 @@ PARTNERS = 2000
 BLOCK = 256
 #: Rounds of comparing strays with members of the main class, and members in each.
 ROUNDS, MEMBERS = 2, 8
+#: 64-bit words of the bitmap that bounds how much two sets differ.
+WORDS = 16
 
 _LEFT, _RIGHT = np.uint64(33), np.uint64(31)
 
@@ -287,7 +293,7 @@ def _linked(source: DataFrame, tokens: Column, num: int, den: int) -> DataFrame:
     open_sets = cut(lists.join(apart.select("sig"), "sig", "left_semi").select("cls").distinct())
     left_n = open_sets.count()
     if left_n:
-        again = stored(from_texts(open_sets).dropDuplicates(["cls"]))
+        again = stored(_bitmaps(from_texts(open_sets).dropDuplicates(["cls"])))
         prefixes = _prefixes(again, num, den)
         lists = stored(prefixes.select(F.posexplode("prefix").alias("i", "sig"), "cls", "n", "own").select("sig", "cls", "n", (F.col("own") + F.col("i")).alias("at")))
         left, left_n = _open_lists(lists, comp)
@@ -312,11 +318,12 @@ def _linked(source: DataFrame, tokens: Column, num: int, den: int) -> DataFrame:
         other = left.select("sig", F.col("cls").alias("y"), F.col("comp").alias("cy"), F.col("comp").eqNullSafe(F.col("main")).alias("in_main"), F.col("n").alias("ny"), F.col("at").alias("ay"))
         able = _possible(F.col("nx"), F.col("ax"), F.col("ny"), F.col("ay"), num, den)
         meet = F.array_intersect("px", "py")[0] == F.col("sig")  # a pair is made in the first list that it shares
-        one = one.join(prefixes.select(F.col("cls").alias("x"), F.col("prefix").alias("px")), "x")
-        other = other.join(prefixes.select(F.col("cls").alias("y"), F.col("prefix").alias("py")), "y")
+        near = _near(F.col("bx"), F.col("by"), F.col("nx"), F.col("ny"), num, den)
+        one = one.join(prefixes.select(F.col("cls").alias("x"), F.col("prefix").alias("px"), F.col("bits").alias("bx")), "x")
+        other = other.join(prefixes.select(F.col("cls").alias("y"), F.col("prefix").alias("py"), F.col("bits").alias("by")), "y")
         blocks = one.groupBy("sig").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         one = one.join(blocks, "sig").withColumn("block", F.xxhash64("sig", F.pmod(F.xxhash64("x"), F.col("blocks"))))
-        rest = one.join(other, "sig").where(F.expr("cx <> cy and (in_main or x < y)") & able & meet).select("block", F.col("x").alias("a"), F.col("y").alias("b"))
+        rest = one.join(other, "sig").where(F.expr("cx <> cy and (in_main or x < y)") & able & near & meet).select("block", F.col("x").alias("a"), F.col("y").alias("b"))
         links = cut(links.unionByName(_links(rest, from_again, num, den)).distinct())
         comp = connected_components(links)
     # smallest doc_id of each component; classes with very many rows get their names by broadcast
@@ -337,8 +344,37 @@ def _possible(na: Column, at_a: Column, nb: Column, at_b: Column, num: int, den:
     return (num + den) * F.least(na - at_a, nb - at_b) >= num * (na + nb)
 
 
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """``sets`` (cls, n, tokens) with ``bits``: WORDS words that hold, for each bin of n-grams, whether their number is odd."""
+    bins = 64 * WORDS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for s in range(0, whole.num_rows, 250):
+                batch = whole.slice(s, 250)
+                tokens = batch.column("tokens")
+                flat = tokens.flatten().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(batch.num_rows), np.diff(tokens.offsets.to_numpy()))
+                odd = np.bincount(row * bins + (_mix(flat.astype(np.uint64)) % np.uint64(bins)).astype(np.int64), minlength=batch.num_rows * bins) & 1
+                words = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(0, len(words) + 1, WORDS, dtype=np.int32)), pa.array(words))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "n", "tokens")), bits], names=["cls", "n", "tokens", "bits"])
+
+    return sets.select("cls", "n", "tokens").mapInArrow(run, "cls long, n long, tokens array<long>, bits array<long>")
+
+
+def _near(bits_a: Column, bits_b: Column, na: Column, nb: Column, num: int, den: int) -> Column:
+    """Whether two sets with these bitmaps can reach the threshold.
+
+    A bin whose parity differs holds an n-gram of one set alone at least, and linked
+    sets differ in at most (den - num) / (den + num) of both sizes.
+    """
+    differ = reduce(add, [F.bit_count(bits_a[i].bitwiseXOR(bits_b[i])) for i in range(WORDS)])
+    return (num + den) * differ <= (den - num) * (na + nb)
+
+
 def _prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(cls, n, own, prefix) of ``sets``: the n-grams of the prefix that other sets hold too, and how many are before them.
+    """(cls, n, own, prefix, bits) of ``sets``: the n-grams of the prefix that other sets hold too, and how many are before them.
 
     N-grams are ordered by how many of the sets hold them, rare ones first.  A set of n
     links only if its first n - num * n / den + 1 n-grams hold the first common one;
@@ -351,7 +387,8 @@ def _prefixes(sets: DataFrame, num: int, den: int) -> DataFrame:
     length = F.floor((den - num) * F.col("n") / den) + 1
     ordered = token.groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "sig"))).alias("all"))
     own = F.col("n") - F.size("all")
-    return stored(ordered.where(own < length).select("cls", "n", own.alias("own"), F.slice(F.col("all.sig"), F.lit(1), (length - own).cast("int")).alias("prefix")))
+    ordered = ordered.where(own < length).select("cls", "n", own.alias("own"), F.slice(F.col("all.sig"), F.lit(1), (length - own).cast("int")).alias("prefix"))
+    return stored(ordered.join(sets.select("cls", "bits"), "cls"))
 
 
 def _open_lists(lists: DataFrame, comp: DataFrame) -> tuple[DataFrame, int]:
