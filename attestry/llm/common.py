@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows were counted and found to be at most this many.
 BROADCAST_ROWS = 1_000_000
+#: Edges that one task takes in a round of :func:`connected_components`.
+EDGES = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,7 +76,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star: every round is two shuffles of the edge
     list, hot nodes are pre-aggregated with ``min``, and no list of neighbours is
-    ever collected.  Nulls and loops are dropped; an empty input gives an empty result.
+    ever collected.  A round runs on as many tasks as its edges need (EDGES each), so
+    the last rounds, with few edges left, need no shuffle at all.  Nulls and loops are
+    dropped; an empty input gives an empty result.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = cut(e)
@@ -82,8 +86,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if n == 0:
             break
+        e = e.coalesce(-(-n // EDGES))
         # large-star: neighbours above a node move to the smallest neighbour (or the node itself)
-        both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small-star: a node and its neighbours below it move to the smallest of them
