@@ -14,22 +14,36 @@ def catalog_index(catalog: DataFrame, path_id: str, ranks: list[str]) -> DataFra
     return catalog.select(F.posexplode(F.array(*[F.col(r).cast("string") for r in ranks])).alias("i", "taxon"), F.col(path_id).alias("path_id")).where("taxon is not null").select((F.col("i") + 1).alias("rank"), "taxon", "path_id")
 
 
-def match_claims(claims: DataFrame, catalog: DataFrame, path_id: str, ranks: list[str], claim_id: str = "claim") -> DataFrame:
-    """TAX-1: (claim, path_id) of the paths that hold all the ranks a claim names.
+def catalog_nodes(catalog: DataFrame, path_id: str, ranks: list[str]) -> DataFrame:
+    """One row for each prefix of a catalog path that ends in a name.
 
-    Equal lineages are matched once: the index is joined on each distinct lineage's
-    deepest name only, and the ranks above are compared on the path itself.
+    (node, rank, taxon, paths, first_path) and for each rank the smallest name among
+    the node's paths, with the bounds that tell whether all of them share it.
+    """
+    each = catalog.select(F.col(path_id).alias("path_id"), *[F.col(r).cast("string").alias(r) for r in ranks])
+    path = F.array(*ranks)
+    each = each.select("*", F.explode(F.sequence(F.lit(1), F.lit(len(ranks)))).alias("rank")).where(F.element_at(path, F.col("rank")).isNotNull())
+    each = each.withColumn("node", F.slice(path, F.lit(1), F.col("rank")))
+    bounds = [a for r in ranks for a in (F.min(r).alias(r), F.min(F.coalesce(r, F.lit("\0"))).alias(f"low_{r}"), F.max(F.coalesce(r, F.lit("\0"))).alias(f"high_{r}"))]
+    return each.groupBy("node").agg(F.count("*").alias("paths"), F.min("path_id").alias("first_path"), *bounds).withColumns({"rank": F.size("node"), "taxon": F.element_at("node", -1)})
+
+
+def match_claims(claims: DataFrame, nodes: DataFrame, ranks: list[str], claim_id: str = "claim") -> DataFrame:
+    """TAX-1: (claim, node) of the catalog nodes, from :func:`catalog_nodes`, that hold all the ranks a claim names.
+
+    A node stands for all paths below it, so what is joined grows with the claims and
+    not with the paths; a claim has several nodes, all of one rank, only where it
+    leaves out names above its deepest one.  Equal lineages are matched once.
     """
     named = claims.select(claim_id, *[F.col(r).cast("string").alias(r) for r in ranks])
     lineages = named.select(*ranks).distinct()
     deepest = F.coalesce(*[F.when(F.col(r).isNotNull(), F.struct(F.lit(i + 1).alias("rank"), F.col(r).alias("taxon"))) for i, r in reversed(list(enumerate(ranks)))])
     keyed = lineages.withColumn("__d", deepest).where("__d is not null").withColumns({"rank": F.col("__d.rank"), "taxon": F.col("__d.taxon")}).drop("__d")
-    paths = catalog.select(F.col(path_id).alias("path_id"), *[F.col(r).cast("string").alias(f"__{r}") for r in ranks])
-    hit = keyed.join(catalog_index(catalog, path_id, ranks), ["rank", "taxon"]).join(paths, "path_id")
-    same = reduce(lambda a, b: a & b, [F.col(r).isNull() | (F.col(r) == F.col(f"__{r}")) for r in ranks])
-    hit = hit.where(same).select(*ranks, "path_id")
+    hit = keyed.join(nodes.select("rank", "taxon", "node"), ["rank", "taxon"])
+    same = reduce(lambda a, b: a & b, [F.col(r).isNull() | (F.col(r) == F.get("node", F.lit(i))) for i, r in enumerate(ranks)])
+    hit = hit.where(same).select(*ranks, "node")
     on = [named[r].eqNullSafe(hit[r]) for r in ranks]
-    return named.join(hit, on).select(named[claim_id], "path_id").distinct()
+    return named.join(hit, on).select(named[claim_id], "node").distinct()
 
 
 def claim_tier(rules: list[tuple[Column, str]]) -> Column:
@@ -40,11 +54,13 @@ def claim_tier(rules: list[tuple[Column, str]]) -> Column:
     return out.otherwise("provisional") if out is not None else F.lit("provisional")
 
 
-def resolve(claims: DataFrame, matches: DataFrame, catalog: DataFrame, path_id: str, ranks: list[str]) -> DataFrame:
+def resolve(claims: DataFrame, matches: DataFrame, nodes: DataFrame, ranks: list[str]) -> DataFrame:
     """TAX-4 to TAX-7: strict and exploratory lineage of each final record.
 
     ``claims``: claim, final_id, tool, family, tier (1 to 3), the ranks; ``matches``:
-    (claim, path_id).  Paths are scored by (highest tier, families, sum of tier times
+    (claim, node) and ``nodes`` as :func:`catalog_nodes` gives them.  A path has the
+    supporters of the deepest claimed node on it, and a deeper node has more of them,
+    so only claimed nodes are scored; paths are never listed.  Paths are scored by (highest tier, families, sum of tier times
     depth, tools); the ranks that all best paths share are the exploratory lineage,
     down to the deepest that a supporter names.  The strict lineage stops at the first
     rank at which a different taxon has two families behind it; its last rank (the
@@ -54,11 +70,14 @@ def resolve(claims: DataFrame, matches: DataFrame, catalog: DataFrame, path_id:
     depth = F.coalesce(*[F.when(F.col(r).isNotNull(), F.lit(i + 1)) for i, r in reversed(list(enumerate(ranks)))], F.lit(0))
     valid = claims.join(matches.select("claim").distinct(), "claim", "left_semi").withColumn("depth", depth)
     voted = matches.join(valid.select("claim", "final_id", "tool", "family", "tier", "depth"), "claim")
-    score = voted.groupBy("final_id", "path_id").agg(F.struct(F.max("tier").alias("t"), F.count_distinct("family").alias("f"), F.sum(F.col("tier") * F.col("depth")).alias("s"), F.count_distinct("tool").alias("k")).alias("score"), F.max("depth").alias("deep"))
+    above = F.explode(F.transform(F.sequence(F.lit(1), F.size("node")), lambda i: F.slice("node", F.lit(1), i)))
+    chain = voted.select("final_id", "node").distinct().select("final_id", "node", above.alias("above"))
+    backed = chain.join(voted.withColumnRenamed("node", "above"), ["final_id", "above"])
+    score = backed.groupBy("final_id", "node").agg(F.struct(F.max("tier").alias("t"), F.count_distinct("family").alias("f"), F.sum(F.col("tier") * F.col("depth")).alias("s"), F.count_distinct("tool").alias("k")).alias("score"))
     top = score.groupBy("final_id").agg(F.max("score").alias("score"))
-    best = score.join(top, ["final_id", "score"])
-    paths = catalog.select(F.col(path_id).alias("path_id"), *[F.col(r).cast("string").alias(r) for r in ranks])
-    shared = best.join(paths, "path_id").groupBy("final_id").agg(*[F.when((F.min(F.coalesce(r, F.lit("\0"))) == F.max(F.coalesce(r, F.lit("\0")))), F.min(r)).alias(f"x_{r}") for r in ranks], F.max("deep").alias("deep"), F.count("*").alias("best_paths"))
+    best = score.join(top, ["final_id", "score"]).select("final_id", "node")
+    agreed = [F.when(F.min(f"low_{r}") == F.max(f"high_{r}"), F.min(r)).alias(f"x_{r}") for r in ranks]
+    shared = best.join(nodes, "node").groupBy("final_id").agg(*agreed, F.max("rank").alias("deep"), F.sum("paths").alias("best_paths"))
     shared = shared.select("final_id", "best_paths", *[F.when(F.col("deep") >= i + 1, F.col(f"x_{r}")).alias(f"x_{r}") for i, r in enumerate(ranks)], F.coalesce(*[F.when((F.col("deep") >= i + 1) & F.col(f"x_{r}").isNull(), F.lit(i + 1)) for i, r in enumerate(ranks)], F.lit(0)).alias("ambiguous_rank"))
     # alternatives with two families behind them
     each = valid.select("final_id", "family", "tier", F.posexplode(F.array(*[F.col(r).cast("string") for r in ranks])).alias("i", "taxon")).where("taxon is not null")

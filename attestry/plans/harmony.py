@@ -168,11 +168,11 @@ def harmony_dispositions(spark: SparkSession, d: str) -> DataFrame:
 
 
 CLAIMS = f"""{fr.CATALOG}, claims AS (SELECT o.l_orderkey * 10 + o.l_linenumber AS claim, o.l_orderkey AS final_id, 't' || (o.l_linenumber % 4) AS tool, 'f' || (o.l_linenumber % 3) AS family, CAST(o.l_partkey % 3 + 1 AS INTEGER) AS tier,
-  region, CASE WHEN o.l_partkey % 4 > 0 THEN nation END AS nation, CASE WHEN o.l_partkey % 4 > 1 THEN CASE WHEN o.l_partkey % 40 = 2 THEN 'no such' ELSE supplier END END AS supplier FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem WHERE l_orderkey % 4 = 0 GROUP BY 1, 2) o JOIN catalog ON path_id = l_suppkey)"""
+  region, CASE WHEN o.l_partkey % 4 > 0 THEN nation END AS nation, CASE WHEN o.l_partkey % 4 > 1 THEN CASE WHEN o.l_partkey % 40 = 2 THEN 'no such' ELSE supplier END END AS supplier FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM lineitem GROUP BY 1, 2) o JOIN catalog ON path_id = l_suppkey)"""
 
 
 def _claims(spark: SparkSession, d: str) -> DataFrame:
-    one = fr.table(spark, d, "lineitem").where("l_orderkey % 4 = 0").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey"))
+    one = fr.table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey"))
     x = one.join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id"))
     m = F.col("l_partkey") % 4
     return x.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim"), F.col("l_orderkey").alias("final_id"), F.concat(F.lit("t"), (F.col("l_linenumber") % 4).cast("string")).alias("tool"), F.concat(F.lit("f"), (F.col("l_linenumber") % 3).cast("string")).alias("family"), (F.col("l_partkey") % 3 + 1).cast("int").alias("tier"), "region", F.when(m > 0, F.col("nation")).alias("nation"), F.when(m > 1, F.when(F.col("l_partkey") % 40 == 2, "no such").otherwise(F.col("supplier"))).alias("supplier"))
@@ -184,8 +184,9 @@ MATCHES = CLAIMS + ", matches AS (SELECT claim, path_id FROM claims c JOIN catal
 @query(f"WITH {MATCHES} SELECT claim, count(*) AS paths, min(path_id) AS first_path FROM matches GROUP BY 1")
 def tax_matches(spark: SparkSession, d: str) -> DataFrame:
     """TAX-1."""
-    m = taxonomy.match_claims(_claims(spark, d), fr.catalog(spark, d), "path_id", fr.RANKS)
-    return m.groupBy("claim").agg(F.count("*").alias("paths"), F.min("path_id").alias("first_path"))
+    nodes = taxonomy.catalog_nodes(fr.catalog(spark, d), "path_id", fr.RANKS)
+    m = taxonomy.match_claims(_claims(spark, d), nodes, fr.RANKS).join(nodes, "node")
+    return m.groupBy("claim").agg(F.sum("paths").alias("paths"), F.min("first_path").alias("first_path"))
 
 
 RESOLVED = f"""WITH {MATCHES}, valid AS (SELECT *, CASE WHEN supplier IS NOT NULL THEN 3 WHEN nation IS NOT NULL THEN 2 ELSE 1 END AS depth FROM claims WHERE claim IN (SELECT claim FROM matches)),
@@ -203,9 +204,9 @@ res AS (SELECT final_id, CASE WHEN conf = 0 OR conf > 1 THEN r END AS strict_reg
 
 
 def _resolved(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    claims, cat = _claims(spark, d), fr.catalog(spark, d)
-    m = taxonomy.match_claims(claims, cat, "path_id", fr.RANKS)
-    return claims, m, taxonomy.resolve(claims, m, cat, "path_id", fr.RANKS)
+    claims, nodes = _claims(spark, d), taxonomy.catalog_nodes(fr.catalog(spark, d), "path_id", fr.RANKS)
+    m = taxonomy.match_claims(claims, nodes, fr.RANKS)
+    return claims, m, taxonomy.resolve(claims, m, nodes, fr.RANKS)
 
 
 @query(RESOLVED + "SELECT * FROM res")
@@ -230,11 +231,11 @@ def tax_vote_audit(spark: SparkSession, d: str) -> DataFrame:
     return taxonomy.vote_audit(*_resolved(spark, d), fr.RANKS)
 
 
-@query(RESOLVED + """, g AS (SELECT o_custkey AS grp, o_orderkey AS final_id, CAST(o_totalprice AS BIGINT) AS length FROM orders WHERE o_orderkey % 4 = 0), m AS (SELECT grp, count(*) AS members, count(DISTINCT strict_region) AS a, count(DISTINCT strict_nation) AS b, count(DISTINCT strict_supplier) AS c FROM g LEFT JOIN res USING (final_id) WHERE length >= 100000 GROUP BY 1)
+@query(RESOLVED + """, g AS (SELECT o_custkey AS grp, o_orderkey AS final_id, CAST(o_totalprice AS BIGINT) AS length FROM orders), m AS (SELECT grp, count(*) AS members, count(DISTINCT strict_region) AS a, count(DISTINCT strict_nation) AS b, count(DISTINCT strict_supplier) AS c FROM g LEFT JOIN res USING (final_id) WHERE length >= 100000 GROUP BY 1)
 SELECT DISTINCT g.grp AS "group", coalesce(members, 0) AS members, CASE WHEN a > 1 THEN 'region' WHEN b > 1 THEN 'nation' WHEN c > 1 THEN 'supplier' ELSE '' END AS first_mixed_rank, CASE WHEN members IS NULL THEN 'below_minimum_length' WHEN a > 1 OR b > 1 OR c > 1 THEN 'ambiguous_group' WHEN members = 1 THEN 'singleton' ELSE 'consistent_group' END AS status FROM g LEFT JOIN m ON g.grp = m.grp""")
 def tax_groups(spark: SparkSession, d: str) -> DataFrame:
     """TAX-9."""
-    g = fr.table(spark, d, "orders").where("o_orderkey % 4 = 0").select(F.col("o_custkey").alias("group"), F.col("o_orderkey").alias("final_id"), F.col("o_totalprice").cast("decimal(20,0)").cast("long").alias("length"))
+    g = fr.table(spark, d, "orders").select(F.col("o_custkey").alias("group"), F.col("o_orderkey").alias("final_id"), F.col("o_totalprice").cast("decimal(20,0)").cast("long").alias("length"))
     return taxonomy.group_report(g, _resolved(spark, d)[2], fr.RANKS, 100_000)
 
 

@@ -182,9 +182,10 @@ def test_quality_and_argmax(spark):
 def test_taxonomy_prefers_backed_paths(spark):
     catalog = table(spark, "p long, x string, y string", (1, "A", "p"), (2, "A", "q"))
     claims = table(spark, "claim long, final_id long, tool string, family string, tier int, x string, y string", (1, 1, "t", "f", 2, "A", "p"), (2, 1, "u", "g", 2, "A", "p"), (3, 1, "v", "h", 3, "A", "q"), (4, 2, "t", "f", 3, "Z", None))
-    m = taxonomy.match_claims(claims, catalog, "p", ["x", "y"])
-    assert {(r.claim, r.path_id) for r in m.collect()} == {(1, 1), (2, 1), (3, 2)}
-    r = taxonomy.resolve(claims, m, catalog, "p", ["x", "y"]).first()
+    nodes = taxonomy.catalog_nodes(catalog, "p", ["x", "y"])
+    m = taxonomy.match_claims(claims, nodes, ["x", "y"])
+    assert {(r.claim, r.first_path) for r in m.join(nodes, "node").collect()} == {(1, 1), (2, 1), (3, 2)}
+    r = taxonomy.resolve(claims, m, nodes, ["x", "y"]).first()
     assert (r.exploratory_y, r.conflict_rank, r.strict_x, r.strict_y, r.species_status) == ("q", 2, "A", None, "withheld_species_conflict")
 
 
@@ -246,3 +247,27 @@ def test_bad_boundaries_raise(spark):
     with pytest.raises(ValueError):
         refine.select_boundaries(two, policy)
     assert refine.select_boundaries(two, policy, strict=False).first().clashing
+
+
+def test_best_paths_over_nodes(spark):
+    """Nodes give the paths and lineages that scoring every catalog path by hand gives, with gaps in claims and in the catalog."""
+    rng = random.Random(5)
+    ranks = ["x", "y", "z"]
+    paths = [(p, f"x{rng.randrange(2)}", rng.choice([None, "y0", "y1", "y2"]), rng.choice([None, f"z{rng.randrange(6)}"])) for p in range(60)]
+    claims = [(c, c // 3, f"t{rng.randrange(3)}", f"f{rng.randrange(2)}", rng.randrange(1, 4), *(rng.choice([None, v]) for v in paths[rng.randrange(60)][1:])) for c in range(180)]
+    want = {}
+    for final in {c[1] for c in claims}:
+        scores = {}
+        for p in paths:
+            backing = [c for c in claims if c[1] == final and any(c[5:]) and all(n is None or n == q for n, q in zip(c[5:], p[1:], strict=True))]
+            depths = [max(i + 1 for i in range(3) if c[5 + i]) for c in backing]
+            if backing:
+                scores[p] = (max(c[4] for c in backing), len({c[3] for c in backing}), sum(c[4] * d for c, d in zip(backing, depths, strict=True)), len({c[2] for c in backing})), max(depths)
+        if scores:
+            best = [p for p, v in scores.items() if v[0] == max(w[0] for w in scores.values())]
+            deep = max(scores[p][1] for p in best)
+            want[final] = (len(best), *(best[0][i + 1] if i < deep and len({p[i + 1] for p in best}) == 1 else None for i in range(3)))
+    claims = spark.createDataFrame(claims, "claim int, final_id int, tool string, family string, tier int, x string, y string, z string")
+    nodes = taxonomy.catalog_nodes(spark.createDataFrame(paths, "p int, x string, y string, z string"), "p", ranks)
+    got = taxonomy.resolve(claims, taxonomy.match_claims(claims, nodes, ranks), nodes, ranks).collect()
+    assert {r.final_id: (r.best_paths, r.exploratory_x, r.exploratory_y, r.exploratory_z) for r in got} == want
