@@ -313,3 +313,31 @@ def test_ann_visits_fewer_than_all(unequal):
     best = np.argsort(-scores, axis=1)[:, :20]
     assert np.mean([visited[i][best[i]].mean() for i in range(len(asked))]) >= 0.9
     assert products < len(asked) * len(x) and visited.mean() < 0.8
+
+
+def test_bitmaps_never_hide_a_link(spark):
+    """The bitmap bound lets every pair over the threshold pass, and stops most that are just under it."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(2**62), 2**62, 300)
+    sets = [np.unique(np.concatenate([np.delete(base, rng.choice(300, k, False)), rng.integers(-(2**62), 2**62, k)])) for k in range(40)] + [base[:1]]
+    rows = spark.createDataFrame([(i, len(x), x.tolist()) for i, x in enumerate(sets)], "cls long, n long, tokens array<long>")
+    marked = ngram_jaccard._bitmaps(rows)
+    a, b = (marked.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"b{c}")) for c in "ab")
+    passed = a.join(b, F.col("a") < F.col("b")).where(ngram_jaccard._near(F.col("ba"), F.col("bb"), F.col("na"), F.col("nb"), 90, 100))
+    passed = {(r.a, r.b) for r in passed.select("a", "b").collect()}
+    share = {(i, j): len(np.intersect1d(sets[i], sets[j])) / len(np.union1d(sets[i], sets[j])) for i in range(41) for j in range(i + 1, 41)}
+    assert {p for p, v in share.items() if v >= 0.9} <= passed
+    assert not {p for p in passed if share[p] < 0.85}
+
+
+def test_components_on_many_tasks(spark, monkeypatch):
+    """Few or many edges a task give the same components."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 400) if i % 50] + [(0, k) for k in range(1000, 1100)], "a long, b long").repartition(7)
+    want = {i: i // 50 * 50 + 1 for i in range(401) if i % 50}
+    got = {}
+    for size in (20, 50_000):
+        monkeypatch.setattr(common, "EDGES", size)
+        got[size] = {r.node: r.component for r in common.connected_components(edges).collect()}
+    assert got[20] == got[50_000]
+    assert {k: v for k, v in got[20].items() if k in want} == want
+    assert all(got[20][k] == 0 for k in range(1000, 1100))
