@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, ngram_jaccard, pii, secrets, spotsigs, suffix_dedup, toxicity, url_filter
+from . import ann, bpe, line_cleaning, mixing, ngram_jaccard, pii, secrets, spotsigs, suffix_dedup, toxicity, url_filter
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -72,6 +72,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of words, symbols and repeats of every document, and whether enough of its lines pass the rules; see :func:`line_cleaning.digests`."""
+    return line_cleaning.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_multiprobe": op9_multiprobe,
     "op10_secrets": op10_secrets,
+    "op11_line_cleaning": op11_line_cleaning,
 }
 
 SQL: dict[str, str] = {}
@@ -144,3 +150,44 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(max_repos, 0) AS max_repos
 FROM docs LEFT JOIN spans USING (row)
 """
+
+_quoted = lambda s: "'" + s.replace("'", "''") + "'"
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_drop = lambda x, chars: f"length({x}) - length(translate({x}, {_quoted(chars)}, ''))"
+
+SQL["op11_line_cleaning"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT row, list_filter(string_split_regex(t, '{line_cleaning.GAP}'), lambda x: x <> '') AS w FROM d),
+grams AS (SELECT row, i, array_to_string(w[i : i + 7], ' ') AS g FROM (SELECT row, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+twice AS (SELECT row, i FROM (SELECT row, i, count(*) OVER (PARTITION BY row, g) AS n FROM grams) WHERE n > 1),
+reach AS (SELECT row, sum(k)::BIGINT AS n_repeat_words FROM (SELECT row, least(8, coalesce(lead(i) OVER (PARTITION BY row ORDER BY i) - i, 8)) AS k FROM twice) GROUP BY row),
+lines AS (SELECT row, i, line, trim(line, {_SPACES}) AS t FROM (SELECT row, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM d)),
+worded AS (
+  SELECT row, i, line, t, row_number() OVER (PARTITION BY row, line ORDER BY i) AS copy, len(string_split_regex(t, '{line_cleaning.GAP}')) AS n
+  FROM lines WHERE t <> ''
+),
+judged AS (
+  SELECT *, CASE
+      WHEN 5 * ({_drop("t", line_cleaning.SEPARATORS)}) >= n THEN 'navigation'
+      WHEN 2 * ({_drop("t", line_cleaning.NOISE)}) >= n THEN 'symbols'
+      WHEN 3 * ((length(t) - length(replace(t, '!!', ''))) + (length(t) - length(replace(t, '??', '')))) / 2 >= n THEN 'shouting'
+      WHEN n <= {line_cleaning.BOILERPLATE_WORDS} AND regexp_matches(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_quoted(line_cleaning.BOILERPLATE)}) THEN 'boilerplate'
+      WHEN NOT regexp_matches(t, {_quoted(line_cleaning.SENTENCE_END)}) THEN 'punctuation' END AS rule
+  FROM worded
+),
+per_doc AS (
+  SELECT row, count(*) FILTER (copy > 1) AS n_dup_lines, count(*) FILTER (copy = 1 AND rule IS NOT NULL) AS n_failed_lines,
+         string_agg(line, chr(10) ORDER BY i) FILTER (copy = 1 AND rule IS NULL) AS cleaned
+  FROM judged GROUP BY row
+),
+everything AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(translate(t, {_SPACES}, ''))::BIGINT AS word_chars, ({_drop("t", line_cleaning.SYMBOLS)})::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_failed_lines, 0) AS n_failed_lines, coalesce(cleaned, '') AS cleaned
+  FROM d JOIN w USING (row) LEFT JOIN reach USING (row) LEFT JOIN per_doc USING (row)
+),
+lost AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, (word_chars - length(translate(cleaned, {_SPACES}, '')))::BIGINT AS lost_chars FROM everything)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {line_cleaning.MAX_LOST[1]} * lost_chars <= {line_cleaning.MAX_LOST[0]} * word_chars AND cleaned <> '' AS kept,
+       n_failed_lines, lost_chars, sha256(cleaned) AS cleaned_sha256
+FROM lost
+"""
