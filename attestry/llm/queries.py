@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, line_cleaning, mixing, ngram_jaccard, pii, secrets, spotsigs, suffix_dedup, toxicity, url_filter
+from . import ann, bpe, conversations, line_cleaning, mixing, ngram_jaccard, pii, secrets, spotsigs, suffix_dedup, toxicity, url_filter
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -77,6 +77,11 @@ def op11_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_cleaning.digests(table(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, the cheapest edits that repair it and the hash of what they leave; see :func:`conversations.digests`."""
+    return conversations.digests(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_multiprobe": op9_multiprobe,
     "op10_secrets": op10_secrets,
     "op11_line_cleaning": op11_line_cleaning,
+    "op12_conversations": op12_conversations,
 }
 
 SQL: dict[str, str] = {}
