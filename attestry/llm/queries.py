@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, conversations, line_cleaning, mixing, ngram_jaccard, pii, secrets, spotsigs, suffix_dedup, toxicity, url_filter
+from . import ann, bpe, collocations, conversations, line_cleaning, mixing, ngram_jaccard, pii, secrets, spotsigs, suffix_dedup, toxicity, url_filter
 from .common import table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -82,6 +82,11 @@ def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digests(table(spark, sf_dir, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two to five words of every language of ``documents``, by how much they occur beyond chance; see :func:`collocations.collocations`."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
     "op11_line_cleaning": op11_line_cleaning,
     "op12_conversations": op12_conversations,
+    "op13_collocations": op13_collocations,
 }
 
 SQL: dict[str, str] = {}
@@ -197,3 +203,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        n_failed_lines, lost_chars, sha256(cleaned) AS cleaned_sha256
 FROM lost
 """
+
+SQL["op13_collocations"] = r"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS (SELECT lang, list_filter(string_split_regex(p, '[ \x09]+'), lambda w: w <> '') AS w FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs)),
+spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces WHERE len(w) > 0),
+f AS (
+  SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+  FROM spots, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, n.n, c.j, x.f AS l, y.f AS r, (1000 * c.a * n.n) // (x.f * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c JOIN n USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : c.j], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.j + 1 : ], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_ AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(1, k + 1)) AS i FROM c), (SELECT unnest([2, 3, 4]) AS m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL),
+left_ AS (SELECT best.* FROM best LEFT JOIN inner_ USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""
