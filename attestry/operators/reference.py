@@ -1,4 +1,4 @@
-"""Reference-table building (REF-1, REF-3 to REF-13)."""
+"""Reference-table building (REF-1, REF-3 to REF-13; REF-2 is in ``near_identity``)."""
 
 from __future__ import annotations
 
@@ -99,68 +99,3 @@ def accession_audit(df: DataFrame, id_col: str, text: str) -> DataFrame:
     coordinates = value.rlike(r"\(\d+\.\d+\)$")
     good = F.regexp_replace(value, r"\s*\(\d+\.\d+\)$", "").rlike(r"^[A-Za-z0-9_.]+$")
     return entry.groupBy(id_col).agg(F.count("*").alias("entries"), F.count_if(label).alias("labelled"), F.count_if(coordinates).alias("with_coordinates"), F.count_if(~good).alias("malformed"))
-
-
-#: Rounds in which lists of near-identity candidates are compared with their smallest member only.
-HEAD_ROUNDS = 3
-
-
-def dedup_near(df: DataFrame, id_col: str, seq: str, by: str, k: int = 12, threshold: float = 0.9, coverage: float = 0.8, bins: int = 64) -> DataFrame:
-    """REF-2: (id, representative) of near-identical sequences, each class clustered on its own.
-
-    A sequence is its list of distinct k-mers (windows of ``k`` characters; shorter
-    ones whole), in order.  A pair is kept if the stretch from the first to the last
-    shared k-mer covers ``coverage`` of both, and the share of that stretch's k-mers
-    that both hold is at least ``threshold ** k``, as for letters that agree at a rate
-    of ``threshold``.  This stands in for alignment identity.
-
-    Pairs share the minimum of at least one of ``bins`` bins.  At both limits they
-    share about an eighth of all their k-mers, so one in several thousand is missed.
-    Each list of sequences with the same minimum is compared with its smallest id,
-    which then leaves it; what is still apart after some rounds is compared with
-    everything in its list, so no pair that shares a minimum is lost.  Null sequences
-    and those of equal text follow the smallest id of their text.
-    """
-    from .hits import smallest_labels
-
-    text = df.where(F.col(seq).isNotNull()).groupBy(by, seq).agg(F.min(id_col).alias("rep"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(seq) - k + 1, F.lit(1)))
-    # slices of a character array cost k each, where substrings of the text would be sought from its start
-    kmers = F.transform(F.array(F.split(seq, "")), lambda c: F.transform(starts, lambda i: F.xxhash64(F.slice(c, i, k))))[0]
-    sets = text.select("rep", by, F.array_distinct(kmers).alias("kmers")).withColumn("n", F.size("kmers") + k - 1).persist()
-    low = sets.select("rep", by, "n", F.explode("kmers").alias("h")).groupBy("rep", by, "n", F.pmod("h", F.lit(bins)).cast("int").alias("bin")).agg(F.min("h").alias("m"))
-    nodes = text.select(F.col("rep").alias("node"))
-    lists = low.join(low.groupBy(by, "bin", "m").agg(F.count("*").alias("size")).where("size > 1").drop("size"), [by, "bin", "m"])
-    label = smallest_labels(df.sparkSession.createDataFrame([], f"a {sets.schema['rep'].dataType.simpleString()}, b {sets.schema['rep'].dataType.simpleString()}"), nodes)
-    lists = lists.checkpoint()
-    links = None
-    for turn in range(HEAD_ROUNDS + 1):
-        now = lists.join(label.select(F.col("node").alias("rep"), "component"), "rep")
-        each = now.groupBy(by, "bin", "m").agg(F.min(F.struct("rep", "n", "component")).alias("head"), F.min("component").alias("first"), F.max("component").alias("last")).where("first < last")
-        now = now.join(each.select(by, "bin", "m", "head"), [by, "bin", "m"]).checkpoint()
-        if now.limit(1).count() == 0:
-            break
-        if turn < HEAD_ROUNDS:
-            tried = now.select(F.col("head.rep").alias("a"), F.col("head.n").alias("na"), F.col("head.component").alias("ca"), F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        else:
-            one, other = (now.select(by, "bin", "m", F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("component").alias(f"c{x}")) for x in "ab")
-            tried = one.join(other, [by, "bin", "m"]).where("a < b")
-        fits = F.least("na", "nb") >= coverage * F.greatest("na", "nb")
-        more = _near(tried.where(F.col("ca") != F.col("cb")).where(fits).select("a", "b").distinct(), sets, k, threshold, coverage)
-        links = (more if links is None else links.unionByName(more)).distinct().checkpoint()
-        label = smallest_labels(links, nodes)
-        lists = now.where(F.col("rep") != F.col("head.rep")).select(*lists.columns)
-    named = text.join(label.select(F.col("node").alias("rep"), "component"), "rep").select(by, seq, F.col("component").alias("representative"))
-    keyed = df.select(id_col, by, F.sha2(F.concat_ws("\t", by, seq), 256).alias("__h"))
-    return keyed.join(named.select(F.sha2(F.concat_ws("\t", by, seq), 256).alias("__h"), "representative"), "__h", "left").select(id_col, by, F.coalesce("representative", F.col(id_col)).alias("representative"))
-
-
-def _near(pairs: DataFrame, sets: DataFrame, k: int, threshold: float, coverage: float) -> DataFrame:
-    """The pairs (a, b) that reach identity and coverage."""
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("kmers").alias("x"), F.col("n").alias("na")), "a").join(sets.select(F.col("rep").alias("b"), F.col("kmers").alias("y"), F.col("n").alias("nb")), "b")
-    # in the order of the first array
-    both = both.withColumn("s", F.array_intersect("x", "y")).where(F.size("s") > 0).withColumn("t", F.array_intersect("y", "x"))
-    span = lambda v, s: F.array_position(v, F.element_at(s, -1)) - F.array_position(v, F.element_at(s, 1)) + 1
-    both = both.withColumns({"sx": span("x", "s"), "sy": span("y", "t")})
-    covered = (F.col("sx") + k - 1 >= coverage * F.col("na")) & (F.col("sy") + k - 1 >= coverage * F.col("nb"))
-    return both.where(covered & (F.size("s") >= threshold**k * F.greatest("sx", "sy"))).select("a", "b")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from attestry.functions import scalars
-from attestry.operators import contracts, gate, harmonize, hits, intervals, lineage, normalize, reference, refine, standardize, taxonomy
+from attestry.operators import contracts, gate, harmonize, hits, intervals, lineage, normalize, near_identity, reference, refine, standardize, taxonomy
 from attestry.operators import evaluate as ev
 from attestry.streaming import completeness
 
@@ -214,7 +214,7 @@ def test_near_representatives(spark):
     make = lambda: "".join(rng.choice("ACGT") for _ in range(400))
     a, b = make(), make()
     rows = [(1, a, "x"), (2, a[:200] + "T" + a[201:], "x"), (3, b, "x"), (4, a, "y"), (5, a, "x"), (6, None, "x"), (7, "ACG", "x"), (8, b[4:], "x")]
-    out = reference.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
+    out = near_identity.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
     assert {r.id: r.representative for r in out.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 1, 6: 6, 7: 7, 8: 3}
 
 
@@ -228,7 +228,7 @@ def test_near_representatives_by_identity_and_coverage(spark):
     # a template: all share wording, some are copies of each other, the smallest is a copy of none
     own = [make(700) for _ in range(8)]
     rows += [(10, frame + make(700), "x")] + [(11 + i, frame + (own[i // 2] if i % 2 == 0 else edit(own[i // 2], 70)), "x") for i in range(16)]
-    out = reference.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
+    out = near_identity.dedup_near(table(spark, "id long, s string, c string", *rows), "id", "s", "c")
     want = {1: 1, 2: 1, 3: 3, 4: 4, 5: 4, 6: 6, 7: 7, 10: 10} | {11 + i: 11 + i // 2 * 2 for i in range(16)}
     assert {r.id: r.representative for r in out.collect()} == want
 
