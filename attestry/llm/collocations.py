@@ -11,8 +11,8 @@ makes two passes over these arrays in numpy:
 2. the candidates' double-array trie is broadcast; all positions advance one level at a
    time, accepting states are counted by ``bincount`` and summed over shards.
 
-Vocabulary, buckets and tries are broadcast only within counted bounds: buckets are of
-fixed number, more candidates than a trie may hold take several tries, and beyond
+Vocabulary, buckets and tries are broadcast only within counted bounds: buckets have a
+fixed upper number, more candidates than a trie may hold take several tries, and beyond
 VOCABULARY words (or MAX_PHRASES phrases of a level) levels are counted by a shuffle instead, with the same result.
 """
 
@@ -32,8 +32,10 @@ from .common import join_per_key, lower_ascii, small_side, stored
 # What ends a piece, what parts words.
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
 MAX_WORDS, MIN_COUNT, TOP, SCALE = 5, 100, 2_000, 1_000
-#: Words, and phrases of a level, that a task may hold; candidates of one trie; buckets of a level.
-VOCABULARY, MAX_PHRASES, TRIE, BUCKETS = 2_000_000, 2_000_000, 1_000_000, 1 << 20
+#: Words, and phrases of a level, that a task may hold; candidates of one trie.
+VOCABULARY, MAX_PHRASES, TRIE = 2_000_000, 2_000_000, 500_000
+#: Buckets of a level: one for every 16 words within these bounds, so that rare phrases don't fill them together.
+FEWEST_BUCKETS, MOST_BUCKETS, WORDS_PER_BUCKET = 1 << 16, 1 << 24, 16
 #: Numbers in a row of the stored arrays (at least), and bytes of text that are tokenised at once (a longer text is taken whole).
 _CHUNK, _BYTES = 1 << 20, 16 << 20
 #: Salts for the first cut of a language's ranking.
@@ -77,8 +79,8 @@ def build_trie(n: int, levels: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Tri
     """The trie of ``n`` words and, level by level, of children: (number of the parent in its level, word).
 
     Returns it with the node of every child by level.  Parents with most children are
-    placed first, each at the lowest base where all its children fall on free places;
-    parents with one child fill the gaps.
+    placed first, each at the next base where all its children fall on free places
+    (families of about one size search on from each other); parents with one child fill the gaps.
     """
     size = 2 * n + 2 * sum(len(p) for p, _ in levels) + 1024
     check = np.full(size, -1, dtype=np.int64)
@@ -92,13 +94,15 @@ def build_trie(n: int, levels: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Tri
         order = np.lexsort((numbers, parents))
         starts = np.flatnonzero(np.r_[True, np.diff(parents[order]) != 0]) if len(order) else np.array([], dtype=np.int64)
         sizes = np.diff(np.r_[starts, len(order)])
-        low = n
+        first, scale = n, 0
         for g in np.argsort(-sizes, kind="stable"):
             if sizes[g] == 1:
                 break
+            if int(sizes[g]).bit_length() != scale:  # smaller families look for gaps from the start again
+                first, scale = n, int(sizes[g]).bit_length()
             rows = order[starts[g] : starts[g] + sizes[g]]
             cs = numbers[rows]
-            steps, first = cs - cs[0], low
+            steps = cs - cs[0]
             while True:
                 if first + steps[-1] + 4096 >= len(used):
                     more = len(used) + int(steps[-1]) + 4096
@@ -113,8 +117,6 @@ def build_trie(n: int, levels: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Tri
                 first += 4096
             at[rows] = fit[0] + steps
             used[at[rows]] = True
-            while low < len(used) and used[low : low + 4096].mean() > 0.9:
-                low += 4096
         single = order[starts[sizes == 1]]
         free = n + np.flatnonzero(~used[n:])[: len(single)]
         if len(free) < len(single):
@@ -213,15 +215,19 @@ def _extensions(ids: np.ndarray, trie: Trie, k: int) -> np.ndarray:
     return trie.name[states[:-1][ok]] * trie.n + ids[k - 1 :][ok]
 
 
-def _bucket(codes: np.ndarray) -> np.ndarray:
+def _buckets(total: int) -> int:
+    return min(max(1 << (total // WORDS_PER_BUCKET).bit_length(), FEWEST_BUCKETS), MOST_BUCKETS)
+
+
+def _bucket(codes: np.ndarray, buckets: int) -> np.ndarray:
     mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(44)).astype(np.int64) & (BUCKETS - 1)
+    return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.int64) & (buckets - 1)
 
 
-_PART = 1 << 14
+_PART = 1 << 16
 
 
-def _frequent_buckets(stored_ids: DataFrame, trie, k: int, min_count: int) -> np.ndarray:
+def _frequent_buckets(stored_ids: DataFrame, trie, k: int, buckets: int, min_count: int) -> np.ndarray:
     """Mask of the buckets whose phrases occur ``min_count`` times or more together.
 
     Tasks send their counts in parts of fixed size, sparse or dense; parts are summed
@@ -231,10 +237,10 @@ def _frequent_buckets(stored_ids: DataFrame, trie, k: int, min_count: int) -> np
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        total = np.zeros(BUCKETS, dtype=np.int64)
+        total = np.zeros(buckets, dtype=np.int64)
         for ids in _arrays(batches):
             if len(ids) >= k:
-                total += np.bincount(_bucket(_extensions(ids, trie.value, k)), minlength=BUCKETS)
+                total += np.bincount(_bucket(_extensions(ids, trie.value, k), buckets), minlength=buckets)
         yield from parts(np.minimum(total, np.int64(min_count)), TaskContext.get().partitionId() // 256)
 
     def parts(total: np.ndarray, group: int) -> Iterator[pa.RecordBatch]:
@@ -258,7 +264,7 @@ def _frequent_buckets(stored_ids: DataFrame, trie, k: int, min_count: int) -> np
     sums = stored_ids.mapInArrow(count, schema)
     for keys in (("part", "g"), ("part",)):
         sums = sums.groupBy(*keys).applyInArrow(add, schema)
-    mask = np.zeros(BUCKETS, dtype=bool)
+    mask = np.zeros(buckets, dtype=bool)
     for row in sums.select("part", "data").collect():
         mask[row.part * _PART : (row.part + 1) * _PART] = np.frombuffer(bytes(row.data), dtype=np.int32) >= min_count
     return mask
@@ -273,7 +279,7 @@ def _candidates(stored_ids: DataFrame, trie, k: int, mask: np.ndarray) -> DataFr
         for ids in _arrays(batches):
             if len(ids) >= k:
                 codes = _extensions(ids, trie.value, k)
-                held = np.union1d(held, codes[shared.value[_bucket(codes)]])
+                held = np.union1d(held, codes[shared.value[_bucket(codes, len(shared.value))]])
             if len(held) > 4 * _CHUNK:
                 yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], names=["code"])
                 held = held[:0]
@@ -299,7 +305,7 @@ def _counts(stored_ids: DataFrame, trie, k: int, n: int, min_count: int) -> Data
     return stored_ids.mapInArrow(count, "child long, f long").groupBy("child").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count)
 
 
-def _phrases_by_tries(docs: DataFrame, vocabulary: list, min_count: int, max_words: int) -> DataFrame | None:
+def _phrases_by_tries(docs: DataFrame, vocabulary: list, buckets: int, min_count: int, max_words: int) -> DataFrame | None:
     """(lang, phrase, k, f) of phrases of two words or more; None where a level is too large to be held."""
     spark, n = docs.sparkSession, len(vocabulary)
     sc = spark.sparkContext
@@ -310,7 +316,7 @@ def _phrases_by_tries(docs: DataFrame, vocabulary: list, min_count: int, max_wor
     first = np.arange(n)
     for k in range(2, max_words + 1):
         trie = sc.broadcast(build_trie(n, levels)[0])
-        found = _candidates(ids, trie, k, _frequent_buckets(ids, trie, k, min_count))
+        found = _candidates(ids, trie, k, _frequent_buckets(ids, trie, k, buckets, min_count))
         slices = -(-found.count() // TRIE)
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         for part in range(slices):
@@ -370,7 +376,8 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min
     if frequent.count() <= VOCABULARY:
         vocabulary = sorted((r.lang, r.word, r.f) for r in frequent.collect())
         # frequent words get low numbers, which keeps the arrays of tries short
-        longer = _phrases_by_tries(own, sorted(vocabulary, key=lambda x: -x[2]), min_count, max_words)
+        buckets = _buckets(counted.agg(F.sum("f")).first()[0] or 0)
+        longer = _phrases_by_tries(own, sorted(vocabulary, key=lambda x: -x[2]), buckets, min_count, max_words)
     if longer is None:
         longer = _phrases_by_shuffle(own, min_count, max_words)
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), "f")
