@@ -37,7 +37,7 @@ VOCABULARY, MAX_PHRASES, TRIE = 2_000_000, 2_000_000, 500_000
 #: Buckets of a level: one for every 16 words within these bounds, so that rare phrases don't fill them together.
 FEWEST_BUCKETS, MOST_BUCKETS, WORDS_PER_BUCKET = 1 << 16, 1 << 24, 16
 #: Numbers in a row of the stored arrays (at least), and bytes of text that are tokenised at once (a longer text is taken whole).
-_CHUNK, _BYTES = 1 << 20, 16 << 20
+_CHUNK, _BYTES = 1 << 20, 2 << 20
 #: Salts for the first cut of a language's ranking.
 _SALTS = 32
 
@@ -237,15 +237,16 @@ def _frequent_buckets(stored_ids: DataFrame, trie, k: int, buckets: int, min_cou
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        total = np.zeros(buckets, dtype=np.int64)
+        total = np.zeros(buckets, dtype=np.int32)
         for ids in _arrays(batches):
             if len(ids) >= k:
-                total += np.bincount(_bucket(_extensions(ids, trie.value, k), buckets), minlength=buckets)
-        yield from parts(np.minimum(total, np.int64(min_count)), TaskContext.get().partitionId() // 256)
+                np.add.at(total, _bucket(_extensions(ids, trie.value, k), buckets), 1)
+                np.minimum(total, min_count, out=total)  # more doesn't matter, and can't overflow
+        yield from parts(total, TaskContext.get().partitionId() // 256)
 
     def parts(total: np.ndarray, group: int) -> Iterator[pa.RecordBatch]:
         for part in np.unique(np.flatnonzero(total) // _PART):
-            own = total[part * _PART : (part + 1) * _PART].astype(np.int32)
+            own = total[part * _PART : (part + 1) * _PART]
             at = np.flatnonzero(own)
             data = np.r_[at.astype(np.int32), own[at]] if 2 * len(at) < _PART else own
             yield pa.RecordBatch.from_arrays([pa.array([int(part)], pa.int64()), pa.array([group], pa.int64()), pa.array([data.tobytes()], pa.binary())], names=["part", "g", "data"])
