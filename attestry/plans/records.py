@@ -278,9 +278,7 @@ def stream_complete(spark: SparkSession, d: str) -> DataFrame:
     stream = spark.readStream.schema(source.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(f"{d}/events.parquet*")
     out, marks = _folder(spark, "released"), _folder(spark, "state")
     gate = completeness.completeness_gate(_keyed(stream), "key", "event_type", "kind", EXPECTED)
-    run = gate.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).outputMode("append").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.read.schema("key string, kind string, items string, duplicates long").parquet(out).select("key", "kind")
+    return completeness.run_to_end(gate, out, marks).select("key", "kind")
 
 
 @query("""SELECT a.event_id AS a, b.event_id AS b FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_type = 'click' AND b.event_type = 'purchase' AND b.ts BETWEEN a.ts - INTERVAL 30 MINUTES AND a.ts + INTERVAL 30 MINUTES""")
@@ -290,3 +288,19 @@ def stream_join(spark: SparkSession, d: str) -> DataFrame:
     a = e.where("event_type = 'click'").select("user_id", "ts", F.col("event_id").alias("a"))
     b = e.where("event_type = 'purchase'").select("user_id", "ts", F.col("event_id").alias("b"))
     return completeness.keyed_join(a, b, "user_id", "ts", "30 minutes").select("a", "b")
+
+
+def _event_stream(spark: SparkSession, d: str, kind: str, name: str) -> DataFrame:
+    schema = fr.table(spark, d, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).parquet(f"{d}/events.parquet*")
+    return stream.where(F.col("event_type") == kind).select("user_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias(name))
+
+
+@query("""WITH c AS (SELECT event_id AS a, user_id, ts FROM events WHERE event_type = 'click'), p AS (SELECT event_id AS b, user_id, ts FROM events WHERE event_type = 'purchase'),
+mark AS (SELECT least((SELECT max(ts) FROM c) - INTERVAL 20 MINUTES, (SELECT max(ts) FROM p) - INTERVAL 40 MINUTES) - INTERVAL 30 MINUTES AS closed),
+j AS (SELECT a, b, c.ts AS ta, p.ts AS tb FROM c FULL JOIN p ON c.user_id = p.user_id AND p.ts BETWEEN c.ts - INTERVAL 30 MINUTES AND c.ts + INTERVAL 30 MINUTES)
+SELECT a, b FROM j, mark WHERE (a IS NOT NULL AND b IS NOT NULL) OR coalesce(ta, tb) < closed""")
+def stream_join_remainder(spark: SparkSession, d: str) -> DataFrame:
+    """STR-3 between two file streams: pairs, and the remainder of both sides as far as the watermarks have passed it."""
+    both = completeness.keyed_join(_event_stream(spark, d, "click", "a"), _event_stream(spark, d, "purchase", "b"), "user_id", "ts", "30 minutes", "full_outer", ("20 minutes", "40 minutes"))
+    return completeness.run_to_end(both.select("a", "b"), _folder(spark, "joined"), _folder(spark, "state"))

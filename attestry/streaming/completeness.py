@@ -58,10 +58,30 @@ def mix(*streams: DataFrame) -> DataFrame:
     return out
 
 
-def keyed_join(left: DataFrame, right: DataFrame, key: str, ts: str, within: str, how: str = "inner") -> DataFrame:
-    """STR-3: rows of two streams with one key, at most ``within`` apart; ``left_outer`` gives the rest once the watermark passes."""
-    a = left.withWatermark(ts, within).alias("a")
-    b = right.select(F.col(key).alias("__k"), F.col(ts).alias("__t"), *[c for c in right.columns if c not in (key, ts)]).withWatermark("__t", within).alias("b")
+def keyed_join(left: DataFrame, right: DataFrame, key: str, ts: str, within: str, how: str = "inner", lateness: tuple[str, str] | None = None) -> DataFrame:
+    """STR-3: rows of two streams with one key, at most ``within`` apart; columns of the right side follow, its key and time as ``right_key`` and ``right_ts``.
+
+    Each side has a watermark of its own (``lateness``, by default ``within`` for both),
+    so either may lag; rows later than that are dropped.  The bound on both times lets
+    the state of a row go once the slower watermark has passed all its possible
+    partners.  ``left_outer``, ``right_outer`` and ``full_outer`` emit a row without a
+    partner at that moment, once, and never before; what the watermarks haven't passed
+    when a stream stops stays in its state.  Rows with a null key have no partner.
+    On finished inputs it is the plain join with all of the remainder.
+    """
+    late = lateness or (within, within)
+    a = left.withWatermark(ts, late[0]).alias("a")
+    rest = [c for c in right.columns if c not in (key, ts)]
+    b = right.select(F.col(key).alias("right_key"), F.col(ts).alias("right_ts"), *rest).withWatermark("right_ts", late[1]).alias("b")
     span = F.expr(f"interval {within}")
-    near = (F.col(f"a.{key}") == F.col("b.__k")) & (F.col("b.__t") >= F.col(f"a.{ts}") - span) & (F.col("b.__t") <= F.col(f"a.{ts}") + span)
-    return a.join(b, near, how).drop("__k", "__t")
+    near = (F.col(f"a.{key}") == F.col("b.right_key")) & (F.col("b.right_ts") >= F.col(f"a.{ts}") - span) & (F.col("b.right_ts") <= F.col(f"a.{ts}") + span)
+    return a.join(b, near, how)
+
+
+def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """The rows that ``stream`` appends to Parquet files in ``path`` until its sources have nothing more, read again.
+
+    ``checkpoint`` keeps offsets and state, so a further call goes on where this one stopped.
+    """
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
