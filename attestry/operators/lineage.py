@@ -9,29 +9,45 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def hierarchical_vote(votes: DataFrame, key: list[str], ranks: list[str], weight: str, threshold: float = 0.60) -> DataFrame:
+def distinct_lineages(hits: DataFrame, key: list[str], ranks: list[str], score: str, subject: str) -> DataFrame:
+    """LOC-3: one vote for each distinct full lineage of a key, its best hit, weighted by score / best score.
+
+    Repeated references of one lineage add no support.  Equal scores go to the smallest
+    ``subject``; null ranks are part of a lineage.  Returns key, ranks, ``subject``,
+    ``score`` and ``vote_weight``; keys whose scores are all null or zero weigh nothing.
+    """
+    best = hits.groupBy(*key, *ranks).agg(F.min(F.struct((-F.col(score)).alias("minus"), F.col(subject).alias("subject"))).alias("__b"))
+    top = best.groupBy(*key).agg(F.min("__b.minus").alias("__top"))
+    both = best.join(top.select(*[F.col(k).alias(f"__{k}") for k in key], "__top"), [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in key]).drop(*[f"__{k}" for k in key])
+    return both.select(*key, *ranks, F.col("__b.subject").alias(subject), (-F.col("__b.minus")).alias(score), F.coalesce(F.try_divide("__b.minus", "__top"), F.lit(0.0)).alias("vote_weight"))
+
+
+def hierarchical_vote(votes: DataFrame, key: list[str], ranks: list[str], weight: str, threshold: float = 0.60, inherited: str | None = None) -> DataFrame:
     """LOC-3, LOC-7: descend from the top while the heaviest child holds ``threshold`` of its siblings' weight.
 
     Null ranks abstain: they neither support nor oppose below their last name.  Ties
     go to the largest name.  Returns key, path, depth, support (share of the deepest
-    accepted rank) and conflict (whether the descent stopped at a contested rank);
-    keys without an accepted rank have depth 0.
+    accepted rank), supporting and eligible (the weights of that share; all votes where
+    no rank is accepted) and conflict: whether the descent stopped at a contested rank,
+    or any vote brought one (``inherited``, a flag of votes).  Keys without an accepted
+    rank have depth 0.
 
     One row per prefix of a lineage, one aggregate and one window over siblings; a
     node counts only if all of its prefixes won, so no iteration is needed.
     """
     path = F.array(*[F.col(r).cast("string") for r in ranks])
-    each = votes.select(*key, path.alias("p"), F.col(weight).cast("double").alias("w"))
+    each = votes.select(*key, path.alias("p"), F.col(weight).cast("double").alias("w"), (F.coalesce(inherited, F.lit(False)) if inherited else F.lit(False)).alias("__inherited"))
     depth = F.coalesce(F.nullif(F.array_position(F.transform("p", lambda x: x.isNull()), True), F.lit(0)) - 1, F.lit(len(ranks)))
     each = each.withColumn("d", depth.cast("int"))
     prefix = each.where("d > 0").select(*key, "w", F.explode(F.transform(F.sequence(F.lit(1), F.col("d")), lambda i: F.slice("p", 1, i))).alias("prefix"))
     node = prefix.groupBy(*key, "prefix").agg(F.sum("w").alias("w")).withColumn("parent", F.slice("prefix", 1, F.size("prefix") - 1))
     siblings = W.partitionBy(*key, "parent")
-    node = node.withColumn("share", F.col("w") / F.sum("w").over(siblings)).withColumn("n", F.count("*").over(siblings))
+    node = node.withColumn("total", F.sum("w").over(siblings)).withColumn("share", F.col("w") / F.col("total")).withColumn("n", F.count("*").over(siblings))
     node = node.withColumn("r", F.row_number().over(siblings.orderBy(F.desc("w"), F.desc("prefix")))).where("r = 1")
     node = node.withColumn("won", F.col("share") + 1e-12 >= threshold)
-    lists = node.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("parent", F.struct("prefix", "share", "won", "n")))).alias("best"))
-    start = F.struct(F.array().cast("array<string>").alias("path"), F.lit(1.0).alias("support"), F.lit(False).alias("conflict"), F.lit(True).alias("open"))
+    lists = node.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("parent", F.struct("prefix", "share", "won", "n", "w", "total")))).alias("best"))
+    none = F.lit(None).cast("double")
+    start = F.struct(F.array().cast("array<string>").alias("path"), F.lit(1.0).alias("support"), none.alias("supporting"), none.alias("eligible"), F.lit(False).alias("conflict"), F.lit(True).alias("open"))
 
     def step(a, _):
         found = F.element_at("best", a.path)
@@ -39,14 +55,25 @@ def hierarchical_vote(votes: DataFrame, key: list[str], ranks: list[str], weight
         return F.struct(
             F.when(go, found.prefix).otherwise(a.path).alias("path"),
             F.when(go, found.share).otherwise(a.support).alias("support"),
+            F.when(go, found.w).otherwise(a.supporting).alias("supporting"),
+            F.when(go, found.total).otherwise(a.eligible).alias("eligible"),
             F.when(a.open & ~F.coalesce(found.won, F.lit(True)), found.n > 1).otherwise(a.conflict).alias("conflict"),
             go.alias("open"),
         )
 
     out = lists.withColumn("v", F.aggregate(F.sequence(F.lit(1), F.lit(len(ranks))), start, step))
-    won = out.select(*key, F.col("v.path").alias("path"), F.size("v.path").alias("depth"), F.col("v.support").alias("support"), F.col("v.conflict").alias("conflict"))
-    none = each.select(*key).distinct().join(won, key, "left")
-    return none.select(*key, F.coalesce("path", F.array().cast("array<string>")).alias("path"), F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("support", F.lit(1.0)).alias("support"), F.coalesce("conflict", F.lit(False)).alias("conflict"))
+    won = out.select(*key, *[F.col(f"v.{c}").alias(c) for c in ("path", "support", "supporting", "eligible", "conflict")])
+    every = each.groupBy(*key).agg(F.sum("w").alias("__all"), F.bool_or("__inherited").alias("__inherited")).join(won, key, "left")
+    empty = F.array().cast("array<string>")
+    return every.select(
+        *key,
+        F.coalesce("path", empty).alias("path"),
+        F.size(F.coalesce("path", empty)).alias("depth"),
+        F.coalesce("support", F.lit(1.0)).alias("support"),
+        F.coalesce("supporting", "__all").alias("supporting"),
+        F.coalesce("eligible", "__all").alias("eligible"),
+        (F.coalesce("conflict", F.lit(False)) | F.col("__inherited")).alias("conflict"),
+    )
 
 
 def balanced_lca(members: DataFrame, rep: str, group: str, ranks: list[str]) -> DataFrame:

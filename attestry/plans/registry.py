@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from . import evaluation, harmony, records, scoring, tables  # noqa: E402, F401
+from . import emission, evaluation, harmony, records, scoring, tables  # noqa: E402, F401

@@ -98,37 +98,40 @@ def locus_flanks(spark: SparkSession, d: str) -> DataFrame:
 
 VOTE_SQL = """v AS ({votes}),
 n1 AS (SELECT k, region AS x, sum(w) AS w FROM v GROUP BY 1, 2),
-s1 AS (SELECT *, w / sum(w) OVER (PARTITION BY k) AS share, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY w DESC, x DESC) AS r FROM n1),
+s1 AS (SELECT *, sum(w) OVER (PARTITION BY k) AS t, w / sum(w) OVER (PARTITION BY k) AS share, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY w DESC, x DESC) AS r FROM n1),
 w1 AS (SELECT * FROM s1 WHERE r = 1),
 n2 AS (SELECT v.k, v.region, v.nation AS x, sum(v.w) AS w FROM v JOIN w1 ON v.k = w1.k AND v.region = w1.x AND w1.share + 1e-12 >= 0.6 WHERE v.nation IS NOT NULL GROUP BY 1, 2, 3),
-s2 AS (SELECT *, w / sum(w) OVER (PARTITION BY k) AS share, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY w DESC, x DESC) AS r FROM n2),
+s2 AS (SELECT *, sum(w) OVER (PARTITION BY k) AS t, w / sum(w) OVER (PARTITION BY k) AS share, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY w DESC, x DESC) AS r FROM n2),
 w2 AS (SELECT * FROM s2 WHERE r = 1),
 n3 AS (SELECT v.k, v.supplier AS x, sum(v.w) AS w FROM v JOIN w2 ON v.k = w2.k AND v.region = w2.region AND v.nation = w2.x AND w2.share + 1e-12 >= 0.6 WHERE v.supplier IS NOT NULL GROUP BY 1, 2),
-s3 AS (SELECT *, w / sum(w) OVER (PARTITION BY k) AS share, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY w DESC, x DESC) AS r FROM n3),
+s3 AS (SELECT *, sum(w) OVER (PARTITION BY k) AS t, w / sum(w) OVER (PARTITION BY k) AS share, count(*) OVER (PARTITION BY k) AS n, row_number() OVER (PARTITION BY k ORDER BY w DESC, x DESC) AS r FROM n3),
 w3 AS (SELECT * FROM s3 WHERE r = 1),
-a AS (SELECT w1.k, w1.x AS x1, w1.share AS p1, w1.n AS m1, w2.x AS x2, w2.share AS p2, w2.n AS m2, w3.x AS x3, w3.share AS p3, w3.n AS m3, w1.share + 1e-12 >= 0.6 AS a1, coalesce(w2.share + 1e-12 >= 0.6, false) AS a2, coalesce(w3.share + 1e-12 >= 0.6, false) AS a3
+every AS (SELECT k, sum(w) AS whole, bool_or(inherited) AS inherited FROM v GROUP BY 1),
+a AS (SELECT w1.k, w1.w AS q1, w1.t AS t1, w2.w AS q2, w2.t AS t2, w3.w AS q3, w3.t AS t3, w1.x AS x1, w1.share AS p1, w1.n AS m1, w2.x AS x2, w2.share AS p2, w2.n AS m2, w3.x AS x3, w3.share AS p3, w3.n AS m3, w1.share + 1e-12 >= 0.6 AS a1, coalesce(w2.share + 1e-12 >= 0.6, false) AS a2, coalesce(w3.share + 1e-12 >= 0.6, false) AS a3
   FROM w1 LEFT JOIN w2 ON w1.k = w2.k LEFT JOIN w3 ON w1.k = w3.k)
 SELECT k AS {key}, CASE WHEN NOT a1 THEN '' WHEN NOT a2 THEN x1 WHEN NOT a3 THEN x1 || ';' || x2 ELSE x1 || ';' || x2 || ';' || x3 END AS path, CAST(CASE WHEN NOT a1 THEN 0 WHEN NOT a2 THEN 1 WHEN NOT a3 THEN 2 ELSE 3 END AS INTEGER) AS depth,
-  round(CASE WHEN NOT a1 THEN 1.0 WHEN NOT a2 THEN p1 WHEN NOT a3 THEN p2 ELSE p3 END, 9) AS support, coalesce(CASE WHEN NOT a1 THEN m1 > 1 WHEN NOT a2 THEN m2 > 1 WHEN NOT a3 THEN m3 > 1 ELSE false END, false) AS conflict FROM a"""
+  round(CASE WHEN NOT a1 THEN 1.0 WHEN NOT a2 THEN p1 WHEN NOT a3 THEN p2 ELSE p3 END, 9) AS support, round(CASE WHEN NOT a1 THEN whole WHEN NOT a2 THEN q1 WHEN NOT a3 THEN q2 ELSE q3 END, 6) AS supporting, round(CASE WHEN NOT a1 THEN whole WHEN NOT a2 THEN t1 WHEN NOT a3 THEN t2 ELSE t3 END, 6) AS eligible,
+  coalesce(CASE WHEN NOT a1 THEN m1 > 1 WHEN NOT a2 THEN m2 > 1 WHEN NOT a3 THEN m3 > 1 ELSE false END, false) OR inherited AS conflict FROM a JOIN every USING (k)"""
 
 
 def _flat(df: DataFrame) -> DataFrame:
-    return df.withColumn("path", F.array_join("path", ";")).withColumn("support", F.round("support", 9))
+    rounded = {c: F.round(c, n) for c, n in (("support", 9), ("supporting", 6), ("eligible", 6))}
+    return df.withColumns({"path": F.array_join("path", ";"), **rounded})
 
 
-@query(f"WITH {fr.CATALOG}, " + VOTE_SQL.format(key="part", votes="SELECT l_partkey AS k, region, nation, CASE WHEN l_suppkey % 5 > 0 THEN supplier END AS supplier, l_extendedprice AS w FROM lineitem JOIN catalog ON l_suppkey = path_id"))
+@query(f"WITH {fr.CATALOG}, d AS (SELECT l_partkey AS k, region, nation, CASE WHEN l_suppkey % 5 > 0 THEN supplier END AS supplier, max(l_extendedprice) AS best FROM lineitem JOIN catalog ON l_suppkey = path_id GROUP BY 1, 2, 3, 4), " + VOTE_SQL.format(key="part", votes="SELECT *, best / max(best) OVER (PARTITION BY k) AS w, false AS inherited FROM d"))
 def locus_weighted_vote(spark: SparkSession, d: str) -> DataFrame:
-    """LOC-3."""
+    """LOC-3: order lines as hits of their part; one vote for each distinct lineage, weighted by its best price."""
     x = fr.table(spark, d, "lineitem").join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id"))
-    x = x.select(F.col("l_partkey").alias("part"), "region", "nation", F.when(F.col("l_suppkey") % 5 > 0, F.col("supplier")).alias("supplier"), F.col("l_extendedprice").alias("w"))
-    return _flat(lineage.hierarchical_vote(x, ["part"], fr.RANKS, "w"))
+    x = x.select(F.col("l_partkey").alias("part"), "region", "nation", F.when(F.col("l_suppkey") % 5 > 0, F.col("supplier")).alias("supplier"), F.col("l_extendedprice").alias("score"), "l_orderkey")
+    return _flat(lineage.hierarchical_vote(lineage.distinct_lineages(x, ["part"], fr.RANKS, "score", "l_orderkey"), ["part"], fr.RANKS, "vote_weight"))
 
 
-@query(f"WITH {fr.CATALOG}, " + VOTE_SQL.format(key="orderkey", votes="SELECT l_orderkey AS k, region, nation, supplier, 1.0 AS w FROM lineitem JOIN catalog ON l_suppkey = path_id"))
+@query(f"WITH {fr.CATALOG}, " + VOTE_SQL.format(key="orderkey", votes="SELECT l_orderkey AS k, region, nation, supplier, 1.0::DOUBLE AS w, l_discount > 0.09 AS inherited FROM lineitem JOIN catalog ON l_suppkey = path_id"))
 def locus_count_vote(spark: SparkSession, d: str) -> DataFrame:
-    """LOC-7."""
-    x = fr.table(spark, d, "lineitem").join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id")).select(F.col("l_orderkey").alias("orderkey"), *fr.RANKS, F.lit(1.0).alias("w"))
-    return _flat(lineage.hierarchical_vote(x, ["orderkey"], fr.RANKS, "w"))
+    """LOC-7: every order line one vote; eligible and supporting votes, and the conflict that a vote may bring."""
+    x = fr.table(spark, d, "lineitem").join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id")).select(F.col("l_orderkey").alias("orderkey"), *fr.RANKS, F.lit(1.0).alias("w"), (F.col("l_discount") > 0.09).alias("inherited"))
+    return _flat(lineage.hierarchical_vote(x, ["orderkey"], fr.RANKS, "w", inherited="inherited"))
 
 
 @query(f"""WITH {fr.CATALOG}, {fr.HITS}, r AS (SELECT *, row_number() OVER (PARTITION BY qseqid ORDER BY bitscore DESC, line) AS n, max(bitscore) OVER (PARTITION BY qseqid) AS top FROM hits JOIN catalog USING (path_id)),
