@@ -38,6 +38,8 @@ VOCABULARY, MAX_PHRASES, TRIE = 2_000_000, 2_000_000, 500_000
 FEWEST_BUCKETS, MOST_BUCKETS, WORDS_PER_BUCKET = 1 << 16, 1 << 24, 16
 #: Numbers in a row of the stored arrays (at least), and bytes of text that are tokenised at once (a longer text is taken whole).
 _CHUNK, _BYTES = 1 << 20, 2 << 20
+#: Numbers that a task of a pass takes.
+_TASK = 16 << 20
 #: Salts for the first cut of a language's ranking.
 _SALTS = 32
 
@@ -271,20 +273,23 @@ def _frequent_buckets(stored_ids: DataFrame, trie, k: int, buckets: int, min_cou
     return mask
 
 
-def _candidates(stored_ids: DataFrame, trie, k: int, mask: np.ndarray) -> DataFrame:
-    """(code) distinct phrases of frequent buckets."""
-    shared = stored_ids.sparkSession.sparkContext.broadcast(mask)
+def _candidates(stored_ids: DataFrame, trie, k: int, mask: np.ndarray, tasks: int, min_count: int) -> DataFrame:
+    """(code) distinct phrases of frequent buckets.
+
+    Of ``tasks`` tasks (at most) one holds at least its share of a frequent phrase's
+    occurrences, so a task names only the phrases that reach that share in it.
+    """
+    shared, share = stored_ids.sparkSession.sparkContext.broadcast(mask), -(-min_count // tasks)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.array([], dtype=np.int64)
+        held, n = np.array([], dtype=np.int64), np.array([], dtype=np.int64)
         for ids in _arrays(batches):
             if len(ids) >= k:
                 codes = _extensions(ids, trie.value, k)
-                held = np.union1d(held, codes[shared.value[_bucket(codes, len(shared.value))]])
-            if len(held) > 4 * _CHUNK:
-                yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], names=["code"])
-                held = held[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], names=["code"])
+                codes, more = np.unique(codes[shared.value[_bucket(codes, len(shared.value))]], return_counts=True)
+                held, where = np.unique(np.r_[held, codes], return_inverse=True)
+                n = np.bincount(where, weights=np.r_[n, more], minlength=len(held)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(held[n >= share], pa.int64())], names=["code"])
 
     return stored(stored_ids.mapInArrow(find, "code long").distinct())
 
@@ -310,14 +315,15 @@ def _phrases_by_tries(docs: DataFrame, vocabulary: list, buckets: int, min_count
     """(lang, phrase, k, f) of phrases of two words or more; None where a level is too large to be held."""
     spark, n = docs.sparkSession, len(vocabulary)
     sc = spark.sparkContext
-    ids = encode(docs, [(lang, word, number) for number, (lang, word, _) in enumerate(vocabulary)])
+    tasks = max(1, -(-sum(f for _, _, f in vocabulary) // _TASK))
+    ids = encode(docs, [(lang, word, number) for number, (lang, word, _) in enumerate(vocabulary)]).coalesce(tasks)
     names, levels, out = [w for _, w, _ in vocabulary], [], []
     langs = np.array([lang for lang, _, _ in vocabulary], dtype=object)
     words_ = names
     first = np.arange(n)
     for k in range(2, max_words + 1):
         trie = sc.broadcast(build_trie(n, levels)[0])
-        found = _candidates(ids, trie, k, _frequent_buckets(ids, trie, k, buckets, min_count))
+        found = _candidates(ids, trie, k, _frequent_buckets(ids, trie, k, buckets, min_count), tasks, min_count)
         slices = -(-found.count() // TRIE)
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         for part in range(slices):
