@@ -54,17 +54,31 @@ def apply_evidence(evidence: DataFrame, finals: DataFrame) -> DataFrame:
     return exact.unionByName(near.where(ok).drop("__k")).unionByName(by_exact_parent.drop("__k"))
 
 
-def prefer_region_scope(applied: DataFrame) -> DataFrame:
-    """HRM-2: region-scoped rows of a source hide its parent-scoped rows (``superseded``)."""
-    w = W.partitionBy("final_id", "tool")
-    scoped = F.col("record_type").isin(*REGION_TYPES)
-    return applied.withColumn("superseded", F.bool_or(scoped).over(w) & ~scoped)
+def prefer_region_scope(applied: DataFrame, source: str, parent_scope: str = "parent_discovery", region_scope: str = "refined_region") -> DataFrame:
+    """HRM-2: the parent-scoped rows of one source are ``superseded`` where its region rows count instead.
+
+    That is for every final that is a region (its id isn't its parent's), with or
+    without rows of its own, and for an intact final that the source has scored anew.
+    Rows of other sources, and rows without a scope of another source, aren't touched; a
+    missing scope of the source is its parent scope.  ``applied``: final_id,
+    final_parent, exact_id, tool, evidence_scope.
+    """
+    own = F.lower(F.trim("tool")) == source
+    scope = F.coalesce(F.nullif(F.trim("evidence_scope"), F.lit("")), F.lit(parent_scope))
+    anew = F.bool_or(F.coalesce(own & (scope == region_scope) & (F.col("exact_id") == F.col("final_id")), F.lit(False))).over(W.partitionBy("final_id"))
+    suppress = (F.col("final_id") != F.col("final_parent")) | anew
+    return applied.withColumn("superseded", F.coalesce(suppress & own & (scope == parent_scope), F.lit(False)))
 
 
 def application(applied: DataFrame) -> DataFrame:
-    """HRM-3, 4: how a row is used: review, context (a parent's non-viral row for a region), superseded or used."""
-    context = F.col("final_type").isin(*REGION_TYPES) & ~F.col("record_type").isin(*REGION_TYPES) & (F.col("classification") != "virus")
-    return applied.withColumn("evidence_application", F.when(F.coalesce("review", F.lit(False)), "review").when(context, "context").when(F.col("superseded"), "superseded").otherwise("used"))
+    """HRM-3, 4: how a row is used: review, superseded, context or used.
+
+    Context is a cellular or plasmid row about a region that names another record than
+    the region itself: a call on the parent, whose flanks the region no longer holds.
+    """
+    elsewhere = ~F.col("exact_id").eqNullSafe(F.col("final_id"))
+    context = F.lower(F.trim("final_type")).isin(*REGION_TYPES) & F.lower(F.trim("classification")).isin("cellular", "plasmid") & elsewhere
+    return applied.withColumn("evidence_application", F.when(F.coalesce("review", F.lit(False)), "review").when(F.col("superseded"), "superseded").when(context, "context").otherwise("used"))
 
 
 def summarize_support(applied: DataFrame) -> DataFrame:
@@ -81,6 +95,7 @@ def summarize_support(applied: DataFrame) -> DataFrame:
         tools(viral & strength.isin("strong", "qualified"), "supported"),
         tools(used & (F.col("classification") == "cellular") & (strength != "weak"), "cellular_tools"),
         tools(used & (F.col("classification") == "plasmid") & (strength != "weak"), "plasmid_tools"),
+        tools((F.col("evidence_application") == "context") & (F.col("classification") == "cellular"), "context_cellular_tools"),
         tools((F.col("evidence_application") == "context") & (F.col("classification") == "plasmid"), "context_plasmid_tools"),
     )
     out = out.withColumn("qualified_tools", F.array_except("supported", "strong_tools")).drop("supported")
@@ -212,14 +227,33 @@ def entity(decisions: DataFrame) -> DataFrame:
     return decisions.withColumn("entity", out)
 
 
-def review_reasons(decisions: DataFrame, extra: dict[str, Column] | None = None) -> DataFrame:
-    """HRM-14: ordered reasons for review as text ('' for none)."""
+def review_reasons(decisions: DataFrame) -> DataFrame:
+    """HRM-14: the ordered reasons why a final record is reviewed, as text ('' for none).
+
+    Columns that ``decisions`` lacks count as null, and a null is no reason:
+    parent_viral and region_viral (the homology source's calls), boundary_disputed,
+    taxonomy_conflict, group_statuses (array), sequence_interpretation, strict_rank.
+    """
+    col = lambda c, t: F.col(c) if c in decisions.columns else F.lit(None).cast(t)
+    flag = lambda c: F.coalesce(col(c, "boolean"), F.lit(False))
+    groups, mobile = col("group_statuses", "array<string>"), col("sequence_interpretation", "string")
+    region = col("record_type", "string").isin(*REGION_TYPES)
+    cell = F.size("cellular_tools") > 0
     reasons = {
+        "region_boundary_homology_discordance": region & flag("parent_viral") & ~flag("region_viral"),
+        "disputed_boundary_provisional": flag("boundary_disputed"),
         "single_qualified_viral_tool": F.col("confidence") == "provisional",
         "generic_cellular_conflict_overridden": F.col("generic_override"),
-        "cellular_conflict": ~F.col("generic_override") & (F.size("cellular_tools") > 0),
+        "cellular_conflict": ~F.col("generic_override") & cell,
         "plasmid_conflict": F.size("plasmid_tools") > 0,
-        **(extra or {}),
+        "taxonomy_conflict": flag("taxonomy_conflict"),
+        "group_ambiguity": F.array_contains(groups, "ambiguous_groups"),
+        "group_context_conflict": F.array_contains(groups, "incompatible_or_unknown_parent_context"),
+        "viral_retroelement_conflict": mobile == "viral_retroelement_conflict",
+        "mobile_element_annotation": mobile == "viral_with_mobile_element_features",
+        "likely_retroelement": mobile == "likely_retroelement",
+        "ambiguous_mobile_element": mobile == "ambiguous_mobile_element",
+        "taxonomy_unclassified": col("strict_rank", "string") == "domain",
     }
     return decisions.withColumn("review_reasons", F.array_join(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in reasons.items()])), ","))
 
@@ -260,9 +294,94 @@ def dispositions(inputs: DataFrame, decisions: DataFrame) -> DataFrame:
     return out.select("sequence_id", outcome.alias("disposition"), set_text(F.coalesce(F.col("final_ids").cast("array<string>"), none)).alias("final_sequence_ids"), set_text(F.coalesce(F.col("provisional_ids").cast("array<string>"), none)).alias("provisional_sequence_ids"))
 
 
-def final_metadata(decisions: DataFrame, frames: list[DataFrame]) -> DataFrame:
-    """HRM-18: all frames about final records joined on final_id; sets become text."""
-    out = decisions
-    for f in frames:
-        out = out.join(f, "final_id", "left")
-    return out.select(*[set_text(F.coalesce(F.col(c), F.array().cast("array<string>"))).alias(c) if t == "array<string>" else F.col(c) for c, t in out.dtypes])
+@dataclass(frozen=True)
+class Field:
+    """A column of the final table: where it comes from, how it is written, and what stands for nothing.
+
+    Formats: ``text`` (as it is), ``set`` (an array, sorted and without repeats, joined
+    by commas), ``flag`` (true or false), ``count`` (a whole number).
+    """
+
+    frame: str
+    column: str
+    format: str = "text"
+    default: str = "NA"
+
+
+def _fields(frame: str, format: str = "text", default: str = "NA", **columns: str) -> dict[str, Field]:
+    return {name: Field(frame, column, format, default) for name, column in columns.items()}
+
+
+#: HRM-18: the final table's columns in their order.
+METADATA: dict[str, Field] = {
+    **_fields("final", original_name="original_name", normalized_name="final_parent", final_sequence_id="final_id", record_type="record_type", region_coordinates="coordinates"),
+    **_fields("final", "count", original_length="original_length", refined_length="refined_length"),
+    **_fields("final", discovery_status="discovery_status"),
+    **_fields("decision", viral_decision="decision", viral_confidence="confidence"),
+    **_fields("decision", "set", strong_tools="strong_tools", qualified_tools="qualified_tools", cellular_conflict_tools="cellular_tools", parent_cellular_context_tools="context_cellular_tools", parent_plasmid_context_tools="context_plasmid_tools"),
+    **_fields("quality", "flag", "false", quality_complete_support="complete_support"),
+    **_fields("decision", "flag", "false", generic_cellular_conflict_overridden="generic_override"),
+    **_fields("decision", "set", plasmid_conflict_tools="plasmid_tools"),
+    **_fields("taxonomy", strict_taxonomy="strict_taxonomy", strict_taxonomy_rank="strict_rank", strict_taxonomy_confidence="strict_confidence"),
+    **_fields("taxonomy", "set", strict_taxonomy_supporting_tools="strict_tools", strict_taxonomy_supporting_method_families="strict_families"),
+    **_fields("taxonomy", strict_taxonomy_stop_reason="stop_reason", strict_taxonomy_conflict_rank="conflict_rank_name"),
+    **_fields("taxonomy", "set", strict_taxonomy_conflicting_taxa="conflicting_taxa"),
+    **_fields("taxonomy", exploratory_taxonomy="exploratory_taxonomy", exploratory_taxonomy_rank="exploratory_rank", exploratory_taxonomy_confidence="exploratory_confidence"),
+    **_fields("taxonomy", "set", exploratory_taxonomy_supporting_tools="exploratory_tools", exploratory_taxonomy_supporting_method_families="exploratory_families"),
+    **_fields("taxonomy", exploratory_taxonomy_status="exploratory_status", strict_species="strict_species", exploratory_species="exploratory_species", species_assignment_status="species_status", species_assignment_basis="species_basis"),
+    **_fields("taxonomy", "set", species_conflicting_taxa="species_conflicting_taxa"),
+    **_fields("taxonomy", "flag", "false", taxonomy_conflict="taxonomy_conflict"),
+    **_fields("groups", "set", group_labels="labels"),
+    **_fields("groups", "set", "no_project_group", group_status="statuses"),
+    **_fields("mobile", default="viral_candidate", sequence_interpretation="sequence_interpretation"),
+    **_fields("mobile", mobile_status="status", mobile_evidence_strength="strength"),
+    **_fields("mobile", "set", mobile_categories="categories", mobile_orders="orders", mobile_superfamilies="superfamilies", mobile_assignment_methods="methods"),
+    **_fields("homology", "set", homology_origin_pattern="patterns"),
+    **_fields("homology", default="none", homology_region_status="region_status"),
+    **_fields("homology", "set", homology_evidence_scope="scopes"),
+    **_fields("homology", "count", "0", homology_viral_supported_loci="viral_loci", homology_cellular_supported_loci="cellular_loci"),
+    **_fields("homology", "set", homology_opposing_classes="opposing_classes", homology_dominant_class="dominant_classes"),
+    **_fields("boundary", boundary_source="source", boundary_status="status"),
+    **_fields("boundary", "set", boundary_supporting_tools="tools"),
+    **_fields("decision", default="not_applicable", region_retention_basis="retention_basis"),
+    **_fields("decision", viral_entity_interpretation="entity"),
+    **_fields("exception", "flag", "false", conflict_exception="exception"),
+    **_fields("exception", "set", conflict_exception_supporting_loci="loci"),
+}
+
+
+def _written(value: Column, kind: str, field: Field) -> Column:
+    if field.format == "set":
+        items = value.cast("array<string>") if kind.startswith("array") else F.split(value.cast("string"), ",")
+        text = F.array_join(F.array_sort(F.array_distinct(F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x != ""))), ",")
+    elif field.format == "flag":
+        text = F.when(value.cast("boolean"), "true").otherwise(F.when(value.isNotNull(), "false"))
+    elif field.format == "count":
+        text = value.cast("double").cast("long").cast("string")
+    else:
+        text = F.trim(value.cast("string"))
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit(field.default))
+
+
+def final_metadata(frames: dict[str, DataFrame], fields: dict[str, Field] = METADATA) -> DataFrame:
+    """HRM-18: one row for each row of ``frames["final"]``, in the declared columns, all text.
+
+    Every frame has one row for each final_id at most and is joined once; a frame, a
+    column or a value that is missing is written as its field's default.  Only the
+    declared columns are read, so frames may share names.  A frame that repeats an id
+    raises: it would repeat the record.
+    """
+    out = frames["final"].select("final_id", *[F.col(f.column).alias(f"final.{f.column}") for f in {f.column: f for f in fields.values() if f.frame == "final"}.values() if f.column in frames["final"].columns])
+    kinds = {f"final.{c}": t for c, t in frames["final"].dtypes}
+    for name in dict.fromkeys(f.frame for f in fields.values() if f.frame != "final"):
+        if name not in frames:
+            continue
+        wanted = [c for c in dict.fromkeys(f.column for f in fields.values() if f.frame == name) if c in frames[name].columns]
+        kinds |= {f"{name}.{c}": t for c, t in frames[name].dtypes}
+        cells = F.struct(*[F.col(c).alias(f"{name}.{c}") for c in wanted]) if wanted else F.struct(F.lit(1).alias(f"{name}.none"))
+        once = frames[name].groupBy("final_id").agg(F.first(cells).alias("__f"), F.count("*").alias("__n"))
+        once = once.select(F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"frame {name} repeats "), F.col("final_id").cast("string"))).cast("string")).otherwise(F.col("final_id")).alias("final_id"), "__f.*")
+        out = out.join(once, "final_id", "left")
+    have = set(out.columns)
+    cell = lambda f: _written(F.col(f"`{f.frame}.{f.column}`"), kinds[f"{f.frame}.{f.column}"], f) if f"{f.frame}.{f.column}" in have else F.lit(f.default)
+    return out.select(*[cell(f).alias(name) for name, f in fields.items()])

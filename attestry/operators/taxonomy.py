@@ -46,8 +46,16 @@ def match_claims(claims: DataFrame, nodes: DataFrame, ranks: list[str], claim_id
     return named.join(hit, on).select(named[claim_id], "node").distinct()
 
 
+# Tiers and their scores.
+TIERS = {"provisional": 1, "moderate": 2, "high": 3}
+
+
+def tier_score(tier: Column) -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in TIERS.items() for x in kv]), tier)
+
+
 def claim_tier(rules: list[tuple[Column, str]]) -> Column:
-    """TAX-3: the first rule that holds gives the tier; else provisional."""
+    """TAX-3: the first rule that holds gives the tier; else provisional.  Rules are tried in order, and a null holds nothing."""
     out = None
     for when, tier in rules:
         out = F.when(when, tier) if out is None else out.when(when, tier)
@@ -108,20 +116,28 @@ def resolve(claims: DataFrame, matches: DataFrame, nodes: DataFrame, ranks: list
     return out.select("final_id", *[s.alias(f"strict_{r}") for s, r in zip(strict, ranks, strict=True)], *[F.col(f"x_{r}").alias(f"exploratory_{r}") for r in ranks], "best_paths", "ambiguous_rank", conflict.alias("conflict_rank"), "species_status")
 
 
-def confidence(resolved: DataFrame, claims: DataFrame, ranks: list[str]) -> DataFrame:
-    """TAX-7: deepest strict and exploratory rank, support there, stop reason and status."""
+def confidence(resolved: DataFrame, claims: DataFrame, matches: DataFrame, ranks: list[str]) -> DataFrame:
+    """TAX-7: deepest strict and exploratory rank, the tools and families behind each, confidence, stop reason and status.
+
+    Support at a rank are the claims that match the catalog and name the lineage's taxon there.
+    """
     deep = lambda p: F.coalesce(*[F.when(F.col(f"{p}_{r}").isNotNull(), F.lit(i + 1)) for i, r in reversed(list(enumerate(ranks)))], F.lit(0))
     out = resolved.withColumn("strict_depth", deep("strict")).withColumn("exploratory_depth", deep("exploratory"))
-    taxon = F.coalesce(*[F.when(F.col("strict_depth") == i + 1, F.col(f"strict_{r}")) for i, r in enumerate(ranks)])
-    each = claims.select("final_id", "tool", "family", "tier", F.posexplode(F.array(*[F.col(r).cast("string") for r in ranks])).alias("i", "taxon")).where("taxon is not null")
-    at = out.select("final_id", F.col("strict_depth").alias("d"), taxon.alias("own"))
-    backing = each.join(at, "final_id").where("i + 1 = d and taxon = own").groupBy("final_id").agg(F.array_sort(F.collect_set("tool")).alias("strict_tools"), F.count_distinct("family").alias("strict_families"), F.max("tier").alias("strict_tier"))
-    out = out.join(backing, "final_id", "left")
-    level = F.when(F.coalesce("strict_families", F.lit(0)) >= 2, "multi_method_consensus").when(F.col("strict_tier") == 3, "single_method_high").when(F.col("strict_depth") == 0, "unclassified").otherwise("moderate_supported")
+    valid = claims.join(matches.select("claim").distinct(), "claim", "left_semi")
+    each = valid.select("final_id", "tool", "family", "tier", F.posexplode(F.array(*[F.col(r).cast("string") for r in ranks])).alias("i", "taxon")).where("taxon is not null")
+    taxon = lambda p: F.get(F.array(*[F.col(f"{p}_{r}") for r in ranks]), F.col(f"{p}_depth") - 1)
+    own = out.select("final_id", *[c for p in ("strict", "exploratory") for c in (F.col(f"{p}_depth").alias(f"{p}_d"), taxon(p).alias(f"{p}_t"))])
+    at = lambda p, c: F.when((F.col("i") + 1 == F.col(f"{p}_d")) & (F.col("taxon") == F.col(f"{p}_t")), F.col(c))
+    behind = [a for p in ("strict", "exploratory") for a in (F.array_sort(F.collect_set(at(p, "tool"))).alias(f"{p}_tools"), F.array_sort(F.collect_set(at(p, "family"))).alias(f"{p}_families"), F.max(at(p, "tier")).alias(f"{p}_tier"))]
+    out = out.join(each.join(own, "final_id").groupBy("final_id").agg(*behind), "final_id", "left")
+    none = F.array().cast("array<string>")
+    out = out.withColumns({c: F.coalesce(c, none) for c in ("strict_tools", "strict_families", "exploratory_tools", "exploratory_families")})
+    level = F.when(F.size("strict_families") >= 2, "multi_method_consensus").when(F.col("strict_tier") == 3, "single_method_high").when(F.col("strict_depth") == 0, "unclassified").otherwise("moderate_supported")
+    wider = F.when(F.col("exploratory_tier") == 3, "high").when(F.col("exploratory_tier") == 2, "moderate").when(F.col("exploratory_tier") == 1, "provisional").otherwise("ambiguous")
     stop = F.when(F.col("conflict_rank") > 0, "independent_method_conflict").when(F.col("strict_depth") != F.col("exploratory_depth"), "insufficient_rank_support").when(F.col("ambiguous_rank") > 0, "ambiguous_catalog_paths").otherwise("deepest_supported_rank")
     same = reduce(lambda a, b: a & b, [F.col(f"strict_{r}").eqNullSafe(F.col(f"exploratory_{r}")) for r in ranks])
     status = F.when(same, "matches_strict").when(F.col("conflict_rank") > 0, "alternative_at_conflict").when(F.col("strict_depth") == 0, "exploratory_only").otherwise("extends_strict")
-    return out.withColumns({"strict_confidence": level, "stop_reason": stop, "exploratory_status": status})
+    return out.withColumns({"strict_confidence": level, "exploratory_confidence": wider, "stop_reason": stop, "exploratory_status": status})
 
 
 def vote_audit(claims: DataFrame, matches: DataFrame, resolved: DataFrame, ranks: list[str]) -> DataFrame:
@@ -135,17 +151,53 @@ def vote_audit(claims: DataFrame, matches: DataFrame, resolved: DataFrame, ranks
     return out.select("claim", "final_id", "tool", (F.col("i") + 1).alias("rank"), "taxon", reason.alias("reason"))
 
 
-def group_report(groups: DataFrame, resolved: DataFrame, ranks: list[str], minimum_length: int) -> DataFrame:
-    """TAX-9: status of each project group: long enough members, one strict lineage, or conflicting ones.
+# Predictions that name no taxon, and beginnings of synthetic group names.
+UNNAMED = ("default", "singleton", "unclassified")
+SYNTHETIC = "^(novel_|unplaced_)"
 
-    ``groups``: group, final_id, length.
+
+def group_report(groups: DataFrame, strict: DataFrame, ranks: list[str], minimum_length: int) -> DataFrame:
+    """TAX-9: synthetic project groups of each final record by rank, and whether they are reported beside its strict lineage.
+
+    ``groups``: final_id and ``<rank>_prediction`` for each rank (several rows a record);
+    ``strict``: final_id, length, ``strict_<rank>``.  Between the first rank and the
+    last, a rank's one synthetic prediction is accepted if the record is long enough,
+    the strict lineage leaves the rank open, and a group that predicts it names at
+    least one parent above (first rank and placeholders aside) and all the parents it
+    names are the strict lineage's.  Returns final_id, rank, taxon, reason, accepted.
+    A record that ``strict`` lacks has no length and no lineage.
     """
-    long = groups.where(F.col("length") >= minimum_length)
-    per = long.join(resolved.select("final_id", *[f"strict_{r}" for r in ranks]), "final_id", "left").groupBy("group").agg(F.count("*").alias("members"), *[F.count_distinct(f"strict_{r}").alias(f"n_{r}") for r in ranks])
-    mixed = F.coalesce(*[F.when(F.col(f"n_{r}") > 1, F.lit(r)) for r in ranks], F.lit(""))
-    out = groups.select("group").distinct().join(per, "group", "left")
-    status = F.when(F.col("members").isNull(), "below_minimum_length").when(mixed != "", "ambiguous_group").when(F.col("members") == 1, "singleton").otherwise("consistent_group")
-    return out.select("group", F.coalesce("members", F.lit(0)).alias("members"), mixed.alias("first_mixed_rank"), status.alias("status"))
+    clean = {r: F.lower(F.trim(f"{r}_prediction")) for r in ranks}
+    text = {r: F.trim(f"{r}_prediction") for r in ranks}
+    named = {r: (clean[r] != "") & ~clean[r].isin(*UNNAMED) & ~clean[r].rlike(SYNTHETIC) for r in ranks}
+    df = groups.join(strict.select("final_id", F.col("length").alias("__length"), *[F.col(f"strict_{r}").alias(f"__s_{r}") for r in ranks]), "final_id", "left")
+
+    def agrees(i: int) -> Column:
+        above = ranks[1:i]
+        some = reduce(lambda a, b: a | b, [F.coalesce(named[r], F.lit(False)) for r in above], F.lit(False))
+        fits = reduce(lambda a, b: a & b, [~F.coalesce(named[r], F.lit(False)) | text[r].eqNullSafe(F.col(f"__s_{r}")) for r in above], F.lit(True))
+        return some & fits
+
+    inner = list(enumerate(ranks))[1:-1]
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("rank"), text[r].alias("taxon"), agrees(i).alias("agrees"), F.col(f"__s_{r}").isNotNull().alias("taken")) for i, r in inner])
+    each = df.select("final_id", "__length", F.explode(cells).alias("g")).select("final_id", "__length", "g.*").where(F.coalesce(F.lower("taxon").rlike(SYNTHETIC), F.lit(False)))
+    per = each.groupBy("final_id", "i", "rank").agg(F.array_sort(F.collect_set("taxon")).alias("taxa"), F.bool_or("agrees").alias("agrees"), F.first("taken").alias("taken"), F.first("__length").alias("length"))
+    reason = (
+        F.when(F.coalesce("length", F.lit(0)) < minimum_length, "below_minimum_length")
+        .when(F.size("taxa") > 1, "ambiguous_groups")
+        .when(F.col("taken"), "strict_rank_already_classified")
+        .when(F.col("agrees"), "reported_compatible_project_group")
+        .otherwise("incompatible_or_unknown_parent_context")
+    )
+    out = per.withColumn("reason", reason)
+    return out.select("final_id", "rank", F.explode("taxa").alias("taxon"), "reason", (F.col("reason") == "reported_compatible_project_group").alias("accepted"))
+
+
+def group_summary(finals: DataFrame, report: DataFrame) -> DataFrame:
+    """TAX-9: labels (``rank:taxon``) and statuses of each final record; ``no_project_group`` where it has none."""
+    per = report.groupBy("final_id").agg(F.array_sort(F.collect_set(F.concat_ws(":", "rank", "taxon"))).alias("labels"), F.array_sort(F.collect_set("reason")).alias("statuses"))
+    out = finals.select("final_id").join(per, "final_id", "left")
+    return out.select("final_id", F.coalesce("labels", F.array().cast("array<string>")).alias("labels"), F.coalesce("statuses", F.array(F.lit("no_project_group"))).alias("statuses"))
 
 
 def rank_groups(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

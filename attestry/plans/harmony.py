@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import scalars as sc
 from ..operators import harmonize as hz
 from ..operators import lineage, standardize, taxonomy
 from . import frames as fr
@@ -29,8 +30,9 @@ d AS (SELECT *, CASE WHEN interp = 'likely_retroelement' THEN 'likely_retroeleme
 
 
 def _applied(spark: SparkSession, d: str) -> DataFrame:
-    e = fr.evidence(spark, d).withColumns({"final_id": F.col("sequence_id"), "record_type": F.lit("input_contig"), "final_type": F.lit("input_contig")})
-    return hz.application(hz.prefer_region_scope(e))
+    same = F.col("sequence_id")
+    e = fr.evidence(spark, d).withColumns({"final_id": same, "final_parent": same, "exact_id": same, "evidence_scope": F.lit(None).cast("string"), "final_type": F.lit("input_contig")})
+    return hz.application(hz.prefer_region_scope(e, "click"))
 
 
 def _support(spark: SparkSession, d: str) -> DataFrame:
@@ -52,8 +54,9 @@ TEXT = "coalesce(nullif(array_to_string({0}, ','), ''), 'NA')"
 
 @query(APPLIED + f"SELECT final_id, {TEXT.format('strong')} AS strong_tools, {TEXT.format('qualified')} AS qualified_tools, {TEXT.format('cellular')} AS cellular_tools, {TEXT.format('plasmid')} AS plasmid_tools, confidence FROM d")
 def harmony_support(spark: SparkSession, d: str) -> DataFrame:
-    """HRM-4, 5, 7, 18."""
-    return hz.final_metadata(_support(spark, d).drop("user_id", "context_plasmid_tools"), [])
+    """HRM-4, 5, 7."""
+    sets = ("strong_tools", "qualified_tools", "cellular_tools", "plasmid_tools")
+    return _support(spark, d).select("final_id", *[sc.set_text(F.col(c)).alias(c) for c in sets], "confidence")
 
 
 @query(APPLIED + "SELECT final_id, decision, over AS generic_override FROM d")
@@ -65,10 +68,18 @@ def harmony_decision(spark: SparkSession, d: str) -> DataFrame:
 @query(APPLIED + """SELECT final_id, CASE WHEN decision IN ('retained_viral', 'retained_provirus') THEN 'primary' WHEN decision IN ('provisional_viral', 'provisional_provirus') THEN 'provisional' ELSE 'review' END AS route,
   CASE WHEN region AND len(plasmid) > 0 THEN CASE WHEN decision IN ('retained_viral', 'retained_provirus') THEN 'plasmid_associated_provirus' WHEN decision LIKE 'provisional%' THEN 'provisional_plasmid_associated_provirus' ELSE 'nonprimary_plasmid_associated_region' END
     WHEN NOT region AND decision LIKE 'retained%' AND len(strong) >= 2 AND len(plasmid) > 0 THEN 'virus_plasmid_hybrid_candidate' WHEN region AND decision LIKE 'retained%' THEN 'provirus' WHEN region AND decision LIKE 'provisional%' THEN 'provisional_provirus' WHEN decision LIKE 'retained%' THEN 'viral_contig' WHEN decision LIKE 'provisional%' THEN 'provisional_viral_contig' ELSE 'nonprimary_or_review' END AS entity,
-  array_to_string(list_filter([CASE WHEN confidence = 'provisional' THEN 'single_qualified_viral_tool' END, CASE WHEN over THEN 'generic_cellular_conflict_overridden' END, CASE WHEN NOT over AND len(cellular) > 0 THEN 'cellular_conflict' END, CASE WHEN len(plasmid) > 0 THEN 'plasmid_conflict' END], lambda x: x IS NOT NULL), ',') AS review_reasons FROM d""")
+  array_to_string(list_filter([CASE WHEN region AND user_id % 3 = 0 AND user_id % 5 > 0 THEN 'region_boundary_homology_discordance' END, CASE WHEN user_id % 7 = 0 THEN 'disputed_boundary_provisional' END, CASE WHEN confidence = 'provisional' THEN 'single_qualified_viral_tool' END, CASE WHEN over THEN 'generic_cellular_conflict_overridden' END, CASE WHEN NOT over AND len(cellular) > 0 THEN 'cellular_conflict' END, CASE WHEN len(plasmid) > 0 THEN 'plasmid_conflict' END,
+    CASE WHEN user_id % 6 = 0 THEN 'taxonomy_conflict' END, CASE WHEN user_id % 8 = 1 THEN 'group_ambiguity' END, CASE WHEN user_id % 8 IN (1, 2) THEN 'group_context_conflict' END, CASE WHEN interp = 'likely_retroelement' THEN 'likely_retroelement' END, CASE WHEN interp = 'ambiguous_mobile_element' THEN 'ambiguous_mobile_element' END, CASE WHEN user_id % 11 = 0 THEN 'taxonomy_unclassified' END], lambda x: x IS NOT NULL), ',') AS review_reasons FROM d""")
 def harmony_routes(spark: SparkSession, d: str) -> DataFrame:
-    """HRM-13, 14, 15."""
-    return hz.review_reasons(hz.entity(hz.route(_decisions(spark, d)))).select("final_id", "route", "entity", "review_reasons")
+    """HRM-13, 14, 15: with all the reasons for review."""
+    u = F.col("user_id")
+    conflict = F.lit("incompatible_or_unknown_parent_context")
+    x = _decisions(spark, d).withColumns({
+        "parent_viral": u % 3 == 0, "region_viral": u % 5 == 0, "boundary_disputed": u % 7 == 0, "taxonomy_conflict": u % 6 == 0,
+        "group_statuses": F.when(u % 8 == 1, F.array(F.lit("ambiguous_groups"), conflict)).when(u % 8 == 2, F.array(conflict)),
+        "strict_rank": F.when(u % 11 == 0, "domain").otherwise("genus"),
+    })
+    return hz.review_reasons(hz.entity(hz.route(x))).select("final_id", "route", "entity", "review_reasons")
 
 
 @query(APPLIED + """, l AS (SELECT sequence_id AS final_id, bool_or(value >= 20 AND value < 30 AND tool = 'purchase') AS blocked, bool_or(tool = 'view' AND value >= 60) AS good FROM evidence GROUP BY 1)
@@ -124,12 +135,21 @@ def harmony_applicability(spark: SparkSession, d: str) -> DataFrame:
     return hz.apply_evidence(ev, f).select("row", "final_id")
 
 
-@query(f"""WITH {fr.EVIDENCE}, x AS (SELECT event_id, sequence_id, tool, classification, review, event_id % 3 = 0 AS scoped FROM evidence), w AS (SELECT *, bool_or(scoped) OVER (PARTITION BY sequence_id, tool) AND NOT scoped AS superseded FROM x)
-SELECT event_id, CASE WHEN review THEN 'review' WHEN NOT scoped AND classification <> 'virus' THEN 'context' WHEN superseded THEN 'superseded' ELSE 'used' END AS evidence_application FROM w""")
+@query(f"""WITH {fr.EVIDENCE}, x AS (SELECT event_id, sequence_id, tool, classification, review, user_id % 3 > 0 AS region, event_id % 3 = 0 AS own, event_id % 4 = 0 AS refined FROM evidence),
+w AS (SELECT *, bool_or(tool = 'click' AND refined AND own) OVER (PARTITION BY sequence_id) AS anew FROM x)
+SELECT event_id, CASE WHEN review THEN 'review' WHEN tool = 'click' AND NOT refined AND (region OR anew) THEN 'superseded' WHEN region AND classification IN ('cellular', 'plasmid') AND NOT own THEN 'context' ELSE 'used' END AS evidence_application FROM w""")
 def harmony_application(spark: SparkSession, d: str) -> DataFrame:
-    """HRM-2, 3, 4."""
-    e = fr.evidence(spark, d).withColumns({"final_id": F.col("sequence_id"), "final_type": F.lit("provirus"), "record_type": F.when(F.col("event_id") % 3 == 0, "provirus").otherwise("input_contig")})
-    return hz.application(hz.prefer_region_scope(e)).select("event_id", "evidence_application")
+    """HRM-2, 3, 4: two of three user-days are regions; a third of the rows name the final record itself, a quarter were scored anew."""
+    e, region = fr.evidence(spark, d), F.col("user_id") % 3 > 0
+    own = F.col("event_id") % 3 == 0
+    e = e.withColumns({
+        "final_id": F.col("sequence_id"),
+        "final_parent": F.when(region, F.concat("sequence_id", F.lit("^"))).otherwise(F.col("sequence_id")),
+        "exact_id": F.when(own, F.col("sequence_id")).otherwise(F.concat("sequence_id", F.lit("^"))),
+        "final_type": F.when(region, "provirus").otherwise("input_contig"),
+        "evidence_scope": F.when(F.col("event_id") % 4 == 0, "refined_region"),
+    })
+    return hz.application(hz.prefer_region_scope(e, "click")).select("event_id", "evidence_application")
 
 
 @query(f"""WITH {fr.EVIDENCE} SELECT sequence_id AS final_id, bool_or(tool = 'view' AND classification = 'virus' AND value > 50 AND event_id % 2 = 0) AS complete_support FROM evidence GROUP BY 1""")
@@ -215,13 +235,26 @@ def tax_resolved(spark: SparkSession, d: str) -> DataFrame:
     return _resolved(spark, d)[2]
 
 
-@query(RESOLVED + """, dd AS (SELECT *, CASE WHEN strict_supplier IS NOT NULL THEN 3 WHEN strict_nation IS NOT NULL THEN 2 WHEN strict_region IS NOT NULL THEN 1 ELSE 0 END AS sd, CASE WHEN exploratory_supplier IS NOT NULL THEN 3 WHEN exploratory_nation IS NOT NULL THEN 2 WHEN exploratory_region IS NOT NULL THEN 1 ELSE 0 END AS ed FROM res)
-SELECT final_id, CAST(sd AS INTEGER) AS strict_depth, CASE WHEN conflict_rank > 0 THEN 'independent_method_conflict' WHEN sd <> ed THEN 'insufficient_rank_support' WHEN ambiguous_rank > 0 THEN 'ambiguous_catalog_paths' ELSE 'deepest_supported_rank' END AS stop_reason,
-  CASE WHEN strict_region IS NOT DISTINCT FROM exploratory_region AND strict_nation IS NOT DISTINCT FROM exploratory_nation AND strict_supplier IS NOT DISTINCT FROM exploratory_supplier THEN 'matches_strict' WHEN conflict_rank > 0 THEN 'alternative_at_conflict' WHEN sd = 0 THEN 'exploratory_only' ELSE 'extends_strict' END AS exploratory_status FROM dd""")
+CONFIDENCE = """, dd AS (SELECT *, CASE WHEN strict_supplier IS NOT NULL THEN 3 WHEN strict_nation IS NOT NULL THEN 2 WHEN strict_region IS NOT NULL THEN 1 ELSE 0 END AS sd, CASE WHEN exploratory_supplier IS NOT NULL THEN 3 WHEN exploratory_nation IS NOT NULL THEN 2 WHEN exploratory_region IS NOT NULL THEN 1 ELSE 0 END AS ed FROM res),
+bk AS (SELECT dd.final_id, string_agg(DISTINCT tool, ',' ORDER BY tool) FILTER (here) AS st, string_agg(DISTINCT family, ',' ORDER BY family) FILTER (here) AS sf, count(DISTINCT family) FILTER (here) AS nf, max(tier) FILTER (here) AS tt,
+  string_agg(DISTINCT tool, ',' ORDER BY tool) FILTER (there) AS xt, string_agg(DISTINCT family, ',' ORDER BY family) FILTER (there) AS xf, max(tier) FILTER (there) AS xx FROM (SELECT dd.*, tool, family, tier,
+    sd > 0 AND [v.region, v.nation, v.supplier][sd] = [strict_region, strict_nation, strict_supplier][sd] AS here, ed > 0 AND [v.region, v.nation, v.supplier][ed] = [exploratory_region, exploratory_nation, exploratory_supplier][ed] AS there FROM dd JOIN valid v ON v.final_id = dd.final_id) dd GROUP BY 1),
+conf AS (SELECT dd.*, coalesce(st, '') AS strict_tools, coalesce(sf, '') AS strict_families, coalesce(xt, '') AS exploratory_tools, coalesce(xf, '') AS exploratory_families, CASE WHEN nf >= 2 THEN 'multi_method_consensus' WHEN tt = 3 THEN 'single_method_high' WHEN sd = 0 THEN 'unclassified' ELSE 'moderate_supported' END AS strict_confidence,
+  CASE xx WHEN 3 THEN 'high' WHEN 2 THEN 'moderate' WHEN 1 THEN 'provisional' ELSE 'ambiguous' END AS exploratory_confidence, CASE WHEN conflict_rank > 0 THEN 'independent_method_conflict' WHEN sd <> ed THEN 'insufficient_rank_support' WHEN ambiguous_rank > 0 THEN 'ambiguous_catalog_paths' ELSE 'deepest_supported_rank' END AS stop_reason,
+  CASE WHEN strict_region IS NOT DISTINCT FROM exploratory_region AND strict_nation IS NOT DISTINCT FROM exploratory_nation AND strict_supplier IS NOT DISTINCT FROM exploratory_supplier THEN 'matches_strict' WHEN conflict_rank > 0 THEN 'alternative_at_conflict' WHEN sd = 0 THEN 'exploratory_only' ELSE 'extends_strict' END AS exploratory_status FROM dd LEFT JOIN bk USING (final_id))
+"""
+
+
+def _confidence(spark: SparkSession, d: str) -> DataFrame:
+    claims, matches, res = _resolved(spark, d)
+    return taxonomy.confidence(res, claims, matches, fr.RANKS)
+
+
+@query(RESOLVED + CONFIDENCE + "SELECT final_id, CAST(sd AS INTEGER) AS strict_depth, strict_tools, strict_families, strict_confidence, exploratory_tools, exploratory_families, exploratory_confidence, stop_reason, exploratory_status FROM conf")
 def tax_confidence(spark: SparkSession, d: str) -> DataFrame:
     """TAX-7."""
-    claims, _, res = _resolved(spark, d)
-    return taxonomy.confidence(res, claims, fr.RANKS).select("final_id", "strict_depth", "stop_reason", "exploratory_status")
+    sets = ("strict_tools", "strict_families", "exploratory_tools", "exploratory_families")
+    return _confidence(spark, d).select("final_id", "strict_depth", *[F.array_join(c, ",").alias(c) for c in sets], "strict_confidence", "exploratory_confidence", "stop_reason", "exploratory_status")
 
 
 @query(RESOLVED + """, e2 AS (SELECT claim, final_id, tool, CAST(unnest([1, 2, 3]) AS INTEGER) AS rank, unnest([region, nation, supplier]) AS taxon FROM claims), s2 AS (SELECT final_id, unnest([1, 2, 3]) AS rank, unnest([strict_region, strict_nation, strict_supplier]) AS own FROM res)
@@ -231,12 +264,39 @@ def tax_vote_audit(spark: SparkSession, d: str) -> DataFrame:
     return taxonomy.vote_audit(*_resolved(spark, d), fr.RANKS)
 
 
-@query(RESOLVED + """, g AS (SELECT o_custkey AS grp, o_orderkey AS final_id, CAST(o_totalprice AS BIGINT) AS length FROM orders), m AS (SELECT grp, count(*) AS members, count(DISTINCT strict_region) AS a, count(DISTINCT strict_nation) AS b, count(DISTINCT strict_supplier) AS c FROM g LEFT JOIN res USING (final_id) WHERE length >= 100000 GROUP BY 1)
-SELECT DISTINCT g.grp AS "group", coalesce(members, 0) AS members, CASE WHEN a > 1 THEN 'region' WHEN b > 1 THEN 'nation' WHEN c > 1 THEN 'supplier' ELSE '' END AS first_mixed_rank, CASE WHEN members IS NULL THEN 'below_minimum_length' WHEN a > 1 OR b > 1 OR c > 1 THEN 'ambiguous_group' WHEN members = 1 THEN 'singleton' ELSE 'consistent_group' END AS status FROM g LEFT JOIN m ON g.grp = m.grp""")
+GROUPS = """gr AS (SELECT l_orderkey AS final_id, CASE WHEN l_partkey % 10 = 0 THEN 'unplaced_' || l_suppkey % 2 WHEN l_partkey % 10 = 1 THEN 'default' ELSE region END AS rp, CASE WHEN l_partkey % 4 = 0 THEN 'Novel_n' || l_partkey % 3 ELSE nation END AS np FROM lineitem JOIN catalog ON path_id = l_suppkey),
+le AS (SELECT o_orderkey AS final_id, max(CAST(o_totalprice AS BIGINT)) AS length FROM orders GROUP BY 1),
+gs AS (SELECT gr.final_id, unnest([{'k': 'region', 't': rp, 'agrees': false, 'taken': strict_region IS NOT NULL}, {'k': 'nation', 't': np, 'agrees': rp NOT LIKE 'unplaced%' AND rp <> 'default' AND coalesce(rp = strict_region, false), 'taken': strict_nation IS NOT NULL}]) AS g, coalesce(length, 0) AS length
+  FROM gr LEFT JOIN res ON res.final_id = gr.final_id LEFT JOIN le ON le.final_id = gr.final_id),
+gp AS (SELECT final_id, g.k AS rank, list_distinct(list(g.t)) AS taxa, bool_or(g.agrees) AS agrees, bool_or(g.taken) AS taken, max(length) AS length FROM gs WHERE lower(g.t) LIKE 'novel\\_%' ESCAPE '\\' OR lower(g.t) LIKE 'unplaced\\_%' ESCAPE '\\' GROUP BY 1, 2),
+gq AS (SELECT *, CASE WHEN length < 100000 THEN 'below_minimum_length' WHEN len(taxa) > 1 THEN 'ambiguous_groups' WHEN taken THEN 'strict_rank_already_classified' WHEN agrees THEN 'reported_compatible_project_group' ELSE 'incompatible_or_unknown_parent_context' END AS reason FROM gp)"""
+
+
+def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Project groups that order lines predict for their order, and the orders' strict lineages and lengths."""
+    x = fr.table(spark, d, "lineitem").join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id"))
+    part = F.col("l_partkey")
+    region = F.when(part % 10 == 0, F.concat(F.lit("unplaced_"), (F.col("l_suppkey") % 2).cast("string"))).when(part % 10 == 1, "default").otherwise(F.col("region"))
+    nation = F.when(part % 4 == 0, F.concat(F.lit("Novel_n"), (part % 3).cast("string"))).otherwise(F.col("nation"))
+    groups = x.select(F.col("l_orderkey").alias("final_id"), F.lit("Viruses").alias("domain_prediction"), region.alias("region_prediction"), nation.alias("nation_prediction"), F.lit("").alias("supplier_prediction"))
+    length = fr.table(spark, d, "orders").groupBy(F.col("o_orderkey").alias("final_id")).agg(F.max(F.col("o_totalprice").cast("decimal(20,0)").cast("long")).alias("length"))
+    strict = length.join(_resolved(spark, d)[2].withColumn("strict_domain", F.lit("Viruses")), "final_id", "full")
+    return groups, strict
+
+
+@query(RESOLVED + ", " + GROUPS + " SELECT final_id, rank, unnest(taxa) AS taxon, reason, reason = 'reported_compatible_project_group' AS accepted FROM gq")
 def tax_groups(spark: SparkSession, d: str) -> DataFrame:
-    """TAX-9."""
-    g = fr.table(spark, d, "orders").select(F.col("o_custkey").alias("group"), F.col("o_orderkey").alias("final_id"), F.col("o_totalprice").cast("decimal(20,0)").cast("long").alias("length"))
-    return taxonomy.group_report(g, _resolved(spark, d)[2], fr.RANKS, 100_000)
+    """TAX-9: synthetic groups against the strict lineage and its parents."""
+    return taxonomy.group_report(*_groups(spark, d), ["domain", *fr.RANKS], 100_000)
+
+
+@query(RESOLVED + ", " + GROUPS + """ SELECT o_orderkey AS final_id, coalesce(labels, '') AS labels, coalesce(statuses, 'no_project_group') AS statuses FROM (SELECT DISTINCT o_orderkey FROM orders)
+  LEFT JOIN (SELECT final_id, string_agg(DISTINCT rank || ':' || t, ',' ORDER BY rank || ':' || t) AS labels, string_agg(DISTINCT reason, ',' ORDER BY reason) AS statuses FROM (SELECT *, unnest(taxa) AS t FROM gq) GROUP BY 1) ON final_id = o_orderkey""")
+def tax_group_summary(spark: SparkSession, d: str) -> DataFrame:
+    """TAX-9: labels and statuses of every order."""
+    finals = fr.table(spark, d, "orders").select(F.col("o_orderkey").alias("final_id")).distinct()
+    out = taxonomy.group_summary(finals, taxonomy.group_report(*_groups(spark, d), ["domain", *fr.RANKS], 100_000))
+    return out.select("final_id", F.array_join("labels", ",").alias("labels"), F.array_join("statuses", ",").alias("statuses"))
 
 
 SIX = [f"c{i}" for i in range(6)]
