@@ -35,11 +35,11 @@ MAX_WORDS, MIN_COUNT, TOP, SCALE = 5, 100, 2_000, 1_000
 #: Words, and phrases of a level, that a task may hold; candidates of one trie.
 VOCABULARY, MAX_PHRASES, TRIE = 2_000_000, 2_000_000, 500_000
 #: Buckets of a level: one for every 16 words within these bounds, so that rare phrases don't fill them together.
-FEWEST_BUCKETS, MOST_BUCKETS, WORDS_PER_BUCKET = 1 << 16, 1 << 24, 16
+FEWEST_BUCKETS, MOST_BUCKETS, WORDS_PER_BUCKET = 1 << 16, 1 << 22, 16
 #: Numbers in a row of the stored arrays (at least), and bytes of text that are tokenised at once (a longer text is taken whole).
-_CHUNK, _BYTES = 1 << 20, 2 << 20
+_CHUNK, _BYTES = 1 << 18, 2 << 20
 #: Numbers that a task of a pass takes.
-_TASK = 16 << 20
+_TASK = 8 << 20
 #: Salts for the first cut of a language's ranking.
 _SALTS = 32
 
