@@ -19,12 +19,13 @@ VOCABULARY words (or MAX_PHRASES phrases of a level) levels are counted by a shu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import join_per_key, lower_ascii, small_side, stored
@@ -38,6 +39,8 @@ VOCABULARY, MAX_PHRASES, TRIE = 2_000_000, 2_000_000, 500_000
 FEWEST_BUCKETS, MOST_BUCKETS, WORDS_PER_BUCKET = 1 << 16, 1 << 22, 16
 #: Numbers in a row of the stored arrays (at least), and bytes of text that are tokenised at once (a longer text is taken whole).
 _CHUNK, _BYTES = 1 << 18, 2 << 20
+#: Bytes of an Arrow batch.
+BATCH, _BATCH_KEY = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Numbers that a task of a pass takes.
 _TASK = 8 << 20
 #: Salts for the first cut of a language's ranking.
@@ -56,6 +59,17 @@ def words(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Da
     return each.where("word <> ''").groupBy("lang", "word").agg(F.count("*").alias("f"))
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of BATCH bytes for what runs inside; texts and arrays are large, and both sides hold a batch whole."""
+    before = spark.conf.get(_BATCH_KEY, None)
+    spark.conf.set(_BATCH_KEY, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH_KEY) if before is None else spark.conf.set(_BATCH_KEY, before)
+
+
 @dataclass
 class Trie:
     """Double array: the child of node ``s`` by number ``c`` is ``t = base[s] + c`` if ``check[t] = s``.
@@ -384,7 +398,8 @@ def phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min
         vocabulary = sorted((r.lang, r.word, r.f) for r in frequent.collect())
         # frequent words get low numbers, which keeps the arrays of tries short
         buckets = _buckets(counted.agg(F.sum("f")).first()[0] or 0)
-        longer = _phrases_by_tries(own, sorted(vocabulary, key=lambda x: -x[2]), buckets, min_count, max_words)
+        with _small_batches(docs.sparkSession):
+            longer = _phrases_by_tries(own, sorted(vocabulary, key=lambda x: -x[2]), buckets, min_count, max_words)
     if longer is None:
         longer = _phrases_by_shuffle(own, min_count, max_words)
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("k"), "f")
