@@ -58,10 +58,54 @@ def violations_probabilities(df: DataFrame, classes: list[str], label: str, tole
     return df.where((F.abs(total - 1) > tolerance) | named.isNull() | (F.abs(named - top) > 1e-12))
 
 
-def violations_interval(regions: DataFrame, parents: DataFrame, key: list[str], start: str, end: str, length: str) -> DataFrame:
-    """DQ-7: regions that leave their parent or have none."""
+def wraps(start: Column, end: Column, length: Column, circular: Column) -> Column:
+    """DQ-7: whether an interval runs over the origin of a circular record and meets its own start at most."""
+    return F.coalesce(circular & (start >= 1) & (start <= length) & (end > length) & (end - length <= start), F.lit(False))
+
+
+def violations_interval(regions: DataFrame, parents: DataFrame, key: list[str], start: str, end: str, length: str, circular: Column | None = None) -> DataFrame:
+    """DQ-7: regions that leave their parent or have none; ``circular`` tells which may wrap around it."""
     both = regions.join(parents.select(*key, length), key, "left")
-    return both.where(~F.coalesce((F.col(start) >= 1) & (F.col(start) <= F.col(end)) & (F.col(end) <= F.col(length)), F.lit(False)))
+    s, e, n = F.col(start), F.col(end), F.col(length)
+    inside = (s >= 1) & (s <= e) & (e <= n)
+    return both.where(~(F.coalesce(inside, F.lit(False)) | wraps(s, e, n, circular if circular is not None else F.lit(False))))
+
+
+def split_wrapped(regions: DataFrame, start: str, end: str, length: str) -> DataFrame:
+    """DQ-7: regions that run over the origin as two pieces, up to the end and from 1 on, with ``piece`` 1 and 2; others as piece 1."""
+    s, e, n = F.col(start), F.col(end), F.col(length)
+    cell = lambda p, a, b: F.struct(F.lit(p).alias("piece"), a.cast("long").alias("a"), b.cast("long").alias("b"))
+    pieces = F.when(e > n, F.array(cell(1, s, n), cell(2, F.lit(1), e - n))).otherwise(F.array(cell(1, s, e)))
+    out = regions.withColumn("__p", F.explode(pieces))
+    return out.withColumns({start: F.col("__p.a"), end: F.col("__p.b"), "piece": F.col("__p.piece")}).drop("__p")
+
+
+def violations_lengths(sources: dict[str, DataFrame], records: DataFrame, key: list[str], length: str, complete: tuple[str, ...] = ()) -> DataFrame:
+    """DQ-7: (key, source, declared, expected) where a source's length isn't the record's.
+
+    Records that a source doesn't name are violations for the sources in ``complete``
+    only; names without a record always are.
+    """
+    want = records.groupBy(*key).agg(F.max(length).alias("expected"))
+    out = None
+    for name, df in sources.items():
+        have = df.select(*key, F.col(length).alias("declared")).distinct().withColumn("__have", F.lit(True))
+        both = have.join(want, key, "full" if name in complete else "left")
+        bad = both.where(~F.coalesce(F.col("declared") == F.col("expected"), F.lit(False))).select(*key, F.lit(name).alias("source"), "declared", "expected")
+        out = bad if out is None else out.unionByName(bad)
+    return out
+
+
+def violations_region_sum(regions: DataFrame, reported: DataFrame, key: list[str], start: str, end: str, length: str, total: str) -> DataFrame:
+    """DQ-7: (key, total, covered) where the regions of a record, wrapped ones modulo its length, don't sum to what is reported.
+
+    ``regions`` has the record's ``length``; a record with a reported total but no regions covers 0.
+    """
+    s, e, n = F.col(start), F.col(end), F.col(length)
+    size = F.least(e - s + 1, n)  # a wrap that meets its start covers the record once
+    seen = regions.groupBy(*key).agg(F.sum(size).alias("covered"))
+    both = reported.select(*key, total).join(seen, key, "left").withColumn("covered", F.coalesce("covered", F.lit(0)))
+    return both.where(~F.col(total).eqNullSafe(F.col("covered")))
 
 
 def producer_gaps(df: DataFrame, group: list[str], producer: str, expected: DataFrame) -> DataFrame:

@@ -42,7 +42,7 @@ def hierarchical_vote(votes: DataFrame, key: list[str], ranks: list[str], weight
     prefix = each.where("d > 0").select(*key, "w", F.explode(F.transform(F.sequence(F.lit(1), F.col("d")), lambda i: F.slice("p", 1, i))).alias("prefix"))
     node = prefix.groupBy(*key, "prefix").agg(F.sum("w").alias("w")).withColumn("parent", F.slice("prefix", 1, F.size("prefix") - 1))
     siblings = W.partitionBy(*key, "parent")
-    node = node.withColumn("total", F.sum("w").over(siblings)).withColumn("share", F.col("w") / F.col("total")).withColumn("n", F.count("*").over(siblings))
+    node = node.withColumn("total", F.sum("w").over(siblings)).withColumn("share", F.coalesce(F.try_divide("w", "total"), F.lit(0.0))).withColumn("n", F.count("*").over(siblings))
     node = node.withColumn("r", F.row_number().over(siblings.orderBy(F.desc("w"), F.desc("prefix")))).where("r = 1")
     node = node.withColumn("won", F.col("share") + 1e-12 >= threshold)
     lists = node.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("parent", F.struct("prefix", "share", "won", "n", "w", "total")))).alias("best"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -99,3 +102,51 @@ def accession_audit(df: DataFrame, id_col: str, text: str) -> DataFrame:
     coordinates = value.rlike(r"\(\d+\.\d+\)$")
     good = F.regexp_replace(value, r"\s*\(\d+\.\d+\)$", "").rlike(r"^[A-Za-z0-9_.]+$")
     return entry.groupBy(id_col).agg(F.count("*").alias("entries"), F.count_if(label).alias("labelled"), F.count_if(coordinates).alias("with_coordinates"), F.count_if(~good).alias("malformed"))
+
+
+def _tokens(name: str) -> str:
+    return re.sub("[^a-z0-9]+", " ", name.lower()).strip()
+
+
+def resolve_columns(headers: list[str], wanted: list[str], longer: tuple[str, ...] = ()) -> dict[str, str]:
+    """REF-13: the header of each wanted column, compared by lower-case letters and digits alone.
+
+    For those in ``longer`` a header that begins with the name's words also counts if
+    none is equal.  A column that no header, or more than one, matches raises.
+    """
+    found = {}
+    for name in wanted:
+        hits = [h for h in headers if _tokens(h) == _tokens(name)]
+        if not hits and name in longer:
+            hits = [h for h in headers if _tokens(h).startswith(_tokens(name))]
+        if len(hits) != 1:
+            raise ValueError(f"expected one column for {name!r}, found {len(hits)}: {hits}")
+        found[name] = hits[0]
+    return found
+
+
+def by_headers(df: DataFrame, wanted: list[str], longer: tuple[str, ...] = ()) -> DataFrame:
+    """REF-13: ``df`` in the wanted columns, trimmed text; nulls are empty."""
+    if len(set(df.columns)) != len(df.columns):
+        raise ValueError(f"repeated columns: {df.columns}")
+    found = resolve_columns(df.columns, wanted, longer)
+    return df.select(*[F.coalesce(F.trim(F.col("`" + h.replace("`", "``") + "`").cast("string")), F.lit("")).alias(name) for name, h in found.items()])
+
+
+def by_first_headers(lines: DataFrame, wanted: list[str], longer: tuple[str, ...] = (), sep: str = ",", within: int = 30) -> DataFrame:
+    """REF-13: the same for a sheet whose header is one of its first ``within`` lines; ``lines``: at (order), value.
+
+    Only those lines pass through the driver.
+    """
+    failure = "no lines"
+    for row in lines.orderBy("at").limit(within).collect():
+        headers = next(csv.reader([row.value], delimiter=sep), [])
+        try:
+            found = resolve_columns(headers, wanted, longer)
+        except ValueError as e:
+            failure = str(e)
+            continue
+        schema = ", ".join(f"c{i} string" for i in range(len(headers)))
+        cells = lines.where(F.col("at") > row.at).select(F.from_csv("value", schema, {"sep": sep}).alias("r"))
+        return cells.select(*[F.coalesce(F.trim(f"r.c{headers.index(h)}"), F.lit("")).alias(name) for name, h in found.items()])
+    raise ValueError(f"no line of the first {within} names the columns: {failure}")

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import RANKS
+from ..functions.scalars import RANKS, clean_missing, interval, interval_text
 
 # The core columns of the evidence schema.
 CORE = ("sample_id", "sequence_id", "parent_sequence_id", "record_type", "coordinates", "tool", "classification", "score", "score_type", "length", "topology", "n_genes", "n_hallmarks")
@@ -152,8 +152,112 @@ def best_lineages(df: DataFrame, index: DataFrame, id_col: str, ranks: list[str]
     return df.drop(*ranks).join(per, id_col, "left").withColumn("unknown", F.coalesce("unknown", F.lit(0)))
 
 
-def group_table(regions: DataFrame, assignments: DataFrame, domains: list[str], id_col: str) -> DataFrame:
-    """STD-11: every region for every domain with its group, or that none was reported."""
-    grid = regions.select(id_col).withColumn("database_domain", F.explode(F.array(*[F.lit(d) for d in domains])))
-    out = grid.join(assignments, [id_col, "database_domain"], "left")
-    return out.withColumn("status", F.when(F.col("group").isNull(), "not_reported").when(F.col("reference"), "reference_supported").otherwise("novel_group"))
+def _region_lists(df: DataFrame, types: str, coordinates: str, length: str, total: str) -> DataFrame:
+    """STD-8: ``df`` with ``regions`` (type, start, end in the order of both lists) and ``fault``, the first thing wrong with them."""
+    kinds = F.transform(F.split(clean_missing(F.col(types)), ","), lambda x: F.lower(F.trim(x)))
+    spans = F.transform(F.split(clean_missing(F.col(coordinates)), ","), lambda x: interval(x))
+    out = df.withColumns({"__k": kinds, "__s": spans})
+    zipped = F.zip_with("__k", "__s", lambda k, s: F.struct(k.alias("type"), s.start.alias("start"), s.end.alias("end")))
+    out = out.withColumn("regions", F.when(F.size("__k") == F.size("__s"), zipped))
+    viral = F.filter("regions", lambda r: r.type == "viral")
+    covered = F.aggregate(viral, F.lit(0).cast("long"), lambda a, r: a + r.end - r.start + 1)
+    follows = F.forall(F.sequence(F.lit(0), F.size("regions") - 2), lambda i: F.get("regions", i).end < F.get("regions", i + 1).start)
+    ordered = F.when(F.size("regions") > 1, follows).otherwise(True)
+    fault = (
+        F.when(F.col("__k").isNull() | F.col("__s").isNull(), "no_regions")
+        .when(F.size("__k") != F.size("__s"), "lists_differ_in_length")
+        .when(F.exists("__s", lambda x: x.isNull()), "bad_coordinate")
+        .when(F.exists("regions", lambda r: r.end > F.col(length)), "beyond_record")
+        .when(~ordered, "out_of_order")
+        .when(F.size(viral) == 0, "no_viral_region")
+        .when(~F.col(total).eqNullSafe(covered), "sum_differs_from_reported")
+    )
+    return out.withColumn("fault", fault).drop("__k", "__s")
+
+
+def region_faults(df: DataFrame, id_col: str, types: str, coordinates: str, length: str, total: str) -> DataFrame:
+    """STD-8: (id, fault) of records whose parallel lists don't make regions."""
+    return _region_lists(df, types, coordinates, length, total).where("fault is not null").select(id_col, "fault")
+
+
+def viral_regions(df: DataFrame, id_col: str, types: str, coordinates: str, length: str, total: str, strict: bool = True) -> DataFrame:
+    """STD-8: one row for each viral region of a record's parallel lists of types and coordinates.
+
+    Adds sequence_id (``<id>|provirus_<start>_<end>``), parent_sequence_id, record_type,
+    coordinates, start, end and region_length.  Both lists must be of one length and in
+    ascending, disjoint order, lie within ``length``, hold a viral region, and the viral
+    ones sum to ``total``; a record that breaks this raises, or with ``strict`` off has
+    no regions here and a row in :func:`region_faults`.
+    """
+    lists = _region_lists(df, types, coordinates, length, total)
+    if strict:
+        message = F.concat(F.lit("regions of "), F.col(id_col).cast("string"), F.lit(": "), F.col("fault"))
+        lists = lists.withColumn("regions", F.when(F.col("fault").isNotNull(), F.raise_error(message).cast(lists.schema["regions"].dataType)).otherwise(F.col("regions")))
+    else:
+        lists = lists.where("fault is null")
+    each = lists.select(*df.columns, F.explode(F.filter("regions", lambda r: r.type == "viral")).alias("__r"))
+    start, end = F.col("__r.start"), F.col("__r.end")
+    return each.withColumns({
+        "sequence_id": F.concat(F.col(id_col).cast("string"), F.lit("|provirus_"), start.cast("string"), F.lit("_"), end.cast("string")),
+        "parent_sequence_id": F.col(id_col).cast("string"),
+        "record_type": F.lit("provirus"),
+        "coordinates": interval_text(start, end),
+        "start": start,
+        "end": end,
+        "region_length": end - start + 1,
+    }).drop("__r")
+
+
+# Predictions that name no taxon.
+UNNAMED = ("", "default", "singleton", "unclassified")
+
+
+def group_table(regions: DataFrame, assignments: DataFrame, domains: list[str], id_col: str, ranks: list[str], informal: tuple[str, ...] = ("subfamily",)) -> DataFrame:
+    """STD-11: every region for every database domain, with what its group predictions support.
+
+    ``assignments``: id, database_domain, reference (text flag), ``<rank>_prediction``
+    and, below the first rank, ``<rank>_evidence``.  A name is accepted at the first rank
+    if it isn't synthetic (placeholders, ``novel_``, ``unplaced_``, joined by ``|``), below
+    it if its evidence is also ``reference``; informal ranks count as support, not as
+    taxonomy.  The grid is as large as regions times the given domains, and a pair
+    without an assignment is ``not_reported``.  A repeated assignment, and one marked as
+    a reference's own, raises.
+    """
+    key = [id_col, "database_domain"]
+    grid = regions.withColumn("database_domain", F.explode(F.array(*[F.lit(d) for d in domains])))
+    cells = F.struct(*[F.col(c) for c in assignments.columns if c not in key])
+    own = assignments.join(regions.select(id_col).distinct(), id_col, "left_semi").groupBy(*key).agg(F.first(cells).alias("a"), F.count("*").alias("__n"))
+    flag = F.lower(F.trim(F.coalesce(F.col("a.reference").cast("string"), F.lit(""))))
+    bad = F.when(F.col("__n") > 1, "repeated assignment of ").when(flag.isin("true", "1"), "reference row for ")
+    own = own.withColumn("__n", F.when(bad.isNotNull(), F.raise_error(F.concat(bad, F.col(id_col).cast("string"))).cast("long")).otherwise(F.col("__n")))
+    out = grid.join(own, key, "left")
+    text = {r: F.coalesce(F.trim(F.col(f"a.{r}_prediction")), F.lit("")) for r in ranks}
+    lower = {r: F.lower(c) for r, c in text.items()}
+    named = {r: ~lower[r].isin(*UNNAMED) & ~lower[r].rlike("^(novel_|unplaced_)") & ~text[r].contains("|") for r in ranks}
+    backed = {r: named[r] & (F.lower(F.trim(F.coalesce(F.col(f"a.{r}_evidence"), F.lit("")))) == "reference") for r in ranks[1:]}
+    accepted = {ranks[0]: named[ranks[0]], **{r: c for r, c in backed.items() if r not in informal}}
+    deepest = lambda rules: F.coalesce(*[F.when(c, F.lit(r)) for r, c in reversed(list(rules.items()))], F.lit(""))
+    listed = lambda start: F.array_join(F.array_compact(F.array(*[F.when(lower[r].startswith(start), F.lit(r)) for r in ranks])), ",")
+    some = reduce(lambda a, b: a | b, [c != "" for c in text.values()])
+    seen = F.col("__n").isNotNull()
+    status = F.when(~seen, "not_reported").when(lower[ranks[0]] == "singleton", "singleton").when(flag.isin("false", "0"), "clustered").when(some, "assigned_without_reference_flag").otherwise("unassigned")
+    reference = deepest(backed)
+    decision = (
+        F.when(~seen, "not_reported")
+        .when(reference != "", "reference_supported_taxonomy")
+        .when(named[ranks[0]], "realm_only_taxonomy")
+        .when(listed("novel_") != "", "novel_group_only")
+        .when(lower[ranks[0]] == "singleton", "singleton")
+        .otherwise("no_qualified_taxonomy")
+    )
+    return out.select(
+        *[c for c in regions.columns if c not in {*ranks, "database_domain"}],
+        "database_domain",
+        status.alias("assignment_status"),
+        *[F.when(c, text[r]).alias(r) for r, c in accepted.items()],
+        deepest(accepted).alias("deepest_rank"),
+        reference.alias("deepest_reference_rank"),
+        listed("novel_").alias("novel_group_ranks"),
+        listed("unplaced_").alias("unplaced_group_ranks"),
+        decision.alias("decision"),
+    )

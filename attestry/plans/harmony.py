@@ -299,6 +299,40 @@ def tax_group_summary(spark: SparkSession, d: str) -> DataFrame:
     return out.select("final_id", F.array_join("labels", ",").alias("labels"), F.array_join("statuses", ",").alias("statuses"))
 
 
+_SET = "coalesce(nullif(array_to_string({0}, ','), ''), 'NA')"
+METADATA_SQL = RESOLVED + CONFIDENCE + ", " + GROUPS + ", " + APPLIED[len("WITH ") :] + f""", dd2 AS (SELECT d.*, CASE WHEN NOT (user_id % 3 = 0) THEN 'not_disputed' WHEN user_id % 5 = 0 THEN 'strong_hallmark_rescue' WHEN user_id % 7 >= 2 AND (user_id % 7) / nullif(user_id % 7 + user_id % 4, 0) >= 0.6 THEN 'regional_support' ELSE 'provisional_disputed_boundary' END AS basis FROM d),
+gg AS (SELECT final_id, string_agg(DISTINCT rank || ':' || t, ',' ORDER BY rank || ':' || t) AS labels, string_agg(DISTINCT reason, ',' ORDER BY reason) AS statuses FROM (SELECT *, unnest(taxa) AS t FROM gq) GROUP BY 1),
+ho AS (SELECT sequence_id AS final_id, list_sort(list(DISTINCT classification)) AS patterns, count(*) FILTER (classification = 'virus') AS v, count(*) FILTER (classification = 'cellular') AS c FROM evidence WHERE tool = 'click' GROUP BY 1)
+SELECT d.final_id AS final_sequence_id, d.final_id AS normalized_name, CASE WHEN d.region THEN 'provirus' ELSE 'input_contig' END AS record_type, CASE WHEN d.region THEN '5-95' ELSE 'NA' END AS region_coordinates, '100' AS original_length, CASE WHEN d.region THEN '91' ELSE '100' END AS refined_length, d.status AS discovery_status,
+  decision AS viral_decision, confidence AS viral_confidence, {_SET.format("strong")} AS strong_tools, {_SET.format("qualified")} AS qualified_tools, {_SET.format("cellular")} AS cellular_conflict_tools, {_SET.format("plasmid")} AS plasmid_conflict_tools, CAST(over AS VARCHAR) AS generic_cellular_conflict_overridden,
+  coalesce(strict_region || ';' || coalesce(strict_nation, '') || ';' || coalesce(strict_supplier, ''), 'NA') AS strict_taxonomy, coalesce(strict_confidence, 'NA') AS strict_taxonomy_confidence, coalesce(nullif(strict_tools, ''), 'NA') AS strict_taxonomy_supporting_tools, coalesce(nullif(exploratory_families, ''), 'NA') AS exploratory_taxonomy_supporting_method_families, coalesce(species_status, 'NA') AS species_assignment_status, CASE WHEN coalesce(conflict_rank, 0) > 0 THEN 'true' ELSE 'false' END AS taxonomy_conflict,
+  coalesce(labels, 'NA') AS group_labels, coalesce(statuses, 'no_project_group') AS group_status, interp AS sequence_interpretation, coalesce(array_to_string(patterns, ','), 'NA') AS homology_origin_pattern, coalesce(v, 0)::VARCHAR AS homology_viral_supported_loci, coalesce(c, 0)::VARCHAR AS homology_cellular_supported_loci, basis AS region_retention_basis, 'NA' AS mobile_status, 'false' AS conflict_exception
+FROM dd2 d LEFT JOIN conf ON conf.final_id = d.user_id LEFT JOIN gg ON gg.final_id = d.user_id LEFT JOIN ho ON ho.final_id = d.final_id"""
+
+
+@query(METADATA_SQL)
+def harmony_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """HRM-18: the final table of all user-days; a user's taxonomy and groups are those of the order of its number."""
+    u = F.col("user_id")
+    x = hz.entity(hz.disputed_boundary(_decisions(spark, d).withColumns({"disputed": u % 3 == 0, "hallmark_strong": u % 5 == 0, "viral_loci": u % 7, "cellular_loci": u % 4, "kept": F.col("decision")})).withColumn("decision", F.col("kept")))
+    region = F.col("record_type") == "provirus"
+    finals = x.select("final_id", F.col("final_id").alias("final_parent"), F.col("final_id").alias("original_name"), "record_type", "discovery_status", F.when(region, "5-95").alias("coordinates"), F.lit(100).alias("original_length"), F.when(region, 91).otherwise(100).alias("refined_length"))
+    by_user = x.select("final_id", "user_id")
+    path = F.when(F.col("strict_region").isNotNull(), F.concat_ws(";", *[F.coalesce(f"strict_{r}", F.lit("")) for r in fr.RANKS]))
+    taxa = _confidence(spark, d).withColumns({"strict_taxonomy": path, "taxonomy_conflict": F.col("conflict_rank") > 0}).withColumnRenamed("final_id", "user_id")
+    groups = taxonomy.group_report(*_groups(spark, d), ["domain", *fr.RANKS], 100_000)
+    groups = taxonomy.group_summary(groups.select("final_id").distinct(), groups).withColumnRenamed("final_id", "user_id")
+    e = fr.evidence(spark, d).where("tool = 'click'").groupBy(F.col("sequence_id").alias("final_id"))
+    homology = e.agg(F.collect_set("classification").alias("patterns"), F.count_if(F.col("classification") == "virus").alias("viral_loci"), F.count_if(F.col("classification") == "cellular").alias("cellular_loci"))
+    frames = {"final": finals, "decision": x, "taxonomy": by_user.join(taxa, "user_id"), "groups": by_user.join(groups, "user_id"), "mobile": x.select("final_id", "sequence_interpretation"), "homology": homology}
+    out = hz.final_metadata(frames)
+    assert len(out.columns) == 61
+    return out.select(
+        "final_sequence_id", "normalized_name", "record_type", "region_coordinates", "original_length", "refined_length", "discovery_status", "viral_decision", "viral_confidence", "strong_tools", "qualified_tools", "cellular_conflict_tools", "plasmid_conflict_tools", "generic_cellular_conflict_overridden",
+        "strict_taxonomy", "strict_taxonomy_confidence", "strict_taxonomy_supporting_tools", "exploratory_taxonomy_supporting_method_families", "species_assignment_status", "taxonomy_conflict", "group_labels", "group_status", "sequence_interpretation", "homology_origin_pattern", "homology_viral_supported_loci", "homology_cellular_supported_loci", "region_retention_basis", "mobile_status", "conflict_exception",
+    )
+
+
 SIX = [f"c{i}" for i in range(6)]
 EMB = "e AS (SELECT vec_id, " + ", ".join(f"CAST(abs(embedding[{i + 1}]) AS DOUBLE) AS c{i}" for i in range(6)) + " FROM embeddings)"
 
@@ -392,12 +426,55 @@ def std_best_lineage(spark: SparkSession, d: str) -> DataFrame:
     return standardize.best_lineages(x, taxonomy.catalog_index(fr.catalog(spark, d), "path_id", fr.RANKS), "claim", fr.RANKS).select("claim", *fr.RANKS, "unknown")
 
 
-@query("SELECT c_custkey AS id, dom AS database_domain, CASE WHEN seg IS NULL THEN 'not_reported' WHEN c_nationkey % 2 = 0 THEN 'reference_supported' ELSE 'novel_group' END AS status FROM (SELECT c_custkey, c_nationkey, dom, CASE WHEN c_mktsegment = dom THEN c_mktsegment END AS seg FROM customer CROSS JOIN (VALUES ('BUILDING'), ('HOUSEHOLD')) t(dom))")
+@query("""WITH c AS (SELECT c_custkey AS id, dom, c_mktsegment = dom AS seen, c_custkey AS k, CASE c_custkey % 7 WHEN 0 THEN 'novel_r1' WHEN 1 THEN 'Singleton' WHEN 2 THEN '' ELSE r_name END AS realm, CASE c_custkey % 4 WHEN 0 THEN 'novel_f' || c_custkey % 3 WHEN 1 THEN '' ELSE n_name END AS family, CASE c_custkey % 5 WHEN 0 THEN 'unplaced_s' ELSE n_name || 'inae' END AS sub
+  FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey CROSS JOIN (VALUES ('BUILDING'), ('HOUSEHOLD'), ('none')) t(dom)),
+t AS (SELECT *, seen AND k % 7 > 2 AS nr, seen AND k % 4 > 1 AND k % 3 = 0 AS bf, seen AND k % 5 > 0 AND k % 2 = 0 AS bs FROM c)
+SELECT id, dom AS database_domain, CASE WHEN NOT seen THEN 'not_reported' WHEN k % 7 = 1 THEN 'singleton' WHEN k % 2 = 0 THEN 'clustered' WHEN realm || family || sub <> '' THEN 'assigned_without_reference_flag' ELSE 'unassigned' END AS assignment_status,
+  CASE WHEN nr THEN realm END AS realm, CASE WHEN bf THEN family END AS family, CASE WHEN bf THEN 'family' WHEN nr THEN 'realm' ELSE '' END AS deepest_rank, CASE WHEN bs THEN 'subfamily' WHEN bf THEN 'family' ELSE '' END AS deepest_reference_rank,
+  CASE WHEN seen THEN concat_ws(',', CASE WHEN k % 7 = 0 THEN 'realm' END, CASE WHEN k % 4 = 0 THEN 'family' END) ELSE '' END AS novel_group_ranks, CASE WHEN seen AND k % 5 = 0 THEN 'subfamily' ELSE '' END AS unplaced_group_ranks,
+  CASE WHEN NOT seen THEN 'not_reported' WHEN bs OR bf THEN 'reference_supported_taxonomy' WHEN nr THEN 'realm_only_taxonomy' WHEN k % 7 = 0 OR k % 4 = 0 THEN 'novel_group_only' WHEN k % 7 = 1 THEN 'singleton' ELSE 'no_qualified_taxonomy' END AS decision FROM t""")
 def std_groups(spark: SparkSession, d: str) -> DataFrame:
-    """STD-11."""
-    c = fr.table(spark, d, "customer").select(F.col("c_custkey").alias("id"), "c_mktsegment", "c_nationkey")
-    a = c.select("id", F.col("c_mktsegment").alias("database_domain"), F.col("c_mktsegment").alias("group"), (F.col("c_nationkey") % 2 == 0).alias("reference"))
-    return standardize.group_table(c, a, ["BUILDING", "HOUSEHOLD"], "id").select("id", "database_domain", "status")
+    """STD-11: customers as regions, their segment as the database that reports them."""
+    c, n, r = (fr.table(spark, d, t) for t in ("customer", "nation", "region"))
+    x = c.join(n, F.col("n_nationkey") == F.col("c_nationkey")).join(r, F.col("r_regionkey") == F.col("n_regionkey"))
+    k = F.col("c_custkey")
+    realm = F.when(k % 7 == 0, "novel_r1").when(k % 7 == 1, "Singleton").when(k % 7 == 2, "").otherwise(F.col("r_name"))
+    family = F.when(k % 4 == 0, F.concat(F.lit("novel_f"), (k % 3).cast("string"))).when(k % 4 == 1, "").otherwise(F.col("n_name"))
+    sub = F.when(k % 5 == 0, "unplaced_s").otherwise(F.concat("n_name", F.lit("inae")))
+    a = x.select(k.alias("id"), F.col("c_mktsegment").alias("database_domain"), F.when(k % 2 == 0, "False").alias("reference"), realm.alias("realm_prediction"), family.alias("family_prediction"), F.when(k % 3 == 0, " Reference").otherwise("network").alias("family_evidence"), sub.alias("subfamily_prediction"), F.when(k % 2 == 0, "reference").alias("subfamily_evidence"))
+    return standardize.group_table(c.select(k.alias("id")), a, ["BUILDING", "HOUSEHOLD", "none"], "id", ["realm", "family", "subfamily"])
+
+
+REGION_LISTS = """li AS (SELECT l_orderkey AS id, list({'n': l_linenumber, 's': l_linenumber * 100 + l_partkey % 50, 'e': l_linenumber * 100 + l_partkey % 50 + CAST(l_quantity AS BIGINT), 'v': l_suppkey % 2 = 0} ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS r FROM lineitem GROUP BY 1),
+lr AS (SELECT id, r, len(r) AS n, list_sum(list_transform(list_filter(r, lambda x: x.v), lambda x: x.e - x.s + 1)) AS total FROM li),
+lf AS (SELECT *, CASE WHEN id % 11 = 0 THEN 'no_regions' WHEN id % 13 = 0 THEN 'lists_differ_in_length' WHEN id % 17 = 0 THEN 'bad_coordinate' WHEN len(list_filter(r, lambda x: x.e > 700)) > 0 THEN 'beyond_record' WHEN len(list_filter(range(1, n), lambda i: r[i].e >= r[i + 1].s)) > 0 THEN 'out_of_order' WHEN total IS NULL THEN 'no_viral_region' WHEN id % 19 = 0 THEN 'sum_differs_from_reported' END AS fault FROM lr)"""
+
+
+def _region_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of an order as two parallel lists; some orders break their contract."""
+    x = fr.table(spark, d, "lineitem")
+    start = (F.col("l_linenumber") * 100 + F.col("l_partkey") % 50).cast("long")
+    cell = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", start.alias("s"), (start + F.col("l_quantity").cast("long")).alias("e"), (F.col("l_suppkey") % 2 == 0).alias("v"))
+    g = x.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(cell)).alias("r"))
+    viral = F.aggregate(F.filter("r", lambda c: c.v), F.lit(0).cast("long"), lambda a, c: a + c.e - c.s + 1)
+    types = F.array_join(F.transform("r", lambda c: F.when(c.v, " Viral").otherwise("host")), ",")
+    spans = F.array_join(F.transform("r", lambda c: F.concat_ws("-", c.s.cast("string"), c.e.cast("string"))), ",")
+    i = F.col("id")
+    spans = F.when(i % 11 == 0, "NA").when(i % 13 == 0, F.concat(spans, F.lit(",1-2"))).when(i % 17 == 0, F.concat(F.lit("x"), spans)).otherwise(spans)
+    return g.select("id", types.alias("types"), spans.alias("spans"), F.lit(700).alias("length"), F.when(i % 19 == 0, viral + 1).otherwise(viral).alias("total"))
+
+
+@query(f"WITH {REGION_LISTS} SELECT id, fault FROM lf WHERE fault IS NOT NULL")
+def std_region_faults(spark: SparkSession, d: str) -> DataFrame:
+    """STD-8: orders whose lists don't make regions."""
+    return standardize.region_faults(_region_lists(spark, d), "id", "types", "spans", "length", "total")
+
+
+@query(f"WITH {REGION_LISTS} SELECT id || '|provirus_' || x.s || '_' || x.e AS sequence_id, id::VARCHAR AS parent_sequence_id, x.s || '-' || x.e AS coordinates, x.e - x.s + 1 AS region_length FROM (SELECT id, unnest(r) AS x FROM lf WHERE fault IS NULL) WHERE x.v")
+def std_viral_regions(spark: SparkSession, d: str) -> DataFrame:
+    """STD-8: the viral regions of the other orders, as rows."""
+    out = standardize.viral_regions(_region_lists(spark, d), "id", "types", "spans", "length", "total", strict=False)
+    return out.select("sequence_id", "parent_sequence_id", "coordinates", "region_length")
 
 
 @query("SELECT tool, count(*) AS n, count(length) AS with_length, count(genus) AS with_genus FROM (SELECT 'orders' AS tool, o_totalprice AS length, NULL AS genus FROM orders UNION ALL SELECT 'part', NULL, p_type FROM part) GROUP BY 1")

@@ -117,11 +117,42 @@ def check_probabilities(spark: SparkSession, d: str) -> DataFrame:
     return dq.violations_probabilities(x, ["a", "b"], "label").select("event_id")
 
 
-@query(f'WITH {fr.CALLS} SELECT parent, line FROM calls WHERE "end" > 120')
+@query(f"""WITH {fr.CALLS} SELECT parent, line FROM calls WHERE "end" > 120 AND NOT (tool = 'marker' AND "start" <= 120 AND "end" - 120 <= "start")""")
 def check_intervals(spark: SparkSession, d: str) -> DataFrame:
-    """DQ-7."""
+    """DQ-7: calls beyond a record of 120, unless a marker call wraps around it."""
     parents = fr.records(spark, d).withColumn("length", F.lit(120).cast("long"))
-    return dq.violations_interval(fr.calls(spark, d).drop("length"), parents, ["parent"], "start", "end", "length").select("parent", "line")
+    return dq.violations_interval(fr.calls(spark, d).drop("length"), parents, ["parent"], "start", "end", "length", F.col("tool") == "marker").select("parent", "line")
+
+
+@query(f"""WITH {fr.CALLS}, w AS (SELECT parent, line, tool, "start" AS s, "end" AS e FROM calls WHERE tool = 'marker' AND "start" <= 120 AND "end" - 120 <= "start")
+SELECT parent, line, 1 AS piece, s AS "start", least(e, 120) AS "end" FROM w UNION ALL SELECT parent, line, 2, 1, e - 120 FROM w WHERE e > 120""")
+def check_wrapped(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-7: marker calls of circular records of 120, split at the origin."""
+    c = fr.calls(spark, d).where("tool = 'marker'").withColumn("length", F.lit(120).cast("long"))
+    ok = c.where((F.col("end") <= F.col("length")) | dq.wraps(F.col("start"), F.col("end"), F.col("length"), F.lit(True)))
+    return dq.split_wrapped(ok, "start", "end", "length").select("parent", "line", "piece", "start", "end")
+
+
+@query("""WITH r AS (SELECT o_orderkey AS parent, max(CAST(floor(o_totalprice) AS BIGINT)) AS n FROM orders GROUP BY 1), l AS (SELECT DISTINCT l_orderkey AS parent, CASE WHEN l_linenumber = 7 THEN CAST(floor(l_extendedprice) AS BIGINT) ELSE n END AS declared FROM lineitem LEFT JOIN r ON parent = l_orderkey),
+o AS (SELECT DISTINCT o_orderkey AS parent, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE n END AS declared FROM orders JOIN r ON parent = o_orderkey)
+SELECT coalesce(l.parent, r.parent) AS parent, 'lines' AS source, declared, n AS expected FROM l FULL JOIN r ON l.parent = r.parent WHERE NOT coalesce(declared = n, false) UNION ALL SELECT o.parent, 'orders', declared, n FROM o LEFT JOIN r USING (parent) WHERE NOT coalesce(declared = n, false)""")
+def check_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-7: lengths that order lines and orders declare against those of the records; every record must have lines."""
+    whole = lambda c: F.floor(c)
+    o = fr.table(spark, d, "orders")
+    r = o.groupBy(F.col("o_orderkey").alias("parent")).agg(F.max(whole("o_totalprice")).alias("length"))
+    lines = fr.table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "parent").join(r, "parent", "left").withColumn("length", F.when(F.col("l_linenumber") == 7, whole("l_extendedprice")).otherwise(F.col("length")))
+    other = o.withColumnRenamed("o_orderkey", "parent").join(r, "parent").withColumn("length", F.when(F.col("o_orderstatus") != "P", F.col("length")))
+    return dq.violations_lengths({"lines": lines, "orders": other}, r, ["parent"], "length", complete=("lines",))
+
+
+@query(f"""WITH {fr.CALLS}, t AS (SELECT parent, sum(least("end" - "start" + 1, 120)) AS covered FROM calls GROUP BY 1), r AS (SELECT DISTINCT o_orderkey AS parent, (o_orderkey % 7) * 60 AS total FROM orders)
+SELECT r.parent, total, CAST(coalesce(covered, 0) AS BIGINT) AS covered FROM r LEFT JOIN t ON t.parent = r.parent WHERE total <> coalesce(covered, 0)""")
+def check_region_sum(spark: SparkSession, d: str) -> DataFrame:
+    """DQ-7: sums of an order's calls, none counted beyond a whole record of 120, against a reported total."""
+    c = fr.calls(spark, d).withColumn("length", F.lit(120).cast("long"))
+    r = fr.table(spark, d, "orders").select(F.col("o_orderkey").alias("parent"), ((F.col("o_orderkey") % 7) * 60).alias("total")).distinct()
+    return dq.violations_region_sum(c, r, ["parent"], "start", "end", "length", "total")
 
 
 @query("""WITH s AS (SELECT user_id, list(DISTINCT event_type) AS seen FROM events WHERE value > 60 GROUP BY 1), u AS (SELECT DISTINCT user_id FROM events), x AS (SELECT user_id, list_sort(list_filter(['click', 'error', 'view'], lambda t: NOT list_contains(coalesce(seen, []), t))) AS m, list_sort(list_filter(coalesce(seen, []), lambda t: NOT list_contains(['click', 'error', 'view'], t))) AS u FROM u LEFT JOIN s USING (user_id))
@@ -171,7 +202,8 @@ def scan_fasta(spark: SparkSession, d: str) -> DataFrame:
     """SRC-1, SNK-2: documents, without white space and record marks, written as records wrapped at 80, and read again."""
     path = _folder(spark, "fasta")
     x = fr.table(spark, d, "documents")
-    writers.write_fasta(x.select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(" "), "lang").alias("id"), F.regexp_replace(F.coalesce("text", F.lit("")), r"[\s>]+", "").alias("sequence")), path)
+    records = x.select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(" "), "lang").alias("id"), F.regexp_replace(F.coalesce("text", F.lit("")), r"[\s>]+", "").alias("sequence"))
+    writers.write_fasta(records.where("sequence <> ''"), path)
     out = readers.read_fasta(spark, path)
     return out.select(F.substring("id", 2, 20).cast("long").alias("doc_id"), F.length("sequence").cast("long").alias("n"), F.concat(F.lit(">"), "header").alias("header"))
 
@@ -199,11 +231,28 @@ def scan_features(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT l_orderkey AS a, l_partkey AS b FROM lineitem")
 def scan_repaired(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-9."""
+    """SRC-9: one table in three files, plain and gzip under names that tell nothing, with real and with written-out tabs."""
     path = _folder(spark, "repaired")
-    x = fr.table(spark, d, "lineitem")
-    x.select(F.concat(F.col("l_orderkey").cast("string"), F.when(F.col("l_orderkey") % 2 == 0, "\t").otherwise("\\t"), F.col("l_partkey").cast("string")).alias("value")).write.option("compression", "gzip").text(path)
-    return readers.read_repaired(spark, path, "a long, b long")
+    x = fr.table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("a"), F.col("l_partkey").cast("string").alias("b"), (F.col("l_orderkey") % 3).alias("file"))
+    for k, (sep, gz) in enumerate((("\t", False), ("\\t", True), ("\t", True))):
+        text = x.where(F.col("file") == k).select(F.concat_ws(sep, "a", "b").alias("value"))
+        head = spark.createDataFrame([(sep.join((" key ", "part")),)], "value string")
+        # a header of its own for each file: one task writes it, then its rows
+        head.unionByName(text).coalesce(1).write.option("compression", "gzip" if gz else "none").text(f"{path}/{k}")
+    names = _renamed(spark, path)
+    out = readers.read_repaired(spark, names, ["key", "part"])
+    return out.select(F.col("key").cast("long").alias("a"), F.col("part").cast("long").alias("b"))
+
+
+def _renamed(spark: SparkSession, path: str) -> str:
+    """``path`` with all endings of compressed files taken from their names."""
+    from pyarrow import fs
+
+    system, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    for info in system.get_file_info(fs.FileSelector(root, recursive=True)):
+        if info.type == fs.FileType.File and info.path.endswith(".gz"):
+            system.move(info.path, info.path.removesuffix(".gz"))
+    return path
 
 
 @query("SELECT r_name AS region, n_name AS nation FROM nation JOIN region ON n_regionkey = r_regionkey")

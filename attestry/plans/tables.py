@@ -224,6 +224,15 @@ def ref_accessions(spark: SparkSession, d: str) -> DataFrame:
     return reference.accession_audit(fr.table(spark, d, "part").select(F.col("p_partkey").alias("part"), text.alias("t")), "part", "t")
 
 
+@query("SELECT CAST(p_partkey AS VARCHAR) AS accession, trim(p_name) AS species, CASE WHEN p_size % 2 = 0 THEN '' ELSE p_brand END AS genus FROM part")
+def ref_headers(spark: SparkSession, d: str) -> DataFrame:
+    """REF-13: a table with headers in other spellings."""
+    p = fr.table(spark, d, "part")
+    x = p.select(F.col("p_partkey").alias("Virus GENBANK accession(s), all"), F.concat(F.lit(" "), "p_name").alias("SPECIES_"), F.when(F.col("p_size") % 2 > 0, F.col("p_brand")).alias(" genus"), F.col("p_type").alias("Sub-genus"))
+    out = reference.by_headers(x, ["Virus GENBANK accession", "Species", "Genus"], ("Virus GENBANK accession",))
+    return out.toDF("accession", "species", "genus")
+
+
 @query("""WITH t AS (SELECT p_partkey AS part, 'f__' || p_brand || CASE WHEN p_size % 3 = 0 THEN ';g__NA' ELSE ';g__' || p_type END AS lin, CASE WHEN p_size % 2 = 0 THEN 'NA' ELSE p_name END AS a FROM part)
 SELECT part, coalesce(CASE WHEN a <> 'NA' THEN a END, CAST(part AS VARCHAR)) AS key, regexp_extract(lin, 'f__([^;]*)', 1) AS family, nullif(regexp_extract(lin, 'g__([^;]*)', 1), 'NA') AS genus FROM t""")
 def ref_metadata(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,17 +16,20 @@ HITS = T.StructType([T.StructField(n, T.StringType() if n in ("qseqid", "sseqid"
 GFF = "seqid string, source string, type string, start long, end long, score string, strand string, phase string, attributes string"
 
 
-def read_fasta(spark: SparkSession, path: str, check: bool = False) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str, check: bool = True) -> DataFrame:
     """SRC-1: (id, header, sequence), a row per record however many lines it has.
 
     The file is split at record marks by the reader itself, so one file can be read by
-    many tasks.  With ``check``, empty records and repeated ids raise.
+    many tasks.  Text before a file's first mark, records without id or sequence, and
+    repeated ids raise; without ``check`` they are kept as they are.
     """
-    raw = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", r"^\s*>", "").alias("v"))
-    raw = raw.where(F.trim("v") != "")
+    raw = spark.read.option("lineSep", "\n>").text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    body = raw.select(F.regexp_replace("value", r"^\s*>", "").alias("v"))
     header = F.trim(F.regexp_extract("v", r"^([^\r\n]*)", 1))
-    out = raw.select(F.regexp_extract(header, r"^(\S*)", 1).alias("id"), header.alias("header"), F.regexp_replace(F.regexp_replace("v", r"^[^\n]*\n?", ""), r"\s+", "").alias("sequence"))
+    out = body.select(F.regexp_extract(header, r"^(\S*)", 1).alias("id"), header.alias("header"), F.regexp_replace(F.regexp_replace("v", r"^[^\n]*\n?", ""), r"\s+", "").alias("sequence"))
     if check:
+        # of a file's records only the first keeps its mark; where none has one, the first is leading text
+        enforce(raw.groupBy("file").agg(F.bool_or(F.col("value").rlike(r"^\s*>")).alias("marked")).where("not marked").select("file"), "text before the first record")
         enforce(out.where("id = '' or sequence = ''").select("id", "header"), "records without id or sequence")
         enforce(out.groupBy("id").count().where("count > 1"), "repeated ids")
     return out
@@ -80,10 +85,50 @@ def read_catalog(spark: SparkSession, path: str, ranks: list[str]) -> DataFrame:
     return out.withColumn("path_id", F.sha2(F.concat_ws("\t", *[F.coalesce(r, F.lit("")) for r in ranks]), 256))
 
 
-def read_repaired(spark: SparkSession, path: str, schema: str, sep: str = "\t") -> DataFrame:
-    r"""SRC-9: a table whose tabs may be written as ``\t``; compressed files are told by name."""
-    raw = spark.read.text(path).select(F.regexp_replace("value", r"\\t", "\t").alias("v"))
-    return raw.select(F.from_csv("v", schema, {"sep": sep}).alias("r")).select("r.*")
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-9: (path, at, value) lines of files whose compression is told by their first bytes, not their names."""
+    from .magic import MagicText
+
+    spark.dataSource.register(MagicText)
+    uri = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    return spark.read.format("magic_text").load(re.sub("^file:/+", "file:///", uri))
+
+
+def read_repaired(spark: SparkSession, path: str, required: list[str], sep: str = "\t") -> DataFrame:
+    r"""SRC-9: all-text tables with real tabs or with ``\t`` written out, by each file's header, plain or gzip under any name.
+
+    Headers may differ in the order of their columns; names are trimmed.  Raises for a
+    header without separators, repeated or missing columns, headers that name different
+    columns, rows with more values than their header, and tables without rows.  Values
+    that a row lacks are empty.
+    """
+    lines = read_lines(spark, path)
+    heads = {r.path: r.value for r in lines.where("at = 0").collect()}
+    if not heads:
+        raise ValueError(f"{path} is empty")
+    literal = {p: sep not in h for p, h in heads.items()}
+    columns = {p: [c.strip() for c in h.replace("\\t", sep).split(sep)] for p, h in heads.items()}
+    first = next(iter(columns.values()))
+    for p, names in columns.items():
+        if len(names) < 2:
+            raise ValueError(f"{p} is not delimited: {heads[p]!r}")
+        if len(set(names)) != len(names) or set(names) != set(first):
+            raise ValueError(f"{p} has repeated or differing columns: {names}")
+        if missing := set(required) - set(names):
+            raise ValueError(f"{p} lacks columns: {sorted(missing)}")
+    kinds: dict[tuple, list[str]] = {}
+    for p, names in columns.items():
+        kinds.setdefault((tuple(names), literal[p]), []).append(p)
+    body, out = lines.where("at > 0 and value <> ''"), None
+    for (names, repair), paths in kinds.items():
+        value = F.replace("value", F.lit("\\t"), F.lit(sep)) if repair else F.col("value")
+        schema = ", ".join(f"`{c}` string" for c in (*names, "__more"))
+        rows = body.where(F.col("path").isin(paths)).select("path", "at", F.from_csv(value, schema, {"sep": sep}).alias("r"))
+        guard = F.when(F.col("r.__more").isNotNull(), F.raise_error(F.concat(F.lit("more values than the header has at "), F.col("path"), F.lit(":"), F.col("at").cast("string"))).cast("string"))
+        part = rows.select(*[F.coalesce(guard, F.col(f"r.`{c}`"), F.lit("")).alias(c) for c in first])
+        out = part if out is None else out.unionByName(part)
+    enforce(spark.createDataFrame([(path,)], "path string").where(F.lit(out.limit(1).count() == 0)), "a header but no rows")
+    return out
 
 
 def file_inventory(spark: SparkSession, glob: str) -> DataFrame:
