@@ -42,7 +42,7 @@ _CHUNK, _BYTES = 1 << 18, 2 << 20
 #: Bytes of an Arrow batch.
 BATCH, _BATCH_KEY = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Numbers that a task of a pass takes.
-_TASK = 8 << 20
+_TASK = 16 << 20
 #: Salts for the first cut of a language's ranking.
 _SALTS = 32
 
