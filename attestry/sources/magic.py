@@ -42,7 +42,9 @@ class MagicReader(DataSourceReader):
             parts += [Part(f.path, 0, None)] if packed else [Part(f.path, k, k + self.split) for k in range(0, f.size, self.split)]
         return parts
 
-    def read(self, part: Part) -> Iterator[pa.RecordBatch]:
+    def read(self, part: Part | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # no partitions: the files are empty
+            return
         system, _ = fs.FileSystem.from_uri(self.root)
         places, values = [], []
         for at, value in self._lines(system, part):
