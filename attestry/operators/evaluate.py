@@ -65,10 +65,21 @@ def exclusion_rates(panel: DataFrame, retained: DataFrame, excluded: DataFrame)
     return out.withColumn("rate", F.col("retained") / F.col("n")).withColumn("adjusted_rate", (F.col("retained") - F.col("excluded_retained")) / F.nullif(F.col("n") - F.col("excluded"), F.lit(0)))
 
 
-def holdout(df: DataFrame, keys: list[str], modulus: int = 5) -> DataFrame:
-    """EVL-8: hold-out split by the hash of the first key that is there, so groups stay together."""
-    key = F.coalesce(*[F.nullif(F.trim(F.col(k).cast("string")), F.lit("")) for k in keys])
-    return df.withColumn("split", F.when(hash_modulus(key, modulus) == 0, "holdout").otherwise("train"))
+def holdout(df: DataFrame, ranks: list[str], id_col: str, modulus: int = 5) -> DataFrame:
+    """EVL-8: ``heldout_group`` and ``split`` (heldout or development), so that groups stay together.
+
+    The group is ``<rank>:<name>`` of the first of ``ranks`` that has a name, so equal
+    names of different ranks are different groups; ``unclassified`` is no name, and a row
+    without any is a group of its own, ``sequence:<id>``.  The split is the group's hash
+    modulo ``modulus`` (2 at least).
+    """
+    if modulus < 2:
+        raise ValueError("a modulus of 2 at least splits")
+    named = [F.trim(F.col(r).cast("string")) for r in ranks]
+    groups = [F.when((n != "") & (F.lower(n) != "unclassified"), F.concat(F.lit(f"{r}:"), n)) for r, n in zip(ranks, named, strict=True)]
+    group = F.coalesce(*groups, F.concat(F.lit("sequence:"), F.col(id_col).cast("string")))
+    out = df.withColumn("heldout_group", group)
+    return out.withColumn("split", F.when(hash_modulus(F.col("heldout_group"), modulus) == 0, "heldout").otherwise("development"))
 
 
 def coverage_precision(pred: DataFrame, by: str, split: str, mode: str) -> DataFrame:
@@ -79,6 +90,27 @@ def coverage_precision(pred: DataFrame, by: str, split: str, mode: str) -> DataF
     return out.withColumn("coverage", F.col("predicted") / F.col("n")).withColumn("precision", F.col("correct") / F.nullif("predicted", F.lit(0)))
 
 
+def rank_results(pred: DataFrame, by: str, split: str, ranks: list[str], modes: tuple[str, ...] = ("strict", "exploratory")) -> DataFrame:
+    """EVL-9: for each type, split (and all), rank and mode: eligible, called, correct, incorrect, coverage, precision.
+
+    ``pred``: ``truth_<rank>`` and ``<mode>_<rank>``.  A row is eligible at a rank whose
+    truth is named; empty, ``NA`` and ``unclassified`` are no names.  One pass: rows are
+    unfolded by rank and mode, and both levels of splits are grouped together.
+    """
+
+    def name(c: str) -> Column:
+        text = F.trim(F.col(c).cast("string"))
+        return F.when(~F.lower(text).isin("", "na", "unclassified"), text)
+
+    cells = [F.struct(F.lit(r).alias("rank"), F.lit(m).alias("mode"), name(f"truth_{r}").alias("truth"), name(f"{m}_{r}").alias("called")) for r in ranks for m in modes]
+    each = pred.select(by, split, F.explode(F.array(*cells)).alias("c")).select(by, split, "c.*").where("truth is not null")
+    keys = [F.col(c) for c in (by, "rank", "mode")]
+    out = each.groupingSets([keys, [*keys, F.col(split)]], *keys, F.col(split)).agg(F.count("*").alias("eligible"), F.count("called").alias("n_called"), F.count_if(F.col("called") == F.col("truth")).alias("correct"), F.grouping(split).alias("__all"))
+    out = out.withColumn(split, F.when(F.col("__all") == 1, "all").otherwise(F.col(split)))
+    called = F.col("n_called")
+    return out.select(by, split, "rank", "mode", "eligible", called.alias("called"), "correct", (called - F.col("correct")).alias("incorrect"), (called / F.col("eligible")).alias("coverage"), F.try_divide("correct", called).alias("precision"))
+
+
 def threshold_screen(df: DataFrame, tiers: dict[str, dict[str, float]], group: list[str]) -> DataFrame:
     """EVL-10: rows that pass each tier of minimum values, in one pass over the data."""
     passed = {name: _all([F.col(c) >= v for c, v in mins.items()]) for name, mins in tiers.items()}

@@ -82,14 +82,36 @@ def eval_exclusion(spark: SparkSession, d: str) -> DataFrame:
     return ev.exclusion_rates(_panel(spark, d), c.where("method = 'short'"), c.where("method = 'clean'"))
 
 
-SPLIT = "CASE WHEN CAST('0x' || substr(sha2, 1, 16) AS UBIGINT) % 5 = 0 THEN 'holdout' ELSE 'train' END"
+SPLIT = "CASE WHEN CAST('0x' || substr(sha2, 1, 16) AS UBIGINT) % 5 = 0 THEN 'heldout' ELSE 'development' END"
 
 
-@query(f"WITH k AS (SELECT doc_id, sha256(coalesce(nullif(trim(CASE WHEN doc_id % 2 = 0 THEN source END), ''), CAST(doc_id AS VARCHAR))) AS sha2 FROM documents) SELECT doc_id, {SPLIT} AS split FROM k")
+@query(f"""WITH g AS (SELECT doc_id, CASE WHEN doc_id % 5 > 0 AND trim(source) <> '' THEN 'source:' || trim(source) WHEN doc_id % 2 = 0 AND trim(lang) <> '' THEN 'lang:' || trim(lang) ELSE 'sequence:' || doc_id END AS heldout_group FROM documents), k AS (SELECT *, sha256(heldout_group) AS sha2 FROM g)
+SELECT doc_id, heldout_group, {SPLIT} AS split FROM k""")
 def eval_holdout(spark: SparkSession, d: str) -> DataFrame:
-    """EVL-8, FN-8."""
-    x = fr.table(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("group"))
-    return ev.holdout(x, ["group", "doc_id"]).select("doc_id", "split")
+    """EVL-8, FN-8: documents by source, else by language, else alone."""
+    i = F.col("doc_id")
+    x = fr.table(spark, d, "documents").select("doc_id", F.when(i % 5 > 0, F.col("source")).otherwise("Unclassified").alias("source"), F.when(i % 2 == 0, F.col("lang")).alias("lang"))
+    return ev.holdout(x, ["source", "lang"], "doc_id").select("doc_id", "heldout_group", "split")
+
+
+@query(f"""WITH {fr.CATALOG}, t AS (SELECT DISTINCT l_orderkey AS id, l_linenumber % 2 AS type, l_suppkey, l_partkey FROM lineitem), p AS (SELECT id, 't' || type AS type, c.region AS tr, CASE WHEN l_partkey % 3 > 0 THEN c.nation END AS tn, c.region AS sr, CASE WHEN l_partkey % 2 = 0 THEN c.nation END AS sn, e.region AS er, e.nation AS en, sha256('nation:' || c.nation) AS sha2
+  FROM t JOIN catalog c ON c.path_id = l_suppkey LEFT JOIN catalog e ON e.path_id = l_suppkey - l_partkey % 2),
+x AS (SELECT type, {SPLIT} AS split, unnest([{{'r': 'region', 'm': 'strict', 't': tr, 'c': sr}}, {{'r': 'nation', 'm': 'strict', 't': tn, 'c': sn}}, {{'r': 'region', 'm': 'exploratory', 't': tr, 'c': er}}, {{'r': 'nation', 'm': 'exploratory', 't': tn, 'c': en}}]) AS u FROM p)
+SELECT type, coalesce(split, 'all') AS split, u.r AS rank, u.m AS mode, count(*) AS eligible, count(u.c) AS called, count(*) FILTER (u.c = u.t) AS correct, count(u.c) - count(*) FILTER (u.c = u.t) AS incorrect, count(u.c) / count(*) AS coverage, count(*) FILTER (u.c = u.t) / nullif(count(u.c), 0) AS precision
+FROM x WHERE u.t IS NOT NULL GROUP BY GROUPING SETS ((type, u.r, u.m), (type, split, u.r, u.m))""")
+def eval_rank_results(spark: SparkSession, d: str) -> DataFrame:
+    """EVL-9: results of every rank, type and split."""
+    c = fr.catalog(spark, d)
+    t = fr.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), (F.col("l_linenumber") % 2).alias("type"), "l_suppkey", "l_partkey").distinct()
+    own = c.select(F.col("path_id").alias("l_suppkey"), "region", "nation")
+    other = c.select(F.col("path_id").alias("o"), F.col("region").alias("exploratory_region"), F.col("nation").alias("exploratory_nation"))
+    x = t.join(own, "l_suppkey").join(other, F.col("l_suppkey") - F.col("l_partkey") % 2 == F.col("o"), "left")
+    x = ev.holdout(x, ["nation"], "id").withColumns({
+        "type": F.concat(F.lit("t"), F.col("type").cast("string")),
+        "truth_region": F.col("region"), "truth_nation": F.when(F.col("l_partkey") % 3 > 0, F.col("nation")).otherwise("unclassified"),
+        "strict_region": F.col("region"), "strict_nation": F.when(F.col("l_partkey") % 2 == 0, F.col("nation")).otherwise("NA"),
+    })
+    return ev.rank_results(x, "type", "split", ["region", "nation"])
 
 
 @query("""WITH p AS (SELECT lang AS type, CASE WHEN doc_id % 5 = 0 THEN 'holdout' ELSE 'train' END AS split, CASE WHEN doc_id % 2 = 0 THEN 'strict' ELSE 'exploratory' END AS mode, toxic AS truth, CASE WHEN n_chars % 3 > 0 THEN CAST(n_chars % 2 AS INTEGER) END AS predicted FROM documents JOIN labels USING (doc_id))

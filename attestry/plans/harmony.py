@@ -194,8 +194,9 @@ CLAIMS = f"""{fr.CATALOG}, claims AS (SELECT o.l_orderkey * 10 + o.l_linenumber
 def _claims(spark: SparkSession, d: str) -> DataFrame:
     one = fr.table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"), F.min("l_suppkey").alias("l_suppkey"))
     x = one.join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id"))
-    m = F.col("l_partkey") % 4
-    return x.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim"), F.col("l_orderkey").alias("final_id"), F.concat(F.lit("t"), (F.col("l_linenumber") % 4).cast("string")).alias("tool"), F.concat(F.lit("f"), (F.col("l_linenumber") % 3).cast("string")).alias("family"), (F.col("l_partkey") % 3 + 1).cast("int").alias("tier"), "region", F.when(m > 0, F.col("nation")).alias("nation"), F.when(m > 1, F.when(F.col("l_partkey") % 40 == 2, "no such").otherwise(F.col("supplier"))).alias("supplier"))
+    m, third = F.col("l_partkey") % 4, F.col("l_partkey") % 3
+    tier = taxonomy.tier_score(taxonomy.claim_tier([(third == 2, "high"), (third == 1, "moderate")]))
+    return x.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("claim"), F.col("l_orderkey").alias("final_id"), F.concat(F.lit("t"), (F.col("l_linenumber") % 4).cast("string")).alias("tool"), F.concat(F.lit("f"), (F.col("l_linenumber") % 3).cast("string")).alias("family"), tier.alias("tier"), "region", F.when(m > 0, F.col("nation")).alias("nation"), F.when(m > 1, F.when(F.col("l_partkey") % 40 == 2, "no such").otherwise(F.col("supplier"))).alias("supplier"))
 
 
 MATCHES = CLAIMS + ", matches AS (SELECT claim, path_id FROM claims c JOIN catalog p ON c.region = p.region AND (c.nation IS NULL OR c.nation = p.nation) AND (c.supplier IS NULL OR c.supplier = p.supplier))"

@@ -353,3 +353,26 @@ def stream_join_remainder(spark: SparkSession, d: str) -> DataFrame:
     """STR-3 between two file streams: pairs, and the remainder of both sides as far as the watermarks have passed it."""
     both = completeness.keyed_join(_event_stream(spark, d, "click", "a"), _event_stream(spark, d, "purchase", "b"), "user_id", "ts", "30 minutes", "full_outer", ("20 minutes", "40 minutes"))
     return completeness.run_to_end(both.select("a", "b"), _folder(spark, "joined"), _folder(spark, "state"))
+
+
+@query("SELECT 'orders' AS output, count(*) AS recorded_n, count(*) AS n, 'unchanged' AS status FROM orders UNION ALL SELECT 'part', count(*), count(*), CASE WHEN count(*) > 0 THEN 'changed' ELSE 'unchanged' END FROM part UNION ALL SELECT 'nation', count(*), NULL, 'missing' FROM nation UNION ALL SELECT 'region', NULL, count(*), 'unrecorded' FROM region")
+def sink_verified(spark: SparkSession, d: str) -> DataFrame:
+    """SNK-6: tables written and read again against their manifest; one of them has one cell changed."""
+    tables = {t: fr.table(spark, d, t) for t in ("orders", "part", "nation")}
+    recorded = writers.manifest(tables, {"policy": "default"})
+    path = _folder(spark, "outputs")
+    first = tables["part"].agg(F.min("p_partkey")).first()[0]
+    edited = tables["part"].withColumn("p_size", F.when(F.col("p_partkey") == first, F.col("p_size") + 1).otherwise(F.col("p_size")))
+    tables["orders"].repartition(3).write.parquet(f"{path}/orders")
+    edited.write.parquet(f"{path}/part")
+    now = {t: spark.read.parquet(f"{path}/{t}") for t in ("orders", "part")}
+    return writers.verify_manifest({**now, "region": fr.table(spark, d, "region")}, recorded)
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, printf('%.6g', sqrt(l_extendedprice) / 3) AS a, printf('%.6g', -(l_discount + 0.01) / 1e5) AS b, printf('%.6g', sqrt(l_extendedprice) * 1e4) AS c,
+  abs(l_discount - l_tax) <= greatest(0.2 * greatest(abs(l_discount), abs(l_tax)), 0.011) AS near FROM lineitem""")
+def scalar_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """FN-9."""
+    x = fr.table(spark, d, "lineitem")
+    price = F.col("l_extendedprice")
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", sc.significant(F.sqrt(price) / 3).alias("a"), sc.significant(-(F.col("l_discount") + 0.01) / 1e5).alias("b"), sc.significant(F.sqrt(price) * 1e4).alias("c"), sc.close(F.col("l_discount"), F.col("l_tax"), 0.2, 0.011).alias("near"))

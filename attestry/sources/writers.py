@@ -52,3 +52,15 @@ def manifest(outputs: dict[str, DataFrame], settings: dict[str, str]) -> DataFra
         row = content_hash(df).select(F.lit(name).alias("output"), "n", "checksum", F.lit(str(sorted(settings.items()))).alias("settings"))
         out = row if out is None else out.unionByName(row)
     return out.select("output", F.to_json(F.struct("output", "n", "checksum", "settings")).alias("manifest"))
+
+
+def verify_manifest(outputs: dict[str, DataFrame], recorded: DataFrame) -> DataFrame:
+    """SNK-6: (output, recorded_n, n, status) of every output against a recorded manifest: unchanged, changed, missing or unrecorded.
+
+    Rows and checksum must agree; order and partitions don't matter.
+    """
+    parts = [F.get_json_object("manifest", f"$.{c}").alias(c) for c in ("n", "checksum")]
+    before = recorded.select("output", *parts).select("output", F.col("n").cast("long").alias("recorded_n"), F.col("checksum").alias("__was"))
+    now = manifest(outputs, {}).select("output", *parts).select("output", F.col("n").cast("long").alias("n"), F.col("checksum").alias("__is"))
+    status = F.when(F.col("__was").isNull(), "unrecorded").when(F.col("__is").isNull(), "missing").when((F.col("n") == F.col("recorded_n")) & (F.col("__is") == F.col("__was")), "unchanged").otherwise("changed")
+    return before.join(now, "output", "full").select("output", "recorded_n", "n", status.alias("status"))
