@@ -123,8 +123,9 @@ def consensus_parents(evidence: DataFrame, rules: dict[str, Column]) -> DataFram
 def region_map(records: DataFrame, loci: DataFrame, policy: RefinePolicy = RefinePolicy(), consensus: DataFrame | None = None) -> DataFrame:
     """RFN-6 to RFN-8: the final regions: one row per selected locus, or the intact record.
 
-    Several regions that rest on hallmarks alone give way to a whole-record consensus;
-    one call that spans the record keeps the record's identity.
+    Several regions that rest on hallmarks alone (which a policy with
+    ``hallmark_alone`` selects) give way to a whole-record consensus; one call that
+    spans the record keeps the record's identity.
     """
     p = policy
     chosen = loci.where("selected_start is not null")
@@ -147,7 +148,7 @@ def region_map(records: DataFrame, loci: DataFrame, policy: RefinePolicy = Refin
     kept = chosen.drop("length").join(base.where("not veto").select("parent", "length", "n"), "parent")
     full = (F.col("n") == 1) & (F.col("selected_start") == 1) & (F.col("selected_end") == F.col("length"))
     name = F.concat(F.col("parent").cast("string"), F.lit("|region_"), F.col("selected_start").cast("string"), F.lit("_"), F.col("selected_end").cast("string"))
-    regions = kept.select("parent", F.when(full, F.col("parent").cast("string")).otherwise(name).alias("sequence_id"), F.when(full, "input_record").otherwise("region").alias("record_type"), F.col("selected_start").cast("long").alias("start"), F.col("selected_end").cast("long").alias("end"), F.col("status"))
+    regions = kept.select("parent", F.when(full, F.col("parent").cast("string")).otherwise(name).alias("sequence_id"), F.when(full, "input_record").otherwise("region").alias("record_type"), F.col("selected_start").cast("long").alias("start"), F.col("selected_end").cast("long").alias("end"), F.when(full, "selected_full_span_preserved_record").otherwise(F.col("status")).alias("status"))
     return intact.unionByName(regions)
 
 
@@ -155,3 +156,40 @@ def refine_summary(loci: DataFrame, regions: DataFrame) -> DataFrame:
     """RFN-8: counts by status of loci and of regions, long form."""
     a = loci.groupBy(F.lit("locus").alias("level"), "status").agg(F.count("*").alias("n"))
     return a.unionByName(regions.groupBy(F.lit("region").alias("level"), "status").agg(F.count("*").alias("n")))
+
+
+def run_summary(records: DataFrame, calls: DataFrame, loci: DataFrame, regions: DataFrame, policy: RefinePolicy, sample_id: str, input_type: str, evidence_files: int) -> DataFrame:
+    """RFN-8: the 19 figures of a run as one row.
+
+    ``calls`` as :func:`boundary_calls` gives them, ``loci`` of :func:`select_boundaries`
+    (so figures of loci are those before a veto), ``regions`` of :func:`region_map`.
+    Empty inputs count 0.
+    """
+    p = policy
+    only = lambda *t: F.col("tools") == F.array(*[F.lit(x) for x in sorted(t)])
+    status = lambda *names: F.count_if(F.col("status").isin(*names))
+    whole = F.col("record_type") == "input_record"
+    of_regions = regions.agg(
+        F.count_if(whole).alias("unchanged_candidate_count"),
+        F.count_distinct(F.when(~whole, F.col("parent"))).alias("refined_parent_count"),
+        F.count_if(~whole).alias("refined_region_count"),
+        status("selected_full_span_preserved_record").alias("full_span_call_preserved_count"),
+        status("preserved_whole_record_consensus").alias("whole_record_consensus_veto_count"),
+    )
+    of_loci = loci.agg(
+        status("selected_boundary_conflict").alias("boundary_conflict_count"),
+        F.coalesce(F.sum(F.when(only(p.hallmark), F.col("calls"))), F.lit(0)).alias("hallmark_only_boundary_call_count"),
+        status("not_selected_hallmark_only").alias("hallmark_only_locus_skipped_count"),
+        status("not_selected_advisory_only").alias("advisory_only_locus_skipped_count"),
+        status("not_selected_quality_only", "not_selected_advisory_overlap_below_threshold").alias("quality_only_locus_skipped_count"),
+        status("selected_quality_with_advisory_support").alias("quality_advisory_supported_locus_count"),
+    )
+    of_calls = calls.agg(F.count("*").alias("boundary_call_count"), F.count_if(F.col("tool") == p.advisory).alias("advisory_boundary_call_count"))
+    one = records.agg(F.count("*").alias("input_candidate_count"))
+    for part in (of_regions, of_calls, of_loci):  # one row each
+        one = one.crossJoin(F.broadcast(part))
+    return one.select(
+        F.lit(sample_id).alias("sample_id"), F.lit(input_type).alias("input_type"), "input_candidate_count", "unchanged_candidate_count", "refined_parent_count", "refined_region_count", "full_span_call_preserved_count", "whole_record_consensus_veto_count",
+        "boundary_call_count", "boundary_conflict_count", "hallmark_only_boundary_call_count", "hallmark_only_locus_skipped_count", "advisory_boundary_call_count", "advisory_only_locus_skipped_count", "quality_only_locus_skipped_count", "quality_advisory_supported_locus_count",
+        F.lit(p.advisory_overlap).alias("advisory_min_overlap_fraction"), F.lit(p.hallmark_alone).alias("hallmark_alone_allowed"), F.lit(evidence_files).cast("long").alias("evidence_file_count"),
+    )

@@ -110,6 +110,39 @@ def refine_region_map(spark: SparkSession, d: str) -> DataFrame:
     return refine.region_map(fr.records(spark, d), _selected(spark, d), consensus=agreed)
 
 
+ALONE = refine.RefinePolicy(hallmark_alone=True)
+ALONE_SQL = SELECT_SQL.replace("WHEN ch IS NOT NULL THEN NULL", "WHEN ch IS NOT NULL THEN 'hallmark'").replace("WHEN sel = 'quality' THEN cq END AS c", "WHEN sel = 'quality' THEN cq WHEN sel = 'hallmark' THEN ch END AS c")
+VETO_SQL = ALONE_SQL + f""", s AS (SELECT parent, c, sel, tools, calls, {STATUS_SQL} AS status FROM loci), agreed AS (SELECT parent FROM calls GROUP BY 1 HAVING bool_or(score > 20000) AND bool_or(line >= 3)),
+p AS (SELECT s.parent, count(c) AS n, count(c) >= 2 AND bool_and(coalesce(sel = 'hallmark', true)) AND bool_or(agreed.parent IS NOT NULL) AS veto, bool_and(tools = 'advisory') AS only_adv, bool_or(contains(tools, 'quality')) AS q FROM s LEFT JOIN agreed ON agreed.parent = s.parent GROUP BY 1),
+m AS (SELECT o.o_orderkey AS parent, CAST(o.o_orderkey AS VARCHAR) AS sequence_id, 'input_record' AS record_type, CAST(1 AS BIGINT) AS "start", CAST(160 AS BIGINT) AS "end",
+  CASE WHEN n IS NULL THEN 'unchanged_no_boundary_call' WHEN veto THEN 'preserved_whole_record_consensus' WHEN only_adv THEN 'unchanged_advisory_only' WHEN q THEN 'unchanged_quality_candidate_not_corroborated' ELSE 'unchanged_hallmark_only_not_allowed' END AS status
+FROM orders o LEFT JOIN p ON o.o_orderkey = p.parent WHERE coalesce(n, 0) = 0 OR veto
+UNION ALL SELECT s.parent, s.parent || '|region_' || c[1] || '_' || c[2], 'region', CAST(c[1] AS BIGINT), CAST(c[2] AS BIGINT), status FROM s JOIN p ON p.parent = s.parent AND NOT veto WHERE c IS NOT NULL)"""
+
+
+def _vetoed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    calls = refine.boundary_calls(fr.calls(spark, d), fr.records(spark, d), ALONE, strict=False)
+    loci = refine.select_boundaries(refine.group_calls(calls, ALONE), ALONE, strict=False)
+    agreed = refine.consensus_parents(fr.calls(spark, d), {"dear": F.col("score") > 20_000, "later": F.col("line") >= 3})
+    return calls, loci, refine.region_map(fr.records(spark, d), loci, ALONE, agreed)
+
+
+@query(VETO_SQL + " SELECT * FROM m")
+def refine_veto(spark: SparkSession, d: str) -> DataFrame:
+    """RFN-6, 7: regions where hallmarks decide alone, unless the sources agree on the whole record."""
+    return _vetoed(spark, d)[2]
+
+
+@query(VETO_SQL + """ SELECT 'S' AS sample_id, 'dna' AS input_type, (SELECT count(*) FROM orders) AS input_candidate_count, (SELECT count(*) FROM m WHERE record_type = 'input_record') AS unchanged_candidate_count, (SELECT count(DISTINCT parent) FROM m WHERE record_type = 'region') AS refined_parent_count, (SELECT count(*) FROM m WHERE record_type = 'region') AS refined_region_count,
+  0 AS full_span_call_preserved_count, (SELECT count(*) FROM m WHERE status = 'preserved_whole_record_consensus') AS whole_record_consensus_veto_count, (SELECT count(*) FROM ok) AS boundary_call_count, count(*) FILTER (status = 'selected_boundary_conflict') AS boundary_conflict_count, CAST(coalesce(sum(calls) FILTER (tools = 'hallmark'), 0) AS BIGINT) AS hallmark_only_boundary_call_count,
+  count(*) FILTER (status = 'not_selected_hallmark_only') AS hallmark_only_locus_skipped_count, (SELECT count(*) FROM ok WHERE tool = 'advisory') AS advisory_boundary_call_count, count(*) FILTER (status = 'not_selected_advisory_only') AS advisory_only_locus_skipped_count, count(*) FILTER (status IN ('not_selected_quality_only', 'not_selected_advisory_overlap_below_threshold')) AS quality_only_locus_skipped_count,
+  count(*) FILTER (status = 'selected_quality_with_advisory_support') AS quality_advisory_supported_locus_count, 0.5::DOUBLE AS advisory_min_overlap_fraction, true AS hallmark_alone_allowed, 1::BIGINT AS evidence_file_count FROM s""")
+def refine_run_summary(spark: SparkSession, d: str) -> DataFrame:
+    """RFN-8: the run's figures."""
+    calls, loci, regions = _vetoed(spark, d)
+    return refine.run_summary(fr.records(spark, d), calls, loci, regions, ALONE, "S", "dna", 1)
+
+
 @query(SELECT_SQL + f", s AS (SELECT {STATUS_SQL} AS status FROM loci) SELECT status, count(*) AS n FROM s GROUP BY 1")
 def refine_summary(spark: SparkSession, d: str) -> DataFrame:
     """RFN-8."""
