@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as sc
+from ..functions.shared import shared_folder
 from ..operators import harmonize as hz
 from ..operators import lineage, standardize, taxonomy
 from . import frames as fr
@@ -246,8 +247,8 @@ conf AS (SELECT dd.*, coalesce(st, '') AS strict_tools, coalesce(sf, '') AS stri
 """
 
 
-def _confidence(spark: SparkSession, d: str) -> DataFrame:
-    claims, matches, res = _resolved(spark, d)
+def _confidence(spark: SparkSession, d: str, found: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
+    claims, matches, res = found or _resolved(spark, d)
     return taxonomy.confidence(res, claims, matches, fr.RANKS)
 
 
@@ -273,7 +274,7 @@ gp AS (SELECT final_id, g.k AS rank, list_distinct(list(g.t)) AS taxa, bool_or(g
 gq AS (SELECT *, CASE WHEN length < 100000 THEN 'below_minimum_length' WHEN len(taxa) > 1 THEN 'ambiguous_groups' WHEN taken THEN 'strict_rank_already_classified' WHEN agrees THEN 'reported_compatible_project_group' ELSE 'incompatible_or_unknown_parent_context' END AS reason FROM gp)"""
 
 
-def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _groups(spark: SparkSession, d: str, resolved: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Project groups that order lines predict for their order, and the orders' strict lineages and lengths."""
     x = fr.table(spark, d, "lineitem").join(fr.catalog(spark, d), F.col("l_suppkey") == F.col("path_id"))
     part = F.col("l_partkey")
@@ -281,7 +282,8 @@ def _groups(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     nation = F.when(part % 4 == 0, F.concat(F.lit("Novel_n"), (part % 3).cast("string"))).otherwise(F.col("nation"))
     groups = x.select(F.col("l_orderkey").alias("final_id"), F.lit("Viruses").alias("domain_prediction"), region.alias("region_prediction"), nation.alias("nation_prediction"), F.lit("").alias("supplier_prediction"))
     length = fr.table(spark, d, "orders").groupBy(F.col("o_orderkey").alias("final_id")).agg(F.max(F.col("o_totalprice").cast("decimal(20,0)").cast("long")).alias("length"))
-    strict = length.join(_resolved(spark, d)[2].withColumn("strict_domain", F.lit("Viruses")), "final_id", "full")
+    resolved = _resolved(spark, d)[2] if resolved is None else resolved
+    strict = length.join(resolved.withColumn("strict_domain", F.lit("Viruses")), "final_id", "full")
     return groups, strict
 
 
@@ -320,8 +322,11 @@ def harmony_metadata(spark: SparkSession, d: str) -> DataFrame:
     finals = x.select("final_id", F.col("final_id").alias("final_parent"), F.col("final_id").alias("original_name"), "record_type", "discovery_status", F.when(region, "5-95").alias("coordinates"), F.lit(100).alias("original_length"), F.when(region, 91).otherwise(100).alias("refined_length"))
     by_user = x.select("final_id", "user_id")
     path = F.when(F.col("strict_region").isNotNull(), F.concat_ws(";", *[F.coalesce(f"strict_{r}", F.lit("")) for r in fr.RANKS]))
-    taxa = _confidence(spark, d).withColumns({"strict_taxonomy": path, "taxonomy_conflict": F.col("conflict_rank") > 0}).withColumnRenamed("final_id", "user_id")
-    groups = taxonomy.group_report(*_groups(spark, d), ["domain", *fr.RANKS], 100_000)
+    claims, matches, resolved = _resolved(spark, d)
+    shared_folder(spark)
+    resolved = resolved.checkpoint()  # taken three times below
+    taxa = _confidence(spark, d, (claims, matches, resolved)).withColumns({"strict_taxonomy": path, "taxonomy_conflict": F.col("conflict_rank") > 0}).withColumnRenamed("final_id", "user_id")
+    groups = taxonomy.group_report(*_groups(spark, d, resolved), ["domain", *fr.RANKS], 100_000)
     groups = taxonomy.group_summary(groups.select("final_id").distinct(), groups).withColumnRenamed("final_id", "user_id")
     e = fr.evidence(spark, d).where("tool = 'click'").groupBy(F.col("sequence_id").alias("final_id"))
     homology = e.agg(F.collect_set("classification").alias("patterns"), F.count_if(F.col("classification") == "virus").alias("viral_loci"), F.count_if(F.col("classification") == "cellular").alias("cellular_loci"))
