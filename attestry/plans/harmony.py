@@ -207,8 +207,8 @@ MATCHES = CLAIMS + ", matches AS (SELECT claim, path_id FROM claims c JOIN catal
 def tax_matches(spark: SparkSession, d: str) -> DataFrame:
     """TAX-1."""
     nodes = taxonomy.catalog_nodes(fr.catalog(spark, d), "path_id", fr.RANKS)
-    m = taxonomy.match_claims(_claims(spark, d), nodes, fr.RANKS).join(nodes, "node")
-    return m.groupBy("claim").agg(F.sum("paths").alias("paths"), F.min("first_path").alias("first_path"))
+    m = taxonomy.match_claims(_claims(spark, d), nodes, fr.RANKS).where("node is not null")
+    return m.groupBy("claim").agg(F.sum("node_paths").alias("paths"), F.min("node_first").alias("first_path"))
 
 
 RESOLVED = f"""WITH {MATCHES}, valid AS (SELECT *, CASE WHEN supplier IS NOT NULL THEN 3 WHEN nation IS NOT NULL THEN 2 ELSE 1 END AS depth FROM claims WHERE claim IN (SELECT claim FROM matches)),
@@ -225,16 +225,18 @@ res AS (SELECT final_id, CASE WHEN conf = 0 OR conf > 1 THEN r END AS strict_reg
 """
 
 
-def _resolved(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    claims, nodes = _claims(spark, d), taxonomy.catalog_nodes(fr.catalog(spark, d), "path_id", fr.RANKS)
-    m = taxonomy.match_claims(claims, nodes, fr.RANKS)
-    return claims, m, taxonomy.resolve(claims, m, nodes, fr.RANKS)
+def _matches(spark: SparkSession, d: str) -> DataFrame:
+    return taxonomy.match_claims(_claims(spark, d), taxonomy.catalog_nodes(fr.catalog(spark, d), "path_id", fr.RANKS), fr.RANKS)
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    return taxonomy.resolve_matched(_matches(spark, d), fr.RANKS)
 
 
 @query(RESOLVED + "SELECT * FROM res")
 def tax_resolved(spark: SparkSession, d: str) -> DataFrame:
     """TAX-3 to TAX-6."""
-    return _resolved(spark, d)[2]
+    return _resolved(spark, d).drop("support")
 
 
 CONFIDENCE = """, dd AS (SELECT *, CASE WHEN strict_supplier IS NOT NULL THEN 3 WHEN strict_nation IS NOT NULL THEN 2 WHEN strict_region IS NOT NULL THEN 1 ELSE 0 END AS sd, CASE WHEN exploratory_supplier IS NOT NULL THEN 3 WHEN exploratory_nation IS NOT NULL THEN 2 WHEN exploratory_region IS NOT NULL THEN 1 ELSE 0 END AS ed FROM res),
@@ -247,23 +249,19 @@ conf AS (SELECT dd.*, coalesce(st, '') AS strict_tools, coalesce(sf, '') AS stri
 """
 
 
-def _confidence(spark: SparkSession, d: str, found: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
-    claims, matches, res = found or _resolved(spark, d)
-    return taxonomy.confidence(res, claims, matches, fr.RANKS)
-
-
 @query(RESOLVED + CONFIDENCE + "SELECT final_id, CAST(sd AS INTEGER) AS strict_depth, strict_tools, strict_families, strict_confidence, exploratory_tools, exploratory_families, exploratory_confidence, stop_reason, exploratory_status FROM conf")
 def tax_confidence(spark: SparkSession, d: str) -> DataFrame:
     """TAX-7."""
     sets = ("strict_tools", "strict_families", "exploratory_tools", "exploratory_families")
-    return _confidence(spark, d).select("final_id", "strict_depth", *[F.array_join(c, ",").alias(c) for c in sets], "strict_confidence", "exploratory_confidence", "stop_reason", "exploratory_status")
+    return taxonomy.confidence(_resolved(spark, d), fr.RANKS).select("final_id", "strict_depth", *[F.array_join(c, ",").alias(c) for c in sets], "strict_confidence", "exploratory_confidence", "stop_reason", "exploratory_status")
 
 
 @query(RESOLVED + """, e2 AS (SELECT claim, final_id, tool, CAST(unnest([1, 2, 3]) AS INTEGER) AS rank, unnest([region, nation, supplier]) AS taxon FROM claims), s2 AS (SELECT final_id, unnest([1, 2, 3]) AS rank, unnest([strict_region, strict_nation, strict_supplier]) AS own FROM res)
 SELECT claim, e2.final_id, tool, e2.rank, taxon, CASE WHEN claim NOT IN (SELECT claim FROM matches) THEN 'not_in_catalog' WHEN own IS NULL THEN 'rank_not_resolved' WHEN own = taxon THEN 'accepted' ELSE 'other_taxon_accepted' END AS reason FROM e2 LEFT JOIN s2 ON e2.final_id = s2.final_id AND e2.rank = s2.rank WHERE taxon IS NOT NULL""")
 def tax_vote_audit(spark: SparkSession, d: str) -> DataFrame:
     """TAX-8."""
-    return taxonomy.vote_audit(*_resolved(spark, d), fr.RANKS)
+    matches = _matches(spark, d)
+    return taxonomy.vote_audit(matches, taxonomy.resolve_matched(matches, fr.RANKS), fr.RANKS)
 
 
 GROUPS = """gr AS (SELECT l_orderkey AS final_id, CASE WHEN l_partkey % 10 = 0 THEN 'unplaced_' || l_suppkey % 2 WHEN l_partkey % 10 = 1 THEN 'default' ELSE region END AS rp, CASE WHEN l_partkey % 4 = 0 THEN 'Novel_n' || l_partkey % 3 ELSE nation END AS np FROM lineitem JOIN catalog ON path_id = l_suppkey),
@@ -282,7 +280,7 @@ def _groups(spark: SparkSession, d: str, resolved: DataFrame | None = None) -> t
     nation = F.when(part % 4 == 0, F.concat(F.lit("Novel_n"), (part % 3).cast("string"))).otherwise(F.col("nation"))
     groups = x.select(F.col("l_orderkey").alias("final_id"), F.lit("Viruses").alias("domain_prediction"), region.alias("region_prediction"), nation.alias("nation_prediction"), F.lit("").alias("supplier_prediction"))
     length = fr.table(spark, d, "orders").groupBy(F.col("o_orderkey").alias("final_id")).agg(F.max(F.col("o_totalprice").cast("decimal(20,0)").cast("long")).alias("length"))
-    resolved = _resolved(spark, d)[2] if resolved is None else resolved
+    resolved = (_resolved(spark, d) if resolved is None else resolved).drop("support")
     strict = length.join(resolved.withColumn("strict_domain", F.lit("Viruses")), "final_id", "full")
     return groups, strict
 
@@ -322,10 +320,9 @@ def harmony_metadata(spark: SparkSession, d: str) -> DataFrame:
     finals = x.select("final_id", F.col("final_id").alias("final_parent"), F.col("final_id").alias("original_name"), "record_type", "discovery_status", F.when(region, "5-95").alias("coordinates"), F.lit(100).alias("original_length"), F.when(region, 91).otherwise(100).alias("refined_length"))
     by_user = x.select("final_id", "user_id")
     path = F.when(F.col("strict_region").isNotNull(), F.concat_ws(";", *[F.coalesce(f"strict_{r}", F.lit("")) for r in fr.RANKS]))
-    claims, matches, resolved = _resolved(spark, d)
     shared_folder(spark)
-    resolved = resolved.checkpoint()  # taken three times below
-    taxa = _confidence(spark, d, (claims, matches, resolved)).withColumns({"strict_taxonomy": path, "taxonomy_conflict": F.col("conflict_rank") > 0}).withColumnRenamed("final_id", "user_id")
+    resolved = _resolved(spark, d).checkpoint()  # taken twice below
+    taxa = taxonomy.confidence(resolved, fr.RANKS).withColumns({"strict_taxonomy": path, "taxonomy_conflict": F.col("conflict_rank") > 0}).withColumnRenamed("final_id", "user_id")
     groups = taxonomy.group_report(*_groups(spark, d, resolved), ["domain", *fr.RANKS], 100_000)
     groups = taxonomy.group_summary(groups.select("final_id").distinct(), groups).withColumnRenamed("final_id", "user_id")
     e = fr.evidence(spark, d).where("tool = 'click'").groupBy(F.col("sequence_id").alias("final_id"))
