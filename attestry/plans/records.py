@@ -22,7 +22,7 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("SELECT l_orderkey, l_linenumber, l_returnflag || '__c' || lpad(CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS VARCHAR), 6, '0') AS sequence_id FROM lineitem")
+@query("SELECT l_orderkey, l_linenumber, l_returnflag || '__c' || format('{:06d}', row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS sequence_id FROM lineitem")
 def norm_ids(spark: SparkSession, d: str) -> DataFrame:
     """NRM-1."""
     x = fr.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_partkey", "l_suppkey")
@@ -48,7 +48,7 @@ def norm_window_parents(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {fr.CALLS}, k AS (SELECT parent % 500 AS parent, "start", "end", string_agg(DISTINCT tool, ',' ORDER BY tool) AS callers FROM calls GROUP BY 1, 2, 3)
-SELECT parent, "start", "end", callers, 'S_orf' || lpad(CAST(row_number() OVER (ORDER BY parent, "start", "end") AS VARCHAR), 9, '0') AS orf_id FROM k""")
+SELECT parent, "start", "end", callers, 'S_orf' || format('{{:09d}}', row_number() OVER (ORDER BY parent, "start", "end")) AS orf_id FROM k""")
 def norm_consolidated(spark: SparkSession, d: str) -> DataFrame:
     """NRM-4."""
     c = fr.calls(spark, d).withColumn("parent", F.col("parent") % 500)
