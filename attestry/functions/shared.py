@@ -1,10 +1,10 @@
-"""The shared folder of a session."""
+"""What a session shares: its folder, and the number of its partitions."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,3 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
             folder = tempfile.mkdtemp(prefix="attestry-")
         sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Rows moved by key into ``spark.sql.shuffle.partitions`` parts.
+
+    Adaptive execution merges parts by their compressed bytes, so rows that compress well
+    would meet in a few tasks, each with the memory of all of them; a given number stays.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)

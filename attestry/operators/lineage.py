@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.shared import spread
+
 
 def distinct_lineages(hits: DataFrame, key: list[str], ranks: list[str], score: str, subject: str) -> DataFrame:
     """LOC-3: one vote for each distinct full lineage of a key, its best hit, weighted by score / best score.
@@ -32,20 +34,24 @@ def hierarchical_vote(votes: DataFrame, key: list[str], ranks: list[str], weight
     or any vote brought one (``inherited``, a flag of votes).  Keys without an accepted
     rank have depth 0.
 
-    One row per prefix of a lineage, one aggregate and one window over siblings; a
-    node counts only if all of its prefixes won, so no iteration is needed.
+    One row per prefix of a lineage (the empty one holds all votes), one aggregate and
+    one window over siblings; a node counts only if all of its prefixes won, so no
+    iteration is needed.  Votes are shuffled once, by key, before prefixes multiply them.
     """
     path = F.array(*[F.col(r).cast("string") for r in ranks])
     each = votes.select(*key, path.alias("p"), F.col(weight).cast("double").alias("w"), (F.coalesce(inherited, F.lit(False)) if inherited else F.lit(False)).alias("__inherited"))
     depth = F.coalesce(F.nullif(F.array_position(F.transform("p", lambda x: x.isNull()), True), F.lit(0)) - 1, F.lit(len(ranks)))
     each = each.withColumn("d", depth.cast("int"))
-    prefix = each.where("d > 0").select(*key, "w", F.explode(F.transform(F.sequence(F.lit(1), F.col("d")), lambda i: F.slice("p", 1, i))).alias("prefix"))
-    node = prefix.groupBy(*key, "prefix").agg(F.sum("w").alias("w")).withColumn("parent", F.slice("prefix", 1, F.size("prefix") - 1))
+    each = spread(each, *key)
+    prefix = each.select(*key, "w", "__inherited", F.explode(F.transform(F.sequence(F.lit(0), F.col("d")), lambda i: F.slice("p", 1, i))).alias("prefix"))
+    named = F.size("prefix") > 0
+    node = prefix.groupBy(*key, "prefix").agg(F.sum("w").alias("w"), F.bool_or("__inherited").alias("__inherited")).withColumn("parent", F.when(named, F.slice("prefix", 1, F.size("prefix") - 1)))
     siblings = W.partitionBy(*key, "parent")
     node = node.withColumn("total", F.sum("w").over(siblings)).withColumn("share", F.coalesce(F.try_divide("w", "total"), F.lit(0.0))).withColumn("n", F.count("*").over(siblings))
     node = node.withColumn("r", F.row_number().over(siblings.orderBy(F.desc("w"), F.desc("prefix")))).where("r = 1")
     node = node.withColumn("won", F.col("share") + 1e-12 >= threshold)
-    lists = node.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("parent", F.struct("prefix", "share", "won", "n", "w", "total")))).alias("best"))
+    best = F.map_from_entries(F.collect_list(F.when(named, F.struct("parent", F.struct("prefix", "share", "won", "n", "w", "total")))))
+    lists = node.groupBy(*key).agg(best.alias("best"), F.max(F.when(~named, F.col("w"))).alias("__all"), F.bool_or(F.when(~named, F.col("__inherited"))).alias("__inherited"))
     none = F.lit(None).cast("double")
     start = F.struct(F.array().cast("array<string>").alias("path"), F.lit(1.0).alias("support"), none.alias("supporting"), none.alias("eligible"), F.lit(False).alias("conflict"), F.lit(True).alias("open"))
 
@@ -62,17 +68,15 @@ def hierarchical_vote(votes: DataFrame, key: list[str], ranks: list[str], weight
         )
 
     out = lists.withColumn("v", F.aggregate(F.sequence(F.lit(1), F.lit(len(ranks))), start, step))
-    won = out.select(*key, *[F.col(f"v.{c}").alias(c) for c in ("path", "support", "supporting", "eligible", "conflict")])
-    every = each.groupBy(*key).agg(F.sum("w").alias("__all"), F.bool_or("__inherited").alias("__inherited")).join(won, key, "left")
-    empty = F.array().cast("array<string>")
+    every = out.select(*key, "__all", "__inherited", *[F.col(f"v.{c}").alias(c) for c in ("path", "support", "supporting", "eligible", "conflict")])
     return every.select(
         *key,
-        F.coalesce("path", empty).alias("path"),
-        F.size(F.coalesce("path", empty)).alias("depth"),
-        F.coalesce("support", F.lit(1.0)).alias("support"),
+        "path",
+        F.size("path").alias("depth"),
+        "support",
         F.coalesce("supporting", "__all").alias("supporting"),
         F.coalesce("eligible", "__all").alias("eligible"),
-        (F.coalesce("conflict", F.lit(False)) | F.col("__inherited")).alias("conflict"),
+        (F.col("conflict") | F.col("__inherited")).alias("conflict"),
     )
 
 

@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from attestry.operators import taxonomy
+from attestry.operators import lineage, taxonomy
 
 
 def exchanges(df) -> int:
@@ -31,3 +31,13 @@ def test_taxonomy_shuffles_matched_claims_once(spark):
     assert (got[2].exploratory_x, got[2].exploratory_y, got[2].best_paths, got[2].ambiguous_rank) == (None, "p", 2, 1)
     assert [(s.rank, s.tools, s.families, s.tier) for s in got[1].support] == [(1, ["t", "u"], ["f", "g"], 2), (2, ["t"], ["f"], 2)]
     assert resolved.where(F.col("final_id") == 2).first().support[0].tools == ["t"]
+
+
+def test_vote_shuffles_once(spark):
+    rows = [("k", "A", "p", 2.0, False), ("k", "A", "q", 1.0, False), ("k", "B", None, 0.5, True), ("n", None, None, 3.0, False)]
+    votes = spark.createDataFrame(rows, "k string, x string, y string, w double, flag boolean")
+    won = lineage.hierarchical_vote(votes, ["k"], ["x", "y"], "w", inherited="flag")
+    assert exchanges(won) == 1
+    got = {r.k: r for r in won.collect()}
+    assert (got["k"].path, round(got["k"].support, 6), got["k"].supporting, got["k"].eligible, got["k"].conflict) == (["A", "p"], round(2 / 3, 6), 2.0, 3.0, True)
+    assert (got["n"].path, got["n"].depth, got["n"].support, got["n"].supporting, got["n"].eligible, got["n"].conflict) == ([], 0, 1.0, 3.0, 3.0, False)
