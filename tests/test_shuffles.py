@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from attestry.operators import lineage, taxonomy
+from attestry.operators import emission, lineage, taxonomy
 
 
 def exchanges(df) -> int:
@@ -41,3 +41,21 @@ def test_vote_shuffles_once(spark):
     got = {r.k: r for r in won.collect()}
     assert (got["k"].path, round(got["k"].support, 6), got["k"].supporting, got["k"].eligible, got["k"].conflict) == (["A", "p"], round(2 / 3, 6), 2.0, 3.0, True)
     assert (got["n"].path, got["n"].depth, got["n"].support, got["n"].supporting, got["n"].eligible, got["n"].conflict) == ([], 0, 1.0, 3.0, 3.0, False)
+
+
+def test_scored_loci_are_read_from_one_copy(spark):
+    """Every step took its loci through all that made them; now that is done once, and steps read what they need."""
+    schema = "sample_id string, sequence_id string, locus long, start long, end long, classification string, callers array<string>, reference_id string, bitscore double, evalue double, identity double, qcov double, scov double, margin double, opposing_class string, x string, call_conflict boolean, reference_conflict boolean"
+    row = lambda i, s: ("S", "r", i, s, s + 50, "viral_supported", ["c"], "ref", 100.0, 0.0, 90.0, 80.0, 80.0, 0.7, None, "A", False, False)
+    seen = spark.sparkContext.accumulator(0)
+    loci = spark.createDataFrame([row(1, 10), row(2, 100), row(3, 900)], schema)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    lengths = spark.createDataFrame([("S", "r", 1000)], "sample_id string, sequence_id string, length long")
+    got = emission.emit(loci.mapInArrow(count, loci.schema), lengths, ["x"]).where("output = 'evidence'").collect()
+    assert seen.value == 3
+    assert [(r.sequence_id, r.viral_supported_loci, r.path) for r in got] == [("r", 3, ["A"])]
