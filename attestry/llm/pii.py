@@ -152,24 +152,27 @@ def pairs(docs: DataFrame, wanted: DataFrame, n_wanted: int, text_col: str = "te
     return each.groupBy("entity", "word").agg(F.sum("n").alias("n_et"), F.count("*").alias("k_et"))
 
 
-def document_frequency(docs: DataFrame, words: DataFrame, n_words: int, text_col: str = "text", limit: int | None = None) -> DataFrame:
-    """(word, n_t) over all documents of the words asked for; one rule for words, whichever way they are looked up."""
-    few = n_words <= (MAX_TERMS if limit is None else limit)
-    shared = docs.sparkSession.sparkContext.broadcast([r.word for r in words.collect()]) if few else None  # n_words <= MAX_TERMS
+def document_words(docs: DataFrame, wanted=None, text_col: str = "text") -> DataFrame:
+    """(words): a row for each document with its distinct words, those of the broadcast set ``wanted`` only if there is one.
+
+    Counts are left to the aggregate that follows, so the rows made grow with the
+    documents, not with tasks times words.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted, count = frozenset(shared.value) if shared else None, Counter()
+        only = wanted.value if wanted else None
         for batch in batches:
-            for text in batch["text"]:
-                if text:
-                    here = {w.lower() for w in WORD.findall(text)}
-                    count.update(here if wanted is None else wanted.intersection(here))
-                if len(count) > 200_000:
-                    yield pd.DataFrame(list(count.items()), columns=["word", "n_t"])
-                    count.clear()
-        yield pd.DataFrame(list(count.items()), columns=["word", "n_t"])
+            here = [{w.lower() for w in WORD.findall(text or "")} for text in batch["text"]]
+            yield pd.DataFrame({"words": pd.Series([list(h if only is None else only.intersection(h)) for h in here], dtype=object)})
+
+    return _texts(docs, text_col).mapInPandas(run, "words array<string>")
+
 
-    found = _texts(docs, text_col).mapInPandas(run, "word string, n_t long").groupBy("word").agg(F.sum("n_t").alias("n_t"))
+def document_frequency(docs: DataFrame, words: DataFrame, n_words: int, text_col: str = "text", limit: int | None = None) -> DataFrame:
+    """(word, n_t) over all documents of the words asked for; one rule for words, whichever way they are looked up."""
+    few = n_words <= (MAX_TERMS if limit is None else limit)
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(r.word for r in words.collect())) if few else None  # n_words <= MAX_TERMS
+    found = document_words(docs, shared, text_col).select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n_t"))
     return found if few else found.join(words, "word", "left_semi")
 
 

@@ -341,3 +341,12 @@ def test_components_on_many_tasks(spark, monkeypatch):
     assert got[20] == got[50_000]
     assert {k: v for k, v in got[20].items() if k in want} == want
     assert all(got[20][k] == 0 for k in range(1000, 1100))
+
+
+def test_pii_words_are_counted_by_document(spark):
+    """Tasks made a row for each word that they had met, so rows grew with tasks times words."""
+    df = spark.createDataFrame([("one two one",), ("two three",), (None,), ("",)] * 3, "text string").repartition(5)
+    assert sorted(sorted(r.words) for r in pii.document_words(df).collect()) == [[]] * 6 + [["one", "two"]] * 3 + [["three", "two"]] * 3
+    wanted = spark.createDataFrame([("two",), ("three",), ("none",)], "word string")
+    for limit in (10, 0):
+        assert {r.word: r.n_t for r in pii.document_frequency(df, wanted, 3, limit=limit).collect()} == {"two": 6, "three": 3}
