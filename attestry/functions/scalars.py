@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,20 +76,14 @@ def hash_modulus(key: Column, modulus: int) -> Column:
 
 
 def significant(value: Column) -> Column:
-    """FN-9: six significant digits as C's ``%.6g`` writes them: without trailing zeros, and in powers of ten below 1e-4 and from 1e6 on.
+    """FN-9: six significant digits as C's ``%.6g`` writes them: without trailing zeros, and in powers of ten below 1e-4 and from 1e6 on; -0 is 0."""
+
+    @F.pandas_udf("string")
+    def text(numbers: pd.Series) -> pd.Series:
+        return pd.Series(["%.6g" % (x + 0.0) for x in numbers.tolist()], dtype=object)
 
-    A number that lies half way by its shortest decimal form goes up, where C goes by its exact binary value; -0 is 0.
-    """
     v = value.cast("double")
-    text = F.format_string("%.5e", F.abs(v))
-    e = F.substring_index(text, "e", -1).try_cast("int")
-    mantissa = F.substring_index(text, "e", 1)
-    digits = F.replace(mantissa, F.lit("."), F.lit(""))
-    plain = F.when(e >= 0, F.concat(F.substring(digits, F.lit(1), e + 1), F.lit("."), F.substring(digits, e + 2, F.lit(9)))).otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits))
-    trimmed = lambda c: F.regexp_replace(F.regexp_replace(c, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    power = F.concat(trimmed(mantissa), F.lit("e"), F.when(e < 0, "-").otherwise("+"), F.lpad(F.abs(e).cast("string"), F.greatest(F.length(F.abs(e).cast("string")), F.lit(2)), "0"))
-    size = F.when(v == 0, "0").when(F.isnan(v), "nan").when(F.abs(v) == float("inf"), "inf").when((e < -4) | (e >= 6), power).otherwise(trimmed(plain))
-    return F.concat(F.when(v < 0, "-").otherwise(""), size)
+    return F.when(v.isNotNull(), text(v))
 
 
 def close(a: Column, b: Column, relative: float = 1e-9, absolute: float = 0.0) -> Column:

@@ -58,3 +58,10 @@ def test_tiers_by_rule(spark):
     rules = [((F.col("tool") == "net") & F.lower("level").contains("high"), "high"), ((F.col("tool") == "net") & F.lower("level").contains("medium"), "moderate"), (F.col("loci") >= 2, "moderate")]
     tier = taxonomy.claim_tier(rules)
     assert [tuple(r) for r in df.select(tier, taxonomy.tier_score(tier)).collect()] == [("high", 3), ("moderate", 2), ("provisional", 1), ("moderate", 2), ("provisional", 1)]
+
+
+def test_six_digits_at_a_tie(spark):
+    """Half way by its shortest decimal form, a number went up; C goes by its binary value."""
+    values = [1.000005, 2.000005, 1.000015, 100000.5, 100001.5, -0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [r[0] for r in df.select(sc.significant(F.col("v"))).collect()] == [f"{v:.6g}" for v in values[:-1]] + ["0"]
