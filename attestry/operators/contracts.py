@@ -5,8 +5,11 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.shared import spread
+
 
 def enforce(violations: DataFrame, message: str) -> None:
     """Raise with a few of the violations if there are any."""
@@ -86,14 +89,20 @@ def violations_lengths(sources: dict[str, DataFrame], records: DataFrame, key: l
     Records that a source doesn't name are violations for the sources in ``complete``
     only; names without a record always are.
     """
-    want = records.groupBy(*key).agg(F.max(length).alias("expected"))
-    out = None
+    kind = records.schema[length].dataType
+    rows = records.select(*key, F.lit(None).cast("string").alias("source"), F.lit(None).cast(kind).alias("declared"), F.col(length).alias("expected"))
     for name, df in sources.items():
-        have = df.select(*key, F.col(length).alias("declared")).distinct().withColumn("__have", F.lit(True))
-        both = have.join(want, key, "full" if name in complete else "left")
-        bad = both.where(~F.coalesce(F.col("declared") == F.col("expected"), F.lit(False))).select(*key, F.lit(name).alias("source"), "declared", "expected")
-        out = bad if out is None else out.unionByName(bad)
-    return out
+        rows = rows.unionByName(df.select(*key, F.lit(name).alias("source"), F.col(length).alias("declared"), F.lit(None).cast(kind).alias("expected")))
+    # one move by key; all that a key has is compared where it then lies
+    w = W.partitionBy(*key)
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])  # a key with a null names no record
+    record = F.col("source").isNull()
+    lacks = [F.when(~(named & F.coalesce(F.bool_or(F.col("source") == name).over(w), F.lit(False))), F.lit(name)) for name in complete]
+    seen = spread(rows, *key).withColumns({"__want": F.max("expected").over(w), "__lacks": F.array(*lacks) if lacks else F.array().cast("array<string>")})
+    seen = seen.withColumn("expected", F.when(record | named, F.col("__want")))
+    # a record stands for itself under every source that lacks it
+    bad = F.when(record, F.array_compact("__lacks")).when(~F.coalesce(F.col("declared") == F.col("expected"), F.lit(False)), F.array("source"))
+    return seen.withColumn("source", F.explode(bad)).select(*key, "source", "declared", "expected").distinct()
 
 
 def violations_region_sum(regions: DataFrame, reported: DataFrame, key: list[str], start: str, end: str, length: str, total: str) -> DataFrame:

@@ -12,7 +12,7 @@ from ..operators import contracts as dq
 from ..operators import normalize as nrm
 from ..sources import readers, writers
 from ..streaming import completeness
-from ..functions.shared import shared_folder
+from ..functions.shared import shared_folder, spread
 from . import frames as fr
 from .registry import query
 
@@ -139,10 +139,11 @@ SELECT coalesce(l.parent, r.parent) AS parent, 'lines' AS source, declared, n AS
 def check_lengths(spark: SparkSession, d: str) -> DataFrame:
     """DQ-7: lengths that order lines and orders declare against those of the records; every record must have lines."""
     whole = lambda c: F.floor(c)
-    o = fr.table(spark, d, "orders")
-    r = o.groupBy(F.col("o_orderkey").alias("parent")).agg(F.max(whole("o_totalprice")).alias("length"))
-    lines = fr.table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "parent").join(r, "parent", "left").withColumn("length", F.when(F.col("l_linenumber") == 7, whole("l_extendedprice")).otherwise(F.col("length")))
-    other = o.withColumnRenamed("o_orderkey", "parent").join(r, "parent").withColumn("length", F.when(F.col("o_orderstatus") != "P", F.col("length")))
+    o = spread(fr.table(spark, d, "orders").select(F.col("o_orderkey").alias("parent"), "o_totalprice", "o_orderstatus"), "parent")
+    r = o.groupBy("parent").agg(F.max(whole("o_totalprice")).alias("length"))
+    x = spread(fr.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("parent"), "l_linenumber", "l_extendedprice"), "parent")
+    lines = x.join(r, "parent", "left").withColumn("length", F.when(F.col("l_linenumber") == 7, whole("l_extendedprice")).otherwise(F.col("length")))
+    other = o.join(r, "parent").withColumn("length", F.when(F.col("o_orderstatus") != "P", F.col("length")))
     return dq.violations_lengths({"lines": lines, "orders": other}, r, ["parent"], "length", complete=("lines",))
 
 

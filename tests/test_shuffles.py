@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from attestry.operators import emission, lineage, taxonomy
+from attestry.operators import contracts, emission, lineage, taxonomy
 
 
 def exchanges(df) -> int:
@@ -59,3 +59,12 @@ def test_scored_loci_are_read_from_one_copy(spark):
     got = emission.emit(loci.mapInArrow(count, loci.schema), lengths, ["x"]).where("output = 'evidence'").collect()
     assert seen.value == 3
     assert [(r.sequence_id, r.viral_supported_loci, r.path) for r in got] == [("r", 3, ["A"])]
+
+
+def test_lengths_of_all_sources_move_once(spark):
+    records = spark.createDataFrame([("a", 10), ("b", 20), (None, 5)], "p string, length long")
+    x = spark.createDataFrame([("a", 10), ("a", 10), ("z", 3), (None, 5)], "p string, length long")
+    bad = contracts.violations_lengths({"x": x, "y": x.where("p = 'a'")}, records, ["p"], "length", complete=("x", "y"))
+    assert exchanges(bad) == 1
+    want = [("b", "x", None, 20), ("b", "y", None, 20), ("z", "x", 3, None), (None, "x", 5, None), (None, "x", None, 5), (None, "y", None, 5)]
+    assert sorted(map(str, (tuple(r) for r in bad.collect()))) == sorted(map(str, want))
