@@ -9,8 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalars import overlap, set_text
+from ..functions.shared import spread
 from .contracts import enforce
-from .intervals import overlap_groups, overlap_join
 
 
 @dataclass(frozen=True)
@@ -38,7 +38,7 @@ def boundary_calls(evidence: DataFrame, records: DataFrame, policy: RefinePolicy
     only if ``strict`` is off.
     """
     calls = evidence.where(F.col("tool").isin(*policy.tools) & F.col("start").isNotNull() & F.col("end").isNotNull())
-    calls = calls.select("parent", "tool", "start", "end").join(records.select("parent", "length"), "parent", "left")
+    calls = spread(calls.select("parent", "tool", "start", "end"), "parent").join(records.select("parent", "length"), "parent", "left")
     inside = F.coalesce(F.expr("start >= 1 and start <= end and end <= length"), F.lit(False))
     if strict:
         enforce(calls.where(~inside), "calls outside their parent")
@@ -47,21 +47,32 @@ def boundary_calls(evidence: DataFrame, records: DataFrame, policy: RefinePolicy
 
 
 def group_calls(calls: DataFrame, policy: RefinePolicy) -> DataFrame:
-    """RFN-2, 3: loci of overlapping calls.  Advisory calls join every locus they overlap but never merge loci; the rest form their own."""
-    firm = overlap_groups(calls.where(F.col("tool") != policy.advisory), ["parent"])
-    advisory = calls.where(F.col("tool") == policy.advisory)
-    spans = firm.groupBy("parent", "locus").agg(F.min("start").alias("ls"), F.max("end").alias("le"))
-    near = overlap_join(advisory, spans, ["parent"], ("start", "end"), ("ls", "le"))
-    # within a locus calls chain, so overlap with its span isn't yet overlap with a member
-    members = firm.select("parent", "locus", F.col("start").alias("ms"), F.col("end").alias("me"))
-    near = near.join(members, ["parent", "locus"]).where("start <= me and ms <= end").select(*advisory.columns, "locus").distinct()
-    left = overlap_groups(advisory.join(near.select("parent", "tool", "start", "end").distinct(), ["parent", "tool", "start", "end"], "left_anti"), ["parent"])
-    both = firm.select("parent", "length", "tool", "start", "end", "locus", F.lit(0).alias("own")).unionByName(near.select("parent", "length", "tool", "start", "end", "locus", F.lit(0).alias("own")))
-    both = both.unionByName(left.select("parent", "length", "tool", "start", "end", "locus", F.lit(1).alias("own")))
-    order = both.groupBy("parent", "own", "locus").agg(F.min("start").alias("__s"), F.min(F.when(F.col("tool") != policy.advisory, F.col("start"))).alias("__f"))
-    order = order.withColumn("__at", F.coalesce("__f", "__s"))
-    order = order.withColumn("number", F.row_number().over(W.partitionBy("parent").orderBy("__at", "own", "locus")))
-    return both.join(order.select("parent", "own", "locus", "number"), ["parent", "own", "locus"]).select("parent", "length", "tool", "start", "end", F.col("number").cast("long").alias("locus"))
+    """RFN-2, 3: loci of overlapping calls.  Advisory calls join every locus they overlap but never merge loci; the rest form their own.
+
+    Calls of a locus chain, so they cover its span without a gap, and an advisory call
+    overlaps the loci whose start isn't after its end, but for those that end before it.
+    Windows by parent count them: no call meets another in a join, and no row moves again.
+    """
+    firm = F.col("tool") != policy.advisory
+    by = W.partitionBy("parent")
+    along = by.orderBy("start", F.col("tool") == policy.advisory, "end", "tool")
+    earlier, until = along.rowsBetween(W.unboundedPreceding, -1), along.rowsBetween(W.unboundedPreceding, 0)
+    out = calls.select("parent", "length", "tool", "start", "end").withColumn("__reach", F.max(F.when(firm, F.col("end"))).over(earlier))
+    met = F.coalesce(F.col("start") <= F.col("__reach"), F.lit(False))
+    out = out.withColumn("__new", (firm & ~met).cast("long")).withColumn("__at", F.sum("__new").over(until))
+    # loci that start up to the end of an advisory call
+    ends = by.orderBy(F.when(firm, F.col("start")).otherwise(F.col("end")), ~firm).rowsBetween(W.unboundedPreceding, 0)
+    out = out.withColumn("__last", F.sum("__new").over(ends)).withColumn("__first", F.when(met, F.col("__at")).otherwise(F.col("__at") + 1))
+    alone = ~firm & (F.col("__last") < F.col("__first"))
+    out = out.withColumn("__own", F.when(alone, 1).otherwise(0))
+    out = out.withColumn("__reach", F.max(F.when(alone, F.col("end"))).over(earlier))
+    opens = alone & ~F.coalesce(F.col("start") <= F.col("__reach"), F.lit(False))
+    out = out.withColumn("__opens", opens.cast("long")).withColumn("__number", F.sum("__opens").over(until))
+    ids = F.when(alone, F.array("__number")).when(firm, F.array("__at")).otherwise(F.sequence("__first", "__last"))
+    # a locus is numbered by all loci that start up to its own calls; advisory calls take the number of the loci they join
+    out = out.select("parent", "length", "tool", "start", "end", "__own", F.when(firm | alone, F.col("__at") + F.col("__number")).alias("__number"), F.explode(ids).alias("__locus"))
+    number = F.min("__number").over(W.partitionBy("parent", "__own", "__locus"))
+    return out.select("parent", "length", "tool", "start", "end", number.alias("locus"))
 
 
 def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy(), strict: bool = True) -> DataFrame:
@@ -72,22 +83,25 @@ def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy(),
     """
     p = policy
     call = F.struct("start", "end")
-    at = {t: F.min(F.when(F.col("tool") == t, call)).alias(f"c_{t}") for t in p.tools}
-    n = {t: F.count_if(F.col("tool") == t).alias(f"n_{t}") for t in p.tools}
-    lists = F.collect_list(F.when(F.col("tool") == p.advisory, call)).alias("advised")
-    loci = grouped.groupBy("parent", "length", "locus").agg(
-        *at.values(), *n.values(), lists, F.count("*").alias("calls"), F.count_distinct("start", "end").alias("boundaries"), F.array_sort(F.collect_set("tool")).alias("tools")
+    locus = W.partitionBy("parent", "length", "locus")
+    calls = grouped.withColumns({f"c_{t}": F.min(F.when(F.col("tool") == t, call)).over(locus) for t in p.tools})
+    # whether an advisory call supports a tool's first call
+    backs = lambda t: (F.col("tool") == p.advisory) & (overlap(F.col(f"c_{t}.start"), F.col(f"c_{t}.end"), F.col("start"), F.col("end")) / (F.col("end") - F.col("start") + 1) >= p.advisory_overlap)
+    loci = calls.groupBy("parent", "length", "locus").agg(
+        *[F.min(f"c_{t}").alias(f"c_{t}") for t in p.tools],
+        *[F.count_if(F.col("tool") == t).alias(f"n_{t}") for t in p.tools],
+        *[F.bool_or(F.coalesce(backs(t), F.lit(False))).alias(f"b_{t}") for t in p.tools],
+        F.count("*").alias("calls"),
+        (F.min(call) == F.max(call)).alias("agree"),
     )
+    loci = loci.withColumn("tools", F.array_compact(F.array(*[F.when(F.col(f"n_{t}") > 0, F.lit(t)) for t in sorted(p.tools)])))
     has = {t: F.col(f"n_{t}") > 0 for t in p.tools}
 
-    def advised(of: Column) -> Column:
-        return F.exists("advised", lambda a: overlap(of.start, of.end, a.start, a.end) / (a.end - a.start + 1) >= p.advisory_overlap)
-
     chosen = (
         F.when(has[p.marker], F.lit(p.marker))
         .when(has[p.quality] & has[p.hallmark], F.lit(p.quality))
         .when(has[p.hallmark], F.lit(p.hallmark) if p.hallmark_alone else F.lit(None).cast("string"))
-        .when(has[p.quality] & has[p.advisory] & advised(F.col(f"c_{p.quality}")), F.lit(p.quality))
+        .when(has[p.quality] & F.col(f"b_{p.quality}"), F.lit(p.quality))
     )
     loci = loci.withColumn("selected_tool", chosen)
     loci = loci.withColumn("selected", F.coalesce(*[F.when(F.col("selected_tool") == t, F.col(f"c_{t}")) for t in p.tools]))
@@ -103,12 +117,12 @@ def select_boundaries(grouped: DataFrame, policy: RefinePolicy = RefinePolicy(),
         .when(none, "not_selected_hallmark_only")
         .when(only(p.quality, p.advisory), "selected_quality_with_advisory_support")
         .when(F.col("calls") == 1, "selected_single_tool")
-        .when(F.col("boundaries") == 1, "selected_exact_agreement")
+        .when(F.col("agree"), "selected_exact_agreement")
         .otherwise("selected_boundary_conflict")
     )
     firm = F.array_remove("tools", p.advisory)
-    support = F.when(none | advised(F.col("selected")), F.col("tools")).otherwise(firm)
-    support = F.when(has[p.advisory], support).otherwise(firm)
+    backed = F.coalesce(*[F.when(F.col("selected_tool") == t, F.col(f"b_{t}")) for t in p.tools], F.lit(False))
+    support = F.when(has[p.advisory] & (none | backed), F.col("tools")).otherwise(firm)
     return loci.select("parent", "length", "locus", "calls", "tools", "selected_tool", F.col("selected.start").alias("selected_start"), F.col("selected.end").alias("selected_end"), status.alias("status"), set_text(support, "").alias("supporting_tools"), "clashing")
 
 
@@ -128,28 +142,42 @@ def region_map(records: DataFrame, loci: DataFrame, policy: RefinePolicy = Refin
     spans the record keeps the record's identity.
     """
     p = policy
-    chosen = loci.where("selected_start is not null")
-    per = loci.groupBy("parent").agg(F.count_if(F.col("selected_start").isNotNull()).alias("n"), F.every(F.coalesce(F.col("selected_tool") == p.hallmark, F.lit(True))).alias("all_hallmark"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("tools")))).alias("seen"))
-    base = records.select("parent", "length").join(per, "parent", "left")
+    by = W.partitionBy("parent")
+    own = loci.select("parent", "selected_tool", "selected_start", "selected_end", F.col("status").alias("__status"), F.row_number().over(by.orderBy("locus")).alias("__row"), *[c.over(by).alias(name) for name, c in {
+        "n": F.count("selected_start"),
+        "__hallmark": F.every(F.coalesce(F.col("selected_tool") == p.hallmark, F.lit(True))),
+        "__advisory": F.every(F.col("tools") == F.array(F.lit(p.advisory))),
+        "__quality": F.bool_or(F.array_contains("tools", p.quality)),
+    }.items()])
+    # every record with its loci; those whose record stays intact leave one row of them
+    both = records.select("parent", "length").join(own, "parent", "left")
     if consensus is not None:
-        base = base.join(consensus.select("parent", F.lit(True).alias("agreed")), "parent", "left")
+        both = both.join(consensus.select("parent", F.lit(True).alias("agreed")), "parent", "left")
     else:
-        base = base.withColumn("agreed", F.lit(False))
-    veto = (F.col("n") >= 2) & F.col("all_hallmark") & F.coalesce("agreed", F.lit(False))
-    base = base.withColumn("veto", F.coalesce(veto, F.lit(False)))
+        both = both.withColumn("agreed", F.lit(False))
+    veto = (F.col("n") >= 2) & F.col("__hallmark") & F.coalesce("agreed", F.lit(False))
+    both = both.withColumn("veto", F.coalesce(veto, F.lit(False)))
     whole_status = (
         F.when(F.col("n").isNull(), "unchanged_no_boundary_call")
         .when(F.col("veto"), "preserved_whole_record_consensus")
-        .when(F.col("seen") == F.array(F.lit(p.advisory)), "unchanged_advisory_only")
-        .when(F.array_contains("seen", p.quality), "unchanged_quality_candidate_not_corroborated")
+        .when(F.col("__advisory"), "unchanged_advisory_only")
+        .when(F.col("__quality"), "unchanged_quality_candidate_not_corroborated")
         .otherwise("unchanged_hallmark_only_not_allowed")
     )
-    intact = base.where("n is null or n = 0 or veto").select("parent", F.col("parent").cast("string").alias("sequence_id"), F.lit("input_record").alias("record_type"), F.lit(1).cast("long").alias("start"), F.col("length").cast("long").alias("end"), whole_status.alias("status"))
-    kept = chosen.drop("length").join(base.where("not veto").select("parent", "length", "n"), "parent")
-    full = (F.col("n") == 1) & (F.col("selected_start") == 1) & (F.col("selected_end") == F.col("length"))
-    name = F.concat(F.col("parent").cast("string"), F.lit("|region_"), F.col("selected_start").cast("string"), F.lit("_"), F.col("selected_end").cast("string"))
-    regions = kept.select("parent", F.when(full, F.col("parent").cast("string")).otherwise(name).alias("sequence_id"), F.when(full, "input_record").otherwise("region").alias("record_type"), F.col("selected_start").cast("long").alias("start"), F.col("selected_end").cast("long").alias("end"), F.when(full, "selected_full_span_preserved_record").otherwise(F.col("status")).alias("status"))
-    return intact.unionByName(regions)
+    intact = F.coalesce(F.col("n"), F.lit(0)).eqNullSafe(0) | F.col("veto")
+    both = both.withColumn("intact", intact).where(F.when(F.col("intact"), F.coalesce("__row", F.lit(1)) == 1).otherwise(F.col("selected_start").isNotNull()))
+    parent, start, end = F.col("parent").cast("string"), F.col("selected_start"), F.col("selected_end")
+    full = ~F.col("intact") & (F.col("n") == 1) & (start == 1) & (end == F.col("length"))
+    whole = F.col("intact") | full
+    name = F.concat(parent, F.lit("|region_"), start.cast("string"), F.lit("_"), end.cast("string"))
+    return both.select(
+        "parent",
+        F.when(whole, parent).otherwise(name).alias("sequence_id"),
+        F.when(whole, "input_record").otherwise("region").alias("record_type"),
+        F.when(F.col("intact"), 1).otherwise(start).cast("long").alias("start"),
+        F.when(F.col("intact"), F.col("length")).otherwise(end).cast("long").alias("end"),
+        F.when(F.col("intact"), whole_status).when(full, "selected_full_span_preserved_record").otherwise(F.col("__status")).alias("status"),
+    )
 
 
 def refine_summary(loci: DataFrame, regions: DataFrame) -> DataFrame:

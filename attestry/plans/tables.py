@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shared import stored
 from ..operators import gate, intervals, lineage, near_identity, reference, refine
 from . import frames as fr
 from .registry import query
@@ -120,9 +121,9 @@ FROM orders o LEFT JOIN p ON o.o_orderkey = p.parent WHERE coalesce(n, 0) = 0 OR
 UNION ALL SELECT s.parent, s.parent || '|region_' || c[1] || '_' || c[2], 'region', CAST(c[1] AS BIGINT), CAST(c[2] AS BIGINT), status FROM s JOIN p ON p.parent = s.parent AND NOT veto WHERE c IS NOT NULL)"""
 
 
-def _vetoed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _vetoed(spark: SparkSession, d: str, once=lambda loci: loci) -> tuple[DataFrame, DataFrame, DataFrame]:
     calls = refine.boundary_calls(fr.calls(spark, d), fr.records(spark, d), ALONE, strict=False)
-    loci = refine.select_boundaries(refine.group_calls(calls, ALONE), ALONE, strict=False)
+    loci = once(refine.select_boundaries(refine.group_calls(calls, ALONE), ALONE, strict=False))
     agreed = refine.consensus_parents(fr.calls(spark, d), {"dear": F.col("score") > 20_000, "later": F.col("line") >= 3})
     return calls, loci, refine.region_map(fr.records(spark, d), loci, ALONE, agreed)
 
@@ -139,7 +140,7 @@ def refine_veto(spark: SparkSession, d: str) -> DataFrame:
   count(*) FILTER (status = 'selected_quality_with_advisory_support') AS quality_advisory_supported_locus_count, 0.5::DOUBLE AS advisory_min_overlap_fraction, true AS hallmark_alone_allowed, 1::BIGINT AS evidence_file_count FROM s""")
 def refine_run_summary(spark: SparkSession, d: str) -> DataFrame:
     """RFN-8: the run's figures."""
-    calls, loci, regions = _vetoed(spark, d)
+    calls, loci, regions = _vetoed(spark, d, once=stored)
     return refine.run_summary(fr.records(spark, d), calls, loci, regions, ALONE, "S", "dna", 1)
 
 

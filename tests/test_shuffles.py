@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from attestry.operators import contracts, emission, lineage, taxonomy
+from attestry.operators import contracts, emission, lineage, refine, taxonomy
 
 
 def exchanges(df) -> int:
@@ -68,3 +68,21 @@ def test_lengths_of_all_sources_move_once(spark):
     assert exchanges(bad) == 1
     want = [("b", "x", None, 20), ("b", "y", None, 20), ("z", "x", 3, None), (None, "x", 5, None), (None, "x", None, 5), (None, "y", None, 5)]
     assert sorted(map(str, (tuple(r) for r in bad.collect()))) == sorted(map(str, want))
+
+
+def test_refinement_moves_calls_once(spark):
+    """Loci, their numbers and what they select come from windows by parent; advisory calls join all loci they touch, in order."""
+    policy = refine.RefinePolicy()
+    records = spark.createDataFrame([("p", 500), ("q", 500)], "parent string, length long").localCheckpoint()
+    rows = [("marker", 10, 20), ("quality", 20, 30), ("hallmark", 60, 70), ("advisory", 35, 40), ("advisory", 30, 65), ("advisory", 41, 42), ("advisory", 42, 44), ("advisory", 200, 210)]
+    evidence = spark.createDataFrame([("p", *r) for r in rows], "parent string, tool string, start long, end long").localCheckpoint()
+    grouped = refine.group_calls(refine.boundary_calls(evidence, records, policy, strict=False), policy)
+    loci = refine.select_boundaries(grouped, policy, strict=False)
+    regions = refine.region_map(records, loci, policy)
+    assert exchanges(loci) <= 2  # calls, and records unless they are broadcast
+    assert exchanges(regions) <= 3
+    got = {}
+    for r in grouped.collect():
+        got.setdefault(r.locus, set()).add((r.tool, r.start, r.end))
+    assert got == {1: {rows[0], rows[1], rows[4]}, 2: {rows[3]}, 3: {rows[5], rows[6]}, 4: {rows[2], rows[4]}, 5: {rows[7]}}
+    assert {(r.sequence_id, r.status) for r in regions.collect()} == {("p|region_10_20", "selected_boundary_conflict"), ("q", "unchanged_no_boundary_call")}
