@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.shared import spread
+
 
 def assign_ids(df: DataFrame, sample: str, order: list[str], out: str = "sequence_id", fmt: str = "%s__c%06d") -> DataFrame:
     """NRM-1: ``<sample>__c<number>`` in order within each sample.
@@ -45,11 +47,21 @@ def split_windows(df: DataFrame, id_col: str, seq: str, size: int = 270_000, ove
 def window_to_parent(results: DataFrame, windows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """NRM-3: results (``name``, start, end) mapped to their parent; ids match with ``|`` written as ``_`` too.
 
-    Returns the mapped rows, and the aliases that stand for several windows.
+    Returns the mapped rows, and the aliases that stand for several windows.  Both names
+    of a window are one text with ``|`` written as ``_``: windows and results move once,
+    by that text, and a window function tells what a name stands for.
     """
     alias = windows.select(F.col("window_id").alias(name), "parent", "offset").unionByName(windows.select(F.translate("window_id", "|", "_").alias(name), "parent", "offset")).distinct()
     unclear = alias.groupBy(name).agg(F.count("*").alias("n")).where("n > 1")
-    mapped = results.join(alias.join(unclear, name, "left_anti"), name)
+    place = F.struct("parent", "offset")
+    a = windows.where("window_id is not null").select(F.col("window_id").alias(name), place.alias("__place"))
+    both = a.unionByName(results.where(F.col(name).isNotNull()).withColumn("__result", F.lit(True)), allowMissingColumns=True)
+    both = spread(both.withColumn("__both", F.translate(name, "|", "_")), "__both")
+    exact, either = W.partitionBy("__both", name), W.partitionBy("__both")
+    own = lambda f: F.when(F.col(name) == F.col("__both"), f.over(either)).otherwise(f.over(exact))
+    both = both.withColumns({"__least": own(F.min("__place")), "__most": own(F.max("__place"))})
+    mapped = both.where(F.col("__result") & F.col("__least").isNotNull() & (F.col("__least") == F.col("__most")))
+    mapped = mapped.select(*results.columns, F.col("__least.parent").alias("parent"), F.col("__least.offset").alias("offset"))
     return mapped.withColumns({"start": F.col("start") + F.col("offset"), "end": F.col("end") + F.col("offset")}), unclear
 
 

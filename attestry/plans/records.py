@@ -42,7 +42,7 @@ def norm_window_parents(spark: SparkSession, d: str) -> DataFrame:
     """NRM-3: half of the results name their window with ``_`` for ``|``."""
     x = fr.table(spark, d, "lineitem")
     wid = F.concat_ws("|", F.col("l_orderkey").cast("string"), F.concat(F.lit("w"), F.col("l_linenumber").cast("string"), F.lit("p"), F.col("l_partkey").cast("string"), F.lit("s"), F.col("l_suppkey").cast("string")))
-    w = x.select(wid.alias("window_id"), F.col("l_orderkey").alias("parent"), (F.col("l_linenumber") * 1000).cast("long").alias("offset")).distinct()
+    w = x.select(wid.alias("window_id"), F.col("l_orderkey").alias("parent"), (F.col("l_linenumber") * 1000).cast("long").alias("offset"))
     r = x.select(F.when(F.col("l_partkey") % 2 == 0, wid).otherwise(F.translate(wid, "|", "_")).alias("name"), F.col("l_quantity").cast("long").alias("start"), (F.col("l_quantity").cast("long") + 5).alias("end"))
     return nrm.window_to_parent(r, w, "name")[0].select("parent", "start", "end")
 

@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from attestry.operators import contracts, emission, lineage, refine, taxonomy
+from attestry.operators import contracts, emission, lineage, normalize, refine, standardize, taxonomy
 
 
 def exchanges(df) -> int:
@@ -86,3 +86,12 @@ def test_refinement_moves_calls_once(spark):
         got.setdefault(r.locus, set()).add((r.tool, r.start, r.end))
     assert got == {1: {rows[0], rows[1], rows[4]}, 2: {rows[3]}, 3: {rows[5], rows[6]}, 4: {rows[2], rows[4]}, 5: {rows[7]}}
     assert {(r.sequence_id, r.status) for r in regions.collect()} == {("p|region_10_20", "selected_boundary_conflict"), ("q", "unchanged_no_boundary_call")}
+
+
+def test_window_names_move_once(spark):
+    windows = spark.createDataFrame([("a|1", 1, 100), ("a|1", 1, 100), ("b|1", 2, 200), ("b_1", 3, 300), ("c|1", 4, 0), ("c|1", 4, 50), (None, 9, 9)], "window_id string, parent long, offset long")
+    results = spark.createDataFrame([(n, 1, 2) for n in ("a|1", "a_1", "b|1", "b_1", "c|1", "c_1", "d", None)], "name string, start long, end long")
+    mapped, unclear = normalize.window_to_parent(results, windows, "name")
+    assert exchanges(mapped) == 1
+    assert {tuple(r) for r in mapped.collect()} == {("a|1", 101, 102, 1, 100), ("a_1", 101, 102, 1, 100), ("b|1", 201, 202, 2, 200)}
+    assert {(r["name"], r.n) for r in unclear.collect()} == {("b_1", 2), ("c|1", 2), ("c_1", 2)}
