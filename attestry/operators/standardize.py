@@ -144,12 +144,33 @@ def mobile_domains(df: DataFrame, viral_like: tuple[str, ...], unclear: tuple[st
     return df.withColumns({"category": category, "evidence_strength": strength, "assignment_method": F.when(direct, "direct").otherwise("second_pass"), "tool": F.lit(tool)})
 
 
+#: Names of one rank are broadcast only after they were counted and found to be at most this many.
+BROADCAST_NAMES = 1_000_000
+#: Parts into which the rows of one name are dealt where the names of a rank are joined by a shuffle.
+DEALT = 32
+
+
 def best_lineages(df: DataFrame, index: DataFrame, id_col: str, ranks: list[str]) -> DataFrame:
-    """STD-10: named ranks that the catalog has at that rank stay, others become null; ``unknown`` counts them."""
-    each = df.select(id_col, F.posexplode(F.array(*ranks)).alias("i", "taxon")).where("taxon is not null").select(id_col, (F.col("i") + 1).alias("rank"), "taxon")
-    known = each.join(index.select("rank", "taxon").distinct().withColumn("ok", F.lit(True)), ["rank", "taxon"], "left")
-    per = known.groupBy(id_col).agg(*[F.max(F.when((F.col("rank") == i + 1) & F.col("ok"), F.col("taxon"))).alias(r) for i, r in enumerate(ranks)], F.count_if(F.col("ok").isNull()).alias("unknown"))
-    return df.drop(*ranks).join(per, id_col, "left").withColumn("unknown", F.coalesce("unknown", F.lit(0)))
+    """STD-10: named ranks that the catalog has at that rank stay, others become null; ``unknown`` counts them.
+
+    Each row is judged by itself.  A rank's names are looked up by broadcast; more than
+    ``BROADCAST_NAMES`` are joined, with every name's rows dealt into ``DEALT`` parts, as
+    the upper ranks have few names.
+    """
+    out, known = df, []
+    names = index.select("rank", "taxon").where("taxon is not null").distinct()
+    sizes = {r["rank"]: r["count"] for r in names.groupBy("rank").count().where(F.col("rank").between(1, len(ranks))).collect()}
+    for i, r in enumerate(ranks):
+        own = names.where(F.col("rank") == i + 1).select(F.col("taxon").alias(f"__t{i}"), F.lit(True).alias(f"__k{i}"))
+        if sizes.get(i + 1, 0) <= BROADCAST_NAMES:
+            out = out.join(F.broadcast(own), F.col(r) == F.col(f"__t{i}"), "left")
+        else:
+            own = own.withColumn(f"__d{i}", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+            out = out.join(own, (F.col(r) == F.col(f"__t{i}")) & (F.pmod(F.xxhash64(id_col), F.lit(DEALT)) == F.col(f"__d{i}")), "left")
+        known.append(F.coalesce(F.col(f"__k{i}"), F.lit(False)))
+    kept = [F.when(k, F.col(r)).alias(r) for k, r in zip(known, ranks, strict=True)]
+    unknown = reduce(lambda a, b: a + b, [(F.col(r).isNotNull() & ~k).cast("long") for k, r in zip(known, ranks, strict=True)])
+    return out.select(*[c for c in df.columns if c not in ranks], *kept, unknown.alias("unknown"))
 
 
 def _region_lists(df: DataFrame, types: str, coordinates: str, length: str, total: str) -> DataFrame:

@@ -95,3 +95,14 @@ def test_window_names_move_once(spark):
     assert exchanges(mapped) == 1
     assert {tuple(r) for r in mapped.collect()} == {("a|1", 101, 102, 1, 100), ("a_1", 101, 102, 1, 100), ("b|1", 201, 202, 2, 200)}
     assert {(r["name"], r.n) for r in unclear.collect()} == {("b_1", 2), ("c|1", 2), ("c_1", 2)}
+
+
+def test_lineages_are_looked_up_in_place(spark, monkeypatch):
+    claims = spark.createDataFrame([(1, "A", "p"), (2, "A", "z"), (3, None, "p"), (4, "p", None), (None, "A", "p")], "id long, x string, y string")
+    index = spark.createDataFrame([(1, "A"), (1, "A"), (2, "p"), (2, None)], "rank int, taxon string")
+    want = {(1, "A", "p", 0), (2, "A", None, 1), (3, None, "p", 0), (4, None, None, 1), (None, "A", "p", 0)}
+    got = standardize.best_lineages(claims, index, "id", ["x", "y"])
+    assert exchanges(got) <= 2  # the names of each rank only, no claims
+    assert {tuple(r) for r in got.collect()} == want
+    monkeypatch.setattr(standardize, "BROADCAST_NAMES", 0)
+    assert {tuple(r) for r in standardize.best_lineages(claims, index, "id", ["x", "y"]).collect()} == want
