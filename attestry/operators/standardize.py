@@ -175,25 +175,40 @@ def best_lineages(df: DataFrame, index: DataFrame, id_col: str, ranks: list[str]
 
 def _region_lists(df: DataFrame, types: str, coordinates: str, length: str, total: str) -> DataFrame:
     """STD-8: ``df`` with ``regions`` (type, start, end in the order of both lists) and ``fault``, the first thing wrong with them."""
-    kinds = F.transform(F.split(clean_missing(F.col(types)), ","), lambda x: F.lower(F.trim(x)))
-    spans = F.transform(F.split(clean_missing(F.col(coordinates)), ","), lambda x: interval(x))
-    out = df.withColumns({"__k": kinds, "__s": spans})
-    zipped = F.zip_with("__k", "__s", lambda k, s: F.struct(k.alias("type"), s.start.alias("start"), s.end.alias("end")))
-    out = out.withColumn("regions", F.when(F.size("__k") == F.size("__s"), zipped))
-    viral = F.filter("regions", lambda r: r.type == "viral")
-    covered = F.aggregate(viral, F.lit(0).cast("long"), lambda a, r: a + r.end - r.start + 1)
-    follows = F.forall(F.sequence(F.lit(0), F.size("regions") - 2), lambda i: F.get("regions", i).end < F.get("regions", i + 1).start)
-    ordered = F.when(F.size("regions") > 1, follows).otherwise(True)
-    fault = (
-        F.when(F.col("__k").isNull() | F.col("__s").isNull(), "no_regions")
-        .when(F.size("__k") != F.size("__s"), "lists_differ_in_length")
-        .when(F.exists("__s", lambda x: x.isNull()), "bad_coordinate")
-        .when(F.exists("regions", lambda r: r.end > F.col(length)), "beyond_record")
-        .when(~ordered, "out_of_order")
-        .when(F.size(viral) == 0, "no_viral_region")
-        .when(~F.col(total).eqNullSafe(covered), "sum_differs_from_reported")
-    )
-    return out.withColumn("fault", fault).drop("__k", "__s")
+    # each step is named once and used by the next, so that no list is taken apart twice
+    let = lambda value, body: F.transform(F.array(value), body)[0]
+
+    def parsed(text: Column, piece) -> Column:
+        return F.transform(F.split(clean_missing(text), ","), piece)
+
+    def judged(k: Column, s: Column) -> Column:
+        same = F.size(k) == F.size(s)
+        zipped = F.when(same, F.zip_with(k, s, lambda k, s: F.struct(k.alias("type"), s.start.alias("start"), s.end.alias("end"))))
+        return let(zipped, lambda r: F.struct(r.alias("regions"), fault(k, s, same, r).alias("fault")))
+
+    def fault(k: Column, s: Column, same: Column, regions: Column) -> Column:
+        # (viral regions, their sum, whether all follow each other, end of the last), over the list once
+        first = F.struct(F.lit(0).cast("long").alias("viral"), F.lit(0).cast("long").alias("covered"), F.lit(True).alias("ordered"), F.lit(0).cast("long").alias("at"))
+        viral = lambda r: F.coalesce(r.type == "viral", F.lit(False))
+        walk = F.aggregate(regions, first, lambda a, r: F.struct(
+            (a.viral + viral(r).cast("long")).alias("viral"),
+            (a.covered + F.when(viral(r), r.end - r.start + 1).otherwise(0)).alias("covered"),
+            (a.ordered & (r.start > a.at)).alias("ordered"),
+            r.end.alias("at"),
+        ))
+        return (
+            F.when(k.isNull() | s.isNull(), "no_regions")
+            .when(~same, "lists_differ_in_length")
+            .when(F.exists(s, lambda x: x.isNull()), "bad_coordinate")
+            .when(F.exists(regions, lambda r: r.end > F.col(length)), "beyond_record")
+            .otherwise(let(walk, lambda w: F.when(~w.ordered, "out_of_order").when(w.viral == 0, "no_viral_region").when(~F.col(total).eqNullSafe(w.covered), "sum_differs_from_reported")))
+        )
+
+    kinds = parsed(F.col(types), lambda x: F.lower(F.trim(x)))
+    spans = parsed(F.col(coordinates), interval)
+    both = let(F.struct(kinds.alias("k"), spans.alias("s")), lambda x: judged(x.k, x.s))
+    # a generator: filters on what it yields don't bring the parsing back below it
+    return df.select("*", F.inline(F.array(both)))
 
 
 def region_faults(df: DataFrame, id_col: str, types: str, coordinates: str, length: str, total: str) -> DataFrame:

@@ -456,9 +456,10 @@ lf AS (SELECT *, CASE WHEN id % 11 = 0 THEN 'no_regions' WHEN id % 13 = 0 THEN '
 def _region_lists(spark: SparkSession, d: str) -> DataFrame:
     """The lines of an order as two parallel lists; some orders break their contract."""
     x = fr.table(spark, d, "lineitem")
-    start = (F.col("l_linenumber") * 100 + F.col("l_partkey") % 50).cast("long")
-    cell = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", start.alias("s"), (start + F.col("l_quantity").cast("long")).alias("e"), (F.col("l_suppkey") % 2 == 0).alias("v"))
-    g = x.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(cell)).alias("r"))
+    g = x.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))).alias("r"))
+    start = lambda c: (c.l_linenumber * 100 + c.l_partkey % 50).cast("long")
+    cell = lambda c: F.struct(start(c).alias("s"), (start(c) + c.l_quantity.cast("long")).alias("e"), (c.l_suppkey % 2 == 0).alias("v"))
+    g = g.withColumn("r", F.transform("r", cell))
     viral = F.aggregate(F.filter("r", lambda c: c.v), F.lit(0).cast("long"), lambda a, c: a + c.e - c.s + 1)
     types = F.array_join(F.transform("r", lambda c: F.when(c.v, " Viral").otherwise("host")), ",")
     spans = F.array_join(F.transform("r", lambda c: F.concat_ws("-", c.s.cast("string"), c.e.cast("string"))), ",")

@@ -106,3 +106,13 @@ def test_lineages_are_looked_up_in_place(spark, monkeypatch):
     assert {tuple(r) for r in got.collect()} == want
     monkeypatch.setattr(standardize, "BROADCAST_NAMES", 0)
     assert {tuple(r) for r in standardize.best_lineages(claims, index, "id", ["x", "y"]).collect()} == want
+
+
+def test_region_lists_are_taken_apart_once(spark):
+    rows = spark.createDataFrame([("a", "viral,host", "1-5,7-9", 10, 5), ("b", "viral", "1-5", 10, 4)], "id string, types string, spans string, length long, total long").localCheckpoint()
+    for df in (standardize.region_faults(rows, "id", "types", "spans", "length", "total"), standardize.viral_regions(rows, "id", "types", "spans", "length", "total", strict=False)):
+        text = io.StringIO()
+        with contextlib.redirect_stdout(text):
+            df.explain()
+        taken = [line for line in text.getvalue().splitlines() if "split(" in line]
+        assert len(taken) == 1 and taken[0].count("split(") == 2 and "Generate inline" in taken[0]
