@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,37 +11,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def completeness_gate(stream: DataFrame, key: str, item: str, kind: str, expected: dict[str, int], timeout_ms: int | None = None) -> DataFrame:
+def completeness_gate(stream: DataFrame, key: str, item: str, kind: str, expected: dict[str, int], timeout_ms: int | None = None, buckets: int = 4096) -> DataFrame:
     """STR-1: (key, kind, items, duplicates) once, when a key has its kind's number of distinct items.
 
     State is the set of items seen, then a mark that the key has left; later rows of a
     released key are dropped.  With ``timeout_ms`` the state of a key that goes quiet
-    is given up.  Kinds without an expected number never leave.
+    is given up.  Kinds without an expected number never leave.  Rows without a key are
+    one key.
+
+    Keys are dealt into ``buckets`` by hash, and a bucket's keys share one call and one
+    state, as a call for each key costs far more than its rows.  The number is part of the
+    state: it stays for the life of a checkpoint, and should grow with the keys expected.
     """
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        seen, name, extra, done = state.get if state.exists else ("", "", 0, False)
-        items = set(seen.split("\x1f")) - {""}
-        for batch in batches:
-            for value, what in zip(batch["__item"], batch["__kind"], strict=True):
-                name = what
-                if done or value in items:
-                    extra += 1
+        # key: [items or, once it has left, None, kind, duplicates, time of its last row]
+        held = dict(json.loads(state.get[0])) if state.exists else {}
+        now = state.getCurrentProcessingTimeMs() if timeout_ms else 0
+        left = []
+        for batch in () if state.hasTimedOut else batches:
+            for name, value, what in zip(batch["__key"].tolist(), batch["__item"].tolist(), batch["__kind"].tolist(), strict=True):
+                own = held.get(name)
+                if own is None:
+                    own = held[name] = [[], what, 0, 0]
+                own[1], own[3] = what, now
+                if own[0] is None or value in own[0]:
+                    own[2] += 1
                     continue
-                items.add(value)
-                if len(items) == expected.get(name, -1):
-                    done = True
-                    yield pd.DataFrame({"key": [k[0]], "kind": [name], "items": [",".join(sorted(items))], "duplicates": [extra]})
-        state.update(("" if done else "\x1f".join(sorted(items)), name, extra, done))
+                own[0].append(value)
+                if len(own[0]) == expected.get(what, -1):
+                    left.append((name, what, ",".join(sorted(own[0])), own[2]))
+                    own[0] = None
         if timeout_ms:
-            state.setTimeoutDuration(timeout_ms)
+            held = {name: own for name, own in held.items() if own[3] + timeout_ms > now}
+        if held:
+            state.update((json.dumps(list(held.items()), separators=(",", ":")),))
+            if timeout_ms:
+                state.setTimeoutDuration(max(1, min(own[3] for own in held.values()) + timeout_ms - now))
+        elif state.exists:
+            state.remove()
+        if left:
+            yield pd.DataFrame(left, columns=["key", "kind", "items", "duplicates"])
 
     rows = stream.select(F.col(key).cast("string").alias("__key"), F.col(item).cast("string").alias("__item"), F.col(kind).cast("string").alias("__kind"))
+    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64("__key"), F.lit(buckets)))
     timeout = GroupStateTimeout.ProcessingTimeTimeout if timeout_ms else GroupStateTimeout.NoTimeout
-    return rows.groupBy("__key").applyInPandasWithState(step, "key string, kind string, items string, duplicates long", "seen string, kind string, extra long, done boolean", "append", timeout)
+    return rows.groupBy("__bucket").applyInPandasWithState(step, "key string, kind string, items string, duplicates long", "keys string", "append", timeout)
 
 
 def completeness_batch(df: DataFrame, key: str, item: str, kind: str, expected: dict[str, int]) -> DataFrame:
