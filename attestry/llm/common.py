@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A side is broadcast only after its rows were counted and found to be at most this many.
@@ -77,8 +78,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternating large-star and small-star: every round is two shuffles of the edge
     list, hot nodes are pre-aggregated with ``min``, and no list of neighbours is
     ever collected.  A round runs on as many tasks as its edges need (EDGES each), so
-    the last rounds, with few edges left, need no shuffle at all.  Nulls and loops are
-    dropped; an empty input gives an empty result.
+    the last rounds, with few edges left, are windows in one task and need no shuffle
+    or broadcast at all.  Nulls and loops are dropped; an empty input gives an empty
+    result.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = cut(e)
@@ -87,16 +89,19 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if n == 0:
             break
         e = e.coalesce(-(-n // EDGES))
+        one = n <= EDGES
+
+        def least(df: DataFrame, one: bool = one) -> DataFrame:
+            """``df`` with ``m``, the smallest v of each u."""
+            return df.withColumn("m", F.min("v").over(W.partitionBy("u"))) if one else df.join(df.groupBy("u").agg(F.min("v").alias("m")), "u")
+
         # large-star: neighbours above a node move to the smallest neighbour (or the node itself)
         both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.*")
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = least(both).select("u", "v", F.least("u", "m").alias("m")).where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small-star: a node and its neighbours below it move to the smallest of them
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(low2, "u")
-        nxt = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select("u", F.col("m").alias("v")))
-        nxt = cut(nxt.where("u <> v").distinct())
-        stats = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        moved = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v"))))
+        nxt = cut(least(large).select(moved.alias("e")).select("e.*").where("u <> v").distinct())
+        stats = (nxt.coalesce(1) if one else nxt).agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         e, n = nxt, stats[0]
         if total == tuple(stats):
             break

@@ -12,6 +12,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -24,6 +25,8 @@ KEEP, TOLERANCE = 0.6, 1e-3
 #: Rounds that no longer lower the deviation by this factor are stalled; the kept share then falls by the second.
 STALLED, LOWER = 0.98, 0.8
 SEED = 17
+#: Up to so many cells, rounds run in one task, without a shuffle or broadcast in any of them.
+ONE_TASK = 100_000
 
 
 def topic_of(text: Column) -> Column:
@@ -50,30 +53,47 @@ def flattened(cells: DataFrame, margin: str, power: float) -> DataFrame:
     return seen.crossJoin(F.broadcast(total)).select(margin, (F.pow("t", F.lit(power)) / F.col("all")).alias("target"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, tolerance: float = TOLERANCE) -> tuple[DataFrame, float, bool]:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], keep: float, tolerance: float = TOLERANCE, few: bool = False) -> tuple[DataFrame, float, bool]:
     """``cells`` (margins, tokens, share) with ``g``, the largest deviation from the targets, and whether ``keep`` bounds any cell.
 
     A cell's part of the mixture is share * min(g, 1 / keep): at the bound it is kept
     whole.  Each step multiplies the g of a marginal's value so that its cells below
     the bound make up for those at it.  Values that a target table lacks get no weight.
+    ``few``: the cells fit one task (ONE_TASK); they then carry their targets, and sums
+    by value are windows over them, so that a round moves and broadcasts nothing.
     """
     bound = F.lit(1 / keep)
     whole, part = F.col("g") >= bound, F.least("g", bound) * F.col("share")
     w, before = cells.withColumn("g", F.lit(1.0)), None
+    if few:
+        for margin, target in targets.items():
+            w = w.join(target.select(margin, F.struct("target").alias(f"__{margin}")), margin, "left")
+        w = cut(w.coalesce(1)).coalesce(1)
     while True:
         for margin, target in targets.items():
-            now = w.groupBy(margin).agg(F.sum(F.when(whole, part).otherwise(0.0)).alias("fixed"), F.sum(F.when(whole, 0.0).otherwise(part)).alias("free"))
+            sums = (F.sum(F.when(whole, part).otherwise(0.0)), F.sum(F.when(whole, 0.0).otherwise(part)))
             want, sure, free = F.col("target"), F.col("fixed"), F.col("free")
             f = F.when((want > sure) & (free > 0), (want - sure) / free).when(want < sure + free, want / (sure + free)).otherwise(1.0)
+            if few:
+                by = W.partitionBy(margin)
+                w = w.select("*", sums[0].over(by).alias("fixed"), sums[1].over(by).alias("free"), F.col(f"__{margin}.target").alias("target"))
+                w = w.withColumn("g", F.col("g") * F.when(F.col(f"__{margin}").isNull(), 0.0).otherwise(f)).drop("fixed", "free", "target")
+                continue
+            now = w.groupBy(margin).agg(sums[0].alias("fixed"), sums[1].alias("free"))
             w = w.join(now.join(target, margin).select(margin, f.alias("f")), margin, "left").withColumn("g", F.col("g") * F.coalesce("f", F.lit(0.0))).drop("f")
-        w = cut(w)
+        w = cut(w).coalesce(1) if few else cut(w)
         off = None
         for margin, target in targets.items():
-            each = w.groupBy(margin).agg(F.sum(part).alias("now")).join(target, margin).select(F.abs(F.col("now") - F.col("target")).alias("off"))
+            if few:
+                each = w.groupBy(margin).agg(F.sum(part).alias("now"), F.first(f"__{margin}.target").alias("target"))
+            else:
+                each = w.groupBy(margin).agg(F.sum(part).alias("now")).join(target, margin)
+            each = each.select(F.abs(F.col("now") - F.col("target")).alias("off"))
             off = each if off is None else off.unionAll(each)
+        off = off.coalesce(1) if few else off
         worst = off.agg(F.max("off")).first()[0] or 0.0
         if worst <= tolerance or (before is not None and worst > STALLED * before):
-            return w, worst, w.where(whole).limit(1).count() > 0
+            return w.drop(*[f"__{m}" for m in targets]), worst, w.where(whole).limit(1).count() > 0
         before = worst
 
 
@@ -104,13 +124,16 @@ def calibrated(cells: DataFrame, targets: dict[str, DataFrame], keep: float, tol
     mixture.  Targets that contradict each other aren't met by any share; the last
     round stands and its deviation is logged.
     """
-    total = cells.agg(F.sum("tokens")).first()[0]
+    total, n = cells.agg(F.sum("tokens"), F.count("*")).first()
+    few = n <= ONE_TASK
     if not total:
         return cells.withColumns({"weight": F.lit(0.0), "p": F.lit(1.0)})
-    cells = cut(cells.withColumn("share", F.col("tokens") / F.lit(float(total))))
+    cells = cells.withColumn("share", F.col("tokens") / F.lit(float(total)))
+    cells = cut(cells.coalesce(1)).coalesce(1) if few else cut(cells)
     margins, room = {}, None
     for margin, target in targets.items():
         seen = cells.groupBy(margin).agg(F.sum("share").alias("now")).join(target, margin)
+        seen = seen.coalesce(1) if few else seen  # no more rows than cells
         all_of = F.broadcast(seen.agg(F.sum("target").alias("all")))
         margins[margin] = cut(seen.crossJoin(all_of).select(margin, "now", F.when(F.col("all") > 0, F.col("target") / F.col("all")).otherwise(0.0).alias("target")))
         allowed = margins[margin].where("target > 0").agg(F.sum("now"), F.min(F.col("now") / F.col("target"))).first()
@@ -120,7 +143,7 @@ def calibrated(cells: DataFrame, targets: dict[str, DataFrame], keep: float, tol
         keep = min(keep, room)
     here = {m: within_reach(seen, keep).select(m, F.col("goal").alias("target")) for m, seen in margins.items()}
     while True:
-        w, worst, bounded = rake(cells, here, keep, tolerance)
+        w, worst, bounded = rake(cells, here, keep, tolerance, few)
         if worst <= tolerance or not bounded or not exact:
             break
         keep *= LOWER

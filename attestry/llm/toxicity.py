@@ -29,6 +29,8 @@ DECAY, SPAN = 0.6, 6
 #: Words longer than this are judged in overlapping parts.
 LONGEST = 28
 MEMORY = 100_000
+#: Landmarks that the kernel of a list of words is summed up for at once.
+COLUMNS = 16
 
 _LETTERS = {c: i + 1 for i, c in enumerate("^$abcdefghijklmnopqrstuvwxyz0123456789")}
 _ALPHABET = 64
@@ -105,8 +107,14 @@ def kernel(x: list[str], y: list[str]) -> np.ndarray:
         at = np.where(known[at] == key, at, len(known))
         hit = at < len(known)
         first = np.searchsorted(row[hit], np.arange(len(x[s : s + 200]) + 1))
-        sums = np.cumsum(np.vstack([np.zeros((1, len(y))), value[hit, None] * table[at[hit]]]), axis=0)
-        out[s : s + 200] = sums[first[1:]] - sums[first[:-1]]
+        value, at = value[hit], at[hit]
+        sums = np.zeros((len(at) + 1, COLUMNS))
+        for c in range(0, len(y), COLUMNS):  # some columns at a time, in one place: all would take hundreds of MB
+            some = table[:, c : c + COLUMNS]
+            here = sums[:, : some.shape[1]]
+            np.multiply(value[:, None], some[at], out=here[1:])
+            np.cumsum(here, axis=0, out=here)
+            out[s : s + 200, c : c + COLUMNS] = here[first[1:]] - here[first[:-1]]
     return out
 
 
