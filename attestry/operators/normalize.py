@@ -6,34 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.shared import spread
+from ..functions.shared import if_small, shared_folder, spread, stored
 
 
 def assign_ids(df: DataFrame, sample: str, order: list[str], out: str = "sequence_id", fmt: str = "%s__c%06d") -> DataFrame:
-    """NRM-1: ``<sample>__c<number>`` in order within each sample.
+    """NRM-1: ``<sample>__c<number>`` in order within each sample; rows without a sample have no id.
 
-    Numbers come from counts of ranges: rows are range-partitioned by sample and
-    order, ranked inside their range, and offset by the counts of the sample's
-    earlier ranges, so a sample that holds most rows isn't sorted in one task.
+    Rows move once, into ranges of sample and order whose bounds Spark draws from all of
+    the table, so a sample that holds most rows isn't sorted in one task.  Each is written
+    with its place in its range, and the counts of a sample's earlier ranges are added.
     """
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    marks = df.select(sample, *order).sample(0.02, 1).limit(20_000).collect() if n > 1 else []
-    marks = sorted({tuple(r) for r in marks if None not in tuple(r)})
-    cuts = [marks[len(marks) * i // n] for i in range(1, n)] if len(marks) >= n else []
-    if cuts:
-        fields = [sample, *order]
-        key = F.struct(*[F.col(c) for c in fields])
-        bounds = F.array(*[F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for v, c in zip(m, fields, strict=True)]) for m in cuts])
-        part = F.size(F.filter(bounds, lambda b: b <= key))
-    else:
-        part = F.lit(0)
-    placed = df.withColumn("__p", part)
-    sizes = placed.groupBy(sample, "__p").agg(F.count("*").alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(W.partitionBy(sample).orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
-    rank = F.row_number().over(W.partitionBy(sample, "__p").orderBy(*order))
-    out_df = placed.withColumn("__r", rank).join(before, [sample, "__p"])
-    return out_df.withColumn(out, F.format_string(fmt, F.col(sample).cast("string"), F.col("__r") + F.col("__before"))).drop("__p", "__r", "__before")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, sample, *order).sortWithinPartitions(sample, *order)
+    placed = stored(ranged.withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)  # how the function makes its numbers: the partition, then the row in it
+    sizes = placed.groupBy(sample, part.alias("__p")).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    earlier = W.partitionBy(sample).orderBy("__p").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select(F.col(sample).alias("__of"), "__p", (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__add"))
+    shared_folder(df.sparkSession)
+    numbered = placed.join(if_small(before.checkpoint()), F.col(sample).eqNullSafe(F.col("__of")) & (part == F.col("__p")))
+    name = F.when(F.col(sample).isNotNull(), F.format_string(fmt, F.col(sample).cast("string"), F.col("__at") + F.col("__add")))
+    return numbered.withColumn(out, name).drop("__at", "__of", "__p", "__add")
 
 
 def split_windows(df: DataFrame, id_col: str, seq: str, size: int = 270_000, overlap: int = 30_000) -> DataFrame:
